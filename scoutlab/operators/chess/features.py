@@ -69,6 +69,8 @@ def parse_fen(df: DataFrame, fen: str = "FEN", prefix: str = "") -> DataFrame:
         f"transform(sequence(0, 63), s -> substring(`{prefix}__flat`, (7 - s div 8) * 8 + s % 8 + 1, 1))"))
     ep_sq = F.when(ep_txt != "-", (F.ascii(F.substring(ep_txt, 1, 1)) - 97)
                    + (F.substring(ep_txt, 2, 1).cast("int") - 1) * 8)
+    if G.GEO not in df.columns:
+        df = df.withColumn(G.GEO, G.geometry_column())
     out = (df.withColumn(f"{prefix}__flat", flat)
            .withColumn(f"{prefix}fen_ok", F.coalesce(ok, F.lit(False)))
            .withColumn(f"{prefix}bd", bd)

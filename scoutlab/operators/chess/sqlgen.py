@@ -16,6 +16,42 @@ DIAG = [(1, 1), (1, -1), (-1, 1), (-1, -1)]
 ORTH = [(1, 0), (-1, 0), (0, 1), (0, -1)]
 
 MOVE_TYPE = "ARRAY<STRUCT<fr: INT, to: INT, pr: STRING>>"
+GEO = "_geo"  # struct column of lookup tables, added by :func:`geometry_column`
+
+
+def _targets(s: int, offsets: list[tuple[int, int]], reach: int = 1) -> list[int]:
+    f, r = s % 8, s // 8
+    out = []
+    for df, dr in offsets:
+        for k in range(1, reach + 1):
+            ff, rr = f + k * df, r + k * dr
+            if not (0 <= ff < 8 and 0 <= rr < 8):
+                break
+            out.append(rr * 8 + ff)
+    return out
+
+
+def geometry_tables() -> dict[str, list[list[int]]]:
+    """Square geometry generated from the move rules: knight and king
+    steps, pawn attack squares per colour, and the eight sliding rays
+    (nearest square first) for every square."""
+    t = {"kn": [_targets(s, KNIGHT) for s in range(64)],
+         "kg": [_targets(s, KING) for s in range(64)],
+         "pw": [_targets(s, [(-1, 1), (1, 1)]) for s in range(64)],
+         "pb": [_targets(s, [(-1, -1), (1, -1)]) for s in range(64)]}
+    for i, d in enumerate(DIAG + ORTH):
+        t[f"r{i}"] = [_targets(s, [d], 7) for s in range(64)]
+    return t
+
+
+def geometry_column():
+    """The tables as one literal struct column (constant-folded by Catalyst,
+    so every position shares it)."""
+    from pyspark.sql import functions as F
+    fields = ", ".join(
+        f"'{k}', array(" + ", ".join(f"CAST(array({', '.join(map(str, row))}) AS ARRAY<INT>)" for row in rows) + ")"
+        for k, rows in geometry_tables().items())
+    return F.expr(f"named_struct({fields})").alias(GEO)
 
 
 def inb(s: str, df: int, dr: int) -> str:
@@ -32,17 +68,17 @@ def sq(s: str, df: int, dr: int) -> str:
     return f"({s} + ({dr * 8 + df}))"
 
 
+_STEP_TABLE = {tuple(KNIGHT): "kn", tuple(KING): "kg", ((-1, 1), (1, 1)): "pw", ((-1, -1), (1, -1)): "pb"}
+
+
 def steps(s: str, offsets: list[tuple[int, int]]) -> str:
     """On-board single-step targets of ``s`` (knight / king / pawn)."""
-    items = ", ".join(f"IF({inb(s, df, dr)}, CAST({sq(s, df, dr)} AS INT), -1)" for df, dr in offsets)
-    return f"filter(array({items}), q -> q >= 0)"
+    return f"element_at({GEO}.{_STEP_TABLE[tuple(offsets)]}, CAST(({s}) + 1 AS INT))"
 
 
 def ray(s: str, df: int, dr: int) -> str:
     """On-board squares from ``s`` in one direction, nearest first."""
-    items = ", ".join(f"IF({inb(s, k * df, k * dr)}, CAST({sq(s, k * df, k * dr)} AS INT), -1)"
-                      for k in range(1, 8))
-    return f"filter(array({items}), q -> q >= 0)"
+    return f"element_at({GEO}.r{(DIAG + ORTH).index((df, dr))}, CAST(({s}) + 1 AS INT))"
 
 
 def at(bd: str, q: str) -> str:
@@ -76,13 +112,13 @@ def attacked(bd: str, s: str, by_white: str) -> str:
 
 
 def king_square(bd: str, white: str) -> str:
-    return f"(array_position({bd}, {letter(white, 'k')}) - 1)"
+    return f"CAST(array_position({bd}, {letter(white, 'k')}) - 1 AS INT)"
 
 
 def king_in_danger(bd: str, white: str) -> str:
     """Side ``white``'s king is attacked (false when it has no king)."""
     ks = king_square(bd, white)
-    return f"({ks} >= 0 AND {attacked(bd, ks, f'NOT ({white})')})"
+    return f"coalesce(transform(array({ks}), kq -> kq >= 0 AND {attacked(bd, 'kq', f'NOT ({white})')})[0], false)"
 
 
 def is_white(p: str) -> str:
@@ -106,14 +142,15 @@ def _mv(s: str, targets: str, var: str = "q") -> str:
 def _slider_targets(bd: str, s: str, white: str, dirs: list[tuple[int, int]], include_own: bool) -> str:
     outs = []
     for df, dr in dirs:
-        r = ray(s, df, dr)
+        r = "rr"
         fi = f"array_position(transform({r}, q -> {at(bd, 'q')} != '.'), true)"
         if include_own:
-            outs.append(f"IF({fi} = 0, {r}, slice({r}, 1, CAST({fi} AS INT)))")
+            body = f"IF({fi} = 0, {r}, slice({r}, 1, CAST({fi} AS INT)))"
         else:
             blocked_own = own_at(bd, f"element_at({r}, CAST({fi} AS INT))", white)
-            outs.append(f"CASE WHEN {fi} = 0 THEN {r} WHEN {blocked_own} THEN slice({r}, 1, CAST({fi} - 1 AS INT)) "
-                        f"ELSE slice({r}, 1, CAST({fi} AS INT)) END")
+            body = (f"CASE WHEN {fi} = 0 THEN {r} WHEN {blocked_own} THEN slice({r}, 1, CAST({fi} - 1 AS INT)) "
+                    f"ELSE slice({r}, 1, CAST({fi} AS INT)) END")
+        outs.append(f"transform(array({ray(s, df, dr)}), rr -> {body})[0]")
     return "concat(" + ", ".join(outs) + ")"
 
 
@@ -190,7 +227,8 @@ def pseudo_moves(bd: str, white: str, castling: str, ep: str) -> str:
 
 def make_move(bd: str, m: str) -> str:
     """Board after move ``m`` (struct fr, to, pr): captures, promotion,
-    en passant removal and the castling rook hop."""
+    en passant removal and the castling rook hop.  The per-move scalars are
+    bound once (a one-element ``transform``) before the 64-cell rewrite."""
     pc = at(bd, f"{m}.fr")
     white = is_white(pc)
     ep_cap = (f"IF(lower({pc}) = 'p' AND {m}.fr % 8 != {m}.to % 8 AND {at(bd, f'{m}.to')} = '.', "
@@ -199,9 +237,12 @@ def make_move(bd: str, m: str) -> str:
     rook_from = f"IF({castle}, IF({m}.to > {m}.fr, {m}.fr + 3, {m}.fr - 4), -1)"
     rook_to = f"IF({castle}, IF({m}.to > {m}.fr, {m}.fr + 1, {m}.fr - 1), -1)"
     placed = f"IF({m}.pr IS NOT NULL, IF({white}, upper({m}.pr), lower({m}.pr)), {pc})"
-    return (f"transform({bd}, (x, i) -> CASE WHEN i = {m}.to THEN {placed} WHEN i = {m}.fr THEN '.' "
-            f"WHEN i = {ep_cap} THEN '.' WHEN i = {rook_from} THEN '.' "
-            f"WHEN i = {rook_to} THEN {at(bd, rook_from)} ELSE x END)")
+    z = (f"named_struct('fr', {m}.fr, 'to', {m}.to, 'pl', {placed}, 'ep', {ep_cap}, "
+         f"'rf', {rook_from}, 'rt', {rook_to})")
+    rook_piece = f"IF(z.rf >= 0, element_at({bd}, z.rf + 1), '.')"
+    return (f"transform(array({z}), z -> transform({bd}, (x, i) -> CASE WHEN i = z.to THEN z.pl "
+            f"WHEN i = z.fr THEN '.' WHEN i = z.ep THEN '.' WHEN i = z.rf THEN '.' "
+            f"WHEN i = z.rt THEN {rook_piece} ELSE x END))[0]")
 
 
 def is_capture(bd: str, m: str) -> str:
