@@ -110,7 +110,7 @@ PLAYER_NUMERIC = [c for c, _ in PLAYER_OBS[4:19]]
 PLAYER_TEXT = ["posicion_principal", "pie_habil", "liga_actual", "nacionalidad"]
 
 # --- chess puzzles (muestra) from part ------------------------------------
-# Positions come from the fixed fixture list (21 rows, broadcast), chosen by
+# Positions come from the fixed fixture list (25 rows, broadcast), chosen by
 # key; puzzle attributes are integer rules of p_partkey.
 
 PUZZLES = [
@@ -121,7 +121,7 @@ PUZZLES = [
     ("Popularity", "p_size"),
     ("NbPlays", "CAST((p_partkey * 131) % 5000 AS INT)"),
     ("Themes", "p_type || ' ' || p_name"),
-    ("position_no", "CAST(p_partkey % 21 AS INT)"),
+    ("position_no", "CAST(p_partkey % 25 AS INT)"),
 ]
 
 
@@ -179,6 +179,13 @@ def puzzles(spark: SparkSession, d: str) -> DataFrame:
     return _select(table(spark, d, "part"), PUZZLES)
 
 
+def puzzles_with_positions(spark: SparkSession, d: str) -> DataFrame:
+    """``muestra``: puzzles with FEN and Moves from the fixed position list
+    (25 rows: a bounded broadcast side)."""
+    from scoutlab.plans.positions import positions_df
+    return puzzles(spark, d).join(F.broadcast(positions_df(spark)), "position_no")
+
+
 # SQL FROM clauses for the oracle side.
 SQL_FROM = {
     "players_raw": "customer",
