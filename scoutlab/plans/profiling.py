@@ -199,12 +199,13 @@ def q_top_corr(spark, d):
 
 
 @query("regression_line", sql=WITH + "\nUNION ALL ".join(
-    f"SELECT '{x}' AS x, {r(f'REGR_SLOPE({TARGET}, {x})')} AS slope, "
-    f"{r(f'REGR_INTERCEPT({TARGET}, {x})')} AS intercept, {r(f'REGR_R2({TARGET}, {x})')} AS r2, "
+    f"SELECT '{x}' AS x, {r(f'REGR_SLOPE({TARGET}, {x})', 3)} AS slope, "
+    f"{r(f'REGR_INTERCEPT({TARGET}, {x})', 3)} AS intercept, {r(f'REGR_R2({TARGET}, {x})')} AS r2, "
     f"REGR_COUNT({TARGET}, {x}) AS n FROM player_obs" for x in PCOLS if x != TARGET))
 def q_regression(spark, d):
-    """G13."""
-    return G.regression_line(obs(spark, d), [x for x in PCOLS if x != TARGET], TARGET)
+    """G13 (slope and intercept are in euros: shown to 3 decimals)."""
+    out = G.regression_line(obs(spark, d), [x for x in PCOLS if x != TARGET], TARGET)
+    return out.withColumn("slope", F.round("slope", 3)).withColumn("intercept", F.round("intercept", 3))
 
 
 @query("regression_band")
