@@ -104,7 +104,7 @@ def _feature_at(prefix: str, feats: Sequence[str], idx: Column) -> Column:
 
 
 def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int = 5,
-               rho0: float | None = None, growth: float = 8.0) -> DataFrame:
+               rho0: float | None = None, growth: float = 4.0) -> DataFrame:
     """Exact k nearest donors per cell.
 
     ``cells``: ``cell_id, target, <feats>`` — a receiver row needing column
@@ -112,6 +112,12 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
     named in ``cells.target`` must be a donors column.  Returns
     ``cell_id, value`` = mean of the target over the nearest min(k, donors
     with a defined distance) donors; cells without any such donor are absent.
+
+    Search: a donor within distance rho of a receiver is within rho on every
+    shared feature, so for each (receiver pattern R, donor pattern D) the
+    donors are gridded on the two highest-spread shared features with cell
+    size rho and a receiver probes its 3x3 neighbourhood.  A cell whose k-th
+    candidate lies within rho is final; the rest retry with a larger rho.
     """
     spark = cells.sparkSession
     checkpoint_dir(spark)
@@ -122,7 +128,7 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
     targets = [r["target"] for r in c.select("target").distinct().collect()]  # column names
     d = donors.select(F.col("did"), *[F.col(f).cast("double").alias(f"d_{f}") for f in feats],
                       *[F.col(t).alias(f"t_{t}") for t in targets]).persist()
-    # scalar statistics: spread per feature (orders pivots), donor count, patterns
+    # scalar statistics: spread per feature (orders the grid axes), donor count
     st = d.agg(*[(F.max(f"d_{f}") - F.min(f"d_{f}")).alias(f"s{i}") for i, f in enumerate(feats)],
                F.count(F.lit(1)).alias("n")).first()
     spreads = [float(st[f"s{i}"] or 0.0) for i in range(nf)]
@@ -131,12 +137,31 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
     spreads = [spreads[i] for i in order]
     max_spread = max(spreads) if spreads else 0.0
     n_donors = max(int(st["n"] or 0), 1)
-    # first band per feature: on a uniform spread ~8k donors share a bucket
-    frac = min(1.0, 8.0 * k / n_donors)
-    rhos = [max(sp * frac, 1e-9) for sp in spreads]
+    rho = rho0 or max(max_spread * min(1.0, float(k) / n_donors), 1e-9)
     d = d.withColumn("D", _mask([f"d_{f}" for f in feats]))
-    patterns = [r["D"] for r in d.select("D").distinct().collect() if r["D"]]  # <= 2^|F| values
     c = c.withColumn("R", _mask([f"r_{f}" for f in feats]))
+    # presence patterns (at most 2^|F| values each) decide the grid axes
+    dpat = [r["D"] for r in d.select("D").distinct().collect() if r["D"]]
+    rpat = [r["R"] for r in c.select("R").distinct().collect() if r["R"]]
+
+    def axes(shared: int) -> tuple[int, int]:
+        bits = [i for i in range(nf) if shared >> i & 1]
+        return bits[0], (bits[1] if len(bits) > 1 else -1)
+
+    need_axes: dict[int, set] = {}
+    for rp in rpat:
+        for dp in dpat:
+            if rp & dp:
+                need_axes.setdefault(dp, set()).add(axes(rp & dp))
+    if not need_axes:
+        for h in (c, d):
+            h.unpersist()
+        return spark.createDataFrame([], "cell_id STRING, value DOUBLE")
+    axes_case = "CASE " + " ".join(
+        f"WHEN D = {dp} THEN array({', '.join(f'named_struct(\'a\', {a}, \'b\', {b})' for a, b in sorted(ax))})"
+        for dp, ax in need_axes.items()) + " END"
+    lookup = F.array(*[F.col(f"d_{f}") for f in feats])
+    rlookup = F.array(*[F.col(f"r_{f}") for f in feats])
     if _DEBUG:
         print("knn setup", time.time() - _T0)
 
@@ -144,30 +169,36 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
     pending = c
     held = [d, c]
     while True:
-        final = all(rh >= sp for rh, sp in zip(rhos, spreads))
-        rho_arr = F.array(*[F.lit(float(x)) for x in rhos])
-        # donor index for this round: one row per present feature
-        didx = (d.select("*", F.explode(F.sequence(F.lit(0), F.lit(nf - 1))).alias("f"))
-                .filter(F.expr("(D & shiftleft(1, f)) != 0"))
-                .withColumn("bucket", F.floor(_feature_at("d_", feats, F.col("f"))
-                                              / F.element_at(rho_arr, F.col("f") + 1))))
-        probe0 = (pending.select("*", F.explode(F.array(*[F.lit(p) for p in patterns])).alias("D"))
-                  .withColumn("shared", F.col("R").bitwiseAND(F.col("D")))
-                  .filter(F.col("shared") != 0)
-                  .withColumn("f", _lowbit_index(F.col("shared"), nf))
-                  .withColumn("rho", F.element_at(rho_arr, F.col("f") + 1))
-                  .withColumn("b0", F.floor(_feature_at("r_", feats, F.col("f")) / F.col("rho"))))
-        # a cell is settled only within the narrowest band it probed
-        need = probe0.groupBy("cell_id").agg(F.min("rho").alias("need"))
-        probe = probe0.select("*", F.explode(F.array(F.col("b0") - 1, F.col("b0"), F.col("b0") + 1))
-                              .alias("bucket"))
-        pairs = probe.join(didx, ["D", "f", "bucket"])
-        tval = reduce(lambda a, t: a.when(F.col("target") == F.lit(t), F.col(f"t_{t}")),
+        final = rho >= max_spread
+        didx = (d.filter(F.col("D").isin(list(need_axes)))
+                .select("*", F.explode(F.expr(axes_case)).alias("ax"))
+                .select("*", F.col("ax.a").alias("a"), F.col("ax.b").alias("b"))
+                .withColumn("g1", F.floor(F.element_at(lookup, F.col("a") + 1) / F.lit(rho)))
+                .withColumn("g2", F.when(F.col("b") >= 0, F.floor(F.element_at(lookup, F.col("b") + 1)
+                                                                  / F.lit(rho))).otherwise(F.lit(0)))
+                .drop("ax"))
+        probe = (pending.select("*", F.explode(F.array(*[F.lit(p) for p in dpat])).alias("D"))
+                 .withColumn("shared", F.col("R").bitwiseAND(F.col("D")))
+                 .filter(F.col("shared") != 0)
+                 .withColumn("a", _lowbit_index(F.col("shared"), nf))
+                 .withColumn("b", F.coalesce(_lowbit_index(
+                     F.col("shared").bitwiseAND(F.lit((1 << nf) - 1) - F.expr("shiftleft(1, a)")), nf), F.lit(-1)))
+                 .withColumn("c1", F.floor(F.element_at(rlookup, F.col("a") + 1) / F.lit(rho)))
+                 .withColumn("c2", F.when(F.col("b") >= 0, F.floor(F.element_at(rlookup, F.col("b") + 1)
+                                                                   / F.lit(rho))).otherwise(F.lit(0)))
+                 .select("*", F.explode(F.array(*[F.lit(o) for o in (-1, 0, 1)])).alias("o1"))
+                 .select("*", F.explode(F.when(F.col("b") >= 0, F.array(*[F.lit(o) for o in (-1, 0, 1)]))
+                                        .otherwise(F.array(F.lit(0)))).alias("o2"))
+                 .withColumn("g1", F.col("c1") + F.col("o1"))
+                 .withColumn("g2", F.col("c2") + F.col("o2"))
+                 .drop("o1", "o2", "c1", "c2", "shared"))
+        pairs = probe.join(didx, ["D", "a", "b", "g1", "g2"])
+        tval = reduce(lambda acc, t: acc.when(F.col("target") == F.lit(t), F.col(f"t_{t}")),
                       targets[1:], F.when(F.col("target") == F.lit(targets[0]), F.col(f"t_{targets[0]}")))
         both = [F.col(f"r_{f}").isNotNull() & F.col(f"d_{f}").isNotNull() for f in feats]
-        ss = reduce(lambda a, b: a + b, [F.when(b, F.pow(F.col(f"r_{f}") - F.col(f"d_{f}"), 2)).otherwise(0.0)
-                                         for b, f in zip(both, feats)])
-        cnt = reduce(lambda a, b: a + b, [F.when(b, 1).otherwise(0) for b in both])
+        ss = reduce(lambda x, y: x + y, [F.when(bb, F.pow(F.col(f"r_{f}") - F.col(f"d_{f}"), 2)).otherwise(0.0)
+                                         for bb, f in zip(both, feats)])
+        cnt = reduce(lambda x, y: x + y, [F.when(bb, 1).otherwise(0) for bb in both])
         dist = F.sqrt(F.lit(float(nf)) / cnt * ss)
         cand = (pairs.withColumn("tv", tval).filter(F.col("tv").isNotNull())
                 .select("cell_id", "did", dist.alias("dist"), "tv"))
@@ -175,8 +206,8 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
         top = cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
         summary = (top.groupBy("cell_id")
                    .agg(F.count(F.lit(1)).alias("m"), F.max("dist").alias("kth"), F.avg("tv").alias("value")))
-        ok = F.lit(True) if final else ((F.col("m") >= k) & (F.col("kth") <= F.col("need")))
-        done = summary.join(need, "cell_id").filter(ok).select("cell_id", "value").persist()
+        ok = F.lit(True) if final else ((F.col("m") >= k) & (F.col("kth") <= F.lit(rho)))
+        done = summary.filter(ok).select("cell_id", "value").persist()
         held.append(done)
         results.append(done)
         if final:
@@ -184,14 +215,14 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
         pending = pending.join(done.select("cell_id"), "cell_id", "left_anti").persist()
         held.append(pending)
         if _DEBUG:
-            print("knn round", rhos, "done", done.count(), "pending", pending.count(), time.time() - _T0)
+            print("knn round", rho, "done", done.count(), "pending", pending.count(), time.time() - _T0)
         if pending.limit(1).count() == 0:  # loop-termination check on one row
             break
-        rhos = [x * growth for x in rhos]
+        rho *= growth
     # rounds are few (log_growth of range/rho0), so lineage stays short; the
     # result is written to the shared checkpoint folder once, then the
     # per-round caches are released.
-    out = reduce(lambda a, b: a.unionByName(b), results).checkpoint(eager=True)
+    out = reduce(lambda x, y: x.unionByName(y), results).checkpoint(eager=True)
     for h in held:
         h.unpersist()
     return out
