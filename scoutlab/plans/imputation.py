@@ -41,13 +41,13 @@ def q_impute_constant(spark, d):
     return I.impute_constant(obs(spark, d).select("obs_id", "liga_actual"), {"liga_actual": "Sin Equipo"})
 
 
-def _knn_sql_ctes(feats: list[str], key: str = "obs_id", k: int = 5) -> str:
+def _knn_sql_ctes(feats: list[str], key: str = "obs_id", k: int = 5, src: str = "player_obs") -> str:
     """Brute-force nan-Euclidean KNN imputation in SQL (oracle only)."""
     nf = len(feats)
     both = [f"(r.{f} IS NOT NULL AND d.{f} IS NOT NULL)" for f in feats]
     ss = " + ".join(f"CASE WHEN {b} THEN (r.{f} - d.{f}) * (r.{f} - d.{f}) ELSE 0 END" for b, f in zip(both, feats))
     cnt = " + ".join(f"CASE WHEN {b} THEN 1 ELSE 0 END" for b in both)
-    parts = [f"b AS (SELECT {key}, {', '.join(feats)} FROM player_obs)"]
+    parts = [f"b AS (SELECT {key}, {', '.join(feats)} FROM {src})"]
     for j, t in enumerate(feats):
         parts.append(f"""p{j} AS (SELECT r.{key} AS rid, d.{key} AS did, d.{t} AS tv, {ss} AS ss, {cnt} AS cnt
   FROM b r JOIN b d ON r.{t} IS NULL AND d.{t} IS NOT NULL)""")
@@ -112,3 +112,24 @@ def q_impute_iterative(spark, d):
     """Iterative KNN-regressor imputation (rows-only check; verified
     against a brute-force implementation in tests)."""
     return I.impute_iterative_knn(obs(spark, d).select("obs_id", *NUM), "obs_id", NUM, k=5, max_iter=10)
+
+
+def _player_avg_cte() -> str:
+    num = [f"AVG({c}) AS {c}" for c in S.PLAYER_NUMERIC]
+    txt = [f"arg_max({c}, struct_pack(f := fecha_valoracion, k := obs_id)) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+           for c in S.PLAYER_TEXT]
+    return ("pa AS (SELECT player_id, " + ", ".join(num + txt)
+            + ", MAX(fecha_valoracion) AS fecha_valoracion FROM player_obs GROUP BY player_id)")
+
+
+@query("player_average_knn", sql=WITH + ", " + _player_avg_cte() + ", "
+       + _knn_sql_ctes(S.PLAYER_NUMERIC, key="player_id", src="pa")
+       + "\nSELECT knn.player_id, " + ", ".join(f"{r('knn.' + c)} AS {c}" for c in S.PLAYER_NUMERIC)
+       + ", " + ", ".join(f"pa.{c}" for c in S.PLAYER_TEXT) + ", pa.fecha_valoracion"
+       + " FROM knn JOIN pa USING (player_id)")
+def q_player_average_knn(spark, d):
+    """A5 + G16 (jugadores_promediados): collapse to one row per player,
+    then KNN-fill the numeric columns still null (all history missing)."""
+    from scoutlab.operators import players as P
+    avg = P.player_average(obs(spark, d), tiebreak=("obs_id",))
+    return I.impute_knn(avg, "player_id", S.PLAYER_NUMERIC, k=5)

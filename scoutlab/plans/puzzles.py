@@ -8,6 +8,7 @@ from scoutlab.functions import scalar as fn
 from scoutlab.functions.predicates import PuzzleFilter
 from scoutlab.operators import puzzles as Z
 from scoutlab.plans import standins as S
+from scoutlab.plans.positions import positions_sql
 from scoutlab.plans.registry import query, r
 from scoutlab.sources.io import table
 
@@ -116,12 +117,28 @@ def q_token_counts(spark, d):
     return table(spark, d, "documents").select("doc_id", fn.token_count("text").alias("n_tokens"))
 
 
-@query("first_token", sql=WITH + """
-SELECT PuzzleId, split_part(Themes, ' ', 1) AS first_move, replace(Themes, ' ', ', ') AS themes_display
-FROM puzzles""")
+_WITH_POS = WITH + ", " + positions_sql() + """,
+m AS (SELECT p.*, f.FEN, f.Moves FROM puzzles p JOIN fixture_positions f USING (position_no))
+"""
+
+
+@query("first_token", sql=_WITH_POS + """
+SELECT PuzzleId, split_part(Moves, ' ', 1) AS first_move, replace(Themes, ' ', ', ') AS themes_display FROM m""")
 def q_first_token(spark, d):
-    """F2/F3 (on the theme list until moves exist on the stand-in)."""
-    return Z.first_token_view(muestra(spark, d), moves="Themes")
+    """first move of the move list; themes for display."""
+    return Z.first_token_view(S.puzzles_with_positions(spark, d))
+
+
+@query("puzzle_token_counts", sql=_WITH_POS + """
+SELECT PuzzleId,
+  len(list_filter(regexp_split_to_array(trim(Moves), '\\s+'), lambda x: x <> '')) AS num_movimientos,
+  len(list_filter(regexp_split_to_array(trim(Themes), '\\s+'), lambda x: x <> '')) AS num_temas,
+  CASE WHEN Rating < 1200 THEN 'Principiante' WHEN Rating < 1800 THEN 'Intermedio'
+       WHEN Rating < 2400 THEN 'Avanzado' ELSE 'Maestro' END AS nivel_dificultad FROM m""")
+def q_puzzle_token_counts(spark, d):
+    """F1 + F4 on the puzzle table (num_movimientos, num_temas, class)."""
+    return Z.with_derived(S.puzzles_with_positions(spark, d)).select(
+        "PuzzleId", "num_movimientos", "num_temas", "nivel_dificultad")
 
 
 @query("log_target", sql=S.sql_cte("player_obs") + f"""
