@@ -104,7 +104,9 @@ def _feature_at(prefix: str, feats: Sequence[str], idx: Column) -> Column:
 
 
 def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int = 5,
-               rho0: float | None = None, growth: float = 4.0) -> DataFrame:
+               rho0: float | None = None, growth: float = 4.0, targets: Sequence[str] | None = None,
+               spreads: Sequence[float] | None = None, n_donors: int | None = None,
+               complete: bool = False, report: dict | None = None) -> DataFrame:
     """Exact k nearest donors per cell.
 
     ``cells``: ``cell_id, target, <feats>`` — a receiver row needing column
@@ -118,6 +120,12 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
     donors are gridded on the two highest-spread shared features with cell
     size rho and a receiver probes its 3x3 neighbourhood.  A cell whose k-th
     candidate lies within rho is final; the rest retry with a larger rho.
+
+    Callers that already know them may pass ``targets``, ``spreads`` (upper
+    bounds of max - min per feature over donors and receivers), ``n_donors``
+    and ``complete=True`` (no feature is ever null) to skip the setup jobs.
+    ``report`` (a dict) receives the radius of the last round, a good
+    starting radius for a similar search (the iterative imputer's next sweep).
     """
     spark = cells.sparkSession
     checkpoint_dir(spark)
@@ -125,24 +133,39 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
     nf = len(feats)
     _T0 = time.time()
     c = cells.select("cell_id", "target", *[F.col(f).cast("double").alias(f"r_{f}") for f in feats]).persist()
-    targets = [r["target"] for r in c.select("target").distinct().collect()]  # column names
+    if targets is None:
+        targets = [r["target"] for r in c.select("target").distinct().collect()]  # column names
+    targets = list(targets)
     d = donors.select(F.col("did"), *[F.col(f).cast("double").alias(f"d_{f}") for f in feats],
                       *[F.col(t).alias(f"t_{t}") for t in targets]).persist()
-    # scalar statistics: spread per feature (orders the grid axes), donor count
-    st = d.agg(*[(F.max(f"d_{f}") - F.min(f"d_{f}")).alias(f"s{i}") for i, f in enumerate(feats)],
-               F.count(F.lit(1)).alias("n")).first()
-    spreads = [float(st[f"s{i}"] or 0.0) for i in range(nf)]
+    if spreads is None or n_donors is None:
+        # scalar statistics: spread per feature over donors and receivers, donor count
+        st = d.agg(*[F.max(f"d_{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
+                   *[F.min(f"d_{f}").alias(f"lo{i}") for i, f in enumerate(feats)],
+                   F.count(F.lit(1)).alias("n")).first()
+        rt = c.agg(*[F.max(f"r_{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
+                   *[F.min(f"r_{f}").alias(f"lo{i}") for i, f in enumerate(feats)]).first()
+        spreads = []
+        for i in range(nf):
+            his = [x for x in (st[f"hi{i}"], rt[f"hi{i}"]) if x is not None]
+            los = [x for x in (st[f"lo{i}"], rt[f"lo{i}"]) if x is not None]
+            spreads.append(float(max(his) - min(los)) if his and los else 0.0)
+        n_donors = int(st["n"] or 0)
+    spreads = list(spreads)
     order = sorted(range(nf), key=lambda i: -spreads[i])
     feats = [feats[i] for i in order]
     spreads = [spreads[i] for i in order]
     max_spread = max(spreads) if spreads else 0.0
-    n_donors = max(int(st["n"] or 0), 1)
+    n_donors = max(int(n_donors or 0), 1)
     rho = rho0 or max(max_spread * min(1.0, float(k) / n_donors), 1e-9)
     d = d.withColumn("D", _mask([f"d_{f}" for f in feats]))
     c = c.withColumn("R", _mask([f"r_{f}" for f in feats]))
     # presence patterns (at most 2^|F| values each) decide the grid axes
-    dpat = [r["D"] for r in d.select("D").distinct().collect() if r["D"]]
-    rpat = [r["R"] for r in c.select("R").distinct().collect() if r["R"]]
+    if complete:
+        dpat = rpat = [(1 << nf) - 1]
+    else:
+        dpat = [r["D"] for r in d.select("D").distinct().collect() if r["D"]]
+        rpat = [r["R"] for r in c.select("R").distinct().collect() if r["R"]]
 
     def axes(shared: int) -> tuple[int, int]:
         bits = [i for i in range(nf) if shared >> i & 1]
@@ -207,22 +230,26 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
         summary = (top.groupBy("cell_id")
                    .agg(F.count(F.lit(1)).alias("m"), F.max("dist").alias("kth"), F.avg("tv").alias("value")))
         ok = F.lit(True) if final else ((F.col("m") >= k) & (F.col("kth") <= F.lit(rho)))
-        done = summary.filter(ok).select("cell_id", "value").persist()
-        held.append(done)
+        # resolved cells are few and final: write them to the shared
+        # checkpoint folder so later rounds start from a flat lineage
+        done = summary.filter(ok).select("cell_id", "value").checkpoint(eager=True)
         results.append(done)
         if final:
             break
-        pending = pending.join(done.select("cell_id"), "cell_id", "left_anti").persist()
-        held.append(pending)
+        resolved = reduce(lambda x, y: x.unionByName(y), results).select("cell_id")
+        if pending is not c:
+            pending.unpersist()
+        pending = c.join(resolved, "cell_id", "left_anti").persist()
         if _DEBUG:
             print("knn round", rho, "done", done.count(), "pending", pending.count(), time.time() - _T0)
         if pending.limit(1).count() == 0:  # loop-termination check on one row
             break
         rho *= growth
-    # rounds are few (log_growth of range/rho0), so lineage stays short; the
-    # result is written to the shared checkpoint folder once, then the
-    # per-round caches are released.
-    out = reduce(lambda x, y: x.unionByName(y), results).checkpoint(eager=True)
+    out = reduce(lambda x, y: x.unionByName(y), results)
+    if report is not None:
+        report["rho"] = rho
+    if pending is not c:
+        pending.unpersist()
     for h in held:
         h.unpersist()
     return out
@@ -267,6 +294,10 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     visit = [f for f in sorted(feats, key=lambda f: st[f"z_{f}"]) if st[f"z_{f}"] > 0]
     if not visit:
         return df
+    # imputed values are means of observed ones, so the observed ranges bound
+    # every feature's spread in every sweep
+    rng = df.agg(*[(F.max(f) - F.min(f)).alias(f"s_{f}") for f in feats], F.count(F.lit(1)).alias("n")).first()
+    spread = {f: float(rng[f"s_{f}"] or 0.0) for f in feats}
     cur = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
                     *[F.coalesce(F.col(f), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
     threshold = tol * float(st["amax"] or 0.0)
@@ -277,7 +308,8 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
             cells = (cur.filter(F.col(f"_miss_{f}"))
                      .select(F.col(key).cast("string").alias("cell_id"), F.lit(f).alias("target"), *others))
             donors = cur.filter(~F.col(f"_miss_{f}")).select(F.col(key).alias("did"), *others, f)
-            pred = knn_search(cells, donors, others, k)
+            pred = knn_search(cells, donors, others, k, targets=[f], spreads=[spread[g] for g in others],
+                              n_donors=int(rng["n"]) - int(st[f"z_{f}"]), complete=True)
             cur = (cur.withColumn("cell_id", F.col(key).cast("string")).join(pred, "cell_id", "left")
                    .withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce(F.col("value"), F.col(f)))
                                .otherwise(F.col(f)))
