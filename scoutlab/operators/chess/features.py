@@ -101,10 +101,11 @@ def parse_uci(c: Column) -> Column:
                                pr.cast("string").alias("pr")))
 
 
-def legal_moves_expr(bd: str, white: str, castling: str, ep: str) -> str:
+def legal_moves_expr(bd: str, white: str, castling: str, ep: str, squares: str = "sequence(0, 63)") -> str:
     """C11: legal moves with the board after each, as
-    ``ARRAY<STRUCT<m: STRUCT<fr,to,pr>, b: ARRAY<STRING>>>``."""
-    pseudo = G.pseudo_moves(bd, white, castling, ep)
+    ``ARRAY<STRUCT<m: STRUCT<fr,to,pr>, b: ARRAY<STRING>>>``; ``squares``
+    restricts generation to pieces on those squares."""
+    pseudo = G.pseudo_moves(bd, white, castling, ep, squares)
     return (f"filter(transform({pseudo}, m -> named_struct('m', m, 'b', {G.make_move(bd, 'm')})), "
             f"x -> NOT {G.king_in_danger('x.b', white)})")
 
@@ -208,9 +209,13 @@ def apply_first_move(df: DataFrame, moves: str = "Moves") -> DataFrame:
     (``a_bd``, ``a_white``, ``a_castling``, ``a_ep``, ``a_halfmove``) and
     ``move_ok``."""
     first = F.split(F.coalesce(F.col(moves), F.lit("")), " ").getItem(0)
+    # only the moving piece's legal moves are needed to validate the move
+    legal_from = legal_moves_expr("bd", "white", "castling", "ep", squares="array(_mv.fr)")
     out = (df.withColumn("_mv", parse_uci(first))
-           .withColumn("_hit", F.expr("filter(legal, x -> x.m.fr = _mv.fr AND x.m.to = _mv.to AND "
-                                      "x.m.pr <=> _mv.pr)"))
+           .withColumn("_hit", F.when(F.col("fen_ok") & F.col("_mv").isNotNull(), F.expr(
+               f"filter({legal_from}, x -> x.m.fr = _mv.fr AND x.m.to = _mv.to AND x.m.pr <=> _mv.pr)"))
+               .otherwise(F.expr("filter(array(named_struct('m', named_struct('fr', 0, 'to', 0, "
+                                 "'pr', CAST(NULL AS STRING)), 'b', CAST(array() AS ARRAY<STRING>))), x -> false)")))
            .withColumn("move_ok", F.coalesce(F.col("fen_ok") & F.col("_mv").isNotNull()
                                              & (F.size("_hit") == 1), F.lit(False))))
     pc = "element_at(bd, _mv.fr + 1)"
@@ -239,9 +244,7 @@ def chess_features(df: DataFrame, fen: str = "FEN", moves: str = "Moves",
     """C17: the whole feature pipeline (``muestra`` -> ``muestra_procesada``):
     the input columns plus the six features, empty values on any failure
     or on a finished game."""
-    base = parse_fen(df, fen)
-    base = with_legal_moves(base)
-    base = apply_first_move(base, moves)
+    base = apply_first_move(parse_fen(df, fen), moves)
     after = with_legal_moves(base.withColumn("a_fen_ok", F.col("move_ok")), prefix="a_")
     bf = F.size("a_legal")
     forcing = F.expr("size(filter(a_legal, x -> " + G.is_capture("a_bd", "x.m") + " OR "

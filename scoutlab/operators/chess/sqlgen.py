@@ -169,7 +169,7 @@ def attack_targets(bd: str, s: str) -> str:
             f"ELSE CAST(array() AS ARRAY<INT>) END")
 
 
-def pseudo_moves(bd: str, white: str, castling: str, ep: str) -> str:
+def pseudo_moves(bd: str, white: str, castling: str, ep: str, squares: str = "sequence(0, 63)") -> str:
     """Pseudo-legal moves of side ``white`` as ``ARRAY<STRUCT<fr,to,pr>>``:
     piece moves, pawn pushes / double pushes / captures / en passant,
     promotions to q r b n, and castling (rights in ``castling`` honoured
@@ -203,7 +203,7 @@ def pseudo_moves(bd: str, white: str, castling: str, ep: str) -> str:
              f"WHEN 'r' THEN {_mv(s, _slider_targets(bd, s, white, ORTH, False))} "
              f"WHEN 'q' THEN {_mv(s, _slider_targets(bd, s, white, DIAG + ORTH, False))} "
              f"ELSE CAST(array() AS {MOVE_TYPE}) END")
-    per_square = (f"flatten(transform(sequence(0, 63), {s} -> IF({own_at(bd, s, white)}, {piece}, "
+    per_square = (f"flatten(transform({squares}, {s} -> IF({own_at(bd, s, white)}, {piece}, "
                   f"CAST(array() AS {MOVE_TYPE}))))")
     enemy = f"NOT ({white})"
 

@@ -122,7 +122,7 @@ def test_promotion_and_en_passant(spark):
     rows = [(1, "4k3/P7/8/8/8/8/8/4K3 w - - 0 1", "a7a8q"),
             (2, "4k3/8/8/3pP3/8/8/8/4K3 w - d6 0 1", "e5d6")]
     df = spark.createDataFrame(rows, "id INT, FEN STRING, Moves STRING")
-    b = CF.apply_first_move(CF.with_legal_moves(CF.parse_fen(df)))
+    b = CF.apply_first_move(CF.parse_fen(df))
     got = {r.id: r for r in b.select("id", "move_ok", "a_bd").collect()}
     assert got[1].move_ok and got[1].a_bd[56] == "Q"
     assert got[2].move_ok and got[2].a_bd[43] == "P" and got[2].a_bd[35] == "."
