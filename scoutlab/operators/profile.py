@@ -91,6 +91,9 @@ def value_ranks(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                    w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .withColumn("n", F.sum("pt").over(Window.partitionBy(*keys)))
                .drop("pt"))
+    # offsets: one row per (partition, group, column); with no group-by that is
+    # partitions x columns rows, a proven bound, so it is broadcast
+    offsets = offsets if by else F.broadcast(offsets)
     return (nsjoin(local, offsets, ["pid", *keys])
             .select(*keys, "value", "c", (F.col("offset") + F.col("run") - F.col("c")).alias("before"), "n"))
 
@@ -106,7 +109,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     targets = (sizes.select(*keys, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
                .select(*keys, "p", F.floor(h).cast("long").alias("lo"),
                        F.ceil(h).cast("long").alias("hi"), (h - F.floor(h)).alias("frac")))
-    t = targets.alias("t")
+    # targets: columns x probs rows without a group-by (bounded): broadcast, so
+    # the ranked values are never gathered per column into one task
+    t = (targets if by else F.broadcast(targets)).alias("t")
     v = ranks.alias("v")
     cond = [F.col(f"t.{k}").eqNullSafe(F.col(f"v.{k}")) for k in keys]
     covers = lambda r: (F.col("v.before") <= r) & (r < F.col("v.before") + F.col("v.c"))
@@ -164,7 +169,8 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.
                       (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower"),
                       (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper"))
     long = long_values(df, cols, by)
-    counted = (nsjoin(long, bounds, keys)
+    # bounds: one row per (group, column); without a group-by it is |cols| rows
+    counted = (nsjoin(long, bounds if by else F.broadcast(bounds), keys)
                .groupBy(*keys).agg(F.count_if((F.col("value") < F.col("lower")) |
                                               (F.col("value") > F.col("upper"))).alias("n_outliers")))
     res = nsjoin(bounds, counted, keys, "left")
@@ -189,7 +195,7 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), k:
                  (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper"))
     long = long_values(df, cols, by)
     inside = F.col("value").between(F.col("lower"), F.col("upper"))
-    agg = (nsjoin(long, b, keys)
+    agg = (nsjoin(long, b if by else F.broadcast(b), keys)
            .groupBy(*keys).agg(
                F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
                F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
