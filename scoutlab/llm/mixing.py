@@ -160,3 +160,21 @@ def mix(docs: DataFrame, seed: int = 42, block: int = BLOCK, carry: tuple[str, .
             .join(shares, F.col("source").eqNullSafe(F.col("_s")))
             .select("doc_id", "size", "source", "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *carry))
+
+
+def mixed_documents(docs: DataFrame, seed: int = 42, block: int = BLOCK) -> DataFrame:
+    """``docs`` as the mix takes them, same columns.
+
+    A document comes as often as its taken words make whole documents, rounded:
+    not at all, once, or up to MAX_REPEATS times.  Documents are told apart by
+    doc_id and text, so rows that repeat both share their words.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    takes = mix(keyed, seed, block, carry=("_key",))
+    times = (takes.groupBy(F.col("doc_id").alias("_doc"), F.col("_key").alias("_k"))
+             .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+             .withColumn("_times", F.floor(F.col("_taken") / F.greatest("_size", F.lit(1)) + 0.5).cast("int"))
+             .filter("_times > 0").select("_doc", "_k", "_times"))
+    joined = keyed.join(times, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+    return (joined.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+            .select(*docs.columns))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoutlab.llm import exact_dedup, mixing, packing, quality, sharding
+from scoutlab.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding
 from scoutlab.llm.common import settle, table
 from scoutlab.llm.registry import ORACLE as LLM_ORACLE, QUERIES as LLM_QUERIES, query
 
@@ -140,3 +140,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """)
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_near_dedup")
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
