@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoutlab.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding
+from scoutlab.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, url_filter
 from scoutlab.llm.common import settle, table
 from scoutlab.llm.registry import ORACLE as LLM_ORACLE, QUERIES as LLM_QUERIES, query
 
@@ -145,3 +145,15 @@ def op10_exact_dedup(spark, sf_dir):
 @query("op8_near_dedup")
 def op8_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_url_filter")
+def op9_url_filter(spark, sf_dir):
+    """Pages end in the number of the document they show, which ``labels`` may judge."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    _, path = url_filter.host_and_path(F.col("url"))
+    number = F.regexp_extract(path, r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1)
+    shown = pages.select("page_id", number.try_cast("long").alias("shown"))
+    marks = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    labelled = shown.join(marks, F.col("shown") == F.col("doc_id")).select("page_id", "bad")
+    return url_filter.filter_urls(pages, labelled)
