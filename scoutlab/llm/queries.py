@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoutlab.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, url_filter
+from scoutlab.llm import exact_dedup, html_extract, mixing, near_dedup, packing, quality, sharding, url_filter
 from scoutlab.llm.common import settle, table
 from scoutlab.llm.registry import ORACLE as LLM_ORACLE, QUERIES as LLM_QUERIES, query
 
@@ -157,3 +157,9 @@ def op9_url_filter(spark, sf_dir):
     marks = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     labelled = shown.join(marks, F.col("shown") == F.col("doc_id")).select("page_id", "bad")
     return url_filter.filter_urls(pages, labelled)
+
+
+@query("op3_html_extract")
+def op3_html_extract(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
