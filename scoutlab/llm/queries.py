@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoutlab.llm import exact_dedup, html_extract, mixing, near_dedup, packing, quality, sharding, url_filter
+from scoutlab.llm import exact_dedup, html_extract, mixing, near_dedup, packing, quality, sharding, substring_dedup, url_filter
 from scoutlab.llm.common import settle, table
 from scoutlab.llm.registry import ORACLE as LLM_ORACLE, QUERIES as LLM_QUERIES, query
 
@@ -163,3 +163,8 @@ def op9_url_filter(spark, sf_dir):
 def op3_html_extract(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return html_extract.extract(pages, html_extract.train(pages))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf_dir):
+    return substring_dedup.substring_duplicates(table(spark, sf_dir, "documents"))
