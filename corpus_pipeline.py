@@ -17,14 +17,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scoutlab.llm import exact_dedup, mixing, near_dedup, packing, quality
-from scoutlab.llm.common import settle, table
+from scoutlab.llm.common import packed, settle, table
 
 ORACLE_SQL = None
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = settle(quality.measured(docs), "pipeline-measures")
-    return quality.judged(rows).filter("kept").select(*docs.columns)
+    rows = settle(quality.measured(packed(docs, "text", "lang", "source")).drop("text"), "pipeline-measures")
+    return quality.judged(rows).filter("kept").select("_row.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,3 +78,13 @@ def words(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def packed(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``docs`` as one struct column ``_row`` next to the named columns.
+
+    Operators that return their input's rows work on this form, so that no
+    column of the input can clash with one of theirs.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("_row"), *columns)

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from scoutlab.llm.common import lower_ascii, settle
+from scoutlab.llm.common import lower_ascii, packed, settle
 
 # Fingerprints expected in one merged cut of the filters (16 bytes each).
 CUT_ROWS = 1 << 18
@@ -141,10 +141,10 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     groups = copy_groups(docs)
     wanted = groups.select(F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_keep"),
                            F.col("repeated").alias("_repeated"))
-    joined = docs.withColumn("_sha", F.sha2(norm.cast("binary"), 256)).join(wanted, "_sha", "left")
+    joined = packed(docs, "doc_id", F.sha2(norm.cast("binary"), 256).alias("_sha")).join(wanted, "_sha", "left")
     stays = F.col("_repeated").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep"))
-    once = joined.filter(stays & ~F.coalesce("_repeated", F.lit(False))).select(*docs.columns)
+    once = joined.filter(stays & ~F.coalesce("_repeated", F.lit(False))).select("_row.*")
     if groups.filter("repeated").isEmpty():
         return once
-    twice = joined.filter(stays & F.col("_repeated")).dropDuplicates(["_sha"]).select(*docs.columns)
+    twice = joined.filter(stays & F.col("_repeated")).dropDuplicates(["_sha"]).select("_row.*")
     return once.unionByName(twice)

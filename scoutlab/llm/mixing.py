@@ -26,7 +26,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scoutlab.llm.common import numbered, settle, words
+from scoutlab.llm.common import numbered, packed, settle, words
 
 # Words in a block, and so in a slot of the schedule.
 BLOCK = 1024
@@ -169,7 +169,7 @@ def mixed_documents(docs: DataFrame, seed: int = 42, block: int = BLOCK) -> Data
     not at all, once, or up to MAX_REPEATS times.  Documents are told apart by
     doc_id and text, so rows that repeat both share their words.
     """
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    keyed = packed(docs, "doc_id", "source", "text", F.xxhash64("doc_id", "text").alias("_key"))
     takes = mix(keyed, seed, block, carry=("_key",))
     times = (takes.groupBy(F.col("doc_id").alias("_doc"), F.col("_key").alias("_k"))
              .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
@@ -177,4 +177,4 @@ def mixed_documents(docs: DataFrame, seed: int = 42, block: int = BLOCK) -> Data
              .filter("_times > 0").select("_doc", "_k", "_times"))
     joined = keyed.join(times, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     return (joined.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*docs.columns))
+            .select("_row.*"))

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scoutlab.llm.common import settle
+from scoutlab.llm.common import packed, settle
 from scoutlab.llm.components import components
 from scoutlab.llm.shingles import mix, shingle_sets
 
@@ -232,4 +232,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are not kept, same columns."""
     gone = settle(near_duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return packed(docs, "doc_id").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select("_row.*")

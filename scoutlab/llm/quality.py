@@ -94,8 +94,8 @@ def _repeat_words(hashes: Column) -> Column:
 def measured(docs: DataFrame) -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed.
 
-    Needs doc_id and text; adds columns beginning with ``_`` on the way and
-    keeps all others.
+    Needs text and keeps all columns; give rows with other columns of these
+    names as a struct (:func:`scoutlab.llm.common.packed`).
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\f\r", "")) > 0)
