@@ -30,8 +30,11 @@ CAPACITY = 4096
 MAX_SEGMENTS = 128
 POOL = 256
 END_ID = 2
-# Words whose ids a task remembers before it forgets them all.
-MEMORY = 400_000
+# Words whose ids a Python worker remembers (some 200 bytes each) before it
+# forgets them all.
+MEMORY = 1_000_000
+# Characters of text whose unknown words are learnt together.
+LEARN_CHARS = 1 << 19
 # Sequence numbers per partition.
 PARTITION_BITS = 36
 
@@ -49,47 +52,75 @@ class WordIds:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # For ASCII letters the file's normalizer only lower-cases and its
+        # splitter keeps a word whole, so they need the model alone.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.known: dict[str, list[int]] = {"": []}
+        self.tails = {"": b"", **{x: self.encoded(x) for x in ".,"}}
+        self.known: dict[str, bytes] = {"": b""}
 
-    def learn(self, new: list[str]) -> None:
-        # Plain words make one token group each (a final stop or comma another),
-        # so many are encoded as one text and cut apart at the group ends.
-        plain = [w for w in new if w.isascii() and (w.isalpha() or w[:-1].isalpha() and w[-1] in ".,")]
-        for at in range(0, len(plain), 256):
-            some = plain[at:at + 256]
-            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
-            groups = np.cumsum([1 if w.isalpha() else 2 for w in some])
+    def encoded(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    @classmethod
+    def shared(cls, path: str) -> WordIds:
+        """The one of this process: a Python worker serves many tasks, and
+        words learnt in one need not be learnt in the next."""
+        import sys
+
+        held = sys.__dict__.setdefault("_word_ids", {})
+        if path not in held:
+            held[path] = cls(path)
+        return held[path]
+
+    def _learn_groups(self, tokenizer, words: list[str]) -> None:
+        """Words that make one token group each: many are encoded as one text
+        and cut apart at the group ends."""
+        for at in range(0, len(words), 256):
+            some = words[at:at + 256]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == groups[-1]:
-                begin = 0
-                for w, end in zip(some, cuts[groups - 1].tolist()):
-                    self.known[w] = ids[begin:end]
+            if len(cuts) == len(some):
+                raw, begin = ids.tobytes(), 0
+                for w, end in zip(some, (4 * cuts).tolist()):
+                    self.known[w] = raw[begin:end]
                     begin = end
-        rest = [w for w in new if w not in self.known]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[w] = e.ids
+
+    def learn(self, new: list[str]) -> None:
+        known = self.known
+        parts = {}
+        for w in new:
+            tail = w[-1] if w[-1] in ".," else ""
+            stem = w[:-1] if tail else w
+            if stem.isalpha() and max(stem) < "\u0130":  # no normal form changes these letters
+                parts[w] = stem.lower(), tail
+        stems = {stem for stem, _ in parts.values() if stem not in known}
+        self._learn_groups(self.letters, [x for x in stems if x.isascii()])
+        self._learn_groups(self.tokenizer, [x for x in stems if not x.isascii()])
+        for w, (stem, tail) in parts.items():
+            if stem in known:
+                known[w] = known[stem] + self.tails[tail]
+        for w in new:
+            if w not in known:
+                known[w] = self.encoded(w)
 
     def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        for text in texts:
-            split = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            if len(self.known) > MEMORY:
-                self.known = {"": []}
-            known = self.known
-            new = [w for w in set(split) if w not in known]
-            if new:
-                self.learn(new)
-            ids: list[int] = []
-            for w in split:
-                ids.extend(known[w])
-            ids.append(END_ID)
-            yield np.array(ids, "<u4")
+        """Ids of each text with END_ID after them; unknown words of all texts are learnt at once."""
+        end = np.array([END_ID], "<u4").tobytes()
+        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        if len(self.known) > MEMORY:
+            self.known = {"": b""}
+        known = self.known
+        self.learn([w for w in set().union(*split) if w not in known])
+        for words in split:
+            yield np.frombuffer(b"".join([known[w] for w in words]) + end, "<u4")
 
 
 class Packer:
@@ -180,19 +211,27 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << PARTITION_BITS
-        word_ids, packer = WordIds(tokenizer), Packer(capacity, max_segments, max_loss)
+        word_ids, packer = WordIds.shared(tokenizer), Packer(capacity, max_segments, max_loss)
         out: list[tuple] = []
         held = 0
 
+        def encoded(texts: pa.Array) -> Iterator[np.ndarray]:
+            some, size = [], 0
+            for text in texts:
+                some.append(text.as_py())
+                size += len(some[-1] or "")
+                if size > LEARN_CHARS:
+                    yield from word_ids(some)
+                    some, size = [], 0
+            yield from word_ids(some)
+
         def batch() -> pa.RecordBatch:
             columns = zip(*[(k, start, len(ids), ids.tobytes(), total, base + s, at) for k, ids, start, total, s, at in out])
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for b in batches:
             keys, losses = b.column(0).to_pylist(), b.column(2).to_pylist()
-            texts = b.column(1)
-            for row in range(b.num_rows):
-                ids = next(word_ids([texts[row].as_py()]))
+            for row, ids in enumerate(encoded(b.column(1))):
                 loss, total = bool(losses[row]), len(ids)
                 whole = capacity if not loss else min(capacity, max_loss)
                 at = 0
