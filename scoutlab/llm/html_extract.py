@@ -133,10 +133,11 @@ def lay_out(texts: list[str], other: list[str], rng: random.Random) -> tuple[str
     def menu(spec: str) -> str:
         if spec.startswith("ul"):
             return filler(spec)
-        if rng.random() < 0.3:
+        if rng.random() < 0.2:
             labels.append(0)
             return _element(spec, short(), rng)
-        return _element(spec, links(), rng)
+        title = leaf(rng.choice(("h1", "h1", "h2", "p", "div")), short(), 0) if "nav" not in spec and rng.random() < 0.6 else ""
+        return _element(spec, title + (links() if not title or rng.random() < 0.5 else ""), rng)
 
     page = "".join(menu(rng.choice(FURNITURE)) for _ in range(rng.randint(0, 2)))
     page += "".join(filler(rng.choice(BEFORE)) for _ in range(rng.randint(0, 1)))

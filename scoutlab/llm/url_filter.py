@@ -11,8 +11,8 @@ the root, each node's children are then generalised:
 * a variable level - more than MAX_CHILDREN different children - turns its
   rare children into a wildcard;
 * statistically similar branches merge into the same wildcard: a child stays
-  apart only where its labelled bad share differs from its siblings' by Z
-  standard errors.
+  apart only where its labelled bad share is above its siblings' by Z standard
+  errors.
 
 Levels below TREE_DEPTH are one wildcard.  What remains of a path is its
 template.  A template is rejected when its bad share, smoothed towards its
@@ -91,7 +91,7 @@ def template_tree(paths: DataFrame) -> DataFrame:
         rare = (F.col("kids") > MAX_CHILDREN) & (F.col("n") * MAX_CHILDREN < F.col("pn"))
         others, pooled = F.col("pl") - F.col("l"), F.col("pb") / F.greatest("pl", F.lit(1))
         error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest("l", F.lit(1)) + 1 / F.greatest(others, F.lit(1))))
-        gap = F.abs(F.col("b") / F.greatest("l", F.lit(1)) - (F.col("pb") - F.col("b")) / F.greatest(others, F.lit(1)))
+        gap = F.col("b") / F.greatest("l", F.lit(1)) - (F.col("pb") - F.col("b")) / F.greatest(others, F.lit(1))
         apart = (F.col("l") > 0) & (others > 0) & (error > 0) & (gap >= error * Z)
         named = judged.select(F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("segment").alias("_s"),
                               F.concat("template", F.lit("/"), F.when(~rare & apart, F.col("segment")).otherwise("*")).alias("_next"))
