@@ -67,6 +67,16 @@ def numbered(df: DataFrame, keys: list[str], rid: str, out: str) -> DataFrame:
             .drop("_at", "_first", "_cell", cell, *[f"_k{i}" for i in range(len(keys))]))
 
 
+# Most bytes that a side of a join is broadcast at.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` (settled) marked for broadcast if its rows are counted to fit
+    BROADCAST_BYTES; beyond that it is left as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def words(text: Column) -> Column:
     """The runs of characters other than ASCII white space, as an array.
 

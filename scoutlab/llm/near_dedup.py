@@ -19,9 +19,9 @@ in a family of copies, close to the original).  Confirmed links make
 components, and only classes of different components that share a bucket are
 still to be compared: those outside a bucket's largest component against the
 others.  A pair is set aside without fetching its sets only by its sizes, which
-is exact, or by a sketch of one bit per coordinate whose distance is more than
-six standard deviations beyond a linked pair's.  Large buckets are split over
-tasks.
+is exact, or by two bits of each coordinate, when they differ in more places
+than a linked pair's would by five standard deviations (3e-7).  A pair is taken
+up in one of the buckets that it shares.  Large buckets are split over tasks.
 
 A document's set: distinct 4-word shingles of the text with A-Z lower-cased;
 with fewer words the whole sequence as one; null, empty or blank texts have an
@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scoutlab.llm.common import packed, settle
+from scoutlab.llm.common import packed, settle, small_side
 from scoutlab.llm.components import components
 from scoutlab.llm.shingles import mix, shingle_sets
 
@@ -47,9 +47,10 @@ PERCENT = 80
 BANDS, ROWS = 48, 6
 T = BANDS * ROWS
 BIT_WORDS = (T + 63) // 64
-# A linked pair's bits differ in T * (1 - 0.8) / 2 = 28.8 places, with a
-# standard deviation of 5.1; beyond this many the pair is not linked.
-MAX_BITS_APART = 62
+# A linked pair's coordinates differ in their two bits in T * (1 - 0.8) * 3 / 4
+# = 43.2 places, with a standard deviation of 6.1; with more than this many
+# apart the pair is not linked.
+MAX_APART = 74
 # Classes of a bucket compared with the rest in one task.
 SPLIT = 512
 _U = np.uint64
@@ -92,11 +93,14 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return key
 
 
-def one_bits(sketches: np.ndarray) -> np.ndarray:
-    """One bit per coordinate, in BIT_WORDS 64-bit words per row."""
-    bits = (mix(sketches) >> _U(63)).astype(np.uint8)
-    bits = np.pad(bits, ((0, 0), (0, BIT_WORDS * 64 - bits.shape[1])))
-    return np.packbits(bits, axis=1).view(">u8").astype(_U)
+def two_bits(sketches: np.ndarray) -> np.ndarray:
+    """Two bits per coordinate, as two planes of BIT_WORDS 64-bit words per row."""
+    planes = []
+    for shift in (63, 62):
+        bits = (mix(sketches) >> _U(shift) & _U(1)).astype(np.uint8)
+        bits = np.pad(bits, ((0, 0), (0, BIT_WORDS * 64 - bits.shape[1])))
+        planes.append(np.packbits(bits, axis=1).view(">u8").astype(_U))
+    return np.concatenate(planes, axis=1)
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -106,7 +110,7 @@ def signed(docs: DataFrame) -> DataFrame:
             for row, sets in shingle_sets(batch.column(1), WIDTH):
                 sketches = fast_similarity_sketch(sets)
                 full = [len(s) > 0 for s in sets]
-                bands, bits = band_keys(sketches).view(np.int64), one_bits(sketches).view(np.int64)
+                bands, bits = band_keys(sketches).view(np.int64), two_bits(sketches).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(sets)),
                     pa.array([len(s) for s in sets], pa.int64()),
@@ -144,10 +148,12 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _bits_apart(a: str, b: str) -> Column:
+def _apart(a: str, b: str) -> Column:
+    """Coordinates that differ in their two bits."""
     apart = F.lit(0)
     for k in range(BIT_WORDS):
-        apart = apart + F.bit_count(F.col(f"{a}g{k}").bitwiseXOR(F.col(f"{b}g{k}")))
+        planes = [F.col(f"{a}g{j}").bitwiseXOR(F.col(f"{b}g{j}")) for j in (k, k + BIT_WORDS)]
+        apart = apart + F.bit_count(planes[0].bitwiseOR(planes[1]))
     return apart
 
 
@@ -173,15 +179,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = settle(band_rows.join(shared, "bucket"), "near-members")
     facts = settle(classes.join(members.select("node").distinct(), "node", "left_semi").select(
         "node", "doc", "h1", "h2", F.col("n_shingles").alias("n"),
-        *[F.col("bits")[k].alias(f"g{k}") for k in range(BIT_WORDS)]), "near-facts")
-    brief = facts.select("node", "n", *[f"g{k}" for k in range(BIT_WORDS)])
+        *[F.col("bits")[k].alias(f"g{k}") for k in range(2 * BIT_WORDS)]), "near-facts")
+    brief = facts.select("node", "n", *[f"g{k}" for k in range(2 * BIT_WORDS)])
 
     def side(df: DataFrame, name: str, prefix: str) -> DataFrame:
         return brief.select(*[F.col(c).alias(name if c == "node" else prefix + c) for c in df.columns])
 
     def possible(pairs: DataFrame) -> DataFrame:
         wide = pairs.join(side(brief, "u", "u_"), "u").join(side(brief, "v", "v_"), "v")
-        return wide.filter(_sizes_allow(F.col("u_n"), F.col("v_n")) & (_bits_apart("u_", "v_") <= MAX_BITS_APART)).select("u", "v")
+        return wide.filter(_sizes_allow(F.col("u_n"), F.col("v_n")) & (_apart("u_", "v_") <= MAX_APART)).select("u", "v")
 
     # Each bucket's classes against its most central class.
     central = members.groupBy("node").agg(F.sum("m").alias("score"))
@@ -189,7 +195,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                .agg((-F.max(F.struct("score", (-F.col("node")).alias("neg")))["neg"]).alias("leader")))
     stars = (members.join(leaders, "bucket").filter("node <> leader")
              .select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct())
-    sets = settle(full_sets(docs, facts.select("node", "doc", "h1", "h2")), "near-sets")
+    sets = settle(full_sets(docs, small_side(facts.select("node", "doc", "h1", "h2"), 32)), "near-sets")
     stars = settle(possible(stars), "near-stars")
     links = settle(_confirmed(stars, sets), "near-links")
     parts = components(links)
@@ -200,19 +206,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counted = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("k"))
     largest = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"),
                                             F.max(F.struct("k", "part"))["part"].alias("largest"))
-    mixed = settle(placed.join(largest.filter("parts > 1").drop("parts"), "bucket").join(brief, "node"), "near-mixed")
+    mixed = placed.join(largest.filter("parts > 1").drop("parts"), "bucket")
+    buckets = mixed.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))  # at most one per band
+    mixed = settle(mixed.join(brief, "node").join(buckets, "node"), "near-mixed")
     splits = F.ceil(F.col("m") / SPLIT).cast("int")
     outer = mixed.filter("part <> largest").select(
         "bucket", F.pmod(F.xxhash64("node"), splits).cast("int").alias("split"), F.col("node").alias("u"),
-        F.col("part").alias("u_part"), *[F.col(c).alias(f"u_{c}") for c in brief.columns if c != "node"])
+        F.col("part").alias("u_part"), F.col("buckets").alias("u_buckets"), *[F.col(c).alias(f"u_{c}") for c in brief.columns if c != "node"])
     inner = mixed.select(
         "bucket", F.explode(F.sequence(F.lit(0), splits - 1)).alias("split"), F.col("node").alias("v"),
-        F.col("part").alias("v_part"), (F.col("part") == F.col("largest")).alias("v_largest"),
+        F.col("part").alias("v_part"), (F.col("part") == F.col("largest")).alias("v_largest"), F.col("buckets").alias("v_buckets"),
         *[F.col(c).alias(f"v_{c}") for c in brief.columns if c != "node"])
     crossed = outer.join(inner, ["bucket", "split"]).filter(
-        (F.col("u_part") != F.col("v_part"))
-        & (F.col("v_largest") | (F.col("u") < F.col("v")))
-        & _sizes_allow(F.col("u_n"), F.col("v_n")) & (_bits_apart("u_", "v_") <= MAX_BITS_APART))
+        (F.col("u_part") != F.col("v_part")) & (F.col("u") != F.col("v"))
+        & _sizes_allow(F.col("u_n"), F.col("v_n")) & (_apart("u_", "v_") <= MAX_APART)
+        & (F.array_min(F.array_intersect("u_buckets", "v_buckets")) == F.col("bucket")))
     crossed = crossed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     crossed = settle(crossed.join(stars, ["u", "v"], "left_anti"), "near-crossed")
     more = settle(_confirmed(crossed, sets), "near-more")
