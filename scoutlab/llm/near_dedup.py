@@ -7,7 +7,7 @@ to bin i - T, so that every coordinate fills for any non-empty set.  A set
 stops when its bins are full, after about T ln T hashes.  Two sets agree on a
 coordinate with probability equal to their similarity, with concentration.
 
-Banding.  BANDS bands of ROWS coordinates; a pair of similarity 0.8 shares no
+Banding.  BANDS bands of ROWS of the coordinates; a pair of similarity 0.8 shares no
 band with probability (1 - 0.8**6)**48 < 5e-7.
 
 Verification.  Every link is confirmed on the full sets of shingle hashes.
@@ -45,12 +45,12 @@ from scoutlab.llm.shingles import mix, shingle_sets
 WIDTH = 4
 PERCENT = 80
 BANDS, ROWS = 48, 6
-T = BANDS * ROWS
+T = 768  # coordinates; the first BANDS * ROWS are banded, all are compared
 BIT_WORDS = (T + 63) // 64
 # A linked pair's coordinates differ in their two bits in T * (1 - 0.8) * 3 / 4
-# = 43.2 places, with a standard deviation of 6.1; with more than this many
+# = 115 places, with a standard deviation of 9.9; with more than this many
 # apart the pair is not linked.
-MAX_APART = 74
+MAX_APART = 165
 # Classes of a bucket compared with the rest in one task.
 SPLIT = 512
 _U = np.uint64
@@ -86,7 +86,7 @@ def fast_similarity_sketch(sets: list[np.ndarray], t: int = T) -> np.ndarray:
 
 def band_keys(sketches: np.ndarray) -> np.ndarray:
     """One 64-bit key per row and band."""
-    parts = sketches.reshape(len(sketches), BANDS, ROWS)
+    parts = sketches[:, :BANDS * ROWS].reshape(len(sketches), BANDS, ROWS)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=_U), parts.shape[:2]).copy()
     for k in range(ROWS):
         key = mix(key * _U(0x9FB21C651E98DF25) ^ parts[:, :, k])
