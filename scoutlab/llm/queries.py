@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoutlab.llm import exact_dedup, html_extract, mixing, near_dedup, packing, quality, sharding, substring_dedup, url_filter
+from scoutlab.llm import exact_dedup, html_extract, license_scan, mixing, near_dedup, packing, quality, sharding, substring_dedup, url_filter
 from scoutlab.llm.common import settle, table
 from scoutlab.llm.registry import ORACLE as LLM_ORACLE, QUERIES as LLM_QUERIES, query
 
@@ -168,3 +168,8 @@ def op3_html_extract(spark, sf_dir):
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark, sf_dir):
     return substring_dedup.substring_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark, sf_dir):
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
