@@ -15,15 +15,17 @@ from pyspark.sql import Column, functions as F
 
 
 def numeric(c: str | Column) -> Column:
-    """Text-or-number to double, bad values -> null (never raises).
-    On an already-numeric column this is a plain cast and keeps pushdown."""
+    """Text-or-number to double, bad values -> null (never raises)."""
     col = F.col(c) if isinstance(c, str) else c
     return col.try_cast("double")
 
 
-def in_range(c: str, lo: float, hi: float) -> Column:
-    """Inclusive numeric range; a null (or non-numeric) value fails."""
-    return F.coalesce(numeric(c).between(F.lit(lo), F.lit(hi)), F.lit(False))
+def in_range(c: str, lo: float, hi: float, text: bool = False) -> Column:
+    """Inclusive numeric range, for use in a filter: null fails it.
+
+    A numeric column is compared as it is, so the range reaches the Parquet
+    scan; ``text`` is for numbers held as text, where a non-number fails."""
+    return (numeric(c) if text else F.col(c)).between(F.lit(lo), F.lit(hi))
 
 
 def all_of(preds: Iterable[Column]) -> Column:
@@ -40,7 +42,7 @@ def in_list(c: str, values: Sequence[str] | None) -> Column:
     """Optional IN-list, skipped (true) when empty."""
     if not values:
         return F.lit(True)
-    return F.coalesce(F.col(c).isin(list(values)), F.lit(False))
+    return F.col(c).isin(list(values))
 
 
 def themes_any(c: str, themes: Sequence[str]) -> Column:

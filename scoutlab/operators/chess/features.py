@@ -21,9 +21,12 @@ also replaces the reference's positional concat (J7).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scoutlab.operators.chess import sqlgen as G
+from scoutlab.session import checkpoint_dir
 
 # Material weights used by the entropy and centre-of-mass
 # features (pawn 1, knight 3, bishop 3, rook 5, queen 9, king 0).
@@ -282,20 +285,27 @@ def board_features(df: DataFrame, fen: str = "FEN", keep: list[str] | None = Non
 
 
 def replay_positions(df: DataFrame, key: str, fen: str = "FEN", moves: str = "Moves") -> DataFrame:
-    """C4 + C5: one board per step (step 0 = the FEN position), moves
-    applied in order with a fold over the move list; ``flip`` is true when
-    White is to move in the FEN (the solver plays Black).  Replay stops at
-    the first malformed move."""
-    base = parse_fen(df.select(key, fen, moves), fen).filter("fen_ok")
-    mv = f"split(trim(`{moves}`), ' ')"
-    parsed = (f"transform({mv}, u -> IF(u RLIKE '^[a-h][1-8][a-h][1-8][qrbn]?$', named_struct("
-              f"'fr', CAST(ascii(substring(u, 1, 1)) - 97 + (CAST(substring(u, 2, 1) AS INT) - 1) * 8 AS INT), "
-              f"'to', CAST(ascii(substring(u, 3, 1)) - 97 + (CAST(substring(u, 4, 1) AS INT) - 1) * 8 AS INT), "
-              f"'pr', IF(length(u) = 5, substring(u, 5, 1), CAST(NULL AS STRING))), NULL))")
-    fold = (f"aggregate({parsed}, array(bd), (acc, m) -> IF(m IS NULL OR size(acc) = 0, acc, "
-            f"concat(acc, array({G.make_move('element_at(acc, size(acc))', 'm')}))))")
-    steps = base.select(key, F.col("white").alias("flip"),
-                        F.split(F.trim(F.col(moves)), " ").alias("_mv"),
-                        F.posexplode(F.expr(fold)).alias("step", "_b"))
-    return steps.select(key, "step", F.when(F.col("step") > 0, F.element_at("_mv", F.col("step")))
-                        .alias("move"), "flip", F.concat_ws("", "_b").alias("board"))
+    """C4 + C5: one board per step (step 0 = the FEN position), the moves
+    applied in order; ``flip`` is true when White is to move in the FEN (the
+    solver plays Black).
+
+    The full state (board, side, rights, en passant square, clock) goes from
+    step to step, and a puzzle's replay stops before its first malformed or
+    illegal move.  Null or empty move lists give step 0 alone.  Each step is a
+    narrow map of the puzzles that got so far, checkpointed, so there are as
+    many rounds as the longest legal replay has moves."""
+    checkpoint_dir(df.sparkSession)
+    played = F.filter(F.split(F.trim(F.coalesce(F.col(moves), F.lit(""))), r"\s+"), lambda m: m != "")
+    state = ["bd", "white", "castling", "ep", "halfmove"]
+    at = (parse_fen(df.select(key, fen, moves), fen).filter("fen_ok")
+          .select(key, F.col("white").alias("flip"), played.alias("_moves"),
+                  F.lit(0).alias("step"), F.lit(None).cast("string").alias("move"), *state)
+          .checkpoint(eager=True))
+    steps = [at]
+    while not (left := at.filter(F.size("_moves") > F.col("step"))).isEmpty():
+        now = (left.withColumns({"move": F.get(F.col("_moves"), F.col("step")), "fen_ok": F.lit(True), G.GEO: G.geometry_column()}))
+        at = (apply_first_move(now, "move").filter("move_ok")
+              .select(key, "flip", "_moves", (F.col("step") + 1).alias("step"), "move", *[F.col(f"a_{c}").alias(c) for c in state])
+              .checkpoint(eager=True))
+        steps.append(at)
+    return reduce(DataFrame.unionByName, steps).select(key, "step", "move", "flip", F.concat_ws("", "bd").alias("board"))

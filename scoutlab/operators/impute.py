@@ -5,28 +5,26 @@ nearest-neighbour search that never forms receivers x donors:
 
 * distances are nan-Euclidean: ``sqrt(|F| / |P| * sum_P (a-b)^2)`` over the
   features P present in both rows (plain Euclidean when nothing is missing);
-* for any shared feature f, ``dist >= |a_f - b_f|``, so every donor within
-  distance rho of a receiver lies within rho of it on ONE pivot feature;
-* donors are indexed by (presence pattern, feature, bucket = floor(x/rho));
-  a receiver probes, for each donor presence pattern D, only the first
-  shared feature of its own pattern R and D, in buckets b-1..b+1 — every
-  (receiver, donor) pair with a defined distance is reachable exactly once;
-* a (receiver, column) cell is resolved when its k-th nearest candidate is
-  within rho (nothing unseen can be closer); unresolved cells retry with
-  rho x 4 until rho covers the whole value range, where the search is
-  complete by construction.  Every round is checkpointed to the shared
-  checkpoint folder, so lineage stays short and lost executors recompute
-  one round only.
-
-Ties are broken by the donor key, so results are deterministic.
+  ties are broken by the donor key, so results are deterministic;
+* receivers with equal features are one query; of donors that agree on all
+  shared features only the k smallest keys can matter, so the others go before
+  any pairing.  Both are exact;
+* donors are indexed on a ladder of grids over the two widest shared features,
+  each level's cells a quarter of the size of the one above.  A query first
+  meets the donors of its own cell on the finest level where that cell holds k
+  of them: the k-th distance found there bounds the true one.  It then meets
+  the donors within that bound, on the level whose cells are just larger than
+  it, in its own and the eight cells around.  Nothing outside can be closer.
+
+Two equi-joins, no loop, and the donors met per query do not grow with the
+table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-import os
-import time
 from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -34,8 +32,6 @@ from scoutlab.functions.scalar import MISSING_MARKER
 from scoutlab.operators.profile import exact_quantiles
 from scoutlab.session import checkpoint_dir
 
-_DEBUG = bool(os.environ.get("SCOUTLAB_DEBUG"))
-
 
 # --- simple imputers -----------------------------------------------------------
 
@@ -55,13 +51,13 @@ def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
     """Most frequent non-null value per column; ties -> smallest value.
-    Each column is a distributed group-by; only the winner comes back."""
-    out = {}
-    for c in cols:
-        row = (df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-               .orderBy(F.col("n").desc(), F.col(c).asc()).limit(1).collect())
-        out[c] = row[0][c] if row else None
-    return out
+    One scan: all columns are melted and counted together, and one value per
+    column comes back."""
+    melted = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])))
+    counts = melted.filter("v is not null").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.withColumn("k", F.row_number().over(Window.partitionBy("c").orderBy(F.col("n").desc(), "v"))).filter("k = 1")
+    got = {r["c"]: r["v"] for r in top.collect()}
+    return {c: got.get(c) for c in cols}
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -84,175 +80,126 @@ def fill_marker(df: DataFrame, cols: Sequence[str], marker: str = MISSING_MARKER
 
 # --- exact KNN search ---------------------------------------------------------------
 
+MAX_FEATURES = 62  # presence masks are BIGINT
+
+
 def _mask(cols: Sequence[str]) -> Column:
     """Presence bitmask over ``cols`` (bit i set when cols[i] is not null)."""
+    if len(cols) > MAX_FEATURES:
+        raise ValueError(f"at most {MAX_FEATURES} features, got {len(cols)}")
     return reduce(lambda a, b: a.bitwiseOR(b),
-                  [F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols)],
-                  F.lit(0))
+                  [F.when(F.col(c).isNotNull(), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+                   for i, c in enumerate(cols)])
 
 
-def _lowbit_index(m: Column, n: int) -> Column:
-    """Index of the lowest set bit of ``m`` (n bits)."""
-    expr = F.lit(None).cast("int")
-    for i in reversed(range(n)):
-        expr = F.when((m.bitwiseAND(F.lit(1 << i))) != 0, F.lit(i)).otherwise(expr)
-    return expr
+def _bit(mask: str, i: int) -> Column:
+    return F.col(mask).bitwiseAND(F.lit(1 << i).cast("long")) != 0
 
 
-def _feature_at(prefix: str, feats: Sequence[str], idx: Column) -> Column:
-    return F.element_at(F.array(*[F.col(f"{prefix}{f}").cast("double") for f in feats]), idx + 1)
+def _axis(mask: str, values: Sequence[Column], after: Column | None = None) -> tuple[Column, Column]:
+    """(index, value) of the first feature in ``mask``, or of the first behind index ``after``."""
+    index, value = F.lit(None).cast("int"), F.lit(None).cast("double")
+    for i in reversed(range(len(values))):
+        hit = _bit(mask, i) if after is None else _bit(mask, i) & (after < i)
+        index, value = F.when(hit, F.lit(i)).otherwise(index), F.when(hit, values[i]).otherwise(value)
+    return index, value
 
 
 def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int = 5,
-               rho0: float | None = None, growth: float = 4.0, targets: Sequence[str] | None = None,
                spreads: Sequence[float] | None = None, n_donors: int | None = None,
-               complete: bool = False, report: dict | None = None) -> DataFrame:
+               targets: Sequence[str] | None = None, complete: bool = False) -> DataFrame:
     """Exact k nearest donors per cell.
 
-    ``cells``: ``cell_id, target, <feats>`` — a receiver row needing column
-    ``target``.  ``donors``: ``did, <feats>, <targets...>`` — every column
+    ``cells``: ``cell_id, target, <feats>`` - a receiver row needing column
+    ``target``.  ``donors``: ``did, <feats>, <targets...>`` - every column
     named in ``cells.target`` must be a donors column.  Returns
     ``cell_id, value`` = mean of the target over the nearest min(k, donors
     with a defined distance) donors; cells without any such donor are absent.
 
-    Search: a donor within distance rho of a receiver is within rho on every
-    shared feature, so for each (receiver pattern R, donor pattern D) the
-    donors are gridded on the two highest-spread shared features with cell
-    size rho and a receiver probes its 3x3 neighbourhood.  A cell whose k-th
-    candidate lies within rho is final; the rest retry with a larger rho.
-
-    Callers that already know them may pass ``targets``, ``spreads`` (upper
-    bounds of max - min per feature over donors and receivers), ``n_donors``
-    and ``complete=True`` (no feature is ever null) to skip the setup jobs.
-    ``report`` (a dict) receives the radius of the last round, a good
-    starting radius for a similar search (the iterative imputer's next sweep).
+    ``spreads`` (upper bounds of max - min per feature), ``n_donors`` and
+    ``targets`` spare the job that measures them.  ``complete`` tells that no
+    feature is ever null, so that there is one presence pattern.
     """
-    spark = cells.sparkSession
-    checkpoint_dir(spark)
     feats = list(feats)
-    nf = len(feats)
-    _T0 = time.time()
-    c = cells.select("cell_id", "target", *[F.col(f).cast("double").alias(f"r_{f}") for f in feats]).persist()
-    if targets is None:
-        targets = [r["target"] for r in c.select("target").distinct().collect()]  # column names
-    targets = list(targets)
-    d = donors.select(F.col("did"), *[F.col(f).cast("double").alias(f"d_{f}") for f in feats],
-                      *[F.col(t).alias(f"t_{t}") for t in targets]).persist()
     if spreads is None or n_donors is None:
-        # scalar statistics: spread per feature over donors and receivers, donor count
-        st = d.agg(*[F.max(f"d_{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
-                   *[F.min(f"d_{f}").alias(f"lo{i}") for i, f in enumerate(feats)],
-                   F.count(F.lit(1)).alias("n")).first()
-        rt = c.agg(*[F.max(f"r_{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
-                   *[F.min(f"r_{f}").alias(f"lo{i}") for i, f in enumerate(feats)]).first()
-        spreads = []
-        for i in range(nf):
-            his = [x for x in (st[f"hi{i}"], rt[f"hi{i}"]) if x is not None]
-            los = [x for x in (st[f"lo{i}"], rt[f"lo{i}"]) if x is not None]
-            spreads.append(float(max(his) - min(los)) if his and los else 0.0)
-        n_donors = int(st["n"] or 0)
-    spreads = list(spreads)
-    order = sorted(range(nf), key=lambda i: -spreads[i])
+        both = donors.select(*feats).withColumn("_d", F.lit(1)).unionByName(cells.select(*feats).withColumn("_d", F.lit(0)))
+        st = both.agg(*[(F.max(f) - F.min(f)).cast("double").alias(f"s{i}") for i, f in enumerate(feats)],
+                      F.sum("_d").alias("n")).first()
+        spreads, n_donors = [st[f"s{i}"] or 0.0 for i in range(len(feats))], st["n"] or 0
+    order = sorted(range(len(feats)), key=lambda i: -spreads[i])
     feats = [feats[i] for i in order]
-    spreads = [spreads[i] for i in order]
-    max_spread = max(spreads) if spreads else 0.0
-    n_donors = max(int(n_donors or 0), 1)
-    rho = rho0 or max(max_spread * min(1.0, float(k) / n_donors), 1e-9)
-    d = d.withColumn("D", _mask([f"d_{f}" for f in feats]))
-    c = c.withColumn("R", _mask([f"r_{f}" for f in feats]))
-    # presence patterns (at most 2^|F| values each) decide the grid axes
+    checkpoint_dir(cells.sparkSession)
+    nf, width = len(feats), max([*spreads, 0.0]) * 1.001 + 1e-9
+    levels = 1 + max(1, math.ceil(math.log(max(2, n_donors), 4)))
+    fs = range(nf)
+    targets = list(targets if targets is not None else [c for c in donors.columns if c in set(feats)])
+
+    queries = (cells.groupBy("target", *[F.col(f).cast("double").alias(f"r{i}") for i, f in enumerate(feats)])
+               .agg(F.min("cell_id").alias("qid")).withColumn("R", F.lit((1 << nf) - 1).cast("long") if complete else _mask([f"r{i}" for i in fs])))
+    values = F.array(*[F.when(F.col(t).isNotNull(), F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("tv"))) for t in targets])
+    given = (donors.select("did", *[F.col(f).cast("double").alias(f"d{i}") for i, f in enumerate(feats)], F.explode(values).alias("x"))
+             .filter("x is not null").select("did", "x.target", "x.tv", *[f"d{i}" for i in fs])
+             .withColumn("D", F.lit((1 << nf) - 1).cast("long") if complete else _mask([f"d{i}" for i in fs])))
     if complete:
-        dpat = rpat = [(1 << nf) - 1]
+        points, asked = given.withColumn("S", F.col("D")), queries.withColumns({"D": F.col("R"), "S": F.col("R")})
     else:
-        dpat = [r["D"] for r in d.select("D").distinct().collect() if r["D"]]
-        rpat = [r["R"] for r in c.select("R").distinct().collect() if r["R"]]
-
-    def axes(shared: int) -> tuple[int, int]:
-        bits = [i for i in range(nf) if shared >> i & 1]
-        return bits[0], (bits[1] if len(bits) > 1 else -1)
-
-    need_axes: dict[int, set] = {}
-    for rp in rpat:
-        for dp in dpat:
-            if rp & dp:
-                need_axes.setdefault(dp, set()).add(axes(rp & dp))
-    if not need_axes:
-        for h in (c, d):
-            h.unpersist()
-        return spark.createDataFrame([], "cell_id STRING, value DOUBLE")
-    axes_case = "CASE " + " ".join(
-        f"WHEN D = {dp} THEN array({', '.join(f'named_struct(\'a\', {a}, \'b\', {b})' for a, b in sorted(ax))})"
-        for dp, ax in need_axes.items()) + " END"
-    lookup = F.array(*[F.col(f"d_{f}") for f in feats])
-    rlookup = F.array(*[F.col(f"r_{f}") for f in feats])
-    if _DEBUG:
-        print("knn setup", time.time() - _T0)
-
-    results = []
-    pending = c
-    held = [d, c]
-    while True:
-        final = rho >= max_spread
-        didx = (d.filter(F.col("D").isin(list(need_axes)))
-                .select("*", F.explode(F.expr(axes_case)).alias("ax"))
-                .select("*", F.col("ax.a").alias("a"), F.col("ax.b").alias("b"))
-                .withColumn("g1", F.floor(F.element_at(lookup, F.col("a") + 1) / F.lit(rho)))
-                .withColumn("g2", F.when(F.col("b") >= 0, F.floor(F.element_at(lookup, F.col("b") + 1)
-                                                                  / F.lit(rho))).otherwise(F.lit(0)))
-                .drop("ax"))
-        probe = (pending.select("*", F.explode(F.array(*[F.lit(p) for p in dpat])).alias("D"))
-                 .withColumn("shared", F.col("R").bitwiseAND(F.col("D")))
-                 .filter(F.col("shared") != 0)
-                 .withColumn("a", _lowbit_index(F.col("shared"), nf))
-                 .withColumn("b", F.coalesce(_lowbit_index(
-                     F.col("shared").bitwiseAND(F.lit((1 << nf) - 1) - F.expr("shiftleft(1, a)")), nf), F.lit(-1)))
-                 .withColumn("c1", F.floor(F.element_at(rlookup, F.col("a") + 1) / F.lit(rho)))
-                 .withColumn("c2", F.when(F.col("b") >= 0, F.floor(F.element_at(rlookup, F.col("b") + 1)
-                                                                   / F.lit(rho))).otherwise(F.lit(0)))
-                 .select("*", F.explode(F.array(*[F.lit(o) for o in (-1, 0, 1)])).alias("o1"))
-                 .select("*", F.explode(F.when(F.col("b") >= 0, F.array(*[F.lit(o) for o in (-1, 0, 1)]))
-                                        .otherwise(F.array(F.lit(0)))).alias("o2"))
-                 .withColumn("g1", F.col("c1") + F.col("o1"))
-                 .withColumn("g2", F.col("c2") + F.col("o2"))
-                 .drop("o1", "o2", "c1", "c2", "shared"))
-        pairs = probe.join(didx, ["D", "a", "b", "g1", "g2"])
-        tval = reduce(lambda acc, t: acc.when(F.col("target") == F.lit(t), F.col(f"t_{t}")),
-                      targets[1:], F.when(F.col("target") == F.lit(targets[0]), F.col(f"t_{targets[0]}")))
-        both = [F.col(f"r_{f}").isNotNull() & F.col(f"d_{f}").isNotNull() for f in feats]
-        ss = reduce(lambda x, y: x + y, [F.when(bb, F.pow(F.col(f"r_{f}") - F.col(f"d_{f}"), 2)).otherwise(0.0)
-                                         for bb, f in zip(both, feats)])
-        cnt = reduce(lambda x, y: x + y, [F.when(bb, 1).otherwise(0) for bb in both])
-        dist = F.sqrt(F.lit(float(nf)) / cnt * ss)
-        cand = (pairs.withColumn("tv", tval).filter(F.col("tv").isNotNull())
-                .select("cell_id", "did", dist.alias("dist"), "tv"))
-        w = Window.partitionBy("cell_id").orderBy("dist", "did")
-        top = cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
-        summary = (top.groupBy("cell_id")
-                   .agg(F.count(F.lit(1)).alias("m"), F.max("dist").alias("kth"), F.avg("tv").alias("value")))
-        ok = F.lit(True) if final else ((F.col("m") >= k) & (F.col("kth") <= F.lit(rho)))
-        # resolved cells are few and final: write them to the shared
-        # checkpoint folder so later rounds start from a flat lineage
-        done = summary.filter(ok).select("cell_id", "value").checkpoint(eager=True)
-        results.append(done)
-        if final:
-            break
-        resolved = reduce(lambda x, y: x.unionByName(y), results).select("cell_id")
-        if pending is not c:
-            pending.unpersist()
-        pending = c.join(resolved, "cell_id", "left_anti").persist()
-        if _DEBUG:
-            print("knn round", rho, "done", done.count(), "pending", pending.count(), time.time() - _T0)
-        if pending.limit(1).count() == 0:  # loop-termination check on one row
-            break
-        rho *= growth
-    out = reduce(lambda x, y: x.unionByName(y), results)
-    if report is not None:
-        report["rho"] = rho
-    if pending is not c:
-        pending.unpersist()
-    for h in held:
-        h.unpersist()
-    return out
+        # Which features a query's and a donor's presence pattern share: a join
+        # of the patterns that occur.
+        shared = F.col("R").bitwiseAND(F.col("D"))
+        meets = (queries.select("target", "R").distinct().join(given.select("target", "D").distinct(), "target")
+                 .withColumn("S", shared).filter("S <> 0"))
+        points = given.join(meets.select("target", "D", "S").distinct(), ["target", "D"])
+        points = points.withColumns({f"d{i}": F.when(_bit("S", i), F.col(f"d{i}")) for i in fs})
+        asked = queries.join(meets, ["target", "R"])
+    same = Window.partitionBy("target", "D", "S", *[f"d{i}" for i in fs]).orderBy("did")
+    points = points.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k).drop("_n")
+
+    def axes(df: DataFrame, prefix: str) -> DataFrame:
+        values = [F.col(f"{prefix}{i}") for i in fs]
+        if complete:
+            return df.withColumns({"x": values[0], "y": values[1] if nf > 1 else F.lit(0.0)}).checkpoint(eager=True)
+        first, x = _axis("S", values)
+        df = df.withColumns({"_i": first, "x": x})
+        _, y = _axis("S", values, F.col("_i"))
+        # Read several times over: written once, which also keeps the plan flat.
+        return df.withColumn("y", F.coalesce(y, F.lit(0.0))).drop("_i").checkpoint(eager=True)
+
+    def cell(value: str) -> Column:
+        return F.floor(F.col(value) / (F.lit(width) / F.pow(F.lit(4.0), F.col("level")))).cast("long")
+
+    every = F.sequence(F.lit(0), F.lit(levels - 1))
+    points, asked = axes(points, "d"), axes(asked, "r")
+    ladder = points.withColumn("level", F.explode(every)).withColumns({"gx": cell("x"), "gy": cell("y")})
+    key = ["target", "D", "S", "level", "gx", "gy"]
+
+    def distances(probes: DataFrame) -> DataFrame:
+        """(qid, did, dist, tv) of the probes' cells; a query's best k."""
+        pairs = probes.select("qid", *key, *[f"r{i}" for i in fs]).join(ladder, key)
+        ss = reduce(lambda a, b: a + b, [F.coalesce(F.pow(F.col(f"r{i}") - F.col(f"d{i}"), 2), F.lit(0.0)) for i in fs])
+        n = F.bit_count("S")
+        near = pairs.select("qid", "did", F.sqrt(F.lit(float(nf)) / n * ss).alias("dist"), "tv")
+        best = Window.partitionBy("qid").orderBy("dist", "did")
+        return near.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k)
+
+    # The finest own cell with k donors (any pattern of donors will do for a bound).
+    held = ladder.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+    own = asked.withColumn("level", F.explode(every)).withColumns({"gx": cell("x"), "gy": cell("y")})
+    finest = Window.partitionBy("qid").orderBy(F.col("level").desc(), "n", "D")
+    start = own.join(held, key).withColumn("_n", F.row_number().over(finest)).filter("_n = 1")
+    bound = distances(start).groupBy("qid").agg(F.max("dist").alias("bound"))
+    # Cells just larger than the bound; without one, the one cell of level 0 and all about it.
+    reach = F.greatest(F.col("bound"), F.lit(width * 4.0 ** (1 - levels)))
+    level = F.floor(F.log(F.lit(width) / reach) / F.log(F.lit(4.0)) + 1e-9)
+    level = F.coalesce(F.least(F.greatest(level, F.lit(0)), F.lit(levels - 1)), F.lit(0)).cast("int")
+    level = F.when(F.lit(width) / F.pow(F.lit(4.0), level) < F.col("bound"), F.greatest(level - 1, F.lit(0))).otherwise(level)
+    probes = (asked.join(bound, "qid", "left").withColumn("level", level)
+              .withColumn("gx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1)))
+              .withColumn("gy", F.explode(F.sequence(cell("y") - 1, cell("y") + 1))))
+    found = distances(probes).groupBy("qid").agg(F.avg("tv").alias("value"))
+    back = queries.join(found, "qid").drop("R", "qid")
+    match = reduce(lambda a, b: a & b, [F.col(f).cast("double").eqNullSafe(F.col(f"r{i}")) for i, f in enumerate(feats)])
+    return (cells.withColumnRenamed("target", "_target").join(back, (F.col("_target") == F.col("target")) & match)
+            .select("cell_id", "value"))
 
 
 def impute_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5) -> DataFrame:
@@ -266,7 +213,7 @@ def impute_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5) -> Dat
         .filter(F.col("target").isNotNull())
         .withColumn("cell_id", F.concat_ws("|", F.col(key).cast("string"), F.col("target"))))
     donors = base.withColumnRenamed(key, "did")
-    found = knn_search(cells, donors, feats, k)
+    found = knn_search(cells, donors, feats, k, targets=feats)
     means = df.agg(*[F.avg(f).alias(f) for f in feats]).first()
     filled = (cells.select(key, "target", "cell_id").join(found, "cell_id", "left")
               .groupBy(key).agg(*[F.max(F.when(F.col("target") == F.lit(f), F.col("value"))).alias(f"_v_{f}")
@@ -283,42 +230,36 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     count, predict each column's missing cells from the k nearest rows that
     observed it (Euclidean over the current values of the other columns),
     stop after ``max_iter`` sweeps or when ``max_row sum|dX| < tol *
-    max|X_observed|``.  The sweep loop runs on the driver; each step is a
-    distributed band search; each sweep's table is checkpointed."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    max|X_observed|``.  The sweep loop runs on the driver; each visit is one
+    distributed search whose result is checkpointed, so plans stay flat."""
+    checkpoint_dir(df.sparkSession)
     feats = list(feats)
     st = df.agg(*[F.count_if(F.col(f).isNull()).alias(f"z_{f}") for f in feats],
                 *[F.avg(f).alias(f"m_{f}") for f in feats],
-                F.greatest(*[F.max(F.abs(F.col(f))) for f in feats]).alias("amax")).first()
-    visit = [f for f in sorted(feats, key=lambda f: st[f"z_{f}"]) if st[f"z_{f}"] > 0]
+                *[(F.max(f) - F.min(f)).cast("double").alias(f"s_{f}") for f in feats],
+                F.greatest(*[F.max(F.abs(F.col(f))) for f in feats], F.lit(0.0)).alias("amax"),
+                F.count(F.lit(1)).alias("n")).first()
+    visit = [f for f in sorted(feats, key=lambda f: st[f"z_{f}"]) if 0 < st[f"z_{f}"] < st["n"]]
     if not visit:
         return df
-    # imputed values are means of observed ones, so the observed ranges bound
-    # every feature's spread in every sweep
-    rng = df.agg(*[(F.max(f) - F.min(f)).alias(f"s_{f}") for f in feats], F.count(F.lit(1)).alias("n")).first()
-    spread = {f: float(rng[f"s_{f}"] or 0.0) for f in feats}
     cur = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
-                    *[F.coalesce(F.col(f), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
-    threshold = tol * float(st["amax"] or 0.0)
+                    *[F.coalesce(F.col(f).cast("double"), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
+    threshold = tol * float(st["amax"])
     for _ in range(max_iter):
         prev = cur
         for f in visit:
+            # Imputed values are means of observed ones, so the observed ranges
+            # bound every feature's spread in every sweep.
             others = [g for g in feats if g != f]
-            cells = (cur.filter(F.col(f"_miss_{f}"))
-                     .select(F.col(key).cast("string").alias("cell_id"), F.lit(f).alias("target"), *others))
+            cells = cur.filter(F.col(f"_miss_{f}")).select(F.col(key).alias("cell_id"), F.lit(f).alias("target"), *others)
             donors = cur.filter(~F.col(f"_miss_{f}")).select(F.col(key).alias("did"), *others, f)
-            pred = knn_search(cells, donors, others, k, targets=[f], spreads=[spread[g] for g in others],
-                              n_donors=int(rng["n"]) - int(st[f"z_{f}"]), complete=True)
-            cur = (cur.withColumn("cell_id", F.col(key).cast("string")).join(pred, "cell_id", "left")
-                   .withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce(F.col("value"), F.col(f)))
-                               .otherwise(F.col(f)))
-                   .drop("cell_id", "value"))
-        cur = cur.checkpoint(eager=True)  # one lineage cut per sweep
-        delta = (cur.alias("a").join(prev.alias("b"), key)
-                 .select(reduce(lambda x, y: x + y, [F.abs(F.col(f"a.{f}") - F.col(f"b.{f}")) for f in feats])
-                         .alias("d"))
-                 .agg(F.max("d")).first()[0] or 0.0)
+            found = knn_search(cells, donors, others, k, spreads=[st[f"s_{g}"] or 0.0 for g in others],
+                               n_donors=st["n"] - st[f"z_{f}"], targets=[f], complete=True)
+            cur = (cur.join(found, F.col(key) == F.col("cell_id"), "left")
+                   .withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce("value", F.col(f))).otherwise(F.col(f)))
+                   .drop("cell_id", "value").checkpoint(eager=True))
+        moved = reduce(lambda x, y: x + y, [F.abs(F.col(f"a.{f}") - F.col(f"b.{f}")) for f in feats])
+        delta = cur.alias("a").join(prev.alias("b"), key).agg(F.max(moved)).first()[0] or 0.0
         if delta < threshold:
             break
     filled = cur.select(key, *[F.col(f).alias(f"_v_{f}") for f in feats])

@@ -2,17 +2,15 @@
 population-std scaling, one-hot encoding, feature matrix.
 
 Splits are exact in size and reproducible: rows are ordered by a seeded
-64-bit hash of the key (the key breaks hash ties) and the first
-``ceil(test_size * n)`` positions form the test set.  Positions are
-computed without a global sort: range partitioning on (hash, key), a
-checkpoint so partition ids are stable, per-partition counts (a table with
-one row per partition) and ``monotonically_increasing_id`` inside each
-partition.
+digest of the key (the key breaks ties) and the first
+``ceil(test_size * n)`` positions form the test set.  Nothing is sorted or
+shuffled whole: rows are counted by the digest's first digits, the cut value is
+found inside the one bucket that holds it, and the split is a comparison in
+place.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -20,48 +18,35 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
 from scoutlab.functions.scalar import MISSING_MARKER
-from scoutlab.session import checkpoint_dir
-
-
-def positions(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    """Exact 0-based position of every row in ``order_cols`` order (order
-    columns must be unique).  Adds column ``pos``."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0))).drop("_cnt")  # one row per partition
-    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn("pos", F.col("_off") + local).drop("_pid", "_mid", "_off"))
+from scoutlab.operators.profile import seeded_digest
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``is_test``; test size is exactly ``ceil(test_size * n)``."""
-    n = df.count()
-    n_test = math.ceil(test_size * n)
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    return positions(h, ["_h", key]).withColumn("is_test", F.col("pos") < n_test).drop("_h", "pos")
+    """Adds ``is_test``; test size is exactly ``ceil(test_size * n)``
+    (``key`` is unique)."""
+    order = seeded_digest(key, seed=seed)
+    keyed = df.select(F.col(key).alias("k"), order.alias("h"), F.substring(order, 1, 5).alias("bucket"))
+    counts = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    # One row per bucket, at most 16**5 whatever the table.
+    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = Window.partitionBy(F.lit(1))
+    hit = (counts.withColumn("upto", F.sum("n").over(upto)).withColumn("want", F.ceil(F.lit(test_size) * F.sum("n").over(total)))
+           .filter("upto >= want and upto - n < want").first())
+    if hit is None:
+        return df.withColumn("is_test", F.lit(False))
+    last = (keyed.filter(F.col("bucket") == hit["bucket"]).orderBy("h", "k").limit(int(hit["want"] - hit["upto"] + hit["n"]))
+            .agg(F.max(F.struct("h", "k")).alias("cut")).first()["cut"])
+    is_test = (order < F.lit(last["h"])) | ((order == F.lit(last["h"])) & (F.col(key) <= F.lit(last["k"])))
+    return df.withColumn("is_test", F.coalesce(is_test, F.lit(False)))
 
 
 def group_split(df: DataFrame, group: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Split by group so no group is on both sides; the test side has
-    exactly ``ceil(test_size * n_groups)`` groups."""
+    exactly ``ceil(test_size * n_groups)`` groups.  A row without a group has a
+    null ``is_test``: it is on neither side."""
     keys = df.select(group).filter(F.col(group).isNotNull()).distinct()
     assigned = train_test_split(keys, group, test_size, seed)
-    return df.join(assigned, group, "left").withColumn("is_test", F.coalesce("is_test", F.lit(False)))
-
-
-def split_summary(df: DataFrame, group: str) -> DataFrame:
-    """Rows and distinct groups per side."""
-    return df.groupBy("is_test").agg(F.count(F.lit(1)).alias("n_rows"),
-                                     F.count_distinct(group).alias("n_groups"))
+    return df.join(assigned, group, "left")
 
 
 def scaler_stats(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:

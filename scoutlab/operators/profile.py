@@ -266,10 +266,8 @@ def kde_curve(df: DataFrame, c: str, grid_points: int = 200, cut: float = 3.0) -
 
 def _pair_corr(a: str, b: str) -> Column:
     """Pairwise-complete Pearson r; constant column -> null (no error)."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    xa = F.when(both, F.col(a).cast("double"))
-    xb = F.when(both, F.col(b).cast("double"))
-    return F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb))
+    r = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+    return F.when(~F.isnan(r), r)
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -304,18 +302,35 @@ def top_correlated(df: DataFrame, cols: Sequence[str], target: str, k: int = 3)
 
 
 def regression_line(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
-    """Least-squares line per (x, y) pair; constant x -> null."""
-    rows = []
-    for x in xs:
-        rows.append(df.agg(
-            F.lit(x).alias("x"),
-            F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")).alias("slope"),
-            F.regr_intercept(F.col(y).cast("double"), F.col(x).cast("double")).alias("intercept"),
-            F.regr_r2(F.col(y).cast("double"), F.col(x).cast("double")).alias("r2"),
-            F.regr_count(F.col(y).cast("double"), F.col(x).cast("double")).alias("n")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    """Least-squares line per (x, y) pair, all in one aggregate over one
+    scan; constant x -> null."""
+    yy = F.col(y).cast("double")
+    one = df.agg(*[F.struct(F.lit(x).alias("x"), F.regr_slope(yy, F.col(x).cast("double")).alias("slope"),
+                            F.regr_intercept(yy, F.col(x).cast("double")).alias("intercept"),
+                            F.regr_r2(yy, F.col(x).cast("double")).alias("r2"),
+                            F.regr_count(yy, F.col(x).cast("double")).alias("n")).alias(f"l{i}") for i, x in enumerate(xs)])
+    return one.select(F.inline(F.array(*[F.col(f"l{i}") for i in range(len(xs))])))
+
+
+def seeded_uniform(*parts: Column | str, seed: int) -> Column:
+    """A uniform of [0, 1) with 32 bits from the md5 of the parts and the seed
+    (an order and a draw that any engine can repeat)."""
+    digest = seeded_digest(*parts, seed=seed)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+
+
+def seeded_digest(*parts: Column | str, seed: int) -> Column:
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    return F.md5(F.concat_ws(":", *texts, F.lit(str(seed))).cast("binary"))
+
+
+def poisson_thresholds() -> list[float]:
+    """P(X <= k) of a Poisson(1) variable, to where 32 bits cannot tell it from 1."""
+    out, term, total = [], math.exp(-1.0), 0.0
+    for k in range(1, 14):
+        total += term
+        out.append(round(total, 12))
+        term /= k
     return out
 
 
@@ -323,22 +338,22 @@ def regression_band(df: DataFrame, x: str, y: str, key: str, replicates: int = 1
                     seed: int = 42, grid_points: int = 100) -> DataFrame:
     """95 % bootstrap band of the regression line (Poisson bootstrap).
 
-    Each row gets a Poisson(1)-like weight per replicate from a seeded hash
-    (no resampling shuffle); weighted sums per replicate give slope and
-    intercept; the band is the 2.5/97.5 % quantile of the fitted value at
-    each grid x.  The fan-out per row is ``replicates`` (a parameter)."""
+    Each row gets a Poisson(1) weight per replicate from a seeded digest (no
+    resampling shuffle); weighted sums per replicate give slope and intercept;
+    the band is the 2.5/97.5 % quantile of the fitted value at each grid x.
+    The fan-out per row is ``replicates`` (a parameter); it is summed map-side."""
     xx, yy = F.col(x).cast("double"), F.col(y).cast("double")
     base = df.filter(xx.isNotNull() & yy.isNotNull()).select(F.col(key), xx.alias("x"), yy.alias("y"))
     st = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    spark = df.sparkSession
     if st["lo"] is None:
-        return spark.createDataFrame([], "gx DOUBLE, lower DOUBLE, upper DOUBLE")
-    u = (F.abs(F.xxhash64(F.col(key), F.col("b"), F.lit(seed))) % 1000000) / 1000000.0
-    # inverse-CDF of Poisson(1) from a uniform: P(0)=.3679, P(<=1)=.7358, P(<=2)=.9197, P(<=3)=.9810, P(<=4)=.9963
-    wgt = (F.when(u < 0.36788, 0).when(u < 0.73576, 1).when(u < 0.91970, 2)
-           .when(u < 0.98101, 3).when(u < 0.99634, 4).otherwise(5))
+        return df.sparkSession.createDataFrame([], "i INT, gx DOUBLE, lower DOUBLE, upper DOUBLE")
+    steps = poisson_thresholds()
     rep = (base.select("x", "y", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("b"), F.col(key))
-           .withColumn("w", wgt)
+           .withColumn("u", seeded_uniform(key, "b", seed=seed)))
+    wgt = F.lit(len(steps))
+    for k in reversed(range(len(steps))):
+        wgt = F.when(F.col("u") < F.lit(steps[k]), F.lit(k)).otherwise(wgt)
+    rep = (rep.withColumn("w", wgt)
            .groupBy("b").agg(F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("x")).alias("sx"),
                              F.sum(F.col("w") * F.col("y")).alias("sy"),
                              F.sum(F.col("w") * F.col("x") * F.col("x")).alias("sxx"),
@@ -350,9 +365,10 @@ def regression_band(df: DataFrame, x: str, y: str, key: str, replicates: int = 1
     step = (st["hi"] - st["lo"]) / max(grid_points - 1, 1)
     grid = fits.select(F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"), "m", "c")
     gx = F.lit(st["lo"]) + F.col("i") * F.lit(step)
-    return (grid.select(gx.alias("gx"), (F.col("m") * gx + F.col("c")).alias("fit"))
-            .groupBy("gx").agg(F.percentile("fit", 0.025).alias("lower"),
-                               F.percentile("fit", 0.975).alias("upper")))
+    return (grid.select("i", (F.col("m") * gx + F.col("c")).alias("fit"))
+            .groupBy("i").agg(F.percentile("fit", 0.025).alias("lower"),
+                              F.percentile("fit", 0.975).alias("upper"))
+            .select("i", gx.alias("gx"), "lower", "upper"))
 
 
 def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -401,7 +417,7 @@ def top_categories(df: DataFrame, c: str, n: int = 15, keep_null_as: str | None
 def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42,
                  required: Sequence[str] = ()) -> DataFrame:
     """Exact-size seeded sample of min(n, rows surviving the null
-    drop): rows ordered by a seeded hash of the key (``TakeOrderedAndProject``;
+    drop): rows ordered by a seeded digest of the key (``TakeOrderedAndProject``;
     each task keeps only its n best)."""
     base = df.na.drop(subset=list(required)) if required else df
-    return base.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return base.orderBy(seeded_digest(key, seed=seed), F.col(key)).limit(n)

@@ -11,7 +11,7 @@ from scoutlab.plans import standins as S
 from scoutlab.plans.registry import query, r
 
 WITH = S.sql_cte("player_obs")
-KW_COLS = ["edad_al_momento", "altura_cm", "goles_12m", "valor_mercado_eur_TARGET"]
+KW_COLS = S.PLAYER_NUMERIC
 GROUP = "posicion_principal"
 
 
@@ -54,9 +54,15 @@ def q_kruskal_puzzles(spark, d):
     return K.kruskal_wallis(df, ["RatingDeviation", "Popularity", "NbPlays", "num_temas"], "nivel_dificultad")
 
 
-@query("train_test_split")
+def _first(key: str, src: str) -> str:
+    """SQL for the seeded test side over the distinct ``key`` values of ``src``."""
+    return (f"(SELECT {key}, row_number() OVER (ORDER BY md5(concat_ws(':', CAST({key} AS VARCHAR), '42')), {key}) "
+            f"<= CEIL(0.2 * COUNT(*) OVER ()) AS is_test FROM (SELECT DISTINCT {key} FROM {src} WHERE {key} IS NOT NULL))")
+
+
+@query("train_test_split", sql=WITH + f"SELECT obs_id, player_id, is_test FROM player_obs JOIN {_first('obs_id', 'player_obs')} USING (obs_id)")
 def q_split(spark, d):
-    """Seeded exact-size 80/20 split (rows-only: engine-specific hash)."""
+    """Seeded exact-size 80/20 split."""
     return M.train_test_split(obs(spark, d).select("obs_id", "player_id"), "obs_id")
 
 
@@ -69,9 +75,9 @@ def q_split_sizes(spark, d):
     return s.groupBy("is_test").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("group_split")
+@query("group_split", sql=WITH + f"SELECT obs_id, player_id, is_test FROM player_obs LEFT JOIN {_first('player_id', 'player_obs')} USING (player_id)")
 def q_group_split(spark, d):
-    """Split by player (rows-only)."""
+    """Split by player."""
     return M.group_split(obs(spark, d).select("obs_id", "player_id"), "player_id")
 
 
@@ -85,11 +91,11 @@ def q_group_split_sizes(spark, d):
     s = M.group_split(obs(spark, d).select("obs_id", "player_id"), "player_id")
     per = s.groupBy("is_test").agg(F.count_distinct("player_id").alias("n_groups"))
     shared = (s.groupBy("player_id").agg(F.count_distinct("is_test").alias("sides"))
-              .filter(F.col("sides") > 1).count())  # one scalar: must be 0
-    return per.withColumn("n_shared", F.lit(shared))
+              .agg(F.count_if(F.col("sides") > 1).alias("n_shared")))
+    return per.join(F.broadcast(shared))  # one row
 
 
-SCALE_COLS = ["edad_al_momento", "altura_cm", "goles_12m", "participacion_goles_p90"]
+SCALE_COLS = S.PLAYER_NUMERIC
 
 
 @query("standard_scale", sql=WITH + "SELECT obs_id, " + ", ".join(

@@ -3,14 +3,15 @@ puzzle stand-ins."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from scoutlab.operators import profile as G
 from scoutlab.plans import standins as S
 from scoutlab.plans.registry import query, r
 
-PCOLS = ["valor_mercado_eur_TARGET", "edad_al_momento", "altura_cm", "dias_para_fin_contrato",
-         "goles_12m", "participacion_goles_p90", "partidos_seleccion_12m"]
+PCOLS = S.PLAYER_NUMERIC
 TARGET = "valor_mercado_eur_TARGET"
 WITH = S.sql_cte("player_obs")
 _UNPIVOT = ("long AS (SELECT col_name, value FROM (UNPIVOT (SELECT " + ", ".join(PCOLS)
@@ -29,10 +30,9 @@ SELECT col_name, COUNT(value) AS count, {r('AVG(value)')} AS mean, {r('STDDEV_SA
        {r('MAX(value)')} AS max
 FROM long GROUP BY col_name""")
 def q_describe(spark, d):
-    """G1 + P14 + P15 (columns picked by schema, intersected with a list)."""
+    """G1 + P14 + P15 (every numeric column of the schema but the identifiers)."""
     df = obs(spark, d)
-    cols = G.existing(df, [c for c in PCOLS if c in G.numeric_columns(df, ["obs_id", "player_id"])])
-    return G.describe(df, cols)
+    return G.describe(df, G.existing(df, G.numeric_columns(df, ["obs_id", "player_id"])))
 
 
 @query("describe_short", sql=WITH_LONG + f"""
@@ -135,12 +135,33 @@ def q_hist_target(spark, d):
     return G.histogram(obs(spark, d), TARGET, 50)
 
 
-@query("histogram_sample")
+_SAMPLE = """,
+smp AS (SELECT * FROM player_obs WHERE valor_maximo_historico_previo IS NOT NULL AND valor_mercado_eur_TARGET IS NOT NULL
+        ORDER BY md5(concat_ws(':', CAST(obs_id AS VARCHAR), '42')), obs_id LIMIT 30000)
+"""
+HIST_COLS = ["edad_al_momento", "altura_cm", "dias_para_fin_contrato", "goles_12m", "asistencias_12m", "partidos_jugados_12m",
+             "participacion_goles_p90", "valor_maximo_historico_previo"]
+
+
+def _hist_sample_sql() -> str:
+    parts = []
+    for c in HIST_COLS:
+        parts.append(f"""SELECT '{c}' AS col_name, g.bin, {r('lo + g.bin * ((hi - lo) / 30)')} AS lower,
+  {r('lo + (g.bin + 1) * ((hi - lo) / 30)')} AS upper, ROUND(lo + (g.bin + 0.5) * ((hi - lo) / 30), 2) AS center,
+  CAST(COALESCE(n, 0) AS BIGINT) AS count
+FROM (SELECT CAST(range AS INT) AS bin FROM range(30)) g, (SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM smp) e
+LEFT JOIN (SELECT CAST(LEAST(FLOOR(({c} - (SELECT MIN({c}) FROM smp)) * 30 / ((SELECT MAX({c}) FROM smp) - (SELECT MIN({c}) FROM smp))), 29) AS INT)
+             AS bin, COUNT(*) AS n FROM smp WHERE {c} IS NOT NULL GROUP BY 1) c ON g.bin = c.bin""")
+    return WITH + _SAMPLE + " UNION ALL ".join(parts)
+
+
+@query("histogram_sample", sql=_hist_sample_sql())
 def q_hist_sample(spark, d):
-    """Histogram over the seeded 30k sample (rows-only: hash differs)."""
+    """30-bin histograms of eight columns over the seeded 30,000-row sample."""
     df = obs(spark, d)
     s = G.exact_sample(df, 30000, "obs_id", 42, required=["valor_maximo_historico_previo", TARGET])
-    return G.histogram(s, "goles_12m", 30)
+    frames = [G.histogram(s, c, 30).select(F.lit(c).alias("col_name"), "*") for c in HIST_COLS]
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query("kde_curve", sql=WITH + f""",
@@ -208,11 +229,27 @@ def q_regression(spark, d):
     return out.withColumn("slope", F.round("slope", 3)).withColumn("intercept", F.round("intercept", 3))
 
 
-@query("regression_band")
+def _band_sql(x: str, replicates: int = 1000, points: int = 100) -> str:
+    weight = " ".join(f"WHEN u < {t!r} THEN {k}" for k, t in enumerate(G.poisson_thresholds()))
+    return WITH + f""",
+b AS (SELECT obs_id, {x} AS x, {TARGET} AS y FROM player_obs WHERE {x} IS NOT NULL AND {TARGET} IS NOT NULL),
+u AS (SELECT x, y, b, CAST('0x' || substr(md5(CAST(obs_id AS VARCHAR) || ':' || CAST(b AS VARCHAR) || ':42'), 1, 8) AS BIGINT)
+             / 4294967296.0::DOUBLE AS u FROM b, (SELECT CAST(range AS INT) AS b FROM range(1, {replicates + 1}))),
+w AS (SELECT x, y, b, CASE {weight} ELSE {len(G.poisson_thresholds())} END AS w FROM u),
+s AS (SELECT b, SUM(w)::DOUBLE AS sw, SUM(w * x) AS sx, SUM(w * y) AS sy, SUM(w * x * x) AS sxx, SUM(w * x * y) AS sxy FROM w GROUP BY b),
+f AS (SELECT b, sw, sx, sy, (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS m FROM s),
+g AS (SELECT CAST(range AS INT) AS i, lo + range * ((hi - lo) / {points - 1}) AS gx FROM range({points}), (SELECT MIN(x) AS lo, MAX(x) AS hi FROM b))
+SELECT g.i, {r('g.gx')} AS gx, {r('quantile_cont(m * gx + (sy - m * sx) / sw, 0.025)', 2)} AS lower,
+       {r('quantile_cont(m * gx + (sy - m * sx) / sw, 0.975)', 2)} AS upper
+FROM g, f GROUP BY g.i, g.gx"""
+
+
+@query("regression_band", sql=_band_sql("partidos_seleccion_12m"))
 def q_regression_band(spark, d):
-    """Bootstrap band (rows-only check: seeded hash weights)."""
-    return G.regression_band(obs(spark, d), "partidos_seleccion_12m", TARGET, "obs_id",
-                             replicates=200, grid_points=50)
+    """Bootstrap band, 1,000 replicates and 100 grid points (bounds are
+    in euros: shown to 2 decimals)."""
+    out = G.regression_band(obs(spark, d), "partidos_seleccion_12m", TARGET, "obs_id")
+    return out.withColumn("lower", F.round("lower", 2)).withColumn("upper", F.round("upper", 2))
 
 
 @query("skewness_target", sql=WITH + "\nUNION ALL ".join(
@@ -249,9 +286,12 @@ def q_top_categories(spark, d):
     return G.top_categories(obs(spark, d), "nacionalidad", 15)
 
 
-@query("exact_sample")
+@query("exact_sample", sql=WITH + """
+SELECT obs_id, valor_mercado_eur_TARGET, altura_cm FROM player_obs
+WHERE valor_maximo_historico_previo IS NOT NULL AND valor_mercado_eur_TARGET IS NOT NULL AND altura_cm IS NOT NULL
+ORDER BY md5(concat_ws(':', CAST(obs_id AS VARCHAR), '42')), obs_id LIMIT 30000""")
 def q_exact_sample(spark, d):
-    """T10 + P13: exact-size seeded sample after a null drop (rows-only)."""
-    return G.exact_sample(obs(spark, d), 3000, "obs_id", 42,
+    """T10 + P13: exact-size seeded sample of 30,000 rows after a null drop."""
+    return G.exact_sample(obs(spark, d), 30000, "obs_id", 42,
                           required=["valor_maximo_historico_previo", TARGET, "altura_cm"]).select(
         "obs_id", TARGET, "altura_cm")

@@ -12,18 +12,12 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Tables bigger than this are never broadcast by our own explicit hints.
-# 64 MiB of Parquet-estimated size is a conservative per-executor bound.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
 def get_spark(master: str | None = None, app: str = "scoutlab",
               shuffle_partitions: int | None = None) -> SparkSession:
     """Return (or create) a session with the settings the library expects."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
     builder = (
         builder
         .config("spark.ui.enabled", "false")
@@ -32,10 +26,12 @@ def get_spark(master: str | None = None, app: str = "scoutlab",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("SCOUTLAB_DRIVER_MEMORY", "16g"))
     )
+    if shuffle_partitions:  # else the cluster's own setting holds
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -46,15 +42,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/ABFS)
-    folder and is used as is.  Only when it is unset — local tests — a
-    fresh scratch folder is created and registered.
+    folder and is used as is.  Where it is unset a scratch folder is made on a
+    local master only; elsewhere a folder of the driver's machine would be of no
+    use to the executors, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = sc.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="scoutlab-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -108,6 +108,6 @@ def schema_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv.gz")
             for i, c in enumerate(cols):
                 rows.append((name, len(cols), i, c, None))
         except Exception as exc:  # noqa: BLE001 - reported, scan continues
-            rows.append((name, 0, None, None, str(exc).splitlines()[0][:200]))
+            rows.append((name, 0, None, None, str(exc)))
     schema = "file STRING, n_columns INT, position INT, column_name STRING, error STRING"
     return spark.createDataFrame(rows, schema)

@@ -126,3 +126,82 @@ def test_kruskal_against_pandas_ranks(spark):
     h /= 1 - ((t ** 3 - t).sum() / (n ** 3 - n))
     assert res.H == pytest.approx(h, rel=1e-10)
     assert res.k == 4
+
+
+def test_ranges_and_lists_reach_the_parquet_scan(spark, tmp_path):
+    from scoutlab.functions.predicates import PuzzleFilter, ScoutFilter, in_list, in_range
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1.0, "a", 1500, "x")], "v double, l string, Rating int, Themes string").write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def pushed(cond):
+        plan = df.filter(cond)._jdf.queryExecution().executedPlan().toString()
+        return plan.split("PushedFilters: [")[1].split("]")[0]
+
+    assert "GreaterThanOrEqual(v,0.0)" in pushed(in_range("v", 0, 2)) and "LessThanOrEqual(v,2.0)" in pushed(in_range("v", 0, 2))
+    assert "In(l, [a,b" in pushed(in_list("l", ["a", "b"]))
+    assert "GreaterThanOrEqual(Rating" in pushed(PuzzleFilter(themes=["x"]).column())
+    assert ScoutFilter().column() is not None
+
+
+def test_text_numbers_fail_a_range_unless_they_are_numbers(spark):
+    from scoutlab.functions.predicates import in_range, numeric
+    df = spark.createDataFrame([("1",), ("x",), (" 2.5 ",), (None,), ("",), ("9",)], "v string")
+    assert [r.v for r in df.filter(in_range("v", 1, 3, text=True)).collect()] == ["1", " 2.5 "]
+    assert [r.n for r in df.select(numeric("v").alias("n")).collect()] == [1.0, None, 2.5, None, None, 9.0]
+
+
+def test_group_split_leaves_rows_without_a_group_out(spark):
+    from scoutlab.operators import mlprep as M
+    rows = [(i, i % 7 if i % 5 else None) for i in range(60)]
+    got = M.group_split(spark.createDataFrame(rows, "k int, g int"), "g").collect()
+    assert all((r.is_test is None) == (r.g is None) for r in got)
+    assert len({r.g for r in got if r.is_test}) == 2
+    assert M.train_test_split(spark.createDataFrame([], "k int"), "k").count() == 0
+
+
+def brute_iterative(rows, feats, k, sweeps, tol):
+    """Plain Python over all pairs; rows: {key: [values]}."""
+    keys = sorted(rows)
+    seen = {f: [rows[i][f] for i in keys if rows[i][f] is not None] for f in feats}
+    cur = {i: [rows[i][f] if rows[i][f] is not None else sum(seen[f]) / len(seen[f]) for f in feats] for i in keys}
+    visit = sorted((f for f in feats if len(seen[f]) < len(keys)), key=lambda f: len(keys) - len(seen[f]))
+    top = max(abs(v) for f in feats for v in seen[f])
+    for _ in range(sweeps):
+        prev = {i: list(v) for i, v in cur.items()}
+        for f in visit:
+            new = {}
+            for i in keys:
+                if rows[i][f] is None:
+                    near = sorted((sum((cur[i][g] - cur[j][g]) ** 2 for g in feats if g != f) ** 0.5, j) for j in keys if rows[j][f] is not None)
+                    new[i] = sum(rows[j][f] for _, j in near[:k]) / len(near[:k])
+            for i, v in new.items():
+                cur[i][f] = v
+        if max(sum(abs(a - b) for a, b in zip(cur[i], prev[i])) for i in keys) < tol * top:
+            break
+    return cur
+
+
+def test_iterative_knn_matches_brute_force(spark):
+    import random
+
+    from scoutlab.operators import impute as I
+    rng = random.Random(8)
+    # No ties: equal distances could fall either way by the last bit of a sum.
+    rows = {i: [None if rng.random() < 0.15 else rng.uniform(0, 10), rng.uniform(0, 12),
+                None if rng.random() < 0.2 else rng.uniform(0, 300)] for i in range(90)}
+    df = spark.createDataFrame([(i, *v) for i, v in rows.items()], "k int, a double, b double, c double")
+    got = {r.k: [r.a, r.b, r.c] for r in I.impute_iterative_knn(df, "k", ["a", "b", "c"], max_iter=3).collect()}
+    want = brute_iterative(rows, [0, 1, 2], 5, 3, 1e-3)
+    assert all(abs(x - y) < 1e-9 for i in rows for x, y in zip(got[i], want[i]))
+
+
+def test_knn_candidates_grow_with_the_table(spark):
+    """Equal donors are reduced, so pairs per query do not grow."""
+    from scoutlab.operators import impute as I
+    rows = [(i, float(i % 5), float(i % 3), None if i % 10 == 0 else float(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, c double")
+    got = {r.k: r.c for r in I.impute_knn(df, "k", ["a", "b", "c"]).collect()}
+    for i in (0, 10, 1990):
+        near = [j for j in range(2000) if j % 10 and j % 5 == i % 5 and j % 3 == i % 3][:5]
+        assert got[i] == pytest.approx(sum(near) / 5)
