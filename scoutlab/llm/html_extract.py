@@ -200,7 +200,7 @@ def train(pages: DataFrame, sample: int = TRAINING_PAGES) -> Crf:
     short = pages.filter(F.length("html") <= TRAINING_CHARS).select("page_id", "html", F.xxhash64("page_id").alias("_h"))
     # About twice the sample has a hash below this, so few rows leave their tasks.
     share = min(1.0, 2.0 * sample / max(1, pages.count()))
-    low = short.filter(F.col("_h") <= F.lit(int(share * (2**64 - 1)) - 2**63))
+    low = short.filter(F.col("_h") <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63)))
     rows = low.orderBy("_h", "page_id").limit(sample).select("html").collect() if sample else []
     return fit(labelled_chains([r.html for r in rows]))
 
