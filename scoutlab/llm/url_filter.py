@@ -8,14 +8,16 @@ shape, and equal shaped paths of a host are counted together, before any
 shuffle, with the labelled good and bad rows among them.  Level by level from
 the root, each node's children are then generalised:
 
+* statistically similar branches merge into a wildcard: a child stays apart
+  only where its labelled bad share is above its siblings' by Z standard errors;
 * a variable level - more than MAX_CHILDREN different children - turns its
-  rare children into a wildcard;
-* statistically similar branches merge into the same wildcard: a child stays
-  apart only where its labelled bad share is above its siblings' by Z standard
-  errors.
+  rare children into the same wildcard, unless their labels would be as
+  unlikely as Z standard errors by the binomial bound too: of many small
+  children some have their one or two labels bad by chance.
 
-Levels below TREE_DEPTH are one wildcard.  What remains of a path is its
-template.  A template is rejected when its bad share, smoothed towards its
+Levels below TREE_DEPTH are judged alike, down to the deepest bad label, and
+what follows the last branch kept apart there is one wildcard.  What remains of
+a path is its template.  A template is rejected when its bad share, smoothed towards its
 host's and that towards all hosts', reaches REJECT.
 
 Everything is DataFrame functions.  The tree is built from the counted paths;
@@ -27,6 +29,8 @@ like any other; repeated rows are judged alike.  Unlabelled tables reject nothin
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scoutlab.llm.common import lower_ascii, settle
@@ -34,6 +38,7 @@ from scoutlab.llm.common import lower_ascii, settle
 TREE_DEPTH = 8
 MAX_CHILDREN = 16
 Z = 3.0
+TAIL = 0.00135   # probability above Z standard errors
 REJECT = 0.5
 TEMPLATE_PRIOR = 10.0
 HOST_PRIOR = 50.0
@@ -78,9 +83,12 @@ def template_tree(paths: DataFrame) -> DataFrame:
 
     ``paths``: host, shape, n, labelled, bad.
     """
-    tree = settle(paths.withColumn("segments", F.split("shape", "/")).withColumn("template", F.lit("")), "url-paths")
-    deepest = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    for depth in range(min(deepest, TREE_DEPTH)):
+    tree = settle(paths.withColumn("segments", F.split("shape", "/")).withColumn("template", F.lit(""))
+                  .withColumn("last", F.lit(0)), "url-paths")
+    size = F.size("segments")
+    deepest, deepest_bad = tree.agg(F.max(size), F.max(F.when(F.col("bad") > 0, size))).first()
+    # Without bad labels no child is apart.
+    for depth in range(min(deepest or 0, max(TREE_DEPTH, deepest_bad or 0))):
         here = tree.filter(F.size("segments") > depth).withColumn("segment", F.col("segments")[depth])
         nodes = here.groupBy("host", "template", "segment").agg(
             F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
@@ -91,14 +99,23 @@ def template_tree(paths: DataFrame) -> DataFrame:
         rare = (F.col("kids") > MAX_CHILDREN) & (F.col("n") * MAX_CHILDREN < F.col("pn"))
         others, pooled = F.col("pl") - F.col("l"), F.col("pb") / F.greatest("pl", F.lit(1))
         error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest("l", F.lit(1)) + 1 / F.greatest(others, F.lit(1))))
-        gap = F.col("b") / F.greatest("l", F.lit(1)) - (F.col("pb") - F.col("b")) / F.greatest(others, F.lit(1))
-        apart = (F.col("l") > 0) & (others > 0) & (error > 0) & (gap >= error * Z)
+        share = F.col("b") / F.greatest("l", F.lit(1))
+        gap = share - (F.col("pb") - F.col("b")) / F.greatest(others, F.lit(1))
+        expected = (F.col("pb") - F.col("b") + 1) / (others + 2)
+        surprise = F.col("l") * (share * F.log(share / expected)
+                                 + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - expected))).otherwise(0.0))
+        unlikely = (share > expected) & (surprise >= -math.log(TAIL))
+        apart = (F.col("l") > 0) & (others > 0) & (error > 0) & (gap >= error * Z) & (~rare | unlikely)
         named = judged.select(F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("segment").alias("_s"),
-                              F.concat("template", F.lit("/"), F.when(~rare & apart, F.col("segment")).otherwise("*")).alias("_next"))
+                              F.concat("template", F.lit("/"), F.when(apart, F.col("segment")).otherwise("*")).alias("_next"),
+                              F.when(apart, depth + 1).alias("_last"))
         segment = F.get(F.col("segments"), F.lit(depth))
         tree = settle(tree.join(named, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (segment == F.col("_s")), "left")
-                      .withColumn("template", F.coalesce("_next", "template")).drop("_h", "_t", "_s", "_next"), "url-tree")
-    tree = tree.withColumn("template", F.when(F.size("segments") > TREE_DEPTH, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+                      .withColumn("template", F.coalesce("_next", "template")).withColumn("last", F.coalesce("_last", "last"))
+                      .drop("_h", "_t", "_s", "_next", "_last"), "url-tree")
+    kept = F.greatest("last", F.lit(TREE_DEPTH))
+    head = F.array_join(F.slice(F.split("template", "/"), F.lit(1), kept + 1), "/")
+    tree = tree.withColumn("template", F.when(size > kept, F.concat(head, F.lit("/**"))).otherwise(F.col("template")))
     hosts = tree.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"))
     every = hosts.agg(F.sum("hl").alias("al"), F.sum("hb").alias("ab")).first()
     overall = (every["ab"] or 0) / max(1, every["al"] or 0)

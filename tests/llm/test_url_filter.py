@@ -81,3 +81,20 @@ def test_variable_segments_and_similar_branches_are_wildcards(judged):
 def test_deep_paths_end_in_a_wildcard(spark):
     paths = spark.createDataFrame([("h", "/".join("abcdefghijkl"), 5, 0, 0), ("h", "", 1, 0, 0)], "host string, shape string, n long, labelled long, bad long")
     assert {r.template for r in template_tree(paths).collect()} == {"/*" * 8 + "/**", "/*"}
+
+
+def test_labels_decide_among_many_equal_sections(spark):
+    for sections in (8, 24):
+        rows = [(s * 1000 + i, f"http://big.org/s{'abcdefghijklmnopqrstuvwx'[s]}/x/{i}") for s in range(sections) for i in range(200)]
+        marks = [(s * 1000 + i, s == 3) for s in range(sections) for i in range(0, 200, 10)]
+        got = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(marks, "page_id long, bad boolean"))
+        assert {r.page_id // 1000 for r in got.filter("verdict = 'block'").collect()} == {3}
+        assert got.filter("verdict = 'block'").count() == 200
+
+
+def test_labels_decide_below_the_tree_depth(spark):
+    deep = "/".join("abcdefghij")
+    paths = [("h", f"{deep}/bad/k/x", 90, 30, 30), ("h", f"{deep}/good/k/x", 90, 30, 0), ("h", f"{deep}/fine/k/x/y/z", 90, 30, 0)]
+    got = {r.shape: r for r in template_tree(spark.createDataFrame(paths, "host string, shape string, n long, labelled long, bad long")).collect()}
+    assert [got[p[1]].bad_share >= 0.5 for p in paths] == [True, False, False]
+    assert got[paths[0][1]].template == "/*" * 10 + "/bad/**" and got[paths[1][1]].template == got[paths[2][1]].template == "/*" * 8 + "/**"
