@@ -12,6 +12,8 @@ INLINE = frozenset(
     "picture progress q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 # Elements whose content is no text of the page.
 RAW = "script|style|noscript|template|iframe|object|svg|math|canvas|audio|video|noembed|noframes"
+ENDLESS = frozenset(("script", "style"))  # without an end tag they hold the rest of the page, others only their tag
+FOREIGN = frozenset(("svg", "math"))      # closed by />
 # An opening tag ends the open elements it is listed with, up to a container.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -21,11 +23,12 @@ CLOSES = {
 SCOPES = frozenset("table ul ol dl select body html div article section".split())
 
 _TOKEN = re.compile(
-    rf"(?P<raw><(?P<name>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>(?:.*?</(?P=name)\s*>|.*))"
+    rf"<(?P<raw>(?a:{RAW}))(?=[\s/>])(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|(?P<comment><!--(?:.*?-->|.*)|<[!?][^>]*>?|</[^a-zA-Z][^>]*>?)"
     r"|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*>?"
     r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I | re.A) for name in RAW.split("|")}
 _ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 
@@ -55,7 +58,9 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...], int]] = []
     parts: list[str] = []
     links: list[str] = []
-    depth_a = number = 0
+    depth_a = number = pos = 0
+    page = page or ""
+    unended: set[str] = set()  # no end tag follows, so each name is searched in vain once
 
     def flush() -> None:
         if parts:
@@ -68,9 +73,21 @@ def blocks(page: str | None) -> list[Block]:
             parts.clear()
             links.clear()
 
-    for m in _TOKEN.finditer(page or ""):
-        text, opened, closed = m["text"], m["open"], m["close"]
-        if text is not None:
+    while m := _TOKEN.match(page, pos):
+        pos = m.end()
+        text, opened, closed, raw = m["text"], m["open"], m["close"], m["raw"]
+        if raw is not None:
+            name = raw.lower()
+            if name in FOREIGN and m["rest"].endswith("/"):
+                continue
+            end = None if name in unended else _ENDS[name].search(page, pos)
+            if end:
+                pos = end.end()
+            elif name in ENDLESS:
+                pos = len(page)
+            else:
+                unended.add(name)
+        elif text is not None:
             parts.append(text)
             if depth_a:
                 links.append(text)

@@ -44,6 +44,19 @@ def test_blocks_of_odd_markup(page, want):
     assert got == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><p>one</p><video-js id="v" controls></video-js><p>two</p><p>three</p></article>', ["one", "two", "three"]),
+    ("<style-guide><p>a</p></style-guide><p>b</p>", ["a", "b"]), ('<svg class="i"/><p>main text</p>', ["main text"]),
+    ("<svg/><p>a</p><math /><p>b</p><svg><text>c</text></svg><p>d</p>", ["a", "b", "d"]),
+    ("<svg><text>c</text></svg ><p>d</p>", ["d"]), ("<VIDEO controls><p>a</p>", ["a"]),
+    *((f"<{name} x='>'><p>a</p><{name}><p>b</p>", ["a", "b"]) for name in "noscript template iframe object svg math canvas audio video noembed noframes".split()),
+    *((f"<p>a</p><{name}><p>b</p></{name.upper()}\n><p>c</p>", ["a", "c"]) for name in "script style template iframe object svg math canvas video".split()),
+    ("<\u017fvg><p>a</p>", ["a"]), ("<p>a</p><script src=x /><p>b</p>", ["a"]), ("<p>a</p><style>p{}<p>b</p>", ["a"]), ("<p>a</p>" + "<canvas>" * 50_000 + "<p>b</p>", ["a", "b"]),
+])
+def test_blocks_beside_raw_elements(page, want):
+    assert [b.text for b in blocks(page)] == want
+
+
 def test_held_out_accuracy(model, spark):
     pages = [r.html for r in spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/pages.parquet").limit(240).collect()]
     wrong = total = 0
