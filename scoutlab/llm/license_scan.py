@@ -1,6 +1,6 @@
 """License scan by MinHash bands over overlapping windows (operator 6).
 
-Templates are short notices.  A template of m shingles is looked for in windows
+Templates are notices and whole license texts.  A template of m shingles is looked for in windows
 of w shingles, w the power of two from 2m to below 4m, at every w/2: one window
 holds a whole occurrence.  Window and template then have a similarity of at
 least 0.8 m / (w + 0.2 m) > 0.19 when the window contains 0.8 of the template,
@@ -24,6 +24,8 @@ scanned separately and reported together.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,8 +36,10 @@ PERCENT = 80
 MAX_SHINGLES = 32
 MAX_TEMPLATES = 1000
 MARKS = ".,;:()\"'"
-_TABLE_BITS = 16
-# Sentences of public license notices.
+_TABLE_BITS = 18
+_CC = {"BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-ND": "Attribution-NoDerivatives", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+# Sentences of public license notices, and whole texts.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -47,6 +51,32 @@ TEMPLATES = (
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
+    ("MIT", "Licensed under the MIT License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL", "You should have received a copy of the GNU Lesser General Public License along with this program."),
+    ("LGPL", "You should have received a copy of the GNU Lesser General Public License along with this library."),
+    ("AGPL", "You should have received a copy of the GNU Affero General Public License along with this program."),
+    ("EPL", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL", "The accompanying program is provided under the terms of this Eclipse Public License (\"Agreement\"). Any use, reproduction or "
+            "distribution of the program constitutes recipient's acceptance of this agreement."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+             "and redistribute it freely, subject to the following restrictions:"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                "accompanying documentation covered by this license"),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+                "this software to the public domain worldwide."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("CC-BY-4.0", "agree to be bound by the terms and conditions of this Creative Commons Attribution 4.0 International Public License"),
+    *((f"CC-{k}-4.0", f"Licensed under CC {k.replace('-', ' ', 1)} 4.0.") for k in _CC if k != "BY-NC"),
+    *((f"CC-{k}-4.0", f"This work is licensed under a Creative Commons {v} 4.0 International License.") for k, v in _CC.items()),
+    *((f"CC-{k}-3.0", f"This work is licensed under a Creative Commons {v.replace('Derivatives', 'Derivs')} 3.0 Unported License.") for k, v in _CC.items()),
+    *((f"CC-{k}-4.0", f"agree to be bound by the terms and conditions of this Creative Commons {v} 4.0 International Public License") for k, v in _CC.items()),
+    *((f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))),
 )
 
 
@@ -84,17 +114,18 @@ def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
 def _bit_table(values: list[int]) -> Column:
     table = np.zeros(1 << (_TABLE_BITS - 6), np.uint64)
     for v in values:
-        slot = v & ((1 << _TABLE_BITS) - 1)
-        table[slot >> 6] |= np.uint64(1 << (slot & 63))
+        for half in (v, v >> 32):
+            slot = half & ((1 << _TABLE_BITS) - 1)
+            table[slot >> 6] |= np.uint64(1 << (slot & 63))
     return F.lit(table.view(np.int64))
 
 
-def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame, longest: int | None = MAX_SHINGLES) -> DataFrame:
     """doc_id, license, template, start (word), contained (percent) of every window that
-    contains a template."""
-    known = templates.select("width", "window", "shingles", "least").collect()  # at most MAX_TEMPLATES rows
-    if any(len(t["shingles"]) > MAX_SHINGLES or not t["shingles"] for t in known):
-        raise ValueError(f"a template has 1 to {MAX_SHINGLES} shingles")
+    contains a template of at most ``longest`` shingles (None: of any length)."""
+    known = templates.select("width", "window", F.size("shingles").alias("size"), "least").collect()  # at most MAX_TEMPLATES rows
+    if any(not t["size"] or longest is not None and t["size"] > longest for t in known):
+        raise ValueError(f"a template has 1 to {longest or 'any number of'} shingles")
     rows = docs.select("doc_id", _normal_words(F.col("text")).alias("w"))
     widths = sorted({t["width"] for t in known})
     rows = rows.select("doc_id", *[_hashes(F.col("w"), k).alias(f"h{k}") for k in widths])
@@ -102,14 +133,14 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     def hits(k: int) -> Column:
         table = _bit_table([v for t in known if t["width"] == k for v in t["least"]])
 
-        def maybe(x: Column) -> Column:
+        def marked(x: Column) -> Column:
             slot = x.bitwiseAND(F.lit((1 << _TABLE_BITS) - 1))
             word = F.get(table, F.shiftright(slot, 6).cast("int"))
             bit = F.call_function("shiftright", word, slot.bitwiseAND(F.lit(63)).cast("int"))
             return bit.bitwiseAND(F.lit(1)) == 1
 
         # Positions are tagged first, so that the filter looks each hash up once.
-        tagged = F.transform(F.col(f"h{k}"), lambda x, i: F.when(maybe(x), i))
+        tagged = F.transform(F.col(f"h{k}"), lambda x, i: F.when(marked(x) & marked(F.shiftright(x, 32)), i))
         return F.filter(tagged, lambda i: i.isNotNull())
 
     rows = rows.select("doc_id", *[f"h{k}" for k in widths], *[hits(k).alias(f"p{k}") for k in widths])
@@ -125,16 +156,18 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
 
     parts = [windows_of(k, w) for k, w in sorted({(t["width"], t["window"]) for t in known})]
     windows = rows.select("doc_id", F.explode(F.concat(*parts)).alias("x")).select("doc_id", "x.*")
-    drawn = windows.select("*", F.posexplode(signature(F.col("items"))).alias("band", "value"))
-    bands = templates.select("template", "license", "width", "window", "shingles", F.posexplode("bands").alias("band", "value"))
-    found = (drawn.join(F.broadcast(bands), ["width", "window", "band", "value"])
-             .select("doc_id", "license", "template", "start", "items", "shingles"))
+    drawn = windows.withColumn("drawn", signature(F.col("items"))).select("*", F.posexplode("drawn").alias("band", "value"))
+    bands = templates.select("template", "width", "window", F.posexplode("bands").alias("band", "value"))
+    texts = templates.select("template", "license", "shingles", "bands")
+    found = drawn.join(F.broadcast(bands), ["width", "window", "band", "value"]).join(F.broadcast(texts), "template")
+    # A window is verified in the first band in which it agrees with the template.
+    agreed = F.array_position(F.zip_with("drawn", "bands", lambda x, y: x == y), True) == F.col("band") + 1
     inside = F.size(F.array_intersect("shingles", "items")) * 100
-    return (found.withColumn("contained", F.floor(inside / F.size("shingles")).cast("int"))
+    return (found.filter(agreed).withColumn("contained", F.floor(inside / F.size("shingles")).cast("int"))
             .filter(inside >= F.size("shingles") * PERCENT).select("doc_id", "license", "template", "start", "contained"))
 
 
 def licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """One row per document and license found: doc_id, license, first_word, contained."""
-    found = scan(docs, template_table(docs.sparkSession, templates))
+    found = scan(docs, template_table(docs.sparkSession, templates), longest=None)
     return found.groupBy("doc_id", "license").agg(F.min("start").cast("long").alias("first_word"), F.max("contained").cast("long").alias("contained"))

@@ -67,3 +67,20 @@ def test_limits_and_empty(spark):
         scan(empty, template_table(spark, [("long", " ".join(f"w{i}" for i in range(60)))])).count()
     same = spark.createDataFrame([(1, TEMPLATES[0][1])], "doc_id long, text string")
     assert Counter(r.license for r in licenses(same).collect()) == Counter([TEMPLATES[0][0]])
+
+
+def test_bodies_and_variants(spark):
+    texts = dict(TEMPLATES)  # the last of a name: the whole text where there is one
+    apache = texts["Apache-2.0"].split()
+    cases = [
+        ("Apache-2.0", " ".join(apache[:1300])), ("GPL-3.0", texts["GPL-3.0"]), ("CC0-1.0", "a b c " + texts["CC0-1.0"]), ("MPL-2.0", texts["MPL-2.0"]),
+        ("LGPL", "You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to us."),
+        ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+        ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+                "provided that the above copyright notice and this permission notice appear in all copies."),
+        ("EPL", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is here"),
+    ]
+    half = " ".join(apache[:len(apache) // 2])
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)] + [(99, half)], "doc_id long, text string")
+    got = {(r.doc_id, r.license) for r in licenses(docs).collect()}
+    assert {(i, n) for i, (n, _) in enumerate(cases)} <= got and not [g for g in got if g[0] == 99]
