@@ -107,6 +107,24 @@ def q_impute_compare_cat(spark, d):
     return I.compare_categorical(base, I.impute_mode(base, ["liga_actual"]), "liga_actual", top=15)
 
 
+def _compare_cat(name: str, c: str) -> None:
+    @query(name, sql=WITH + f""",
+md AS {_mode_sql(c)},
+bf AS (SELECT COALESCE({c}, 'FALTANTES') AS {c}, COUNT(*) AS n_before FROM player_obs
+       GROUP BY 1 ORDER BY n_before DESC, {c} LIMIT 15),
+af AS (SELECT COALESCE(COALESCE({c}, (SELECT * FROM md)), 'FALTANTES') AS {c}, COUNT(*) AS n_after
+       FROM player_obs GROUP BY 1)
+SELECT {c}, n_before, COALESCE(n_after, 0) AS n_after FROM bf LEFT JOIN af USING ({c})""")
+    def q_compare(spark, d):
+        base = obs(spark, d).select("obs_id", c)
+        return I.compare_categorical(base, I.impute_mode(base, [c]), c, top=15)
+
+
+# G21 on the other columns of the reference's comparison.
+_compare_cat("impute_compare_cat_foot", "pie_habil")
+_compare_cat("impute_compare_cat_nationality", "nacionalidad")
+
+
 @query("impute_iterative_knn")
 def q_impute_iterative(spark, d):
     """Iterative KNN-regressor imputation (rows-only check; verified

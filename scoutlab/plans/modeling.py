@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from scoutlab.functions import scalar as fn
 from scoutlab.operators import mlprep as M
+from scoutlab.operators import profile as G
 from scoutlab.operators import stats as K
+from scoutlab.operators.chess import features as CF
 from scoutlab.plans import standins as S
 from scoutlab.plans.registry import query, r
+from scoutlab.session import checkpoint_dir
 
 WITH = S.sql_cte("player_obs")
 KW_COLS = S.PLAYER_NUMERIC
@@ -45,13 +48,33 @@ def q_kruskal(spark, d):
     return K.kruskal_wallis(obs(spark, d), KW_COLS, GROUP)
 
 
+# Every numeric variable but Rating, from which the class is derived.
+KW_PUZZLE_COLS = ["RatingDeviation", "Popularity", "NbPlays", "num_movimientos", "num_temas", *CF.EMPTY_FEATURES]
+
+
+def puzzles_measured(spark, d):
+    """The puzzles with class, counts and chess features.  The features depend on
+    FEN and Moves alone, so each different pair is measured once."""
+    df = S.puzzles_with_positions(spark, d).select("Rating", "RatingDeviation", "Popularity", "NbPlays", "Themes", "FEN", "Moves")
+    pairs = df.select("FEN", "Moves").distinct().withColumnsRenamed({"FEN": "_fen", "Moves": "_moves"})
+    checkpoint_dir(spark)
+    measured = CF.chess_features(pairs, "_fen", "_moves").checkpoint(eager=True)
+    return (df.join(measured, F.col("FEN").eqNullSafe(F.col("_fen")) & F.col("Moves").eqNullSafe(F.col("_moves")))
+            .withColumn("nivel_dificultad", fn.difficulty_class("Rating"))
+            .withColumn("num_movimientos", fn.token_count("Moves")).withColumn("num_temas", fn.token_count("Themes")))
+
+
 @query("kruskal_wallis_puzzles")
 def q_kruskal_puzzles(spark, d):
-    """G19 on the puzzle stand-in against the difficulty class (4 classes,
-    odd df: p from the regularized incomplete gamma; rows-only check)."""
-    df = S.puzzles(spark, d).withColumn("nivel_dificultad", fn.difficulty_class("Rating"))
-    df = df.withColumn("num_temas", fn.token_count("Themes"))
-    return K.kruskal_wallis(df, ["RatingDeviation", "Popularity", "NbPlays", "num_temas"], "nivel_dificultad")
+    """G19 of all eleven variables on the puzzle stand-in against the difficulty
+    class (4 classes, odd df: p from the regularized incomplete gamma; rows-only check)."""
+    return K.kruskal_wallis(puzzles_measured(spark, d), KW_PUZZLE_COLS, "nivel_dificultad")
+
+
+@query("boxplot_by_difficulty")
+def q_boxplot_by_difficulty(spark, d):
+    """Every numeric variable of the puzzles per difficulty class (rows-only check)."""
+    return G.boxplot_stats(puzzles_measured(spark, d), ["Rating", *KW_PUZZLE_COLS], by=["nivel_dificultad"])
 
 
 def _first(key: str, src: str) -> str:
@@ -116,14 +139,16 @@ def q_one_hot(spark, d):
     return M.one_hot_columns(df, "pie_habil", M.categories(df, "pie_habil"))
 
 
+MATRIX_COLS = [c for c in S.PLAYER_NUMERIC if c != "valor_mercado_eur_TARGET"]
+
+
 @query("feature_matrix")
 def q_feature_matrix(spark, d):
     """G26 + G27: train-fitted scaler + one-hot assembled into a vector
     (rows-only: vector column, engine-specific split)."""
     df = obs(spark, d).withColumn("log_target", fn.log_target("valor_mercado_eur_TARGET"))
     out = M.feature_matrix(df, "obs_id", "log_target",
-                           num_cols=["edad_al_momento", "goles_12m", "asistencias_12m", "partidos_jugados_12m"],
-                           cat_cols=["pie_habil", "posicion_principal"],
+                           num_cols=MATRIX_COLS, cat_cols=S.PLAYER_TEXT,
                            drop=["valor_mercado_eur_TARGET", "id_observacion", "player_id"])
     from pyspark.ml.functions import vector_to_array
     return out.withColumn("features", vector_to_array("features"))

@@ -90,6 +90,43 @@ def q_boxplot_by_class(spark, d):
     return G.boxplot_stats(obs(spark, d), _BYCLASS_COLS, by=["posicion_principal"])
 
 
+def _box_by_sql(by: str, cols: list[str], rows: str = "player_obs") -> str:
+    return ("long AS (SELECT " + by + ", col_name, value FROM (UNPIVOT (SELECT " + by + ", " + ", ".join(cols) + f" FROM {rows}) ON "
+            + ", ".join(cols) + f""" INTO NAME col_name VALUE value)),
+b AS (SELECT {by}, col_name, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM long GROUP BY {by}, col_name)
+SELECT b.{by}, b.col_name, COUNT(*) AS n, {r('q1')} AS q1, {r('median')} AS median, {r('q3')} AS q3,
+  {r('MIN(value) FILTER (WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))')} AS whisker_low,
+  {r('MAX(value) FILTER (WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))')} AS whisker_high,
+  COUNT(*) FILTER (WHERE NOT (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS n_outliers
+FROM b JOIN long ON b.{by} IS NOT DISTINCT FROM long.{by} AND b.col_name = long.col_name
+GROUP BY b.{by}, b.col_name, q1, median, q3""")
+
+
+@query("boxplot_by_position", sql=WITH + ", " + _box_by_sql("posicion_principal", PCOLS))
+def q_boxplot_by_position(spark, d):
+    """Every numeric column per position."""
+    return G.boxplot_stats(obs(spark, d), PCOLS, by=["posicion_principal"])
+
+
+@query("boxplot_by_foot", sql=WITH + ", " + _box_by_sql("pie_habil", PCOLS))
+def q_boxplot_by_foot(spark, d):
+    """Every numeric column per foot."""
+    return G.boxplot_stats(obs(spark, d), PCOLS, by=["pie_habil"])
+
+
+@query("boxplot_top_nationalities", sql=WITH + """,
+top AS (SELECT nacionalidad FROM player_obs WHERE nacionalidad IS NOT NULL GROUP BY nacionalidad
+        ORDER BY COUNT(*) DESC, nacionalidad LIMIT 15),
+t AS (SELECT * FROM player_obs SEMI JOIN top USING (nacionalidad)),
+""" + _box_by_sql("nacionalidad", [TARGET], "t"))
+def q_boxplot_top_nationalities(spark, d):
+    """G10 + J8: box statistics for the 15 most frequent nationalities."""
+    df = obs(spark, d)
+    top = G.top_categories(df, "nacionalidad", 15).select("nacionalidad")
+    return G.boxplot_stats(df.join(top, "nacionalidad", "left_semi"), [TARGET], by=["nacionalidad"])
+
+
 @query("boxplot_top_categories", sql=WITH + """,
 top AS (SELECT liga_actual FROM player_obs WHERE liga_actual IS NOT NULL GROUP BY liga_actual
         ORDER BY COUNT(*) DESC, liga_actual LIMIT 15),
