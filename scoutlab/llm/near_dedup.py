@@ -168,6 +168,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    return _judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, h1, h2, n_shingles, component_id, kept."""
     rows = settle(signed(docs).withColumn("rid", F.monotonically_increasing_id()), "near-signed")
     key = ["h1", "h2", "n_shingles"]
     classes = settle(rows.filter("n_shingles > 0").groupBy(*key).agg(
@@ -233,11 +238,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & (F.col("n_shingles") == F.col("_n_shingles"))
     joined = rows.select("doc_id", *key).join(named, same, "left")
     component = F.when(F.col("_h1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return joined.select("doc_id", *key, component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are not kept, same columns."""
-    gone = settle(near_duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    return packed(docs, "doc_id").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select("_row.*")
+    """``docs`` without the rows that are not kept, same columns.
+
+    Rows go by doc_id; only where some rows of a doc_id are kept and others are
+    not, the rows of these ids are signed again and go by id and text.
+    """
+    judged = settle(_judged(docs).filter("doc_id IS NOT NULL").select("doc_id", "h1", "h2", "n_shingles", "kept").distinct(), "near-judged")
+    gone = judged.filter("NOT kept").withColumnsRenamed({"doc_id": "_gone", "h1": "_h1", "h2": "_h2", "n_shingles": "_n"}).drop("kept")
+    ids = gone.select("_gone").distinct()
+    out = packed(docs, "doc_id").join(ids, F.col("doc_id") == F.col("_gone"), "left_anti").select("_row.*")
+    both = settle(judged.filter("kept").join(ids, F.col("doc_id") == F.col("_gone"), "left_semi").select(F.col("doc_id").alias("_both")).distinct(), "near-both")
+    if both.isEmpty():
+        return out
+    again = settle(packed(docs, "doc_id", "text").join(both, F.col("doc_id") == F.col("_both"), "left_semi")
+                   .withColumn("_rid", F.monotonically_increasing_id()), "near-again")
+    signs = signed(again.select(F.col("_rid").alias("doc_id"), "text")).select(F.col("doc_id").alias("_id"), "h1", "h2", "n_shingles")
+    same = ((F.col("doc_id") == F.col("_gone")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
+            & (F.col("n_shingles") == F.col("_n")))
+    return out.unionByName(again.join(signs, F.col("_rid") == F.col("_id")).join(gone, same, "left_anti").select("_row.*"))

@@ -96,3 +96,12 @@ def test_components_of_chains_and_stars(spark):
 
 def test_empty(no_docs):
     assert near_duplicates(no_docs).count() == 0 and drop_near_copies(no_docs).count() == 0
+
+
+def test_a_kept_row_stays_where_its_id_has_a_near_copy_too(spark):
+    a = " ".join(f"a{i}" for i in range(200))
+    near, b = a.replace("a100", "changed"), " ".join(f"b{i}" for i in range(50))
+    rows = [(3, near), (5, a), (5, b), (5, a), (5, None), (6, a), (7, b), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in drop_near_copies(docs).collect())
+    assert kept == Counter([(3, near), (5, b), (5, None), (None, a)])
