@@ -45,17 +45,18 @@ class WordIds:
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words in order.  Words are cut at ASCII spaces and
     line ends only; any other white space stays in a word and is left to the
-    tokenizer.
+    tokenizer.  The file's added tokens written out in a text are plain text with
+    ``literal``; without it, as in the packing, they are what the file says.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         # For ASCII letters the file's normalizer only lower-cases and its
         # splitter keeps a word whole, so they need the model alone.
         self.letters = Tokenizer(self.tokenizer.model)
@@ -77,7 +78,7 @@ class WordIds:
 
         held = sys.__dict__.setdefault("_word_ids", {})
         if path not in held:
-            held[path] = cls(path)
+            held[path] = cls(path, literal=False)
         return held[path]
 
     def _learn_groups(self, tokenizer, words: list[str]) -> None:

@@ -84,3 +84,16 @@ def test_crc_of_ids_is_little_endian(spark):
 
 def test_empty(no_docs):
     assert pack(no_docs, PATH).count() == 0
+
+
+def test_written_out_added_tokens_are_read_as_the_plain_tokenizer_reads_them(spark):
+    plain = Tokenizer.from_file(PATH)
+    added = [str(x.content) for x in plain.get_added_tokens_decoder().values()]
+    texts = [f"{a}{t}{b}" for t in [*added, "<|endoftext|>", "<|ENDOFTEXT|>"] for a in ("", "one", "One, ", "two\n", "x.")
+             for b in ("", "end", " End", ".", t, f" {t}", "\tx")]
+    got = [ids.tolist() for ids in WordIds.shared(PATH)(texts)]
+    assert got == [e.ids + [END_ID] for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert 49407 in got[texts.index("<|endoftext|>")]
+    piece = pack(spark.createDataFrame([(1, "one <|endoftext|>")], "doc_id long, text string"), PATH).collect()
+    want = plain.encode("one <|endoftext|>", add_special_tokens=False).ids + [END_ID]
+    assert b"".join(bytes(p.ids) for p in sorted(piece, key=lambda p: p.start)) == b"".join(i.to_bytes(4, "little") for i in want)
