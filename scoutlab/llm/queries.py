@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoutlab.llm import exact_dedup, html_extract, license_scan, mixing, near_dedup, packing, quality, sharding, substring_dedup, url_filter
+from scoutlab.llm import (decontamination, exact_dedup, html_extract, license_scan, mixing, near_dedup, packing, periodic_runs, quality,
+                          sharding, substring_dedup, url_filter, whitening)
 from scoutlab.llm.common import settle, table
 from scoutlab.llm.registry import ORACLE as LLM_ORACLE, QUERIES as LLM_QUERIES, query
 
@@ -173,3 +174,35 @@ def op4_suffix_dedup(spark, sf_dir):
 @query("op6_license_scan")
 def op6_license_scan(spark, sf_dir):
     return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(docs, periodic_runs.periodic_tail(F.col("doc_id"), F.col("text")))
+    run = "struct<start: long, length: long, period: long>"
+    none = F.lit(None).cast(run)
+    # runs come by start, then period, so the first of those that tie stays
+    best = F.aggregate("runs", none, lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    return found.select("_row.doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words").select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256", "n_words")
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op13_decontamination")
+def op13_decontamination(spark, sf_dir):
+    found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
