@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -33,15 +34,50 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_SCRATCH: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+class Scratch:
+    """Tables settled within ``with Scratch() as s:`` are deleted at its end, but
+    those given to ``s.keep``.
+
+    For the intermediates of what is itself settled and kept: nothing needs them
+    any more, and a lost executor is no reason to read them again.
+    """
+
+    def __init__(self) -> None:
+        self.paths: dict[str, SparkSession] = {}
+
+    def __enter__(self) -> Scratch:
+        self._outer = _SCRATCH.set(self)
+        return self
+
+    def keep(self, settled: DataFrame) -> DataFrame:
+        self.paths.pop(settled._settled, None)
+        return settled
+
+    def __exit__(self, *failure) -> None:
+        _SCRATCH.reset(self._outer)
+        for path, spark in self.paths.items():
+            file = spark._jvm.org.apache.hadoop.fs.Path(path)
+            file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, True)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage at files that survive the loss of an executor, fixes
-    what is not repeatable (row ids), and gives the optimizer true sizes.
+    what is not repeatable (row ids), and gives the optimizer true sizes.  Within
+    a :class:`Scratch` the files are deleted when it ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled = path
+    if (scratch := _SCRATCH.get()) is not None:
+        scratch.paths[path] = spark
+    return out
 
 
 def numbered(df: DataFrame, keys: list[str], rid: str, out: str) -> DataFrame:

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from scoutlab.llm.common import lower_ascii, packed, settle
+from scoutlab.llm.common import Scratch, lower_ascii, packed, settle, small_side
 
 # Fingerprints expected in one merged cut of the filters (16 bytes each).
 CUT_ROWS = 1 << 18
@@ -136,11 +136,14 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, same columns.
 
     The row of :func:`exact_duplicates`; of rows that also repeat its doc_id, one.
+    The groups (a narrow row for each text that has copies) are broadcast where
+    they are counted to be small; whole rows are shuffled only beyond that.
     """
     norm = lower_ascii(F.coalesce(F.col("text"), F.lit("")))
-    groups = copy_groups(docs)
-    wanted = groups.select(F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_keep"),
-                           F.col("repeated").alias("_repeated"))
+    with Scratch() as scratch:
+        groups = scratch.keep(copy_groups(docs))
+    wanted = small_side(groups, 120).select(F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_keep"),
+                                            F.col("repeated").alias("_repeated"))
     joined = packed(docs, "doc_id", F.sha2(norm.cast("binary"), 256).alias("_sha")).join(wanted, "_sha", "left")
     stays = F.col("_repeated").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep"))
     once = joined.filter(stays & ~F.coalesce("_repeated", F.lit(False))).select("_row.*")

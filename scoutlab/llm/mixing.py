@@ -26,7 +26,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scoutlab.llm.common import numbered, packed, settle, words
+from scoutlab.llm.common import Scratch, numbered, packed, settle, small_side, words
 
 # Words in a block, and so in a slot of the schedule.
 BLOCK = 1024
@@ -170,11 +170,13 @@ def mixed_documents(docs: DataFrame, seed: int = 42, block: int = BLOCK) -> Data
     doc_id and text, so rows that repeat both share their words.
     """
     keyed = packed(docs, "doc_id", "source", "text", F.xxhash64("doc_id", "text").alias("_key"))
-    takes = mix(keyed, seed, block, carry=("_key",))
-    times = (takes.groupBy(F.col("doc_id").alias("_doc"), F.col("_key").alias("_k"))
-             .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-             .withColumn("_times", F.floor(F.col("_taken") / F.greatest("_size", F.lit(1)) + 0.5).cast("int"))
-             .filter("_times > 0").select("_doc", "_k", "_times"))
+    with Scratch() as scratch:
+        takes = mix(keyed, seed, block, carry=("_key",))
+        times = (takes.groupBy(F.col("doc_id").alias("_doc"), F.col("_key").alias("_k"))
+                 .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+                 .withColumn("_times", F.floor(F.col("_taken") / F.greatest("_size", F.lit(1)) + 0.5).cast("int"))
+                 .filter("_times > 0").select("_doc", "_k", "_times"))
+        times = small_side(scratch.keep(settle(times, "mix-times")), 64)
     joined = keyed.join(times, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     return (joined.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
             .select("_row.*"))

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scoutlab.llm.common import packed, settle, small_side
+from scoutlab.llm.common import Scratch, packed, settle, small_side
 from scoutlab.llm.components import components
 from scoutlab.llm.shingles import mix, shingle_sets
 
@@ -245,11 +245,14 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are not kept, same columns.
 
     Rows go by doc_id; only where some rows of a doc_id are kept and others are
-    not, the rows of these ids are signed again and go by id and text.
+    not, the rows of these ids are signed again and go by id and text.  The ids
+    are broadcast where they are counted to be few; whole rows are shuffled only
+    beyond that.
     """
-    judged = settle(_judged(docs).filter("doc_id IS NOT NULL").select("doc_id", "h1", "h2", "n_shingles", "kept").distinct(), "near-judged")
+    with Scratch() as scratch:
+        judged = scratch.keep(settle(_judged(docs).filter("doc_id IS NOT NULL").select("doc_id", "h1", "h2", "n_shingles", "kept").distinct(), "near-judged"))
     gone = judged.filter("NOT kept").withColumnsRenamed({"doc_id": "_gone", "h1": "_h1", "h2": "_h2", "n_shingles": "_n"}).drop("kept")
-    ids = gone.select("_gone").distinct()
+    ids = small_side(settle(gone.select("_gone").distinct(), "near-gone"), 24)
     out = packed(docs, "doc_id").join(ids, F.col("doc_id") == F.col("_gone"), "left_anti").select("_row.*")
     both = settle(judged.filter("kept").join(ids, F.col("doc_id") == F.col("_gone"), "left_semi").select(F.col("doc_id").alias("_both")).distinct(), "near-both")
     if both.isEmpty():
