@@ -13,24 +13,25 @@ Pipeline for one puzzle row (FEN, Moves):
    centres of mass; C15 a finished game (mate, stalemate, insufficient
    material, 75-move rule) gives the empty features.
 
-All of it is row-local JVM work (``F.expr`` over higher-order functions),
-so the feature table is a narrow map of the puzzle table: no shuffle, and
-the features are joined to nothing — they are computed in place, which
-also replaces the reference's positional concat (J7).
+All of it is a narrow map of the puzzle table: no shuffle, and the features are
+joined to nothing — they are computed in place, which also replaces the
+reference's positional concat (J7).  FENs are parsed by built-in functions; the
+counts of a whole Arrow batch are arithmetic on arrays of 64-bit masks
+(:mod:`masks`), a few microseconds a position, where lambdas over 64-cell arrays took
+milliseconds.  The move lists themselves (C11) are column expressions.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scoutlab.operators.chess import sqlgen as G
-from scoutlab.session import checkpoint_dir
-
-# Material weights used by the entropy and centre-of-mass
-# features (pawn 1, knight 3, bishop 3, rook 5, queen 9, king 0).
-PIECE_MASS = {"p": 1, "n": 3, "b": 3, "r": 5, "q": 9, "k": 0}
+from scoutlab.operators.chess import masks as M, sqlgen as G
 
 EMPTY_FEATURES = {"branching_factor": 0, "forcing_index": 0.0, "graph_density": 0.0,
                   "tension_components": 0, "spatial_entropy": 0.0, "com_chebyshev_dist": 0.0}
@@ -119,91 +120,99 @@ def with_legal_moves(df: DataFrame, prefix: str = "") -> DataFrame:
     return df.withColumn(f"{prefix}legal", F.when(F.col(f"{prefix}fen_ok"), F.expr(e)))
 
 
-def move_counts(df: DataFrame, prefix: str = "") -> DataFrame:
-    """C12 + C13: branching factor and forcing index of the side to move."""
-    bd, w = f"`{prefix}bd`", f"`{prefix}white`"
-    forcing = (f"size(filter(`{prefix}legal`, x -> {G.is_capture(bd, 'x.m')} OR "
-               f"{G.king_in_danger('x.b', f'NOT ({w})')}))")
-    return (df.withColumn("branching_factor", F.size(f"{prefix}legal"))
-            .withColumn("_forcing", F.expr(forcing))
-            .withColumn("forcing_index", F.when(F.col("branching_factor") > 0,
-                                                F.col("_forcing") / F.col("branching_factor"))
-                        .otherwise(F.lit(0.0)))
-            .drop("_forcing"))
-
-
-def in_check(bd: str, white: str) -> Column:
-    """C14: the side to move is in check."""
-    return F.expr(G.king_in_danger(bd, white))
-
-
-def graph_metrics(bd: str = "bd") -> tuple[Column, Column, Column, Column]:
-    """C6-C8 on a board column: pieces V, attack edges E onto occupied
-    squares, density E/(V(V-1)) (0 when V <= 1) and the number of weakly
-    connected components (union-find over 64-bit square masks)."""
-    occ = f"(element_at({bd}, s + 1) != '.')"
-    edges = (f"flatten(transform(sequence(0, 63), s -> IF({occ}, "
-             f"transform(filter({G.attack_targets(bd, 's')}, t -> element_at({bd}, t + 1) != '.'), "
-             f"t -> shiftleft(1L, s) | shiftleft(1L, t)), CAST(array() AS ARRAY<BIGINT>))))")
-    nodes = f"transform(filter(sequence(0, 63), s -> {occ}), s -> shiftleft(1L, s))"
-    comps = (f"aggregate({edges}, {nodes}, (acc, m) -> concat(filter(acc, c -> (c & m) = 0), "
-             f"array(aggregate(filter(acc, c -> (c & m) != 0), 0L, (z, c) -> z | c))))")
-    v = F.expr(f"size(filter({bd}, p -> p != '.'))")
-    e = F.expr(f"size({edges})")
-    dens = F.when(v > 1, e / (v * (v - 1))).otherwise(F.lit(0.0))
-    return v, e, dens, F.expr(f"IF(size(filter({bd}, p -> p != '.')) > 0, size({comps}), 0)")
-
-
-def _mass(p: str) -> str:
-    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in PIECE_MASS.items())
-    return f"(CASE lower({p}) {cases} ELSE 0 END)"
-
-
-def spatial_entropy(bd: str = "bd") -> Column:
-    """Entropy (natural log) of material over the four quadrants
-    (files a-d / e-h x ranks 1-4 / 5-8); 0 when there is no material."""
-    def quad(cond: str) -> str:
-        return (f"aggregate(sequence(0, 63), 0D, (a, s) -> a + IF({cond}, "
-                f"{_mass(f'element_at({bd}, s + 1)')}, 0))")
-    qs = [quad("s % 8 < 4 AND s div 8 < 4"), quad("s % 8 >= 4 AND s div 8 < 4"),
-          quad("s % 8 < 4 AND s div 8 >= 4"), quad("s % 8 >= 4 AND s div 8 >= 4")]
-    total = "aggregate(qs, 0D, (b, z) -> b + z)"
-    return F.expr(f"transform(array(array({', '.join(qs)})), qs -> IF({total} = 0, 0D, "
-                  f"aggregate(filter(qs, m -> m > 0), 0D, (a, m) -> a - (m / {total}) * ln(m / {total}))))[0]")
-
-
-def com_chebyshev(bd: str = "bd") -> Column:
-    """Chebyshev distance between White's and Black's material
-    centres of mass; 0 when either side has no material."""
-    def tot(white: bool, w: str) -> str:
-        side = "upper" if white else "lower"
-        return (f"aggregate(sequence(0, 63), 0D, (a, s) -> a + IF(element_at({bd}, s + 1) != '.' AND "
-                f"element_at({bd}, s + 1) = {side}(element_at({bd}, s + 1)), "
-                f"{_mass(f'element_at({bd}, s + 1)')} * {w}, 0))")
-    sums = [tot(True, "1"), tot(True, "(s % 8)"), tot(True, "(s div 8)"),
-            tot(False, "1"), tot(False, "(s % 8)"), tot(False, "(s div 8)")]
-    return F.expr(f"transform(array(array({', '.join(sums)})), v -> IF(v[0] = 0 OR v[3] = 0, 0D, "
-                  f"greatest(abs(v[1] / v[0] - v[4] / v[3]), abs(v[2] / v[0] - v[5] / v[3]))))[0]")
-
-
-def insufficient_material(bd: str = "bd") -> Column:
-    """Both sides lack mating material (standard rules)."""
-    def has(letters: str) -> str:
-        return f"exists({bd}, p -> p IN ({', '.join(repr(x) for x in letters)}))"
-
-    def side(white: bool) -> str:
-        own = "PNBRQK" if white else "pnbrqk"
-        opp_minor = "PNBR" if not white else "pnbr"  # opponent pieces other than king and queen
-        p_, n_, b_, r_, q_ = own[0], own[1], own[2], own[3], own[4]
-        n_own = f"size(filter({bd}, p -> p IN ({', '.join(repr(x) for x in own)})))"
-        bishops = f"filter(sequence(0, 63), s -> lower(element_at({bd}, s + 1)) = 'b')"
-        same_colour = (f"(forall({bishops}, s -> (s % 8 + s div 8) % 2 = 0) OR "
-                       f"forall({bishops}, s -> (s % 8 + s div 8) % 2 = 1))")
-        return (f"(CASE WHEN {has(p_ + r_ + q_)} THEN false "
-                f"WHEN {has(n_)} THEN {n_own} <= 2 AND NOT {has(opp_minor)} "
-                f"WHEN {has(b_)} THEN {same_colour} AND NOT {has('Pp')} AND NOT {has('Nn')} "
-                f"ELSE true END)")
-    return F.expr(f"({side(True)} AND {side(False)})")
+STATE = ("bd", "white", "castling", "ep")
+
+
+def _batch(rows: pa.RecordBatch) -> tuple[np.ndarray, M.Batch]:
+    """Which rows hold a position (columns _cells, _white, _castling, _ep), and these."""
+    cells = rows.column("_cells")
+    there = np.flatnonzero(np.asarray(pc.equal(pc.fill_null(pc.utf8_length(cells), 0), 64)))
+    some = rows.take(pa.array(there))
+    text = np.frombuffer("".join(some.column("_cells").to_pylist()).encode("ascii"), np.uint8).reshape(-1, 64)
+    ep = np.asarray(some.column("_ep").fill_null(-1), np.int64)
+    return there, M.Batch(text, np.asarray(some.column("_white").to_pylist(), bool), np.array(some.column("_castling").to_pylist() + [""], object)[:-1], ep)
+
+
+def _spread(n: int, there: np.ndarray, kind: pa.DataType, values) -> pa.Array:
+    """Values of the rows in ``there``; null in the others."""
+    at = np.full(n, -1)
+    at[there] = np.arange(len(there))
+    found = values if isinstance(values, pa.Array) else pa.array(values, kind)
+    return found.cast(kind).take(pa.array(at, mask=at < 0))
+
+
+def _by_batch(df: DataFrame, state: tuple[str, str, str, str], outputs: dict[str, str], fn, *more: Column) -> DataFrame:
+    """``df`` with the ``outputs`` (name -> type) that ``fn(rows, there, batch)`` gives as
+    (arrow type, values of the rows in ``there``); ``more`` columns travel to it."""
+    bd, white, castling, ep = state
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    sent = df.select(row.alias("_row"), F.when(F.col(bd).isNotNull(), F.concat_ws("", bd)).alias("_cells"), F.col(white).alias("_white"),
+                     F.coalesce(castling, F.lit("")).alias("_castling"), F.col(ep).cast("int").alias("_ep"), *more)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            there, batch = _batch(rows)
+            got = fn(rows, there, batch)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("_row"), *[_spread(rows.num_rows, there, *got[name]) for name in outputs]], ["_row", *outputs])
+
+    kind = ", ".join([f"_row {sent.schema['_row'].dataType.simpleString()}", *[f"{k} {v}" for k, v in outputs.items()]])
+    return sent.mapInArrow(run, kind).select("_row.*", *outputs)
+
+
+MEASURES = {"at_moves": "long", "at_forcing": "long", "at_odd": "boolean", "at_pieces": "long", "at_edges": "long", "at_parts": "long",
+            "at_entropy": "double", "at_distance": "double", "at_dead": "boolean", "at_checked": "boolean"}
+
+
+def _measure(rows: pa.RecordBatch, there: np.ndarray, batch: M.Batch) -> dict[str, tuple]:
+    moves, forcing, odd = batch.counts()
+    entropy, distance, dead = batch.material()
+    counts = {"at_moves": moves, "at_forcing": forcing, "at_pieces": M.bits(batch.occ), "at_edges": batch.edges(), "at_parts": batch.components()}
+    flags = {"at_odd": odd, "at_dead": dead, "at_checked": batch.checkers != 0}
+    return ({k: (pa.int64(), v) for k, v in counts.items()} | {k: (pa.bool_(), v) for k, v in flags.items()}
+            | {"at_entropy": (pa.float64(), entropy), "at_distance": (pa.float64(), distance)})
+
+
+def measured(df: DataFrame, state: tuple[str, str, str, str] = STATE) -> DataFrame:
+    """C6-C10 and C12-C15 of the positions in ``state`` (board, side, rights, en passant
+    square): adds at_moves and at_forcing (captures or checks) of the side to move,
+    at_pieces, at_edges (attacks on occupied squares), at_parts (weak components),
+    at_entropy (of the material over four quadrants), at_distance (of the sides' centres
+    of mass), at_dead (neither can mate), at_checked; null without a board.
+
+    Positions that legal play cannot give (see :meth:`masks.Batch.counts`) are played
+    out move by move instead."""
+    bd, white, castling, ep = state
+    df = _by_batch(df, state, MEASURES, _measure).withColumn(G.GEO, G.geometry_column())
+    df = df.withColumn("_odd", F.when(F.col("at_odd"), F.expr(legal_moves_expr(bd, white, castling, ep))))
+    forcing = F.expr(f"size(filter(_odd, x -> {G.is_capture(bd, 'x.m')} OR {G.king_in_danger('x.b', f'NOT ({white})')}))")
+    return df.withColumns({"at_moves": F.when(F.col("at_odd"), F.size("_odd")).otherwise(F.col("at_moves")),
+                           "at_forcing": F.when(F.col("at_odd"), forcing).otherwise(F.col("at_forcing"))}).drop("_odd", "at_odd", G.GEO)
+
+
+def _density() -> Column:
+    v = F.col("at_pieces")
+    return F.when(v > 1, F.col("at_edges") / (v * (v - 1))).otherwise(F.lit(0.0)).cast("double")
+
+
+def _forcing_index() -> Column:
+    n = F.col("at_moves")
+    return F.when(n > 0, F.col("at_forcing") / n).otherwise(F.lit(0.0))
+
+
+def _strings(cells: np.ndarray) -> list[str]:
+    flat = cells.tobytes().decode("ascii")
+    return [flat[i:i + 64] for i in range(0, len(flat), 64)]
+
+
+def _first_move(rows: pa.RecordBatch, there: np.ndarray, batch: M.Batch) -> dict[str, tuple]:
+    some = rows.take(pa.array(there))
+    given = np.asarray(some.column("_fr").is_valid())
+    fr, to, promo = (np.asarray(some.column(c).fill_null(0), np.int64) for c in ("_fr", "_to", "_promo"))
+    ok = given & batch.legal(fr, to, promo > 0)
+    after, reset = batch.play(*(np.where(ok, x, 0) for x in (fr, to, promo)))  # a piece put on its own square where not
+    return {"move_ok": (pa.bool_(), ok), "_board": (pa.string(), _strings(after.cells)), "a_castling": (pa.string(), after.castling.tolist()),
+            "a_ep": (pa.int32(), pa.array(after.ep, mask=after.ep < 0)), "_reset": (pa.bool_(), reset)}
 
 
 def apply_first_move(df: DataFrame, moves: str = "Moves") -> DataFrame:
@@ -211,35 +220,17 @@ def apply_first_move(df: DataFrame, moves: str = "Moves") -> DataFrame:
     moves of the parsed FEN position and build the position after it
     (``a_bd``, ``a_white``, ``a_castling``, ``a_ep``, ``a_halfmove``) and
     ``move_ok``."""
+    df = df.drop(G.GEO)
     first = F.split(F.coalesce(F.col(moves), F.lit("")), " ").getItem(0)
-    # only the moving piece's legal moves are needed to validate the move
-    legal_from = legal_moves_expr("bd", "white", "castling", "ep", squares="array(_mv.fr)")
-    out = (df.withColumn("_mv", parse_uci(first))
-           .withColumn("_hit", F.when(F.col("fen_ok") & F.col("_mv").isNotNull(), F.expr(
-               f"filter({legal_from}, x -> x.m.fr = _mv.fr AND x.m.to = _mv.to AND x.m.pr <=> _mv.pr)"))
-               .otherwise(F.expr("filter(array(named_struct('m', named_struct('fr', 0, 'to', 0, "
-                                 "'pr', CAST(NULL AS STRING)), 'b', CAST(array() AS ARRAY<STRING>))), x -> false)")))
-           .withColumn("move_ok", F.coalesce(F.col("fen_ok") & F.col("_mv").isNotNull()
-                                             & (F.size("_hit") == 1), F.lit(False))))
-    pc = "element_at(bd, _mv.fr + 1)"
-    captured = "element_at(bd, _mv.to + 1)"
-    is_pawn = f"lower({pc}) = 'p'"
-    is_cap = f"({captured} != '.' OR ({is_pawn} AND _mv.fr % 8 != _mv.to % 8))"
-    # castling rights lost by a king move or by a rook leaving / being taken on its corner
-    rights = (
-        "array_join(filter(array('K', 'Q', 'k', 'q'), r -> instr(castling, r) > 0 AND NOT ("
-        f"(r IN ('K', 'Q') AND {pc} = 'K') OR (r IN ('k', 'q') AND {pc} = 'k') OR "
-        "(r = 'K' AND (_mv.fr = 7 OR _mv.to = 7)) OR (r = 'Q' AND (_mv.fr = 0 OR _mv.to = 0)) OR "
-        "(r = 'k' AND (_mv.fr = 63 OR _mv.to = 63)) OR (r = 'q' AND (_mv.fr = 56 OR _mv.to = 56)))), '')")
-    return (out
-            .withColumn("a_bd", F.when(F.col("move_ok"), F.expr("_hit[0].b")))
-            .withColumn("a_white", ~F.col("white"))
-            .withColumn("a_castling", F.when(F.col("move_ok"), F.expr(rights)))
-            .withColumn("a_ep", F.when(F.col("move_ok"), F.expr(
-                f"IF({is_pawn} AND abs(_mv.to - _mv.fr) = 16, CAST((_mv.to + _mv.fr) / 2 AS INT), NULL)")))
-            .withColumn("a_halfmove", F.when(F.col("move_ok"), F.expr(
-                f"IF({is_pawn} OR {is_cap}, 0, halfmove + 1)")))
-            .drop("_hit"))
+    mv = parse_uci(first)
+    outputs = {"move_ok": "boolean", "_board": "string", "a_castling": "string", "a_ep": "int", "_reset": "boolean"}
+    out = _by_batch(df, STATE, outputs, _first_move, mv["fr"].alias("_fr"), mv["to"].alias("_to"), F.ascii(mv["pr"]).alias("_promo"))
+    out = out.withColumn("move_ok", F.coalesce(F.col("move_ok"), F.lit(False)))
+    ok, cells = F.col("move_ok"), F.expr("transform(sequence(1, 64), i -> substr(_board, i, 1))")
+    return out.withColumns({
+        "a_bd": F.when(ok, cells), "a_white": ~F.col("white"), "a_castling": F.when(ok, F.col("a_castling")), "a_ep": F.when(ok, F.col("a_ep")),
+        "a_halfmove": F.when(ok, F.when(F.col("_reset"), F.lit(0)).otherwise(F.col("halfmove") + 1)),
+    }).drop("_board", "_reset")
 
 
 def chess_features(df: DataFrame, fen: str = "FEN", moves: str = "Moves",
@@ -247,23 +238,20 @@ def chess_features(df: DataFrame, fen: str = "FEN", moves: str = "Moves",
     """C17: the whole feature pipeline (``muestra`` -> ``muestra_procesada``):
     the input columns plus the six features, empty values on any failure
     or on a finished game."""
-    base = apply_first_move(parse_fen(df, fen), moves)
-    after = with_legal_moves(base.withColumn("a_fen_ok", F.col("move_ok")), prefix="a_")
-    bf = F.size("a_legal")
-    forcing = F.expr("size(filter(a_legal, x -> " + G.is_capture("a_bd", "x.m") + " OR "
-                     + G.king_in_danger("x.b", "NOT (a_white)") + "))")
-    v, e, dens, comps = graph_metrics("a_bd")
-    over = (bf == 0) | insufficient_material("a_bd") | (F.col("a_halfmove") >= 150)
+    cols = keep if keep is not None else df.columns
+    after = apply_first_move(parse_fen(df, fen), moves)
+    after = measured(after, ("a_bd", "a_white", "a_castling", "a_ep"))
+    n = F.col("at_moves")
+    over = (n == 0) | F.col("at_dead") | (F.col("a_halfmove") >= 150)
     good = F.col("move_ok") & ~F.coalesce(over, F.lit(True))
     feats = {
-        "branching_factor": bf.cast("int"),
-        "forcing_index": F.when(bf > 0, forcing / bf).otherwise(F.lit(0.0)),
-        "graph_density": dens.cast("double"),
-        "tension_components": comps.cast("int"),
-        "spatial_entropy": spatial_entropy("a_bd"),
-        "com_chebyshev_dist": com_chebyshev("a_bd"),
+        "branching_factor": n.cast("int"),
+        "forcing_index": _forcing_index(),
+        "graph_density": _density(),
+        "tension_components": F.col("at_parts").cast("int"),
+        "spatial_entropy": F.col("at_entropy"),
+        "com_chebyshev_dist": F.col("at_distance"),
     }
-    cols = keep if keep is not None else df.columns
     return after.select(*cols, *[F.when(good, c).otherwise(F.lit(EMPTY_FEATURES[n])).alias(n)
                                  for n, c in feats.items()])
 
@@ -272,16 +260,38 @@ def board_features(df: DataFrame, fen: str = "FEN", keep: list[str] | None = Non
     """The same measurements on the FEN position as written (no move
     pushed): legal moves, forcing index, V, E, density, components,
     entropy and centre-of-mass distance (the golden-table view)."""
-    base = with_legal_moves(parse_fen(df, fen))
-    base = move_counts(base)
-    v, e, dens, comps = graph_metrics("bd")
     cols = keep if keep is not None else df.columns
-    return base.select(*cols, "fen_ok", "branching_factor", "forcing_index",
-                       v.alias("n_pieces"), e.alias("n_edges"), dens.cast("double").alias("graph_density"),
-                       comps.cast("int").alias("tension_components"),
-                       spatial_entropy("bd").alias("spatial_entropy"),
-                       com_chebyshev("bd").alias("com_chebyshev_dist"),
-                       in_check("bd", "white").alias("in_check"))
+    base = measured(parse_fen(df, fen).drop(G.GEO))
+    return base.select(*cols, "fen_ok", F.col("at_moves").cast("int").alias("branching_factor"),
+                       _forcing_index().alias("forcing_index"), F.col("at_pieces").cast("int").alias("n_pieces"),
+                       F.col("at_edges").cast("int").alias("n_edges"), _density().alias("graph_density"),
+                       F.col("at_parts").cast("int").alias("tension_components"), F.col("at_entropy").alias("spatial_entropy"),
+                       F.col("at_distance").alias("com_chebyshev_dist"), F.col("at_checked").alias("in_check"))
+
+
+_STEPS = pa.list_(pa.struct([("move", pa.string()), ("board", pa.string())]))
+_UCI = re.compile(r"([a-h])([1-8])([a-h])([1-8])([qrbn]?)")
+
+
+def _replay(rows: pa.RecordBatch, there: np.ndarray, batch: M.Batch) -> dict[str, tuple]:
+    """All games of a batch move by move, each until its first malformed or illegal move."""
+    lists = rows.column("_played").take(pa.array(there)).to_pylist()
+    steps = [[{"move": None, "board": b}] for b in _strings(batch.cells)]
+    alive, ply = np.arange(len(there)), 0
+    while len(alive):
+        texts = [lists[g][ply] if ply < len(lists[g]) else "" for g in alive.tolist()]
+        found = [_UCI.fullmatch(t) for t in texts]
+        parts = [m.groups() if m else ("a", "1", "a", "1", "") for m in found]
+        fr, to = (np.array([ord(p[i]) - 97 + 8 * (int(p[i + 1]) - 1) for p in parts], np.int64) for i in (0, 2))
+        promo = np.array([ord(p[4]) if p[4] else 0 for p in parts], np.int64)
+        on = np.array([m is not None for m in found], bool) & batch.legal(fr, to, promo > 0)
+        batch = M.Batch(batch.cells[on], batch.white[on], batch.castling[on], batch.ep[on])
+        batch, _ = batch.play(fr[on], to[on], promo[on])
+        alive = alive[on]
+        for g, board in zip(alive.tolist(), _strings(batch.cells)):
+            steps[g].append({"move": lists[g][ply], "board": board})
+        ply += 1
+    return {"_steps": (_STEPS, pa.array(steps, _STEPS))}
 
 
 def replay_positions(df: DataFrame, key: str, fen: str = "FEN", moves: str = "Moves") -> DataFrame:
@@ -289,23 +299,12 @@ def replay_positions(df: DataFrame, key: str, fen: str = "FEN", moves: str = "Mo
     applied in order; ``flip`` is true when White is to move in the FEN (the
     solver plays Black).
 
-    The full state (board, side, rights, en passant square, clock) goes from
-    step to step, and a puzzle's replay stops before its first malformed or
-    illegal move.  Null or empty move lists give step 0 alone.  Each step is a
-    narrow map of the puzzles that got so far, checkpointed, so there are as
-    many rounds as the longest legal replay has moves."""
-    checkpoint_dir(df.sparkSession)
+    The full state (board, side, rights, en passant square) goes from step to
+    step, and a puzzle's replay stops before its first malformed or illegal move.
+    Null or empty move lists give step 0 alone.  One narrow job, whatever the
+    longest game: a batch's games are played on together."""
     played = F.filter(F.split(F.trim(F.coalesce(F.col(moves), F.lit(""))), r"\s+"), lambda m: m != "")
-    state = ["bd", "white", "castling", "ep", "halfmove"]
-    at = (parse_fen(df.select(key, fen, moves), fen).filter("fen_ok")
-          .select(key, F.col("white").alias("flip"), played.alias("_moves"),
-                  F.lit(0).alias("step"), F.lit(None).cast("string").alias("move"), *state)
-          .checkpoint(eager=True))
-    steps = [at]
-    while not (left := at.filter(F.size("_moves") > F.col("step"))).isEmpty():
-        now = (left.withColumns({"move": F.get(F.col("_moves"), F.col("step")), "fen_ok": F.lit(True), G.GEO: G.geometry_column()}))
-        at = (apply_first_move(now, "move").filter("move_ok")
-              .select(key, "flip", "_moves", (F.col("step") + 1).alias("step"), "move", *[F.col(f"a_{c}").alias(c) for c in state])
-              .checkpoint(eager=True))
-        steps.append(at)
-    return reduce(DataFrame.unionByName, steps).select(key, "step", "move", "flip", F.concat_ws("", "bd").alias("board"))
+    at = parse_fen(df.select(key, fen, moves), fen).filter("fen_ok").drop(G.GEO)
+    out = _by_batch(at, STATE, {"_steps": "array<struct<move: string, board: string>>"}, _replay, played.alias("_played"))
+    return (out.select(key, "white", F.posexplode("_steps").alias("step", "at"))
+            .select(key, "step", "at.move", F.col("white").alias("flip"), "at.board"))

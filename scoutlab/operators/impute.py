@@ -22,10 +22,14 @@ table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scoutlab.functions.scalar import MISSING_MARKER
@@ -105,9 +109,26 @@ def _axis(mask: str, values: Sequence[Column], after: Column | None = None) -> t
     return index, value
 
 
+def _widest_first(feats: Sequence[str], spreads: Sequence[float]) -> list[str]:
+    return [feats[i] for i in sorted(range(len(feats)), key=lambda i: -spreads[i])]
+
+
+def complete_points(donors: DataFrame, feats: Sequence[str], target: str, spreads: Sequence[float], k: int = 5) -> DataFrame:
+    """The donors of :func:`knn_search` with ``complete`` as its index holds them, written
+    once: what does not change between searches is given to it as ``kept``."""
+    feats = _widest_first(list(feats), spreads)
+    full = F.lit((1 << len(feats)) - 1).cast("long")
+    values = [F.col(f).cast("double").alias(f"d{i}") for i, f in enumerate(feats)]
+    points = donors.select("did", F.lit(target).alias("target"), F.col(target).cast("double").alias("tv"), *values, full.alias("D"), full.alias("S"))
+    same = Window.partitionBy(*[f"d{i}" for i in range(len(feats))]).orderBy("did")
+    points = points.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k).drop("_n")
+    checkpoint_dir(donors.sparkSession)
+    return points.withColumns({"x": F.col("d0"), "y": F.col("d1") if len(feats) > 1 else F.lit(0.0)}).checkpoint(eager=True)
+
+
 def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int = 5,
                spreads: Sequence[float] | None = None, n_donors: int | None = None,
-               targets: Sequence[str] | None = None, complete: bool = False) -> DataFrame:
+               targets: Sequence[str] | None = None, complete: bool = False, kept: DataFrame | None = None) -> DataFrame:
     """Exact k nearest donors per cell.
 
     ``cells``: ``cell_id, target, <feats>`` - a receiver row needing column
@@ -118,7 +139,8 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
 
     ``spreads`` (upper bounds of max - min per feature), ``n_donors`` and
     ``targets`` spare the job that measures them.  ``complete`` tells that no
-    feature is ever null, so that there is one presence pattern.
+    feature is ever null, so that there is one presence pattern; ``kept`` are further
+    donors, indexed by :func:`complete_points` in an earlier search.
     """
     feats = list(feats)
     if spreads is None or n_donors is None:
@@ -126,8 +148,7 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
         st = both.agg(*[(F.max(f) - F.min(f)).cast("double").alias(f"s{i}") for i, f in enumerate(feats)],
                       F.sum("_d").alias("n")).first()
         spreads, n_donors = [st[f"s{i}"] or 0.0 for i in range(len(feats))], st["n"] or 0
-    order = sorted(range(len(feats)), key=lambda i: -spreads[i])
-    feats = [feats[i] for i in order]
+    feats = _widest_first(feats, spreads)
     checkpoint_dir(cells.sparkSession)
     nf, width = len(feats), max([*spreads, 0.0]) * 1.001 + 1e-9
     levels = 1 + max(1, math.ceil(math.log(max(2, n_donors), 4)))
@@ -169,6 +190,8 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
 
     every = F.sequence(F.lit(0), F.lit(levels - 1))
     points, asked = axes(points, "d"), axes(asked, "r")
+    if kept is not None:
+        points = points.unionByName(kept)
     ladder = points.withColumn("level", F.explode(every)).withColumns({"gx": cell("x"), "gy": cell("y")})
     key = ["target", "D", "S", "level", "gx", "gy"]
 
@@ -223,15 +246,75 @@ def impute_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5) -> Dat
                         else F.col(c) for c in df.columns])
 
 
+# Most bytes of donors that the iterative imputer hands to every task.
+DONOR_BYTES = 32 << 20
+
+
+class _Donors:
+    """Donors in memory, sorted by their widest feature."""
+
+    def __init__(self, x: np.ndarray, target: np.ndarray, rank: np.ndarray):
+        self.axis = int(np.argmax(x.max(0) - x.min(0))) if len(x) else 0
+        order = np.argsort(x[:, self.axis], kind="stable")
+        self.x, self.target, self.rank = x[order], target[order], rank[order]
+        self.along = np.ascontiguousarray(self.x[:, self.axis])
+
+    def nearest(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(distance, rank, target) of the k nearest, ties by rank: the k-th distance in a
+        stretch around the query bounds the true one, and nothing outside the stretch
+        of that reach can be closer."""
+        at = int(np.searchsorted(self.along, q[self.axis]))
+        a, b = max(0, at - 8 * k), at + 8 * k
+        bound = np.sqrt(((self.x[a:b] - q) ** 2).sum(1))
+        if len(bound) >= k:
+            reach = np.partition(bound, k - 1)[k - 1] * (1 + 1e-12)
+            a, b = np.searchsorted(self.along, q[self.axis] - reach), np.searchsorted(self.along, q[self.axis] + reach, "right")
+        else:
+            a, b = 0, len(self.along)
+        dist = np.sqrt(((self.x[a:b] - q) ** 2).sum(1))
+        best = np.lexsort((self.rank[a:b], dist))[:k]
+        return dist[best], self.rank[a:b][best], self.target[a:b][best]
+
+
+def _filled(given: Broadcast, feats: list[str], f: str, k: int):
+    """mapInArrow body: column ``f`` of the rows that miss it, from the broadcast donors."""
+    at = feats.index(f)
+    others = [i for i in range(len(feats)) if i != at]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [_Donors(*p) for p in given.value if len(p[1])]
+        for batch in batches:
+            x = np.column_stack([np.asarray(batch.column(g), float) for g in feats]) if batch.num_rows else np.empty((0, len(feats)))
+            value = x[:, at].copy()
+            for i in np.flatnonzero(np.asarray(batch.column(f"_miss_{f}").to_pylist(), bool)):
+                found = [p.nearest(x[i, others], k) for p in parts]
+                dist, rank, target = (np.concatenate(v) for v in zip(*found))
+                value[i] = target[np.lexsort((rank, dist))[:k]].mean()
+            yield batch.set_column(batch.schema.get_field_index(f), f, pa.array(value))
+    return run
+
+
+def _arrays(rows: DataFrame, key: str, feats: list[str]) -> tuple[pa.Array, np.ndarray]:
+    table = rows.select(key, *feats).toArrow().combine_chunks()
+    return table.column(key).combine_chunks(), np.column_stack([np.asarray(table.column(g), float) for g in feats])
+
+
 def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5,
-                         max_iter: int = 10, tol: float = 1e-3) -> DataFrame:
+                         max_iter: int = 10, tol: float = 1e-3, donor_bytes: int = DONOR_BYTES) -> DataFrame:
     """IterativeImputer(KNeighborsRegressor(k), max_iter, tol) on
     ``feats``: start from column means, visit columns by ascending null
     count, predict each column's missing cells from the k nearest rows that
     observed it (Euclidean over the current values of the other columns),
     stop after ``max_iter`` sweeps or when ``max_row sum|dX| < tol *
-    max|X_observed|``.  The sweep loop runs on the driver; each visit is one
-    distributed search whose result is checkpointed, so plans stay flat."""
+    max|X_observed|``.
+
+    Rows without nulls never change: they are indexed once and kept through all
+    sweeps; only the rows with a null are rewritten, and they alone are indexed
+    anew as donors for each visit.  Where all rows' features are counted to fit in
+    ``donor_bytes``, donors are sorted arrays that are broadcast and a visit is one
+    narrow map over the rows with nulls.  Beyond that a visit is one distributed
+    search (:func:`knn_search`) with the kept index of complete rows.  Either way is
+    exact, ties go to the smallest key, and every visit's rows are checkpointed."""
     checkpoint_dir(df.sparkSession)
     feats = list(feats)
     st = df.agg(*[F.count_if(F.col(f).isNull()).alias(f"z_{f}") for f in feats],
@@ -242,27 +325,52 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     visit = [f for f in sorted(feats, key=lambda f: st[f"z_{f}"]) if 0 < st[f"z_{f}"] < st["n"]]
     if not visit:
         return df
-    cur = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
-                    *[F.coalesce(F.col(f).cast("double"), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
+    rows = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
+                     *[F.coalesce(F.col(f).cast("double"), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
+    holes = reduce(lambda a, b: a | b, [F.col(f"_miss_{f}") for f in visit])
+    whole, part = rows.filter(~holes), rows.filter(holes).checkpoint(eager=True)
     threshold = tol * float(st["amax"])
+    fits = st["n"] * 8 * (len(feats) + 2) <= donor_bytes
+    if fits:
+        names, fixed = _arrays(whole, key, feats)
+        holed = _arrays(part, key, feats)[0]
+        order = pc.sort_indices(pa.concat_arrays([names, holed]))
+        ranks = np.empty(len(order), np.int64)
+        ranks[np.asarray(order)] = np.arange(len(order))
+        place = dict(zip(holed.to_pylist(), ranks[len(names):].tolist()))
+    index: dict[str, DataFrame] = {}
+
+    def visited(part: DataFrame, f: str) -> DataFrame:
+        others = [g for g in feats if g != f]
+        spreads = [st[f"s_{g}"] or 0.0 for g in others]
+        if fits:
+            at, rest = feats.index(f), [feats.index(g) for g in others]
+            keys, moving = _arrays(part.filter(~F.col(f"_miss_{f}")), key, feats)
+            moved = np.array([place[v] for v in keys.to_pylist()], np.int64)
+            donors = [(fixed[:, rest], fixed[:, at], ranks[:len(names)]), (moving[:, rest], moving[:, at], moved)]
+            given = df.sparkSession.sparkContext.broadcast(donors)
+            return part.mapInArrow(_filled(given, feats, f, k), part.schema).checkpoint(eager=True)
+        if f not in index:
+            index[f] = complete_points(whole.select(F.col(key).alias("did"), *others, f), others, f, spreads, k)
+        cells = part.filter(F.col(f"_miss_{f}")).select(F.col(key).alias("cell_id"), F.lit(f).alias("target"), *others)
+        donors = part.filter(~F.col(f"_miss_{f}")).select(F.col(key).alias("did"), *others, f)
+        # Imputed values are means of observed ones, so the observed ranges
+        # bound every feature's spread in every sweep.
+        found = knn_search(cells, donors, others, k, spreads=spreads, n_donors=st["n"] - st[f"z_{f}"],
+                           targets=[f], complete=True, kept=index[f])
+        return (part.join(found, F.col(key) == F.col("cell_id"), "left")
+                .withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce("value", F.col(f))).otherwise(F.col(f)))
+                .drop("cell_id", "value").checkpoint(eager=True))
+
     for _ in range(max_iter):
-        prev = cur
+        part = part.withColumns({f"_was_{f}": F.col(f) for f in feats})
         for f in visit:
-            # Imputed values are means of observed ones, so the observed ranges
-            # bound every feature's spread in every sweep.
-            others = [g for g in feats if g != f]
-            cells = cur.filter(F.col(f"_miss_{f}")).select(F.col(key).alias("cell_id"), F.lit(f).alias("target"), *others)
-            donors = cur.filter(~F.col(f"_miss_{f}")).select(F.col(key).alias("did"), *others, f)
-            found = knn_search(cells, donors, others, k, spreads=[st[f"s_{g}"] or 0.0 for g in others],
-                               n_donors=st["n"] - st[f"z_{f}"], targets=[f], complete=True)
-            cur = (cur.join(found, F.col(key) == F.col("cell_id"), "left")
-                   .withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce("value", F.col(f))).otherwise(F.col(f)))
-                   .drop("cell_id", "value").checkpoint(eager=True))
-        moved = reduce(lambda x, y: x + y, [F.abs(F.col(f"a.{f}") - F.col(f"b.{f}")) for f in feats])
-        delta = cur.alias("a").join(prev.alias("b"), key).agg(F.max(moved)).first()[0] or 0.0
+            part = visited(part, f)
+        moved = reduce(lambda x, y: x + y, [F.abs(F.col(f) - F.col(f"_was_{f}")) for f in feats])
+        delta = part.agg(F.max(moved)).first()[0] or 0.0
         if delta < threshold:
             break
-    filled = cur.select(key, *[F.col(f).alias(f"_v_{f}") for f in feats])
+    filled = part.select(key, *[F.col(f).alias(f"_v_{f}") for f in feats])
     out = df.join(filled, key, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_v_{c}")).alias(c) if c in feats else F.col(c)
                         for c in df.columns])
@@ -288,6 +396,34 @@ def compare_numeric(original: DataFrame, variants: dict[str, DataFrame], cols: S
     return out
 
 
+def compare_density(original: DataFrame, variants: dict[str, DataFrame], key: str, cols: Sequence[str],
+                    grid_points: int = 200) -> DataFrame:
+    """G8 for G20: ``(col_name, variant, i, x, density)``, the curves of a column's
+    original and imputed values on one grid.  The frames are joined by ``key`` once."""
+    from scoutlab.operators.profile import kde_curves
+    joined = original.select(key, *[F.col(c).alias(f"original:{c}") for c in cols])
+    for name, frame in variants.items():
+        joined = joined.join(frame.select(key, *[F.col(c).alias(f"{name}:{c}") for c in cols]), key)
+    checkpoint_dir(original.sparkSession)
+    joined = joined.checkpoint(eager=True)  # read once per column
+    curves = [kde_curves(joined, [f"{name}:{c}" for name in ("original", *variants)], grid_points, shared=True) for c in cols]
+    parts = F.split("col_name", ":", 2)
+    return reduce(DataFrame.unionByName, curves).select(
+        parts[1].alias("col_name"), parts[0].alias("variant"), "i", "x", "density")
+
+
+def imputation_summary(before: DataFrame, after: DataFrame, used: dict[str, object]) -> DataFrame:
+    """Per column the nulls that were filled, the value used and the nulls left."""
+    cols = list(used)
+
+    def nulls(df: DataFrame) -> DataFrame:
+        return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+
+    b, a = nulls(before).first(), nulls(after).first()
+    rows = [(c, b[c] - a[c], None if used[c] is None else str(used[c]), a[c]) for c in cols]
+    return before.sparkSession.createDataFrame(rows, "col_name STRING, n_imputed LONG, value_used STRING, n_left LONG")
+
+
 def compare_categorical(before: DataFrame, after: DataFrame, c: str, top: int | None = 15,
                         marker: str = MISSING_MARKER) -> DataFrame:
     """G21 + J9: category counts before (nulls shown as the marker) and after

@@ -13,12 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scoutlab.functions.scalar import MISSING_MARKER
-from scoutlab.operators.profile import seeded_digest
+from scoutlab.operators.profile import seeded_digest, value_ranks
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
@@ -67,11 +65,17 @@ def standard_scale(df: DataFrame, stats: dict[str, tuple[float, float]]) -> Data
                        else F.col(c) for c in df.columns])
 
 
-def categories(train: DataFrame, c: str, marker: str = MISSING_MARKER) -> list[str]:
-    """Sorted categories of a column on the training rows (null -> marker)."""
-    rows = (train.select(F.coalesce(F.col(c), F.lit(marker)).alias(c)).distinct()
-            .orderBy(c).collect())
-    return [r[c] for r in rows]
+MAX_CATEGORIES = 10_000
+
+
+def categories(train: DataFrame, c: str, marker: str = MISSING_MARKER, most: int = MAX_CATEGORIES) -> list[str]:
+    """Sorted categories of a column on the training rows (null -> marker), for
+    explicit columns; a column with more than ``most`` is an error: a table cannot be
+    that wide, and :func:`encode` makes sparse vectors instead."""
+    rows = train.select(F.coalesce(F.col(c), F.lit(marker)).alias(c)).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{c} has more than {most} categories: use encode")
+    return sorted(r[c] for r in rows)
 
 
 def one_hot_columns(df: DataFrame, c: str, cats: Sequence[str], marker: str = MISSING_MARKER) -> DataFrame:
@@ -80,31 +84,54 @@ def one_hot_columns(df: DataFrame, c: str, cats: Sequence[str], marker: str = MI
     return df.select("*", *[(v == F.lit(cat)).cast("double").alias(f"{c}_{cat}") for cat in cats])
 
 
-def feature_pipeline(num_cols: Sequence[str], cat_cols: Sequence[str]) -> Pipeline:
-    """G25 + G26 as a Spark ML pipeline: categories sorted alphabetically,
-    unknown and null-marker handled by the 'keep' slot which is the dropped
-    one, then everything assembled into ``features``.  Numeric columns are
-    expected already scaled (:func:`standard_scale`) — Spark's
-    ``StandardScaler`` uses the sample std."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                         stringOrderType="alphabetAsc") for c in cat_cols]
-    ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in cat_cols], outputCols=[f"{c}__ohe" for c in cat_cols],
-                        dropLast=True, handleInvalid="keep")
-    asm = VectorAssembler(inputCols=[*num_cols, *[f"{c}__ohe" for c in cat_cols]], outputCol="features",
-                          handleInvalid="keep")  # a null numeric stays NaN, as in the reference
-    return Pipeline(stages=[*idx, ohe, asm])
+def category_index(train: DataFrame, cols: Sequence[str], marker: str = MISSING_MARKER) -> DataFrame:
+    """``(col_name, value, idx, n)``: every category of the training rows with its number
+    in sorted order (null -> marker) and the column's number of categories.
+
+    Distinct values are range-partitioned and numbered by a two-level prefix sum
+    (:func:`profile.value_ranks`): no task or driver holds a column's categories."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.coalesce(F.col(c).cast("string"), F.lit(marker)).alias("value")) for c in cols])
+    ranks = value_ranks(train.select(F.inline(pairs)).distinct())
+    return ranks.select("col_name", "value", F.col("before").cast("int").alias("idx"), F.col("n").cast("int").alias("n")).checkpoint(eager=True)
+
+
+def encode(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], index: DataFrame,
+           out: str = "features", marker: str = MISSING_MARKER) -> DataFrame:
+    """G25 + G26: adds ``out``, a sparse vector ``struct<size, indices, values>``: the
+    numeric columns, then per category column one slot per category and a last one
+    for values that the index lacks.  A null number is NaN, as in the reference.
+
+    Categories meet their number in one join per column, broadcast where Spark
+    measures the index to be small and split by AQE where one value is frequent."""
+    sizes = {r["col_name"]: r["n"] for r in index.groupBy("col_name").agg(F.max("n").alias("n")).collect()}
+    slots, offset = [], len(num_cols)
+    for i, c in enumerate(cat_cols):
+        n = sizes.get(c, 0)
+        side = index.filter(F.col("col_name") == c).select(F.col("value").alias(f"_v{i}"), F.col("idx").alias(f"_i{i}"))
+        df = df.join(side, F.coalesce(F.col(c).cast("string"), F.lit(marker)) == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+        slots.append(F.lit(offset) + F.coalesce(F.col(f"_i{i}"), F.lit(n)))
+        offset += n + 1
+    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in num_cols]
+    vector = F.struct(F.lit(offset).alias("size"), F.array(*[F.lit(i) for i in range(len(num_cols))], *slots).alias("indices"),
+                      F.array(*numbers, *[F.lit(1.0) for _ in slots]).alias("values"))
+    return df.withColumn(out, vector).drop(*[f"_i{i}" for i in range(len(cat_cols))])
+
+
+def dense(vector: str = "features") -> Column:
+    """A sparse vector of :func:`encode` as an array of doubles."""
+    v = F.col(vector)
+    return F.transform(F.sequence(F.lit(0), v["size"] - 1), lambda i: F.coalesce(
+        F.get(v["values"], F.array_position(v["indices"], i).cast("int") - 1), F.lit(0.0)))
 
 
 def feature_matrix(df: DataFrame, key: str, target: str, num_cols: Sequence[str], cat_cols: Sequence[str],
-                   drop: Sequence[str] = (), test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """G26 + G27: split, fit scaler and encoder on train only, transform
-    both sides; returns ``key, is_test, target, features``."""
-    data = df.drop(*[c for c in drop if c not in (key, target)])
-    data = data.select(key, target, *num_cols,
-                       *[F.coalesce(F.col(c), F.lit(MISSING_MARKER)).alias(c) for c in cat_cols])
-    split = train_test_split(data, key, test_size, seed)
+                   drop: Sequence[str] = (), test_size: float = 0.2, seed: int = 42, group: str | None = None) -> DataFrame:
+    """G26 + G27: split (by ``group`` where one is given, so that none is on both
+    sides), fit scaler and encoder on train only, transform both sides; returns
+    ``key, is_test, target, features``."""
+    data = df.drop(*[c for c in drop if c not in (key, target, group)])
+    data = data.select(key, target, *([group] if group else []), *num_cols, *cat_cols)
+    split = group_split(data, group, test_size, seed) if group else train_test_split(data, key, test_size, seed)
     train = split.filter(~F.col("is_test"))
-    stats = scaler_stats(train, num_cols)
-    scaled = standard_scale(split, stats)
-    model = feature_pipeline(num_cols, cat_cols).fit(scaled.filter(~F.col("is_test")))
-    return model.transform(scaled).select(key, "is_test", target, "features")
+    scaled = standard_scale(split, scaler_stats(train, num_cols))
+    return encode(scaled, num_cols, cat_cols, category_index(train, cat_cols)).select(key, "is_test", target, "features")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from scoutlab.operators.selection import quantiles
+
 VALUE = "valor_mercado_eur_TARGET"
 KEY = "obs_id"
 
@@ -125,12 +127,14 @@ def top100_value(df: DataFrame, n: int = 100, key: str = KEY) -> DataFrame:
 
 def football_kpis(df: DataFrame) -> DataFrame:
     """Row count, mean value (M), median age, total goals, max value (M).
-    The median is exact (``percentile``), as pandas computes it."""
+    The median is exact, as pandas computes it, by bracketed selection."""
     v = F.col(VALUE).try_cast("double")
+    age = df.select(F.col("edad_al_momento").try_cast("double").alias("age"))
+    median = quantiles(age, ["age"], [0.5])[()]["age", 0.5]
     return df.agg(
         F.count(F.lit(1)).alias("total_players"),
         (F.avg(v) / 1e6).alias("mean_value_m"),
-        F.percentile(F.col("edad_al_momento").try_cast("double"), 0.5).alias("median_age"),
+        F.lit(median).cast("double").alias("median_age"),
         F.coalesce(F.sum(F.col("goles_12m").try_cast("double")), F.lit(0.0)).alias("total_goals"),
         (F.max(v) / 1e6).alias("max_value_m"),
     )

@@ -1,25 +1,27 @@
 """Exact profiling.
 
 Quantiles are exact with linear interpolation (pandas / DuckDB
-``quantile_cont``) and computed without holding a column in one task:
-
-1. ``(group, column, value) -> count``: a distributed aggregate;
-2. range partitioning over (group, column, value) and a checkpoint, so
-   partition ids are stable, then a running count inside each partition
-   plus per-partition totals (a table of partitions x groups) give every
-   distinct value its global cumulative rank (two-level prefix sum);
-3. the order statistics at ``floor(p(n-1))`` and ``ceil(p(n-1))`` are the
-   values whose rank interval covers them: an equi-join on (group, column)
-   with a fan-out of ``len(probs)`` per row, then a range filter.
+``quantile_cont``) and computed without holding a column in one task, by
+bracketed selection (:mod:`scoutlab.operators.selection`): a few counting scans
+of the columns as they are, no sort.
+
+A profile with so many groups that their brackets have no proven bound takes
+another way: (group, column, value) counts, range partitioning and a checkpoint
+for stable partition ids, running counts per partition and partition totals (a
+two-level prefix sum), and the values whose rank interval covers a wanted rank.
+The same ranks drive Kruskal-Wallis, which needs all of them.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from scoutlab.operators.selection import quantiles
 from scoutlab.session import checkpoint_dir
 
 STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
@@ -101,6 +103,11 @@ def value_ranks(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), ranks: DataFrame | None = None) -> DataFrame:
     """Exact quantiles ``(by..., column, p, q)`` with linear interpolation."""
+    if ranks is None and (found := quantiles(df, cols, probs, by)) is not None:
+        rows = [(*group, c, float(p), q) for group, of in found.items() for (c, p), q in of.items() if q is not None]
+        kind = T.StructType([*[df.schema[b] for b in by], T.StructField("col_name", T.StringType()),
+                             T.StructField("p", T.DoubleType()), T.StructField("q", T.DoubleType())])
+        return df.sparkSession.createDataFrame(rows, kind)
     ranks = ranks if ranks is not None else value_ranks(long_values(df, cols, by), by)
     keys = [*by, "col_name"]
     sizes = ranks.select(*keys, "n").distinct()
@@ -124,14 +131,36 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             .select(*keys, "p", (F.col("vlo") + F.col("frac") * (F.col("vhi") - F.col("vlo"))).alias("q")))
 
 
+def _wide(df: DataFrame, cols: Sequence[str], by: Sequence[str], aggs) -> DataFrame:
+    """``(by..., col_name, <aggs>)`` from one aggregate over the columns as they are;
+    ``aggs(i, value)`` names the aggregates of a column.  A column without values in a
+    group has no row."""
+    named = [{"_n": F.count(F.col(c)), **aggs(i, F.col(c).cast("double"))} for i, c in enumerate(cols)]
+    one = df.groupBy(*by).agg(*[a.alias(f"_{k}_{i}") for i, of in enumerate(named) for k, a in of.items()])
+    rows = [F.struct(F.lit(c).alias("col_name"), *[F.col(f"_{k}_{i}").alias(k) for k in named[i]]) for i, c in enumerate(cols)]
+    return one.select(*by, F.inline(F.array(*rows))).filter("_n > 0").drop("_n")
+
+
 def _moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, sample std, min, max per (by..., column) in one pass over
-    the long format (map-side partial aggregation)."""
-    long = long_values(df, cols, by)
-    return long.groupBy(*by, "col_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
+    """count, mean, sample std, min, max per (by..., column) in one pass (map-side
+    partial aggregation)."""
+    return _wide(df, cols, by, lambda i, x: {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x),
+                                             "min": F.min(x), "max": F.max(x)})
+
+
+def _within(df: DataFrame, cols: Sequence[str], by: Sequence[str], bounds: DataFrame, aggs) -> DataFrame:
+    """Aggregates ``aggs(value, lower, upper)`` per (by..., column), each column against its
+    own bounds ``(by..., col_name, lower, upper)``.  Without groups the bounds are a row
+    per column and become literals; else they are joined, one row per group."""
+    ends = ("lower", "upper")
+    if not by:
+        got = {r["col_name"]: r for r in bounds.collect()}
+        return _wide(df, [c for c in cols if c in got], by, lambda i, x: aggs(
+            x, *[F.lit(got[[c for c in cols if c in got][i]][e]) for e in ends]))
+    flat = bounds.groupBy(*by).agg(*[F.max(F.when(F.col("col_name") == c, F.col(e))).alias(f"_{e}{i}")
+                                     for i, c in enumerate(cols) for e in ends])
+    joined = nsjoin(df.select(*by, *cols), flat, by)
+    return _wide(joined, cols, by, lambda i, x: aggs(x, *[F.col(f"_{e}{i}") for e in ends]))
 
 
 def _pivot_quantiles(q: DataFrame, probs: Sequence[float], names: Sequence[str],
@@ -160,24 +189,16 @@ def describe_short(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5,
                  by: Sequence[str] = ()) -> DataFrame:
     """Tukey fences from exact quartiles; outlier count and percent of
-    ALL rows (nulls included in the denominator).  Pass 2 is an equi-join of
-    the long values with the per-column bounds table (columns x groups)."""
+    ALL rows (nulls included in the denominator)."""
     cols = list(cols or numeric_columns(df, by))
     keys = [*by, "col_name"]
     q = _pivot_quantiles(exact_quantiles(df, cols, [0.25, 0.75], by), [0.25, 0.75], ["q1", "q3"], by)
     bounds = q.select(*keys, "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
                       (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower"),
                       (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper"))
-    long = long_values(df, cols, by)
-    # bounds: one row per (group, column); without a group-by it is |cols| rows
-    counted = (nsjoin(long, bounds if by else F.broadcast(bounds), keys)
-               .groupBy(*keys).agg(F.count_if((F.col("value") < F.col("lower")) |
-                                              (F.col("value") > F.col("upper"))).alias("n_outliers")))
+    counted = _within(df, cols, by, bounds, lambda x, low, high: {
+        "n_outliers": F.count_if((x < low) | (x > high)), "n_rows": F.count(F.lit(1))})
     res = nsjoin(bounds, counted, keys, "left")
-    if by:
-        res = nsjoin(res, df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows")), list(by))
-    else:  # one scalar: the row count
-        res = res.withColumn("n_rows", F.lit(df.count()))
     return res.select(*keys, "q1", "q3", "iqr", "lower", "upper",
                       F.coalesce("n_outliers", F.lit(0)).alias("n_outliers"),
                       F.round(F.try_divide(F.coalesce("n_outliers", F.lit(0)) * 100.0, F.col("n_rows")), 2)
@@ -193,16 +214,11 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), k:
     b = q.select(*keys, "q1", "median", "q3",
                  (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower"),
                  (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper"))
-    long = long_values(df, cols, by)
-    inside = F.col("value").between(F.col("lower"), F.col("upper"))
-    agg = (nsjoin(long, b if by else F.broadcast(b), keys)
-           .groupBy(*keys).agg(
-               F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-               F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-               F.count_if(~inside).alias("n_outliers"),
-               F.count(F.lit(1)).alias("n")))
+    agg = _within(df, cols, by, b, lambda x, low, high: {
+        "n": F.count(x), "whisker_low": F.min(F.when(x.between(low, high), x)),
+        "whisker_high": F.max(F.when(x.between(low, high), x)), "n_outliers": F.count_if(~x.between(low, high))})
     return nsjoin(b, agg, keys).select(*keys, "n", "q1", "median", "q3", "whisker_low", "whisker_high",
-                                    "n_outliers")
+                                       "n_outliers")
 
 
 # --- histograms and density ---------------------------------------------------
@@ -237,29 +253,77 @@ def histogram(df: DataFrame, c: str, bins: int = 30) -> DataFrame:
                     F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
+def _kernel_sums(grids: list[tuple[float, float, float]], grid_points: int):
+    """mapInArrow body: per column the sums of the Gaussian kernels of its values on its
+    grid (first point, step, bandwidth): one buffer of ``grid_points`` sums a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(grids), grid_points))
+        for batch in batches:
+            for c, (first, step, h) in enumerate(grids):
+                x = np.asarray(batch.column(c).drop_null())
+                values, counts = np.unique(x[~np.isnan(x)], return_counts=True)
+                points = (first + step * np.arange(grid_points))[:, None]
+                for at in range(0, len(values), 2048):
+                    part = values[at:at + 2048]
+                    sums[c] += np.exp(-0.5 * ((points - part) / h) ** 2) @ counts[at:at + 2048]
+        place = np.arange(len(grids) * grid_points)
+        yield pa.RecordBatch.from_arrays([pa.array(place // grid_points, pa.int32()), pa.array(place % grid_points, pa.int32()),
+                                          pa.array(sums.reshape(-1))], ["c", "i", "s"])
+    return run
+
+
+def kde_curves(df: DataFrame, cols: Sequence[str], grid_points: int = 200, cut: float = 3.0, shared: bool = False) -> DataFrame:
+    """Gaussian kernel densities ``(col_name, i, x, density)`` of many columns with
+    Scott's bandwidth ``std * n^(-1/5)``, on grids from ``min - cut*h`` to ``max + cut*h``.
+
+    ``shared`` puts all curves on one grid, wide enough for each, as for the original
+    and the imputed values of a column.  Two scans: one for counts, extremes and
+    deviations, one in which every task adds its kernels up; a task sends
+    ``grid_points`` sums a column.  Columns without spread have no curve; nulls and
+    NaN are left out."""
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    st = values.agg(*[f(c).alias(f"{n}{c}") for c in values.columns
+                      for n, f in (("lo", F.min), ("hi", F.max), ("n", F.count), ("sd", F.stddev_samp))]).first()
+    kept, grids = [], []
+    for i, c in enumerate(cols):
+        lo, hi, n, sd = (st[f"{k}c{i}"] for k in ("lo", "hi", "n", "sd"))
+        if n and sd:
+            h = sd * n ** (-0.2)
+            kept.append((i, c, n, h))
+            grids.append((lo - cut * h, hi + cut * h))
+    kind = "col_name STRING, i INT, x DOUBLE, density DOUBLE"
+    if not kept:
+        return df.sparkSession.createDataFrame([], kind)
+    if shared:
+        grids = [(min(g[0] for g in grids), max(g[1] for g in grids))] * len(grids)
+    plan = [(lo, (hi - lo) / (grid_points - 1), h) for (lo, hi), (_, _, _, h) in zip(grids, kept)]
+    sums = (values.select(*[f"c{i}" for i, *_ in kept]).mapInArrow(_kernel_sums(plan, grid_points), "c int, i int, s double")
+            .groupBy("c", "i").agg(F.sum("s").alias("s")))
+    facts = F.array(*[F.struct(F.lit(c).alias("col_name"), F.lit(lo).alias("lo"), F.lit(step).alias("step"),
+                               F.lit(1.0 / (n * h * math.sqrt(2 * math.pi))).alias("norm")) for (_, c, n, h), (lo, step, _) in zip(kept, plan)])
+    return sums.withColumn("f", F.get(facts, F.col("c"))).select(
+        "f.col_name", "i", (F.col("f.lo") + F.col("i") * F.col("f.step")).alias("x"), (F.col("s") * F.col("f.norm")).alias("density"))
+
+
 def kde_curve(df: DataFrame, c: str, grid_points: int = 200, cut: float = 3.0) -> DataFrame:
-    """Gaussian KDE with Scott's bandwidth ``std * n^(-1/5)`` on a grid
-    from ``min - cut*h`` to ``max + cut*h``.
+    """G8 of one column: ``(i, x, density)``; see :func:`kde_curves`."""
+    return kde_curves(df, [c], grid_points, cut).select("i", "x", "density")
 
-    Values are first reduced to (value, weight); each distinct value then
-    contributes to the fixed grid (a bounded fan-out of ``grid_points``),
-    and the map-side partial aggregate collapses contributions per task."""
-    spark = df.sparkSession
+
+def histogram_density(df: DataFrame, c: str, bins: int = 30) -> DataFrame:
+    """The histogram of G4 with the density curve on its scale: ``kde`` is the
+    expected count of a bin as wide as the histogram's, at the bin's centre."""
+    h = histogram(df, c, bins)
     x = F.col(c).cast("double")
-    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
-                F.stddev_samp(x).alias("sd")).first()
-    if not st["n"] or st["sd"] is None or st["sd"] == 0:
-        return spark.createDataFrame([], "i INT, x DOUBLE, density DOUBLE")
-    n, h = st["n"], st["sd"] * st["n"] ** (-0.2)
-    g0, g1 = st["lo"] - cut * h, st["hi"] + cut * h
-    step = (g1 - g0) / (grid_points - 1)
-    w = df.filter(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    gx = F.lit(g0) + F.col("i") * F.lit(step)
-    contrib = (w.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"))
-               .select("i", (F.col("w") * F.exp(-0.5 * F.pow((gx - F.col("v")) / F.lit(h), 2))).alias("k")))
-    norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
-    return (contrib.groupBy("i").agg(F.sum("k").alias("s"))
-            .select("i", gx.alias("x"), (F.col("s") * F.lit(norm)).alias("density")))
+    st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    if not st["n"] or not st["sd"]:
+        return h.withColumn("kde", F.lit(None).cast("double"))
+    width = (st["hi"] - st["lo"]) / bins
+    plan = [(st["lo"] + width / 2, width, st["sd"] * st["n"] ** (-0.2))]
+    sums = (df.select(x.alias("c0")).mapInArrow(_kernel_sums(plan, bins), "c int, i int, s double")
+            .groupBy("i").agg(F.sum("s").alias("s")))
+    scale = width / (plan[0][2] * math.sqrt(2 * math.pi))
+    return h.join(sums, F.col("bin") == F.col("i"), "left").select(*h.columns, (F.col("s") * scale).alias("kde"))
 
 
 # --- correlation, regression, skewness ------------------------------------------
@@ -270,21 +334,50 @@ def _pair_corr(a: str, b: str) -> Column:
     return F.when(~F.isnan(r), r)
 
 
+def _gram(shift: list[float]):
+    """mapInArrow body: per pair of columns i <= j the sums over the rows that have both,
+    of values less their column's ``shift``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        i, j = np.triu_indices(len(shift))
+        total = np.zeros((6, len(i)))
+        for batch in batches:
+            x = np.column_stack([np.asarray(v.to_numpy(zero_copy_only=False), float) for v in batch.columns]) - shift
+            there = ~np.isnan(x)
+            y, w = np.where(there, x, 0.0), there.astype(float)
+            n, s, q, co = w.T @ w, y.T @ w, (y * y).T @ w, y.T @ y
+            total += [n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], co[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *map(pa.array, total)], list(_GRAM))
+    return run
+
+
+_GRAM = ("i", "j", "n", "si", "sj", "qi", "qj", "co")
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairwise correlations in ONE aggregate (c(c-1)/2 pair
-    aggregates, one scan), returned long as (a, b, r), diagonal 1."""
+    """All pairwise-complete Pearson correlations, returned long as (a, b, r);
+    the diagonal is 1, a constant column gives null.  NaN counts as missing.
+
+    One scan: each batch adds its masked Gram blocks (matrix products) to the task's,
+    and tasks send one row of sums per pair, whatever the number of rows.  Values are
+    taken from their column's minimum, found before, so that large means do not
+    cancel."""
     cols = list(cols)
-    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    one = df.agg(*[_pair_corr(a, b).alias(f"p{k}") for k, (a, b) in enumerate(pairs)],
-                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)])
-    entries = []
-    for k, (a, b) in enumerate(pairs):
-        entries += [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{k}").alias("r")),
-                    F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"p{k}").alias("r"))]
-    for i, c in enumerate(cols):
-        diag = F.when(F.col(f"s{i}") > 0, F.lit(1.0))
-        entries.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), diag.alias("r")))
-    return one.select(F.inline(F.array(*entries)))
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    low = values.agg(*[F.min(F.when(~F.isnan(c), F.col(c))).alias(c) for c in values.columns]).first()
+    shift = [0.0 if v is None or math.isinf(v) else v for v in low]
+    sums = (values.mapInArrow(_gram(shift), "i int, j int, " + ", ".join(f"{k} double" for k in _GRAM[2:]))
+            .groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in _GRAM[2:]]))
+
+    def moment(q: str, a: str, b: str) -> Column:
+        return F.col(q) - F.try_divide(F.col(a) * F.col(b), F.col("n"))
+
+    mi, mj = moment("qi", "si", "si"), moment("qj", "sj", "sj")
+    varies = (mi > F.col("qi") * 1e-13) & (mj > F.col("qj") * 1e-13)
+    r = F.when(varies, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(moment("co", "si", "sj") / (F.sqrt(mi) * F.sqrt(mj))))
+    names = F.array(*[F.lit(c) for c in cols])
+    one = sums.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), r.alias("r"))
+    both = F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    return one.select(F.inline(F.when(F.col("a") == F.col("b"), F.slice(both, 1, 1)).otherwise(both)))
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -334,37 +427,43 @@ def poisson_thresholds() -> list[float]:
     return out
 
 
+BLOCK_DIGITS = 2  # hexadecimal digits of a row's digest that name its block
+
+
 def regression_band(df: DataFrame, x: str, y: str, key: str, replicates: int = 1000,
                     seed: int = 42, grid_points: int = 100) -> DataFrame:
-    """95 % bootstrap band of the regression line (Poisson bootstrap).
+    """95 % bootstrap band of the regression line (Poisson bootstrap of blocks).
 
-    Each row gets a Poisson(1) weight per replicate from a seeded digest (no
-    resampling shuffle); weighted sums per replicate give slope and intercept;
-    the band is the 2.5/97.5 % quantile of the fitted value at each grid x.
-    The fan-out per row is ``replicates`` (a parameter); it is summed map-side."""
+    Rows fall into 256 blocks by a seeded digest of their key; a block's count, sums
+    and products are all that its rows give to a line.  Each replicate weighs every
+    block by a Poisson(1) draw from a seeded digest, so the resampling works on
+    blocks x replicates rows whatever the size of the table, after one aggregate
+    over it.  The band is the 2.5/97.5 % quantile of the fitted value at each grid x."""
     xx, yy = F.col(x).cast("double"), F.col(y).cast("double")
-    base = df.filter(xx.isNotNull() & yy.isNotNull()).select(F.col(key), xx.alias("x"), yy.alias("y"))
-    st = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    if st["lo"] is None:
+    base = df.filter(xx.isNotNull() & yy.isNotNull()).select(seeded_digest(key, seed=seed).alias("h"), xx.alias("x"), yy.alias("y"))
+    blocks = base.groupBy(F.substring("h", 1, BLOCK_DIGITS).alias("block")).agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).cast("double").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
+        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+    rows = blocks.collect()  # at most 16**BLOCK_DIGITS
+    if not rows:
         return df.sparkSession.createDataFrame([], "i INT, gx DOUBLE, lower DOUBLE, upper DOUBLE")
+    lo, hi = min(r["lo"] for r in rows), max(r["hi"] for r in rows)
     steps = poisson_thresholds()
-    rep = (base.select("x", "y", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("b"), F.col(key))
-           .withColumn("u", seeded_uniform(key, "b", seed=seed)))
+    blocks = df.sparkSession.createDataFrame(rows, blocks.schema)
+    rep = (blocks.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("b"))
+           .withColumn("u", seeded_uniform("block", "b", seed=seed)))
     wgt = F.lit(len(steps))
     for k in reversed(range(len(steps))):
         wgt = F.when(F.col("u") < F.lit(steps[k]), F.lit(k)).otherwise(wgt)
-    rep = (rep.withColumn("w", wgt)
-           .groupBy("b").agg(F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("x")).alias("sx"),
-                             F.sum(F.col("w") * F.col("y")).alias("sy"),
-                             F.sum(F.col("w") * F.col("x") * F.col("x")).alias("sxx"),
-                             F.sum(F.col("w") * F.col("x") * F.col("y")).alias("sxy")))
+    rep = rep.withColumn("w", wgt).groupBy("b").agg(*[F.sum(F.col("w") * F.col(c)).alias(name) for c, name in (
+        ("n", "sw"), ("sx", "sx"), ("sy", "sy"), ("sxx", "sxx"), ("sxy", "sxy"))])
     slope = F.try_divide(F.col("sw") * F.col("sxy") - F.col("sx") * F.col("sy"),
                          F.col("sw") * F.col("sxx") - F.col("sx") * F.col("sx"))
     fits = rep.select("b", slope.alias("m"),
                       F.try_divide(F.col("sy") - slope * F.col("sx"), F.col("sw")).alias("c"))
-    step = (st["hi"] - st["lo"]) / max(grid_points - 1, 1)
+    step = (hi - lo) / max(grid_points - 1, 1)
     grid = fits.select(F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"), "m", "c")
-    gx = F.lit(st["lo"]) + F.col("i") * F.lit(step)
+    gx = F.lit(lo) + F.col("i") * F.lit(step)
     return (grid.select("i", (F.col("m") * gx + F.col("c")).alias("fit"))
             .groupBy("i").agg(F.percentile("fit", 0.025).alias("lower"),
                               F.percentile("fit", 0.975).alias("upper"))

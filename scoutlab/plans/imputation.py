@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from scoutlab.operators import impute as I
 from scoutlab.plans import standins as S
 from scoutlab.plans.registry import query, r
@@ -93,6 +95,49 @@ def q_impute_compare_num(spark, d):
         "knn": I.impute_knn(base, "obs_id", NUM).select(*NUM)}, NUM)
 
 
+def _overlay_sql() -> str:
+    parts = []
+    for c in NUM:
+        lines = " UNION ALL ".join(f"SELECT '{name}' AS variant, {c} AS v FROM {src}" for name, src in VARIANTS.items())
+        parts.append(f"""SELECT '{c}' AS col_name, k.variant, k.i, {r('k.x')} AS x, {r('k.density', 9)} AS density FROM (
+  SELECT s.variant, g.i, g.x, SUM(EXP(-0.5 * POW((g.x - l.v) / s.h, 2))) / (ANY_VALUE(s.n) * ANY_VALUE(s.h) * SQRT(2 * PI())) AS density
+  FROM (SELECT variant, COUNT(v) AS n, STDDEV_SAMP(v) * POW(COUNT(v), -0.2) AS h FROM ({lines}) GROUP BY variant) s
+  JOIN ({lines}) l ON l.variant = s.variant AND l.v IS NOT NULL,
+       (SELECT CAST(range AS INT) AS i, lo + range * ((hi - lo) / 199) AS x FROM range(200),
+          (SELECT MIN(lo) AS lo, MAX(hi) AS hi FROM (SELECT MIN(v) - 3 * STDDEV_SAMP(v) * POW(COUNT(v), -0.2) AS lo,
+             MAX(v) + 3 * STDDEV_SAMP(v) * POW(COUNT(v), -0.2) AS hi FROM ({lines}) GROUP BY variant))) g
+  GROUP BY s.variant, g.i, g.x) k""")
+    return " UNION ALL ".join(parts)
+
+
+VARIANTS = {"original": "player_obs", "median": "med", "knn": "knn"}
+
+
+@query("density_overlay", round_doubles=False, sql=WITH + ", " + _knn_sql_ctes(NUM) + f""",
+med AS (SELECT obs_id, {', '.join(f"COALESCE({c}, (SELECT quantile_cont({c}, 0.5) FROM player_obs)) AS {c}" for c in NUM)}
+        FROM player_obs)
+""" + _overlay_sql())
+def q_density_overlay(spark, d):
+    """G8 + G20: densities of the original, median-filled and KNN-filled values of
+    every imputed column, the three on one grid."""
+    base = obs(spark, d).select("obs_id", *NUM)
+    return I.compare_density(base, {"median": I.impute_median(base, NUM), "knn": I.impute_knn(base, "obs_id", NUM)}, "obs_id", NUM).withColumns(
+        {"x": F.round("x", 6), "density": F.round("density", 9)})
+
+
+@query("impute_summary", sql=WITH + " UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_imputed, CAST({_mode_sql(c)} AS VARCHAR) AS value_used, "
+    f"CAST(0 AS BIGINT) AS n_left FROM player_obs" for c in TXT) + " UNION ALL " + " UNION ALL ".join(
+    f"SELECT '{c}', COUNT(*) FILTER (WHERE {c} IS NULL), CAST((SELECT quantile_cont({c}, 0.5) FROM player_obs) AS VARCHAR), "
+    f"CAST(0 AS BIGINT) FROM player_obs" for c in NUM))
+def q_impute_summary(spark, d):
+    """Nulls filled, value used and nulls left, mode for text and median for numbers."""
+    base = obs(spark, d).select("obs_id", *TXT, *NUM)
+    modes, medians = I.column_modes(base, TXT), I.column_medians(base, NUM)
+    after = I.impute_constant(base, modes | medians)
+    return I.imputation_summary(base, after, modes | medians)
+
+
 @query("impute_compare_cat", sql=WITH + f""",
 md AS {_mode_sql('liga_actual')},
 bf AS (SELECT COALESCE(liga_actual, 'FALTANTES') AS liga_actual, COUNT(*) AS n_before FROM player_obs
@@ -128,7 +173,7 @@ _compare_cat("impute_compare_cat_nationality", "nacionalidad")
 @query("impute_iterative_knn")
 def q_impute_iterative(spark, d):
     """Iterative KNN-regressor imputation (rows-only check; verified
-    against a brute-force implementation in tests)."""
+    against a brute-force implementation in tests, on either path)."""
     return I.impute_iterative_knn(obs(spark, d).select("obs_id", *NUM), "obs_id", NUM, k=5, max_iter=10)
 
 

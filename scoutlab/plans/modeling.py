@@ -150,5 +150,40 @@ def q_feature_matrix(spark, d):
     out = M.feature_matrix(df, "obs_id", "log_target",
                            num_cols=MATRIX_COLS, cat_cols=S.PLAYER_TEXT,
                            drop=["valor_mercado_eur_TARGET", "id_observacion", "player_id"])
-    from pyspark.ml.functions import vector_to_array
-    return out.withColumn("features", vector_to_array("features"))
+    return out.withColumn("features", M.dense())
+
+
+def _matrix_sql(split: str) -> str:
+    """The rows of the matrix as text, numbers to 6 decimals."""
+    def text(x: str) -> str:
+        return f"CAST(CAST(round({x}, 6) AS DECIMAL(20, 6)) AS VARCHAR)"
+    numbers = [f"coalesce({text(f'(p.{c} - t.m_{c}) / coalesce(nullif(t.s_{c}, 0), 1)')}, 'NaN')" for c in MATRIX_COLS]
+    cats = [f"array_to_string(list_transform(t.c_{c}, lambda x: CASE WHEN x = coalesce(p.{c}, 'FALTANTES') THEN '1' ELSE '0' END), ',') "
+            f"|| CASE WHEN list_contains(t.c_{c}, coalesce(p.{c}, 'FALTANTES')) THEN ',0' ELSE ',1' END" for c in S.PLAYER_TEXT]
+    fitted = [f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in MATRIX_COLS]
+    fitted += [f"list_sort(list(DISTINCT coalesce({c}, 'FALTANTES'))) AS c_{c}" for c in S.PLAYER_TEXT]
+    return WITH + f""", p AS (SELECT player_obs.*, is_test FROM player_obs LEFT JOIN {split}),
+t AS (SELECT {', '.join(fitted)} FROM p WHERE NOT is_test)
+SELECT obs_id, is_test, {r('ln(1 + valor_mercado_eur_TARGET)')} AS log_target, {" || ',' || ".join(numbers + cats)} AS features FROM p, t"""
+
+
+def _matrix_text(spark, d, group=None):
+    df = obs(spark, d).withColumn("log_target", fn.log_target("valor_mercado_eur_TARGET"))
+    out = M.feature_matrix(df, "obs_id", "log_target", num_cols=MATRIX_COLS, cat_cols=S.PLAYER_TEXT, group=group)
+    values = M.dense()
+    numbers = F.transform(F.slice(values, 1, len(MATRIX_COLS)), lambda x: F.when(F.isnan(x), F.lit("NaN")).otherwise(
+        F.round(F.nanvl(x, F.lit(0.0)), 6).cast("decimal(20,6)").cast("string")))
+    flags = F.transform(F.slice(values, F.lit(len(MATRIX_COLS) + 1), F.col("features.size")), lambda x: x.cast("int").cast("string"))
+    return out.select("obs_id", "is_test", "log_target", F.array_join(F.concat(numbers, flags), ",").alias("features"))
+
+
+@query("feature_matrix_values", sql=_matrix_sql(f"{_first('obs_id', 'player_obs')} USING (obs_id)"))
+def q_feature_matrix_values(spark, d):
+    """G25 + G26 + G27: the rows of the matrix as text, value by value."""
+    return _matrix_text(spark, d)
+
+
+@query("feature_matrix_by_group", sql=_matrix_sql(f"{_first('player_id', 'player_obs')} USING (player_id)"))
+def q_feature_matrix_by_group(spark, d):
+    """G23 + G26 + G27: the split by player feeds scaler and encoder."""
+    return _matrix_text(spark, d, group="player_id")

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from scoutlab.functions import scalar as fn
 from scoutlab.operators import profile as G
 from scoutlab.plans import standins as S
 from scoutlab.plans.registry import query, r
@@ -216,6 +217,60 @@ def q_kde(spark, d):
     return G.kde_curve(obs(spark, d), "altura_cm")
 
 
+def _kde_sql(c: str, rows: str = "player_obs", name: str | None = None) -> str:
+    """Density of one column on its own grid, from (value, weight)."""
+    return f"""SELECT '{name or c}' AS col_name, g.i, {r('g.x')} AS x,
+  {r('SUM(w.w * EXP(-0.5 * POW((g.x - w.v) / g.h, 2))) / (ANY_VALUE(g.n) * ANY_VALUE(g.h) * SQRT(2 * PI()))', 9)} AS density
+FROM (SELECT CAST(range AS INT) AS i, lo - 3 * h + range * ((hi + 3 * h - (lo - 3 * h)) / 199) AS x, n, h FROM range(200),
+      (SELECT MIN({c}) AS lo, MAX({c}) AS hi, COUNT({c}) AS n, STDDEV_SAMP({c}) * POW(COUNT({c}), -0.2) AS h FROM {rows})) g,
+     (SELECT {c} AS v, COUNT(*) AS w FROM {rows} WHERE {c} IS NOT NULL GROUP BY 1) w
+GROUP BY g.i, g.x"""
+
+
+@query("kde_all", sql=WITH + "\nUNION ALL ".join(_kde_sql(c) for c in PCOLS), round_doubles=False)
+def q_kde_all(spark, d):
+    """The density curves of every numeric column in one scan (densities of
+    columns in euros are small: shown to 9 decimals)."""
+    return G.kde_curves(obs(spark, d), PCOLS).withColumns({"x": F.round("x", 6), "density": F.round("density", 9)})
+
+
+def _hist_density_sql(c: str, bins: int = 30) -> str:
+    return _hist_sql(c, bins).replace("SELECT g.bin,", f"""SELECT g.bin, {r('k.kde')} AS kde,""").replace(
+        "FROM g LEFT JOIN c USING (bin), e", f"""FROM g LEFT JOIN c USING (bin), e, (
+  SELECT p.bin, SUM(EXP(-0.5 * POW((p.x - o.{c}) / p.h, 2))) * ANY_VALUE(p.width / (p.h * SQRT(2 * PI()))) AS kde
+  FROM player_obs o, (SELECT CAST(range AS INT) AS bin, lo + (range + 0.5) * width AS x, width, h FROM range({bins}),
+    (SELECT MIN({c}) AS lo, (MAX({c}) - MIN({c})) / {bins} AS width, STDDEV_SAMP({c}) * POW(COUNT({c}), -0.2) AS h FROM player_obs)) p
+  WHERE o.{c} IS NOT NULL GROUP BY p.bin) k WHERE k.bin = g.bin""")
+
+
+@query("histogram_density", sql=_hist_density_sql("edad_al_momento"))
+def q_histogram_density(spark, d):
+    """30-bin histogram with the density curve on its scale."""
+    return G.histogram_density(obs(spark, d), "edad_al_momento", 30)
+
+
+LOG_TARGET = "log_target"
+WITH_LOG = S.sql_cte("player_obs") + f", log_obs AS (SELECT *, ln(1 + {TARGET}) AS {LOG_TARGET} FROM player_obs)\n"
+
+
+def log_obs(spark, d):
+    return obs(spark, d).withColumn(LOG_TARGET, fn.log_target(TARGET))
+
+
+@query("histogram_log_target", sql=_hist_sql(LOG_TARGET, 50).replace(WITH, WITH_LOG).replace("FROM player_obs),\ne AS", "FROM log_obs),\ne AS")
+       .replace("FROM player_obs, e", "FROM log_obs, e"))
+def q_hist_log_target(spark, d):
+    """Log target, 50 bins."""
+    return G.histogram(log_obs(spark, d), LOG_TARGET, 50)
+
+
+@query("skewness_log_target", sql=WITH_LOG + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS col_name, {r(f'SKEWNESS({c})')} AS skew FROM log_obs" for c in (TARGET, LOG_TARGET)))
+def q_skew_log(spark, d):
+    """Skewness of the target before and after the logarithm."""
+    return G.skewness(log_obs(spark, d), [TARGET, LOG_TARGET])
+
+
 def _corr_sql(a: str, b: str) -> str:
     both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
     xa, xb = f"CASE WHEN {both} THEN {a} END", f"CASE WHEN {both} THEN {b} END"
@@ -248,6 +303,13 @@ def q_corr_target(spark, d):
     return G.corr_with_target(obs(spark, d), [c for c in PCOLS if c != TARGET], TARGET)
 
 
+@query("corr_with_log_target", sql=WITH_LOG + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS col_name, {r(_corr_sql(c, LOG_TARGET))} AS r FROM log_obs" for c in PCOLS if c != TARGET))
+def q_corr_log_target(spark, d):
+    """Every numeric column against the log target."""
+    return G.corr_with_target(log_obs(spark, d), [c for c in PCOLS if c != TARGET], LOG_TARGET)
+
+
 @query("top_correlated", sql="SELECT * FROM (" + WITH + "\nUNION ALL ".join(
     f"SELECT '{c}' AS col_name, {r(_corr_sql(c, TARGET))} AS r FROM player_obs" for c in PCOLS if c != TARGET)
     + ") ORDER BY r DESC NULLS LAST, col_name LIMIT 3")
@@ -269,11 +331,13 @@ def q_regression(spark, d):
 def _band_sql(x: str, replicates: int = 1000, points: int = 100) -> str:
     weight = " ".join(f"WHEN u < {t!r} THEN {k}" for k, t in enumerate(G.poisson_thresholds()))
     return WITH + f""",
-b AS (SELECT obs_id, {x} AS x, {TARGET} AS y FROM player_obs WHERE {x} IS NOT NULL AND {TARGET} IS NOT NULL),
-u AS (SELECT x, y, b, CAST('0x' || substr(md5(CAST(obs_id AS VARCHAR) || ':' || CAST(b AS VARCHAR) || ':42'), 1, 8) AS BIGINT)
-             / 4294967296.0::DOUBLE AS u FROM b, (SELECT CAST(range AS INT) AS b FROM range(1, {replicates + 1}))),
-w AS (SELECT x, y, b, CASE {weight} ELSE {len(G.poisson_thresholds())} END AS w FROM u),
-s AS (SELECT b, SUM(w)::DOUBLE AS sw, SUM(w * x) AS sx, SUM(w * y) AS sy, SUM(w * x * x) AS sxx, SUM(w * x * y) AS sxy FROM w GROUP BY b),
+b AS (SELECT substr(md5(CAST(obs_id AS VARCHAR) || ':42'), 1, {G.BLOCK_DIGITS}) AS block, {x} AS x, {TARGET} AS y FROM player_obs
+      WHERE {x} IS NOT NULL AND {TARGET} IS NOT NULL),
+k AS (SELECT block, COUNT(*)::DOUBLE AS n, SUM(x) AS sx, SUM(y) AS sy, SUM(x * x) AS sxx, SUM(x * y) AS sxy FROM b GROUP BY block),
+u AS (SELECT k.*, r.b, CAST('0x' || substr(md5(block || ':' || CAST(r.b AS VARCHAR) || ':42'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+      FROM k, (SELECT CAST(range AS INT) AS b FROM range(1, {replicates + 1})) r),
+w AS (SELECT *, CASE {weight} ELSE {len(G.poisson_thresholds())} END AS w FROM u),
+s AS (SELECT b, SUM(w * n) AS sw, SUM(w * sx) AS sx, SUM(w * sy) AS sy, SUM(w * sxx) AS sxx, SUM(w * sxy) AS sxy FROM w GROUP BY b),
 f AS (SELECT b, sw, sx, sy, (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS m FROM s),
 g AS (SELECT CAST(range AS INT) AS i, lo + range * ((hi - lo) / {points - 1}) AS gx FROM range({points}), (SELECT MIN(x) AS lo, MAX(x) AS hi FROM b))
 SELECT g.i, {r('g.gx')} AS gx, {r('quantile_cont(m * gx + (sy - m * sx) / sw, 0.025)', 2)} AS lower,

@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+import chess_brute as brute
 from scoutlab.operators.chess import features as CF
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -150,3 +151,109 @@ def test_replay_stops_before_the_first_bad_move(spark):
         assert steps[0].board == "RNBQKBNR" + "P" * 8 + "." * 32 + "p" * 8 + "rnbqkbnr"
     last = next(r for r in rows if r.id == 9 and r.step == 5)
     assert last.board[35] == "." and last.board[43] == "P"  # the pawn taken in passing is gone
+
+
+PERFT = {START: 400, KIWI: 2039, "8/2p5/3p4/KP5r/1R3p1k/8/4P1P1/8 w - - 0 1": 191,
+         "r3k2r/Pppp1ppp/1b3nbN/nP6/BBP1P3/q4N2/Pp1P2PP/R2Q1RK1 w kq - 0 1": 264,
+         "rnbq1k1r/pp1Pbppp/2p5/8/2B5/8/PPP1NnPP/RNBQK2R w KQ - 1 8": 1486,
+         "r4rk1/1pp1qppp/p1np1n2/2b1p1B1/2B1P1b1/P1NP1N2/1PP1QPPP/R4RK1 w - - 0 10": 2079}
+SHARP = [*PERFT, "8/8/3p4/KPp4r/1R3p1k/8/4P1P1/8 w - c6 0 1", "4k3/8/8/K2pP2r/8/8/8/8 w - d6 0 1", "3rk3/8/8/3pP3/8/8/8/3K4 w - d6 0 1",
+         "r3k2r/8/8/8/8/8/8/R3K2R w KQkq - 0 1", "r3k2r/8/8/8/8/8/8/R3K2R b KQkq - 0 1", "n1n5/PPPk4/8/8/8/8/4Kppp/5N1N b - - 0 1",
+         "8/P1k5/8/8/8/8/p1K5/8 w - - 0 1", "4k3/4P3/4K3/8/8/8/8/8 w - - 0 1", "k7/1P6/2K5/8/8/8/8/8 w - - 0 1"]
+
+
+def test_second_ply_counts_of_known_positions(spark):
+    """Moves after every first move: the masks' counts add up to the published numbers."""
+    rows = [(i, fen, brute.uci(m)) for i, fen in enumerate(PERFT) for m in brute.legal(brute.parse(fen))]
+    df = spark.createDataFrame(rows, "id int, FEN string, Moves string")
+    after = CF.apply_first_move(CF.parse_fen(df)).filter("move_ok").select("id", "a_bd", "a_white", "a_castling", "a_ep")
+    after = CF.measured(after, ("a_bd", "a_white", "a_castling", "a_ep"))
+    got = after.groupBy("id").agg({"at_moves": "sum"}).collect()
+    assert {r.id: r[1] for r in got} == dict(enumerate(PERFT.values()))
+
+
+@pytest.fixture(scope="module")
+def played():
+    return brute.positions(SHARP, 160, 50, 7)
+
+
+def test_measures_match_plain_rules_on_random_games(spark, played):
+    df = spark.createDataFrame([(i, brute.to_fen(s)) for i, s in enumerate(played)], "id int, FEN string")
+    got = {r.id: r for r in CF.board_features(df, keep=["id"]).collect()}
+    listed = {r.id: len(r.legal) for r in CF.with_legal_moves(CF.parse_fen(df)).collect()}
+    for i, state in enumerate(played):
+        moves = brute.legal(state)
+        n, e, c = brute.graph(state[0])
+        r = got[i]
+        want = (len(moves), brute.forcing(state, moves) / len(moves) if moves else 0.0, n, e, c, brute.checked(state[0], state[1]))
+        assert (r.branching_factor, r.forcing_index, r.n_pieces, r.n_edges, r.tension_components, r.in_check) == want, brute.to_fen(state)
+        assert listed[i] == len(moves)
+
+
+def test_positions_that_play_cannot_give(spark):
+    """The side not to move is in check: counted move by move."""
+    fens = ["4k3/8/8/8/8/8/4R3/4K3 w - - 0 1", "3qk3/8/8/8/7B/8/4Q3/4K3 w - - 0 1", "4k3/3P4/8/8/8/8/8/4K3 w - - 0 1"]
+    df = spark.createDataFrame(list(enumerate(fens)), "id int, FEN string")
+    for r in CF.board_features(df, keep=["id"]).collect():
+        state = brute.parse(fens[r.id])
+        moves = brute.legal(state)
+        assert (r.branching_factor, r.forcing_index) == (len(moves), brute.forcing(state, moves) / len(moves))
+
+
+def test_moves_are_legal_exactly_if_the_rules_allow_them(spark, played):
+    import random
+    rng = random.Random(3)
+    rows, want = [], {}
+    for state in played[:120]:
+        moves = {brute.uci(m): m for m in brute.legal(state)}
+        asked = set(rng.sample(sorted(moves), min(4, len(moves))))
+        for m in rng.sample(sorted(moves), min(3, len(moves))):
+            asked |= {m[:4], m[:4] + "q", m[2:4] + m[:2], m[:2] + rng.choice("abcdefgh") + rng.choice("12345678")}
+        asked |= {rng.choice("abcdefgh") + rng.choice("12345678") + rng.choice("abcdefgh") + rng.choice("12345678") for _ in range(6)}
+        for m in sorted(asked):
+            rows.append((len(rows), brute.to_fen(state), m))
+            want[len(want)] = brute.to_fen(brute.play(state, moves[m])).split()[:4] if m in moves else None
+    df = spark.createDataFrame(rows, "id int, FEN string, Moves string")
+    seen = set()
+    for r in CF.apply_first_move(CF.parse_fen(df)).select("id", "move_ok", "a_bd", "a_white", "a_castling", "a_ep").collect():
+        assert r.move_ok == (want[r.id] is not None), rows[r.id]
+        if r.move_ok:
+            got = brute.to_fen((r.a_bd, r.a_white, r.a_castling, r.a_ep, 0)).split()[:4]
+            assert got == want[r.id], rows[r.id]
+        seen.add(r.move_ok)
+    assert seen == {True, False}
+
+
+def test_the_75_move_rule_and_dead_positions_are_empty(spark):
+    rows = [(1, "4k3/8/8/8/8/8/4R3/4K2r w - - 149 90", "e1d2"), (2, "4k3/8/8/8/8/8/4R3/4K2r w - - 148 90", "e1d2"),
+            (3, "4k3/8/8/8/8/8/4r3/4K3 w - - 0 1", "e1e2"), (4, "4k3/8/8/8/8/8/4r3/4KN2 w - - 0 1", "e1e2"),
+            (5, "4k1b1/8/8/8/8/8/4r3/4KB2 w - - 0 1", "e1e2"), (6, "4k2b/8/8/8/8/8/4r3/4KB2 w - - 0 1", "e1e2"),
+            (7, "4k1n1/8/8/8/8/8/4r3/4KN2 w - - 0 1", "e1e2")]
+    got = {r.id: _feats(r) for r in CF.chess_features(spark.createDataFrame(rows, "id int, FEN string, Moves string")).collect()}
+    assert {i for i, f in got.items() if f == EMPTY} == {1, 3, 4, 5} and got[2][0] > 0
+
+
+def test_golden_tables_are_what_the_rules_give():
+    from scoutlab.plans import positions_golden as P
+    from scoutlab.plans.positions import POSITIONS
+    fens = {no: (fen, moves) for no, fen, moves in POSITIONS}
+    for no, n_moves, n_forcing, n_pieces, n_edges, parts, checked, moves, board, rights, ep, clock, *after in P.GOLDEN:
+        state = brute.parse(fens[no][0])
+        legal = {brute.uci(m): m for m in brute.legal(state)}
+        assert (n_moves, n_forcing, moves) == (len(legal), brute.forcing(state, list(legal.values())), " ".join(sorted(legal)))
+        assert (n_pieces, n_edges, parts, checked) == (*brute.graph(state[0]), brute.checked(state[0], state[1]))
+        first = (fens[no][1].split() or [""])[0]
+        if first not in legal:
+            assert (board, rights, ep, clock, *after) == (None,) * 4 + (0,) * 7
+            continue
+        then = brute.play(state, legal[first])
+        assert (board, rights, ep, clock) == ("".join(then[0]), *then[2:])
+        left = brute.legal(then)
+        if after[0]:
+            assert after[:5] == [len(left), brute.forcing(then, left), *brute.graph(then[0])]
+        played = [r for r in P.REPLAYED if r[0] == no]
+        for step, (_, i, move, white, cells) in enumerate(played):
+            state = brute.play(state, {brute.uci(m): m for m in brute.legal(state)}[move]) if step else brute.parse(fens[no][0])
+            assert (i, cells, white) == (step, "".join(state[0]), brute.parse(fens[no][0])[1])
+        rest = fens[no][1].split()[len(played) - 1:]
+        assert not rest or rest[0] not in {brute.uci(m) for m in brute.legal(state)}
