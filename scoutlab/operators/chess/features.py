@@ -44,7 +44,7 @@ _BOARD_RE = r"^([pnbrqkPNBRQK1-8]+/){7}[pnbrqkPNBRQK1-8]+$"
 def _expand_digits(c: Column) -> Column:
     out = c
     for d in range(8, 0, -1):
-        out = F.regexp_replace(out, str(d), "." * d)
+        out = F.replace(out, F.lit(str(d)), F.lit("." * d))
     return out
 
 
@@ -67,23 +67,19 @@ def parse_fen(df: DataFrame, fen: str = "FEN", prefix: str = "") -> DataFrame:
     full = F.coalesce(F.try_element_at(parts, F.lit(6)), F.lit("1"))
     ok = (fields_ok & board_ok & turn.isin("w", "b") & castling.rlike(r"^(-|[KQkqA-Ha-h]+)$")
           & ep_txt.rlike(r"^(-|[a-h][1-8])$") & half.rlike(r"^[0-9]+$") & full.rlike(r"^[0-9]+$"))
-    flat = F.regexp_replace(expanded, "/", "")
-    # FEN lists rank 8 first: cell i of the string is square (7 - i div 8) * 8 + i % 8
-    bd = F.when(ok, F.expr(
-        f"transform(sequence(0, 63), s -> substring(`{prefix}__flat`, (7 - s div 8) * 8 + s % 8 + 1, 1))"))
+    # FEN lists rank 8 first; the cells start at a1
+    bd = F.when(ok, F.regexp_extract_all(F.concat_ws("", F.reverse(F.split(expanded, "/"))), F.lit("."), F.lit(0)))
     ep_sq = F.when(ep_txt != "-", (F.ascii(F.substring(ep_txt, 1, 1)) - 97)
                    + (F.substring(ep_txt, 2, 1).cast("int") - 1) * 8)
     if G.GEO not in df.columns:
         df = df.withColumn(G.GEO, G.geometry_column())
-    out = (df.withColumn(f"{prefix}__flat", flat)
-           .withColumn(f"{prefix}fen_ok", F.coalesce(ok, F.lit(False)))
+    out = (df.withColumn(f"{prefix}fen_ok", F.coalesce(ok, F.lit(False)))
            .withColumn(f"{prefix}bd", bd)
            .withColumn(f"{prefix}white", turn == "w")
            .withColumn(f"{prefix}castling", castling)
            .withColumn(f"{prefix}ep", F.when(ok, ep_sq).cast("int"))
            .withColumn(f"{prefix}halfmove", F.when(ok, half.try_cast("int")))
-           .withColumn(f"{prefix}fullmove", F.when(ok, full.try_cast("int")))
-           .drop(f"{prefix}__flat"))
+           .withColumn(f"{prefix}fullmove", F.when(ok, full.try_cast("int"))))
     return out
 
 
@@ -160,15 +156,15 @@ def _by_batch(df: DataFrame, state: tuple[str, str, str, str], outputs: dict[str
     return sent.mapInArrow(run, kind).select("_row.*", *outputs)
 
 
-MEASURES = {"at_moves": "long", "at_forcing": "long", "at_odd": "boolean", "at_pieces": "long", "at_edges": "long", "at_parts": "long",
+MEASURES = {"at_moves": "long", "at_forcing": "long", "at_pieces": "long", "at_edges": "long", "at_parts": "long",
             "at_entropy": "double", "at_distance": "double", "at_dead": "boolean", "at_checked": "boolean"}
 
 
 def _measure(rows: pa.RecordBatch, there: np.ndarray, batch: M.Batch) -> dict[str, tuple]:
-    moves, forcing, odd = batch.counts()
+    moves, forcing = batch.counts()
     entropy, distance, dead = batch.material()
     counts = {"at_moves": moves, "at_forcing": forcing, "at_pieces": M.bits(batch.occ), "at_edges": batch.edges(), "at_parts": batch.components()}
-    flags = {"at_odd": odd, "at_dead": dead, "at_checked": batch.checkers != 0}
+    flags = {"at_dead": dead, "at_checked": batch.checkers != 0}
     return ({k: (pa.int64(), v) for k, v in counts.items()} | {k: (pa.bool_(), v) for k, v in flags.items()}
             | {"at_entropy": (pa.float64(), entropy), "at_distance": (pa.float64(), distance)})
 
@@ -178,16 +174,8 @@ def measured(df: DataFrame, state: tuple[str, str, str, str] = STATE) -> DataFra
     square): adds at_moves and at_forcing (captures or checks) of the side to move,
     at_pieces, at_edges (attacks on occupied squares), at_parts (weak components),
     at_entropy (of the material over four quadrants), at_distance (of the sides' centres
-    of mass), at_dead (neither can mate), at_checked; null without a board.
-
-    Positions that legal play cannot give (see :meth:`masks.Batch.counts`) are played
-    out move by move instead."""
-    bd, white, castling, ep = state
-    df = _by_batch(df, state, MEASURES, _measure).withColumn(G.GEO, G.geometry_column())
-    df = df.withColumn("_odd", F.when(F.col("at_odd"), F.expr(legal_moves_expr(bd, white, castling, ep))))
-    forcing = F.expr(f"size(filter(_odd, x -> {G.is_capture(bd, 'x.m')} OR {G.king_in_danger('x.b', f'NOT ({white})')}))")
-    return df.withColumns({"at_moves": F.when(F.col("at_odd"), F.size("_odd")).otherwise(F.col("at_moves")),
-                           "at_forcing": F.when(F.col("at_odd"), forcing).otherwise(F.col("at_forcing"))}).drop("_odd", "at_odd", G.GEO)
+    of mass), at_dead (neither can mate), at_checked; null without a board."""
+    return _by_batch(df, state, MEASURES, _measure)
 
 
 def _density() -> Column:
@@ -226,7 +214,7 @@ def apply_first_move(df: DataFrame, moves: str = "Moves") -> DataFrame:
     outputs = {"move_ok": "boolean", "_board": "string", "a_castling": "string", "a_ep": "int", "_reset": "boolean"}
     out = _by_batch(df, STATE, outputs, _first_move, mv["fr"].alias("_fr"), mv["to"].alias("_to"), F.ascii(mv["pr"]).alias("_promo"))
     out = out.withColumn("move_ok", F.coalesce(F.col("move_ok"), F.lit(False)))
-    ok, cells = F.col("move_ok"), F.expr("transform(sequence(1, 64), i -> substr(_board, i, 1))")
+    ok, cells = F.col("move_ok"), F.regexp_extract_all(F.col("_board"), F.lit("."), F.lit(0))
     return out.withColumns({
         "a_bd": F.when(ok, cells), "a_white": ~F.col("white"), "a_castling": F.when(ok, F.col("a_castling")), "a_ep": F.when(ok, F.col("a_ep")),
         "a_halfmove": F.when(ok, F.when(F.col("_reset"), F.lit(0)).otherwise(F.col("halfmove") + 1)),

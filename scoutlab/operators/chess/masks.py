@@ -175,10 +175,31 @@ class Batch:
                     & ((self.occ & U(sum(1 << s for s in path))) == 0) & ((self.attacked & U(sum(1 << s for s in safe))) == 0))
         return side("K", 7, [5, 6], [4, 5, 6]), side("Q", 0, [1, 2, 3], [2, 3, 4])
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Legal moves; those that capture or give check; and whether the side not to move
-        is in check or a side has several kings, which legal play never gives and where
-        a check cannot be told from the target alone."""
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Legal moves, and those that capture or give check.
+
+        Where the side not to move is in check or a side has several kings, which legal
+        play never gives, a check cannot be told from the target alone: these
+        positions are played out move by move."""
+        moves, forcing, odd = self._counts()
+        for i in np.flatnonzero(odd):
+            moves[i], forcing[i] = self._played_out(int(i))
+        return moves, forcing
+
+    def _played_out(self, i: int) -> tuple[int, int]:
+        rows = np.full(64 * 64, i)
+        fr, to = np.divmod(np.arange(64 * 64), 64)
+        same = Batch(self.cells[rows], self.white[rows], self.castling[rows], self.ep[rows])
+        plain, last = (np.flatnonzero(same.legal(fr, to, np.full(len(fr), p))) for p in (False, True))
+        at = np.concatenate([plain, np.repeat(last, 4)])
+        promo = np.concatenate([np.zeros(len(plain), np.int64), np.tile([ord(c) for c in "qrbn"], len(last))])
+        before = Batch(same.cells[at], same.white[at], same.castling[at], same.ep[at])
+        pawn = (before.cells[np.arange(len(at)), fr[at]] | 32) == ord("p")
+        takes = (before.cells[np.arange(len(at)), to[at]] != 46) | (pawn & (fr[at] % 8 != to[at] % 8))
+        after, _ = before.play(fr[at], to[at], promo)
+        return len(at), int((takes | (after.checkers != 0)).sum())
+
+    def _counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ray = {d: fill(self.xK, self.free, d) for d in DIRS}
         own = {d: fill(self.sliders(d, False), self.free, d) for d in DIRS}
         screen = {line: any_of(ray[d] & own[OPPOSITE[d]] & self.us for d in DIRS if LINE[d] == line) for line in LINES}

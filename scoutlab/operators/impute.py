@@ -328,7 +328,9 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     rows = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
                      *[F.coalesce(F.col(f).cast("double"), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
     holes = reduce(lambda a, b: a | b, [F.col(f"_miss_{f}") for f in visit])
-    whole, part = rows.filter(~holes), rows.filter(holes).checkpoint(eager=True)
+    # The rows with holes are searched for in every visit: dealt out evenly once.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole, part = rows.filter(~holes), rows.filter(holes).repartition(spread, key).checkpoint(eager=True)
     threshold = tol * float(st["amax"])
     fits = st["n"] * 8 * (len(feats) + 2) <= donor_bytes
     if fits:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from scoutlab.operators.selection import quantiles
+from scoutlab.operators.selection import MAX_BRACKETS, held, quantiles
 from scoutlab.session import checkpoint_dir
 
 STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
@@ -141,11 +141,13 @@ def _wide(df: DataFrame, cols: Sequence[str], by: Sequence[str], aggs) -> DataFr
     return one.select(*by, F.inline(F.array(*rows))).filter("_n > 0").drop("_n")
 
 
+MOMENTS = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+
+
 def _moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, max per (by..., column) in one pass (map-side
     partial aggregation)."""
-    return _wide(df, cols, by, lambda i, x: {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x),
-                                             "min": F.min(x), "max": F.max(x)})
+    return _wide(df, cols, by, lambda i, x: {k: f(x) for k, f in MOMENTS.items()})
 
 
 def _within(df: DataFrame, cols: Sequence[str], by: Sequence[str], bounds: DataFrame, aggs) -> DataFrame:
@@ -174,10 +176,17 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str]
     min, q25, q50, q75, max (exact quantiles)."""
     cols = list(cols or numeric_columns(df, by))
     probs, names = [0.25, 0.5, 0.75], ["q25", "q50", "q75"]
+    keys, stats = [*by, "col_name"], ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    with held(df.select(*by, *cols)) as rows:
+        found = quantiles(rows, cols, probs, by, extra=MOMENTS)
+    if found is not None:
+        table = [(*group, c, of[c, "count"], of[c, "mean"], of[c, "std"], of[c, "min"], *[of[c, p] for p in probs], of[c, "max"])
+                 for group, of in found.items() for c in cols if of[c, "count"]]
+        kind = [*[df.schema[b] for b in by], T.StructField("col_name", T.StringType()), T.StructField("count", T.LongType()),
+                *[T.StructField(s, T.DoubleType()) for s in stats[1:]]]
+        return df.sparkSession.createDataFrame(table, T.StructType(kind))
     q = _pivot_quantiles(exact_quantiles(df, cols, probs, by), probs, names, by)
-    keys = [*by, "col_name"]
-    return (nsjoin(_moments(df, cols, by), q, keys, "left")
-            .select(*keys, "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
+    return nsjoin(_moments(df, cols, by), q, keys, "left").select(*keys, *stats)
 
 
 def describe_short(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -191,6 +200,19 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.
     """Tukey fences from exact quartiles; outlier count and percent of
     ALL rows (nulls included in the denominator)."""
     cols = list(cols or numeric_columns(df, by))
+    return _while_held(df, cols, by, lambda rows: _iqr_outliers(rows, cols, k, by))
+
+
+def _while_held(df: DataFrame, cols: Sequence[str], by: Sequence[str], profile) -> DataFrame:
+    """``profile`` of the columns, which takes several scans, brought in while its input
+    is held; with more rows than MAX_BRACKETS (so many groups) it stays a plan."""
+    with held(df.select(*by, *cols)) as rows:
+        out = profile(rows)
+        got = out.limit(MAX_BRACKETS + 1).collect()
+    return df.sparkSession.createDataFrame(got, out.schema) if len(got) <= MAX_BRACKETS else profile(df)
+
+
+def _iqr_outliers(df: DataFrame, cols: Sequence[str], k: float, by: Sequence[str]) -> DataFrame:
     keys = [*by, "col_name"]
     q = _pivot_quantiles(exact_quantiles(df, cols, [0.25, 0.75], by), [0.25, 0.75], ["q1", "q3"], by)
     bounds = q.select(*keys, "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
@@ -208,6 +230,10 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.
 def boxplot_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the most extreme points inside the
     fences, outlier count — per column, optionally per category."""
+    return _while_held(df, cols, by, lambda rows: _boxplot_stats(rows, cols, by, k))
+
+
+def _boxplot_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str], k: float) -> DataFrame:
     keys = [*by, "col_name"]
     q = _pivot_quantiles(exact_quantiles(df, cols, [0.25, 0.5, 0.75], by),
                          [0.25, 0.5, 0.75], ["q1", "median", "q3"], by)

@@ -3,10 +3,11 @@
 A double's bits, read so that their order is the order of the numbers, are a
 64-bit key.  The wanted ranks of a column start with the bracket [key of the
 minimum, key of the maximum]; each pass cuts every bracket into equal stretches
-of keys, counts the values in them (narrow map, bounded partial counts, summed),
-and keeps the stretch that holds the rank together with the count below it.
-Brackets that hold few values are listed whole, and those one key wide need
-nothing more, so three or four scans suffice and at most seven are needed.
+of keys, counts the values in them and finds the least and largest (narrow map,
+bounded partial counts, summed), and keeps the stretch that holds the rank, as far
+as it has values, together with the count below it.  Brackets that hold few values
+are listed whole, and those of one distinct value need nothing more, so three scans
+are usual and at most eight needed.
 
 Nothing is melted, sorted, shuffled by value or checkpointed, and no task or
 driver holds a column: tasks keep at most COUNTERS counters, the driver the
@@ -18,15 +19,18 @@ Nulls are left out; NaN is the largest value and -0.0 is 0.0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_BRACKETS = 1 << 16
-COUNTERS = 1 << 21
-LISTED = 1 << 18  # values listed in all by the last pass
+COUNTERS = 1 << 20
+LISTED = 1 << 16  # values listed in all by the last pass
+BLOCK = 8  # columns whose extremes are aggregated together
+FULL = (1 << 64) - 1
 _TOP = np.uint64(1 << 63)
 
 
@@ -47,7 +51,7 @@ class _Brackets:
     stretch and the last key.  Unused slots have first > last."""
 
     def __init__(self, groups: int, cols: int, slots: int):
-        self.first = np.full((cols, slots, groups), np.uint64((1 << 64) - 1), np.uint64)
+        self.first = np.full((cols, slots, groups), np.uint64(FULL), np.uint64)
         self.last = np.zeros((cols, slots, groups), np.uint64)
         self.width = np.ones((cols, slots, groups), np.uint64)
 
@@ -77,18 +81,23 @@ def _counting(b: _Brackets, bins: int, by: int, codes: dict[tuple, int]):
     cols, slots, groups = b.first.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((cols, slots, groups * bins), np.int64)
+        shape = (cols, slots, groups * bins)
+        counts, low, high = np.zeros(shape, np.int64), np.full(shape, FULL, np.uint64), np.zeros(shape, np.uint64)
         for batch in batches:
             for c, keys, group in _columns(batch, by, codes):
                 for t in range(slots):
                     first, last = b.first[c, t][group], b.last[c, t][group]
                     inside = (keys >= first) & (keys <= last)
                     if inside.any():
-                        at = ((keys[inside] - first[inside]) // b.width[c, t][group[inside]]).astype(np.int64)
-                        counts[c, t] += np.bincount(group[inside] * bins + at, minlength=groups * bins)
-        counts = counts.reshape(-1)
+                        held = keys[inside]
+                        at = ((held - first[inside]) // b.width[c, t][group[inside]]).astype(np.int64) + group[inside] * bins
+                        counts[c, t] += np.bincount(at, minlength=groups * bins)
+                        np.minimum.at(low[c, t], at, held)
+                        np.maximum.at(high[c, t], at, held)
         found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], ["at", "n"])
+        ends = [pa.array((x.reshape(-1)[found] ^ _TOP).view(np.int64), pa.int64()) for x in (low, high)]  # signed, in the same order
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts.reshape(-1)[found], pa.int64()), *ends],
+                                         ["at", "n", "low", "high"])
     return run
 
 
@@ -149,28 +158,29 @@ def order_statistics(df: DataFrame, cols: Sequence[str], by: Sequence[str], grou
         inside = sum(x[3] for brackets in open_.values() for x in brackets)
         if inside <= LISTED:
             found: dict[int, list[int]] = {}
-            for r in rows.mapInArrow(_listing(table(slots, 1), len(by), codes), "at long, key long").collect():
-                found.setdefault(r["at"], []).append(r["key"] & ((1 << 64) - 1))
+            listed = rows.mapInArrow(_listing(table(slots, 1), len(by), codes), "at long, key long").toArrow()
+            for at, key in zip(listed["at"].to_pylist(), listed["key"].to_pylist()):
+                found.setdefault(at, []).append(key & FULL)
             for (g, c), brackets in open_.items():
                 for t, (_, _, below, _, ranks) in enumerate(brackets):
                     keys = sorted(found.get((c * slots + t) * len(groups) + g, []))
                     out.update({(g, c, r): value_of(keys[r - below]) for r in ranks})
             return out
-        bins = max(8, min(4096, COUNTERS // (slots * n_cols * len(groups))))
+        bins = max(8, min(1024, COUNTERS // (slots * n_cols * len(groups))))
         b = table(slots, bins)
-        counted = rows.mapInArrow(_counting(b, bins, len(by), codes), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-        counts: dict[int, list[tuple[int, int]]] = {}
-        for r in counted.collect():
-            counts.setdefault(r["at"] // bins, []).append((r["at"] % bins, r["n"]))
+        counted = rows.mapInArrow(_counting(b, bins, len(by), codes), "at long, n long, low long, high long").groupBy("at").agg(
+            F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        counts: dict[int, list[tuple[int, int, int, int]]] = {}
+        for at, n, low, high in zip(*(c.to_pylist() for c in counted.toArrow().columns)):
+            counts.setdefault(at // bins, []).append((at, n, low + (1 << 63), high + (1 << 63)))
         for (g, c), brackets in open_.items():
             narrower = []
-            for t, (first, last, below, _, ranks) in enumerate(brackets):
-                width = int(b.width[c, t, g])
+            for t, (_, _, below, _, ranks) in enumerate(brackets):
                 upto = below
-                for at, n in sorted(counts.get((c * slots + t) * len(groups) + g, [])):
+                for _, n, low, high in sorted(counts.get((c * slots + t) * len(groups) + g, [])):
                     held = [r for r in ranks if upto <= r < upto + n]
                     if held:
-                        narrower.append((first + at * width, min(last, first + (at + 1) * width - 1), upto, n, held))
+                        narrower.append((low, high, upto, n, held))
                     upto += n
             open_[g, c] = narrower
 
@@ -182,6 +192,17 @@ def interpolated(n: int, p: float) -> tuple[int, int, float]:
     return low, int(np.ceil(h)), h - low
 
 
+@contextmanager
+def held(df: DataFrame):
+    """``df`` for several scans: kept by the executors that made it, in memory or on
+    disk, until the end; what a lost executor held is made again."""
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def extremes_of(c: str | Column) -> list[Column]:
     """Aggregates that :func:`quantiles` needs of a column."""
     x = (F.col(c) if isinstance(c, str) else c).cast("double")
@@ -189,25 +210,37 @@ def extremes_of(c: str | Column) -> list[Column]:
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              max_brackets: int = MAX_BRACKETS) -> dict[tuple, dict[tuple[str, float], float | None]] | None:
+              max_brackets: int = MAX_BRACKETS, extra: dict[str, Callable[[Column], Column]] | None = None,
+              ) -> dict[tuple, dict[tuple, float | None]] | None:
     """Group values -> (column, p) -> exact quantile with linear interpolation, null for a
-    column without values; nothing (None) where there are too many groups."""
+    column without values; nothing (None) where there are too many groups.  ``extra``
+    aggregates of every column, taken in the first scan, are found by (column, name)."""
+    extra = extra or {}
     most = max(1, max_brackets // (2 * max(1, len(probs)) * max(1, len(cols))))
-    aggs = [a.alias(f"x{i}_{j}") for i, c in enumerate(cols) for j, a in enumerate(extremes_of(c))]
-    one = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    got = one.limit(most + 1).collect()
-    if len(got) > most:
-        return None
+    # Blocks of columns: an aggregate of many columns at once is not compiled.
+    parts = []
+    for at in range(0, len(cols), BLOCK):
+        some = list(enumerate(cols))[at:at + BLOCK]
+        aggs = [a.alias(f"x{i}_{j}") for i, c in some for j, a in enumerate(extremes_of(c))]
+        aggs += [f(F.col(c).cast("double")).alias(f"e{i}_{name}") for i, c in some for name, f in extra.items()]
+        one = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+        rows = one.limit(most + 1).collect()
+        if len(rows) > most:
+            return None
+        parts.append({tuple(r[b] for b in by): r.asDict() for r in rows})
+    got = [{k: v for part in parts for k, v in part[group].items()} for group in parts[0]]
     groups = [tuple(r[b] for b in by) for r in got]
     extremes = {(g, i): (r[f"x{i}_0"], r[f"x{i}_1"], r[f"x{i}_2"]) for g, r in enumerate(got) for i in range(len(cols))}
     wanted = {at: [r for p in probs for r in interpolated(n, p)[:2]] if n else [] for at, (n, _, _) in extremes.items()}
     values = order_statistics(df, cols, by, groups, extremes, wanted)
     out: dict[tuple, dict[tuple[str, float], float | None]] = {}
     for g, group in enumerate(groups):
+        of = out.setdefault(group, {})
         for i, c in enumerate(cols):
             n = extremes[g, i][0]
+            of.update({(c, name): got[g][f"e{i}_{name}"] for name in extra})
             for p in probs:
                 low, high, share = interpolated(n, p) if n else (0, 0, 0.0)
                 below, above = values.get((g, i, low)), values.get((g, i, high))
-                out.setdefault(group, {})[c, p] = (below + share * (above - below) if share else below) if n else None
+                of[c, p] = (below + share * (above - below) if share else below) if n else None
     return out

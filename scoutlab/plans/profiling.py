@@ -219,7 +219,7 @@ def q_kde(spark, d):
 
 def _kde_sql(c: str, rows: str = "player_obs", name: str | None = None) -> str:
     """Density of one column on its own grid, from (value, weight)."""
-    return f"""SELECT '{name or c}' AS col_name, g.i, {r('g.x')} AS x,
+    return f"""SELECT '{name or c}' AS col_name, g.i, {r('g.x', 3)} AS x,
   {r('SUM(w.w * EXP(-0.5 * POW((g.x - w.v) / g.h, 2))) / (ANY_VALUE(g.n) * ANY_VALUE(g.h) * SQRT(2 * PI()))', 9)} AS density
 FROM (SELECT CAST(range AS INT) AS i, lo - 3 * h + range * ((hi + 3 * h - (lo - 3 * h)) / 199) AS x, n, h FROM range(200),
       (SELECT MIN({c}) AS lo, MAX({c}) AS hi, COUNT({c}) AS n, STDDEV_SAMP({c}) * POW(COUNT({c}), -0.2) AS h FROM {rows})) g,
@@ -231,7 +231,7 @@ GROUP BY g.i, g.x"""
 def q_kde_all(spark, d):
     """The density curves of every numeric column in one scan (densities of
     columns in euros are small: shown to 9 decimals)."""
-    return G.kde_curves(obs(spark, d), PCOLS).withColumns({"x": F.round("x", 6), "density": F.round("density", 9)})
+    return G.kde_curves(obs(spark, d), PCOLS).withColumns({"x": F.round("x", 3), "density": F.round("density", 9)})
 
 
 def _hist_density_sql(c: str, bins: int = 30) -> str:
