@@ -215,6 +215,7 @@ def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int
     level = F.floor(F.log(F.lit(width) / reach) / F.log(F.lit(4.0)) + 1e-9)
     level = F.coalesce(F.least(F.greatest(level, F.lit(0)), F.lit(levels - 1)), F.lit(0)).cast("int")
     level = F.when(F.lit(width) / F.pow(F.lit(4.0), level) < F.col("bound"), F.greatest(level - 1, F.lit(0))).otherwise(level)
+    level = F.when(F.col("bound").isNull(), F.lit(0)).otherwise(level)  # greatest() skips a null bound
     probes = (asked.join(bound, "qid", "left").withColumn("level", level)
               .withColumn("gx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1)))
               .withColumn("gy", F.explode(F.sequence(cell("y") - 1, cell("y") + 1))))

@@ -156,9 +156,9 @@ def _within(df: DataFrame, cols: Sequence[str], by: Sequence[str], bounds: DataF
     per column and become literals; else they are joined, one row per group."""
     ends = ("lower", "upper")
     if not by:
-        got = {r["col_name"]: r for r in bounds.collect()}
-        return _wide(df, [c for c in cols if c in got], by, lambda i, x: aggs(
-            x, *[F.lit(got[[c for c in cols if c in got][i]][e]) for e in ends]))
+        got = {r["col_name"]: [F.lit(r[e]) for e in ends] for r in bounds.collect()}
+        nothing = [F.lit(None).cast("double")] * 2  # a column without values
+        return _wide(df, cols, by, lambda i, x: aggs(x, *got.get(cols[i], nothing)))
     flat = bounds.groupBy(*by).agg(*[F.max(F.when(F.col("col_name") == c, F.col(e))).alias(f"_{e}{i}")
                                      for i, c in enumerate(cols) for e in ends])
     joined = nsjoin(df.select(*by, *cols), flat, by)

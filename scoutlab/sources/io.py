@@ -143,8 +143,8 @@ def schema_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv.gz")
     ``(folder, file, n_columns, position, column_name, error)``, sorted by file name.
 
     Files are listed and their first lines read on the executors, one task per file;
-    a file that cannot be read, or is empty, has one row with the reason in ``error``
-    and the scan goes on."""
+    a file that cannot be read has one row that says so in ``error`` and the scan goes
+    on.  Spark's readers do not list files without a byte."""
     def reader(fmt: str):
         return (spark.read.format(fmt).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
                 .option("ignoreCorruptFiles", True))
@@ -153,7 +153,7 @@ def schema_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv.gz")
     found = lines.mapInArrow(_headers, "path string, names array<string>")
     joined = files.join(found.withColumnRenamed("path", "_path"), F.col("path") == F.col("_path"), "left")
     parts = F.split("path", "/")
-    error = F.when(F.col("names").isNull(), F.when(F.col("length") == 0, F.lit("empty file")).otherwise(F.lit("no header could be read")))
+    error = F.when(F.col("names").isNull(), F.lit("no header could be read"))
     cells = joined.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("file"),
                           F.coalesce(F.size("names"), F.lit(0)).alias("n_columns"), error.alias("error"),
                           F.posexplode_outer("names").alias("position", "column_name"))
