@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -22,54 +23,90 @@ CLOSES = {
 }
 SCOPES = frozenset("table ul ol dl select body html div article section".split())
 
+# Attributes as browsers read them: a name, and after = a value that is quoted or
+# runs to the next white space or >; a stray quote is part of a name.
+_NAME = r"[^\s/>][^\s/>=]*+"
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)"
+_ATTRS = rf"(?:[\s/]++|{_NAME}(?:\s*+=\s*+{_VALUE})?+)*+"
 _TOKEN = re.compile(
-    rf"<(?P<raw>(?a:{RAW}))(?=[\s/>])(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"<(?P<raw>(?a:{RAW}))(?=[\s/>])(?P<rest>{_ATTRS})>"
     r"|(?P<comment><!--(?:.*?-->|.*)|<[!?][^>]*>?|</[^a-zA-Z][^>]*>?)"
     r"|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"|<(?P<open>[a-zA-Z][^\s/>]*+)(?P<attrs>{_ATTRS})>"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I | re.A) for name in RAW.split("|")}
-_ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(rf"({_NAME})(?:\s*+=\s*+({_VALUE}))?+")
+_MARKED = frozenset(("class", "id", "role", "itemprop"))
+_UNENDED = re.compile(r"[a-zA-Z]")
 _SPLIT = re.compile(r"[^a-z]+")
 
 
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]    # from the outermost element to the block's own
-    marks: tuple[str, ...]   # words of their classes, ids and roles
+    tags: frozenset[str]     # of the elements that hold the block, inline ones aside
+    marks: frozenset[str]    # words of the classes, ids and roles above it
+    own: str                 # tag of the block's element
+    outer: str               # tag of the element around it
     linked: int              # characters inside links
     parent: int              # number of the element that holds the block's element
 
 
-def _marks(attrs: str) -> tuple[str, ...]:
+@dataclass
+class _Open:
+    """An open element, with what holds for all that is in it: sets are shared with the
+    element around where nothing is new, so depth costs nothing."""
+    tag: str
+    tags: frozenset[str] = frozenset()
+    marks: frozenset[str] = frozenset()
+    own: str = ""
+    outer: str = ""
+    number: int = 0
+    parent: int = 0
+
+
+def _marks(attrs: str) -> list[str]:
     found = []
-    for m in _ATTR.finditer(attrs):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        found += [w for w in _SPLIT.split(value) if len(w) > 1]
-    return tuple(found)
+    for name, value in _ATTR.findall(attrs):
+        if name.lower() in _MARKED:
+            found += [w for w in _SPLIT.split(value.lower()) if len(w) > 1]
+    return found
+
+
+def _inside(around: _Open, tag: str, attrs: str, number: int) -> _Open:
+    marks = frozenset(_marks(attrs)) if attrs.strip() else frozenset()
+    marks = around.marks if marks <= around.marks else around.marks | marks
+    if tag in INLINE:
+        return _Open(tag, around.tags, marks, around.own, around.outer, around.number, around.parent)
+    tags = around.tags if tag in around.tags else around.tags | {tag}
+    return _Open(tag, tags, marks, tag, around.own, number, around.number)
 
 
 def blocks(page: str | None) -> list[Block]:
     """The page's leaf blocks in order; character references are decoded and
     white space inside a block is one space.  Markup that does not end is read
-    as far as it goes."""
+    as far as it goes: from a tag without its > on, the rest is text.  The time is
+    linear in the page."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], int]] = []
+    stack: list[_Open] = []
+    count: Counter[str] = Counter()  # open elements by tag
     parts: list[str] = []
     links: list[str] = []
     depth_a = number = pos = 0
     page = page or ""
     unended: set[str] = set()  # no end tag follows, so each name is searched in vain once
 
+    def end_from(at: int) -> None:
+        count.subtract(x.tag for x in stack[at:])
+        del stack[at:]
+
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 linked = len(" ".join(html.unescape("".join(links)).split()))
-                held = [x for x in stack if x[0] not in INLINE]
-                out.append(Block(text, tuple(x[0] for x in held), tuple(w for x in stack for w in x[1]), linked,
-                                 held[-2][2] if len(held) > 1 else 0))
+                at = stack[-1] if stack else _Open("")
+                out.append(Block(text, at.tags, at.marks, at.own, at.outer, linked, at.parent))
             parts.clear()
             links.clear()
 
@@ -88,6 +125,8 @@ def blocks(page: str | None) -> list[Block]:
             else:
                 unended.add(name)
         elif text is not None:
+            if text == "<" and _UNENDED.match(page, pos):
+                text, pos = page[pos - 1:], len(page)
             parts.append(text)
             if depth_a:
                 links.append(text)
@@ -99,37 +138,39 @@ def blocks(page: str | None) -> list[Block]:
             if tag not in INLINE:
                 flush()
                 depth_a = 0
-                names = [x[0] for x in stack]
-                if "p" in names:  # a block ends an open paragraph and what is inline in it
-                    at = len(names) - 1 - names[::-1].index("p")
-                    if all(n in INLINE for n in names[at + 1:]):
-                        del stack[at:]
+                if count["p"] > 0:  # a block ends an open paragraph and what is inline in it
+                    at = len(stack) - 1
+                    while stack[at].tag in INLINE:
+                        at -= 1
+                    if stack[at].tag == "p":
+                        end_from(at)
                 ends = CLOSES.get(tag)
-                if ends:
+                if ends and any(count[x] > 0 for x in ends):
                     at = len(stack) - 1
                     cut = len(stack)
-                    while at >= 0 and (stack[at][0] in ends or stack[at][0] in INLINE or stack[at][0] not in SCOPES):
-                        if stack[at][0] in ends:
+                    while at >= 0 and (stack[at].tag in ends or stack[at].tag in INLINE or stack[at].tag not in SCOPES):
+                        if stack[at].tag in ends:
                             cut = at
                         at -= 1
-                    del stack[cut:]
+                    end_from(cut)
             elif tag == "a":
                 depth_a = 1
             if tag not in VOID and not m["attrs"].endswith("/"):
                 number += 1
-                attrs = m["attrs"]
-                stack.append((tag, _marks(attrs) if attrs.strip() else (), number))
+                stack.append(_inside(stack[-1] if stack else _Open(""), tag, m["attrs"], number))
+                count[tag] += 1
         elif closed is not None:
             tag = closed.lower()
             if tag == "a":
                 depth_a = 0
             if tag not in INLINE:
                 flush()
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] == tag:
-                    del stack[at:]
-                    break
-                if tag in INLINE and stack[at][0] not in INLINE:
-                    break
+            if count[tag] > 0:
+                for at in range(len(stack) - 1, -1, -1):
+                    if stack[at].tag == tag:
+                        end_from(at)
+                        break
+                    if tag in INLINE and stack[at].tag not in INLINE:
+                        break
     flush()
     return out

@@ -63,12 +63,12 @@ def features(bs: list[Block]) -> tuple[list[list[str]], list[str]]:
         words = b.text.count(" ") + 1
         length = sum(words > n for n in _LENGTHS)
         links = min(3, 4 * b.linked // max(1, len(b.text)))
-        own = b.tags[-1] if b.tags else "-"
+        own = b.own or "-"
         fs = {f"t:{t}" for t in b.tags} | {f"m:{w}" for w in b.marks}
         fs |= {f"o:{own}", f"n:{length}", f"a:{links}", f"no:{length}:{own}", f"na:{length}:{links}",
                f"e:{b.text[-1] in '.!?:;…»”\"'}", f"c:{'©' in b.text}", "bias"}
-        if len(b.tags) > 1:
-            fs.add(f"u:{b.tags[-2]}>{own}")
+        if b.outer:
+            fs.add(f"u:{b.outer}>{own}")
         rows.append(sorted(fs))
         if i:
             kinds.append("same" if b.parent == bs[i - 1].parent else "other")

@@ -168,7 +168,8 @@ def op3_html_extract(spark, sf_dir):
 
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark, sf_dir):
-    return substring_dedup.substring_duplicates(table(spark, sf_dir, "documents"))
+    out = substring_dedup.substring_duplicates(table(spark, sf_dir, "documents"))
+    return out.withColumn("repeated", F.col("n_removed") > 0)
 
 
 @query("op6_license_scan")

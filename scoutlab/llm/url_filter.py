@@ -15,8 +15,8 @@ the root, each node's children are then generalised:
   unlikely as Z standard errors by the binomial bound too: of many small
   children some have their one or two labels bad by chance.
 
-Levels below TREE_DEPTH are judged alike, down to the deepest bad label, and
-what follows the last branch kept apart there is one wildcard.  What remains of
+Levels below TREE_DEPTH are judged alike, as long as some node there has good and
+bad labels on different paths (elsewhere no child can stay apart), and what follows the last branch kept apart there is one wildcard.  What remains of
 a path is its template.  A template is rejected when its bad share, smoothed towards its
 host's and that towards all hosts', reaches REJECT.
 
@@ -113,6 +113,12 @@ def template_tree(paths: DataFrame) -> DataFrame:
         tree = settle(tree.join(named, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (segment == F.col("_s")), "left")
                       .withColumn("template", F.coalesce("_next", "template")).withColumn("last", F.coalesce("_last", "last"))
                       .drop("_h", "_t", "_s", "_next", "_last"), "url-tree")
+        if depth + 1 >= TREE_DEPTH:
+            # A child can stay apart only where good and bad labels lie on different paths.
+            below = tree.filter(F.size("segments") > depth + 1).groupBy("host", "template").agg(
+                F.count_if(F.col("labelled") > 0).alias("paths"), F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
+            if below.filter("paths > 1 and b > 0 and b < l").isEmpty():
+                break
     kept = F.greatest("last", F.lit(TREE_DEPTH))
     head = F.array_join(F.slice(F.split("template", "/"), F.lit(1), kept + 1), "/")
     tree = tree.withColumn("template", F.when(size > kept, F.concat(head, F.lit("/**"))).otherwise(F.col("template")))

@@ -102,3 +102,24 @@ def test_rows_and_empty_table(model, spark):
     assert all(r.text is not None and r.n_chars == len(r.text) for r in got)
     assert extract(pages.limit(0), train(pages.limit(0))).count() == 0
     assert isinstance(train(pages.limit(0)), Crf) and features([]) == ([], [])
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><p data-x=it's>one</p><p>two</p><p>don't three</p></article>", ["one", "two", "don't three"]),
+    ('<p title="a"b">one text', ["one text"]),
+    ("<p title='a'b'>one</p><p x=\"y>z\" class=c>two</p>", ["one", "two"]),
+    ("<p a = 'x>y' b=/c/d>one</p><div =x>two</div><p a=>three", ["one", "two", "three"]),
+    ('<p title="never ended>one</p><p>two</p>', ["one", "two"]),
+    ("<p>one</p>a < b <i>c</i> <d", ["one", "a < b c <d"]),
+])
+def test_attributes_are_read_as_browsers_do(page, want):
+    assert [b.text for b in blocks(page)] == want
+
+
+@pytest.mark.parametrize("part", ["<a ", "<div>", "<div>x", '<a x="', "<a x='>'", "<li><h1>", "</p>", "<p><b>", "<!--", "<svg ", "<table><td>y"])
+def test_hostile_markup_takes_linear_time(part):
+    import time
+    page = part * (1_000_000 // len(part))
+    began = time.process_time()
+    blocks(page)
+    assert time.process_time() - began < 6

@@ -98,3 +98,17 @@ def test_labels_decide_below_the_tree_depth(spark):
     got = {r.shape: r for r in template_tree(spark.createDataFrame(paths, "host string, shape string, n long, labelled long, bad long")).collect()}
     assert [got[p[1]].bad_share >= 0.5 for p in paths] == [True, False, False]
     assert got[paths[0][1]].template == "/*" * 10 + "/bad/**" and got[paths[1][1]].template == got[paths[2][1]].template == "/*" * 8 + "/**"
+
+
+def test_one_deep_bad_path_costs_no_rounds(spark, monkeypatch):
+    from scoutlab.llm import url_filter
+    deep = "/".join("abcdefghij"[i % 10] * 3 for i in range(60))
+    rows = [(i, f"http://h.com/x/{'abcde'[i % 5]}/{i}") for i in range(50)] + [(50, f"http://h.com/{deep}"), (51, f"http://h.com/{deep}/end")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    marks = spark.createDataFrame([(i, False) for i in range(0, 50, 3)] + [(50, True)], "page_id long, bad boolean")
+    rounds = []
+    settle = url_filter.settle
+    monkeypatch.setattr(url_filter, "settle", lambda df, name: rounds.append(name) or settle(df, name))
+    got = {r.page_id: r for r in url_filter.filter_urls(pages, marks).collect()}
+    assert len(got) == 52 and rounds.count("url-tree") <= url_filter.TREE_DEPTH
+    assert got[50].template == got[51].template or got[50].verdict == "block"
