@@ -19,42 +19,6 @@ from pyspark.sql.functions import pandas_udf
 from scoutlab.operators.profile import long_values, value_ranks
 
 
-def _gammaincc(a: float, x: float) -> float:
-    """Regularized upper incomplete gamma Q(a, x) (series / continued
-    fraction, Numerical Recipes style)."""
-    if x <= 0:
-        return 1.0
-    gln = math.lgamma(a)
-    if x < a + 1:
-        term = total = 1.0 / a
-        ap = a
-        for _ in range(10000):
-            ap += 1
-            term *= x / ap
-            total += term
-            if abs(term) < abs(total) * 1e-16:
-                break
-        return max(0.0, 1.0 - total * math.exp(-x + a * math.log(x) - gln))
-    tiny = 1e-300
-    b = x + 1 - a
-    c = 1 / tiny
-    dd = 1 / b
-    h = dd
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2
-        dd = an * dd + b
-        dd = tiny if abs(dd) < tiny else dd
-        c = b + an / c
-        c = tiny if abs(c) < tiny else c
-        dd = 1 / dd
-        delta = dd * c
-        h *= delta
-        if abs(delta - 1) < 1e-16:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
-
-
 def chi2_sf(x: float, df: int) -> float:
     """Upper tail of the chi-square distribution."""
     if x is None or df is None or df <= 0 or (isinstance(x, float) and math.isnan(x)):
@@ -66,7 +30,13 @@ def chi2_sf(x: float, df: int) -> float:
             term *= h / i
             total += term
         return math.exp(-h) * total
-    return _gammaincc(df / 2.0, x / 2.0)
+    # odd df: the normal tail, and the same sum at half-integer steps
+    h = x / 2.0
+    total, term = 0.0, math.sqrt(h) / math.gamma(1.5)
+    for i in range(1, (df + 1) // 2):
+        total += term
+        term *= h / (i + 0.5)
+    return math.erfc(math.sqrt(h)) + math.exp(-h) * total
 
 
 @pandas_udf(T.DoubleType())

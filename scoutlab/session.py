@@ -28,7 +28,7 @@ def get_spark(master: str | None = None, app: str = "scoutlab",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("SCOUTLAB_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SCOUTLAB_DRIVER_MEMORY", "8g"))
     )
     if shuffle_partitions:  # else the cluster's own setting holds
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
