@@ -12,11 +12,18 @@ the shuffle; a source with a third of the rows sends one row per bucket and
 task.  A group of fewer than MIN_GROUP documents uses the merged sketch of its
 language, and below that the one of all documents.
 
-A measure's fence is the median plus FENCE times the spread between the median
-and the quantile at its clean end (but at least the measure's resolution).  The
-clean end cannot be moved by junk at the other end, so up to half of a group
-may be junk.  Documents beyond a fence are rejected; a group without outliers
-loses nothing.
+A measure's fence is the median plus FENCE spreads, and every spread comes from
+the group's own sketches.  It is the distance from the median to the quantile at
+the measure's clean end, which junk at the other end cannot move, so up to half
+of a group may be junk.  Where that quantile equals the median, as for symbols in
+prose, the spread is what one event (Rule.floor) weighs in the group's median
+document, whose words and lines are sketched too: sources of short texts get wider
+fences than sources of long ones.  A document within FENCE events (Rule.spared) is
+inside whatever its length, as one event in a short text is a large share.
+
+Lower fences are not below 0, and long words at the far end cannot widen them
+beyond twice the distance to the upper quartile.  Documents beyond a fence are
+rejected; a group without outliers loses nothing.
 
 Null text has no words and fails the base rules; null lang or source are
 groups of their own.
@@ -24,6 +31,7 @@ groups of their own.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -43,21 +51,28 @@ class Rule:
     """One measure (a non-negative whole number) with its fences.
 
     ``clean``: the percentile at the clean end; below 50 for an upper fence,
-    above 50 for a lower one.  ``resolution``: the least spread.
+    above 50 for a lower one.  ``floor``: the least spread, from the group's
+    medians ``mid`` (of the measure), ``mid_words`` and ``mid_lines``.
+    ``spared``: documents that are inside in any group.
     """
     name: str
     value: str
     clean: int
-    resolution: int
+    floor: str
+    spared: str = "false"
 
 
+# An event is a pair of symbols, a line said again, six words said again (twelve
+# covered).  Word lengths need no event: two to four buckets of their sketch.
 RULES = (
-    Rule("symbols", "n_symbols * 1000 div n_words", 10, 40),
-    Rule("dup_lines", "n_dup_lines * 1000 div n_lines", 10, 100),
-    Rule("repeats", "n_repeat_words * 1000 div n_words", 10, 100),
-    Rule("word_length_high", "word_chars * 100 div n_words", 10, 75),
-    Rule("word_length_low", "word_chars * 100 div n_words", 90, 50),
+    Rule("symbols", "n_symbols * 1000 div n_words", 10, "2000 div mid_words", f"n_symbols <= {2 * FENCE}"),
+    Rule("dup_lines", "n_dup_lines * 1000 div n_lines", 10, "1000 div mid_lines", f"n_dup_lines <= {FENCE}"),
+    Rule("repeats", "n_repeat_words * 1000 div n_words", 10, "12000 div mid_words", f"n_repeat_words <= {12 * FENCE}"),
+    Rule("word_length_high", "word_chars * 100 div n_words", 10, "mid div 16"),
+    Rule("word_length_low", "word_chars * 100 div n_words", 75, "mid div 16"),
 )
+# Sketched beside the measures, for the floors.
+SIZES = {"mid_words": "n_words", "mid_lines": "n_lines"}
 
 
 def _bind(value: Column, body) -> Column:
@@ -127,8 +142,10 @@ def _bucket(value: Column) -> Column:
 
 def sketches(rows: DataFrame) -> DataFrame:
     """Sketches per language and source of the measured ``rows`` that pass the
-    base rules: lang, source, rule, bucket, n."""
-    values = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.expr(r.value).cast("long").alias("value")) for r in RULES])
+    base rules: lang, source, rule (or size), bucket, n."""
+    measures = {r.name: r.value for r in RULES} | SIZES
+    values = F.array(*[F.struct(F.lit(name).alias("rule"), F.expr(value).cast("long").alias("value"))
+                       for name, value in measures.items()])
     long = rows.filter(~F.col("base_failed")).select("lang", "source", F.inline(values))
     return long.groupBy("lang", "source", "rule", _bucket(F.col("value")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -143,16 +160,25 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     def quantile(percent: int) -> Column:
         return F.min(F.when(F.col("upto") * 100 >= F.col("total") * percent, F.col("bucket")))
 
-    stats = ranked.groupBy(*keys, "rule").agg(
-        F.max("total").alias("total"), quantile(50).alias("mid"), quantile(10).alias("low"), quantile(90).alias("high"))
-    fence = None
-    for r in RULES:
-        spread = F.greatest((F.col("mid") - F.col("low")) if r.clean < 50 else (F.col("high") - F.col("mid")), F.lit(r.resolution))
-        value = F.col("mid") + spread * FENCE if r.clean < 50 else F.col("mid") - spread * FENCE
-        fence = F.when(F.col("rule") == r.name, value) if fence is None else fence.when(F.col("rule") == r.name, value)
-    stats = stats.withColumn("fence", fence)
-    return stats.groupBy(*keys).agg(F.max("total").alias("total"),
-                                    *[F.max(F.when(F.col("rule") == r.name, F.col("fence"))).alias(r.name) for r in RULES])
+    at = {"mid": 50, "low": 10, "upper": 75, "high": 90}
+    stats = ranked.groupBy(*keys, "rule").agg(F.max("total").alias("total"), *[quantile(p).alias(c) for c, p in at.items()])
+
+    def of(rule: str, column: str) -> Column:
+        return F.max(F.when(F.col("rule") == rule, F.col(column)))
+
+    wide = stats.groupBy(*keys).agg(
+        F.max("total").alias("total"), *[of(size, "mid").alias(size) for size in SIZES],
+        *[of(r.name, c).alias(f"{r.name}_{c}") for r in RULES for c in at])
+    return wide.select(*keys, "total", *[F.expr(fence_sql(r)).alias(r.name) for r in RULES])
+
+
+def fence_sql(r: Rule) -> str:
+    """The rule's fence over a group's medians and quantiles, named ``<rule>_mid`` and so on."""
+    mid, low, upper, high = (f"{r.name}_{c}" for c in ("mid", "low", "upper", "high"))
+    floor = re.sub(r"\bmid\b", mid, r.floor)
+    if r.clean < 50:
+        return f"{mid} + {FENCE} * greatest({mid} - {low}, {floor})"
+    return f"greatest(0, {mid} - {FENCE} * greatest(least({high} - {mid}, 2 * ({upper} - {mid})), {floor}))"
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
@@ -174,6 +200,7 @@ def judged(rows: DataFrame) -> DataFrame:
     inside = F.lit(True)
     for r in RULES:
         value, fence = F.expr(r.value), F.col(f"_fence_{r.name}")
-        inside = inside & F.coalesce((value <= fence) if r.clean < 50 else (value >= fence), F.lit(True))
+        within = (value <= fence) if r.clean < 50 else (value >= fence)
+        inside = inside & F.coalesce(within | F.expr(r.spared), F.lit(True))
     kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(inside)
     return joined.withColumn("kept", kept).drop("_lang", "_source", *[f"_fence_{r.name}" for r in RULES])

@@ -69,27 +69,30 @@ def op5_mixing(spark, sf_dir):
 
 
 def _quality_sql() -> str:
-    fences, inside = [], []
-    for r in quality.RULES:
-        side = "(mid - low)" if r.clean < 50 else "(high - mid)"
-        sign = "+" if r.clean < 50 else "-"
-        fences.append(f"max(CASE WHEN rule = '{r.name}' THEN mid {sign} {quality.FENCE} * greatest({side}, {r.resolution}) END) AS {r.name}")
-        op = "<=" if r.clean < 50 else ">="
-        inside.append(f"coalesce({r.value.replace(' div ', ' // ')} {op} f.{r.name}, true)")
+    def sql(expression: str) -> str:
+        return expression.replace(" div ", " // ")
+
+    measures = {r.name: r.value for r in quality.RULES} | quality.SIZES
     values = " UNION ALL ".join(
-        f"SELECT lang, source, '{r.name}' AS rule, ({r.value.replace(' div ', ' // ')})::BIGINT AS value FROM m WHERE NOT base_failed"
-        for r in quality.RULES)
+        f"SELECT lang, source, '{name}' AS rule, ({sql(value)})::BIGINT AS value FROM m WHERE NOT base_failed"
+        for name, value in measures.items())
+    inside = [f"coalesce({sql(r.value)} {'<=' if r.clean < 50 else '>='} f.{r.name} OR {r.spared}, true)" for r in quality.RULES]
+    sizes = [f"max(mid) FILTER (rule = '{name}') AS {name}" for name in quality.SIZES]
+    marks = [f"max({c}) FILTER (rule = '{r.name}') AS {r.name}_{c}" for r in quality.RULES for c in ("mid", "low", "upper", "high")]
+    fences = [f"{sql(quality.fence_sql(r))} AS {r.name}" for r in quality.RULES]
 
     def level(keys: str) -> str:
         by = f"{keys}, " if keys else ""
         part = f"PARTITION BY {by}rule"
         return f"""
-  SELECT {by}max(total) AS total, {', '.join(fences)} FROM (
-    SELECT {by}rule, max(total) AS total, min(bucket) FILTER (upto * 100 >= total * 50) AS mid,
-           min(bucket) FILTER (upto * 100 >= total * 10) AS low, min(bucket) FILTER (upto * 100 >= total * 90) AS high
-    FROM (SELECT {by}rule, bucket, sum(n) OVER ({part} ORDER BY bucket) AS upto, sum(n) OVER ({part}) AS total
-          FROM (SELECT {by}rule, bucket, sum(n) AS n FROM k GROUP BY {by}rule, bucket))
-    GROUP BY {by}rule) {'GROUP BY ' + keys if keys else ''}"""
+  SELECT {by}total, {', '.join(fences)} FROM (
+    SELECT {by}max(total) AS total, {', '.join(sizes + marks)} FROM (
+      SELECT {by}rule, max(total) AS total, min(bucket) FILTER (upto * 100 >= total * 50) AS mid,
+             min(bucket) FILTER (upto * 100 >= total * 10) AS low, min(bucket) FILTER (upto * 100 >= total * 75) AS upper,
+             min(bucket) FILTER (upto * 100 >= total * 90) AS high
+      FROM (SELECT {by}rule, bucket, sum(n) OVER ({part} ORDER BY bucket) AS upto, sum(n) OVER ({part}) AS total
+            FROM (SELECT {by}rule, bucket, sum(n) AS n FROM k GROUP BY {by}rule, bucket))
+      GROUP BY {by}rule) {'GROUP BY ' + keys if keys else ''})"""
 
     pick = ", ".join(
         f"CASE WHEN o.total >= {quality.MIN_GROUP} THEN o.{r.name} WHEN l.total >= {quality.MIN_GROUP} THEN l.{r.name} ELSE e.{r.name} END AS {r.name}"

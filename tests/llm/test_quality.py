@@ -60,6 +60,37 @@ def test_sketch_error_is_bounded(spark):
     assert 0 <= worst <= 1 / 32
 
 
+def prose(start, n, words, lang, tail=""):
+    return [(start + i, " ".join(f"wort{(i * 7 + k * k) % 9973}" for k in range(words)) + tail, lang, "s") for i in range(n)]
+
+
+def verdicts(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    measures = settle(measured(docs).drop("text"), "test")
+    return {r.doc_id: r.kept for r in judged(measures).collect()}, {r.lang: r for r in thresholds(sketches(measures)).collect()}
+
+
+def test_fences_without_spread_follow_the_group(spark):
+    """Symbols: 12 in 100 words stand out in a source of long texts and not in one of short ones."""
+    tail = " " + "#" * 12
+    rows = (prose(0, 60, 60, "short") + prose(1000, 60, 800, "long")
+            + prose(2000, 1, 99, "short", tail) + prose(3000, 1, 99, "long", tail)
+            + prose(4000, 1, 99, "long", " " + "#" * 8) + prose(5000, 1, 799, "long", tail) + prose(6000, 1, 99, "short", " " + "#" * 40))
+    kept, fences = verdicts(spark, rows)
+    assert fences["short"].symbols == 4 * (2000 // 60) and fences["long"].symbols == 4 * (2000 // 800)
+    assert {d: kept[d] for d in (2000, 3000, 4000, 5000, 6000)} == {2000: True, 3000: False, 4000: True, 5000: False, 6000: False}
+    assert all(kept[i] for i in range(60)) and all(kept[1000 + i] for i in range(60))
+
+
+def test_lower_fence_stands_where_the_group_holds_long_words(spark):
+    """A fifth of the group are strings of 60 characters; single letters are rejected all the same."""
+    rows = prose(0, 80, 60, "a") + [(1000 + i, " ".join(f"{k:060d}" for k in range(60)), "a", "s") for i in range(20)]
+    rows += [(2000, " ".join(chr(97 + k * k % 23) for k in range(60)), "a", "s")]
+    kept, fences = verdicts(spark, rows)
+    assert all(kept[i] for i in range(80)) and not kept[2000] and not any(kept[1000 + i] for i in range(20))
+    assert 0 < fences["a"].word_length_low < fences["a"].word_length_high
+
+
 def test_empty(no_docs):
     rows = settle(measured(no_docs.select("doc_id", "text", "lang", "source")), "test")
     assert judged(rows).count() == 0 and len(RULES) == 5
