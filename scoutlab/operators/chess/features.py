@@ -110,12 +110,6 @@ def legal_moves_expr(bd: str, white: str, castling: str, ep: str, squares: str =
             f"x -> NOT {G.king_in_danger('x.b', white)})")
 
 
-def with_legal_moves(df: DataFrame, prefix: str = "") -> DataFrame:
-    """Adds ``{prefix}legal`` for rows with a valid position."""
-    e = legal_moves_expr(f"`{prefix}bd`", f"`{prefix}white`", f"`{prefix}castling`", f"`{prefix}ep`")
-    return df.withColumn(f"{prefix}legal", F.when(F.col(f"{prefix}fen_ok"), F.expr(e)))
-
-
 STATE = ("bd", "white", "castling", "ep")
 
 
@@ -137,11 +131,13 @@ def _spread(n: int, there: np.ndarray, kind: pa.DataType, values) -> pa.Array:
     return found.cast(kind).take(pa.array(at, mask=at < 0))
 
 
-def _by_batch(df: DataFrame, state: tuple[str, str, str, str], outputs: dict[str, str], fn, *more: Column) -> DataFrame:
-    """``df`` with the ``outputs`` (name -> type) that ``fn(rows, there, batch)`` gives as
-    (arrow type, values of the rows in ``there``); ``more`` columns travel to it."""
+def _by_batch(df: DataFrame, state: tuple[str, str, str, str], outputs: dict[str, str], fn, *more: Column,
+              keep: list[str] | None = None) -> DataFrame:
+    """``df`` (its columns in ``keep``, or all) with the ``outputs`` (name -> type) that
+    ``fn(rows, there, batch)`` gives as (arrow type, values of the rows in ``there``);
+    ``more`` columns travel to it."""
     bd, white, castling, ep = state
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)])
     sent = df.select(row.alias("_row"), F.when(F.col(bd).isNotNull(), F.concat_ws("", bd)).alias("_cells"), F.col(white).alias("_white"),
                      F.coalesce(castling, F.lit("")).alias("_castling"), F.col(ep).cast("int").alias("_ep"), *more)
 
@@ -156,6 +152,44 @@ def _by_batch(df: DataFrame, state: tuple[str, str, str, str], outputs: dict[str
     return sent.mapInArrow(run, kind).select("_row.*", *outputs)
 
 
+_LETTERS = pa.array([chr(i) for i in range(128)])
+
+
+def _listed(boards: bool):
+    def run(rows: pa.RecordBatch, there: np.ndarray, batch: M.Batch) -> dict[str, tuple]:
+        at, fr, to, promo = batch.moves()
+        pr = _LETTERS.take(pa.array(promo, mask=promo == 0))
+        fields = {"m": pa.StructArray.from_arrays([pa.array(fr, pa.int32()), pa.array(to, pa.int32()), pr], ["fr", "to", "pr"])}
+        if boards:
+            cells = batch.take(at).play(fr, to, promo)[0].cells
+            one = pa.StringArray.from_buffers(cells.size, pa.py_buffer(np.arange(cells.size + 1, dtype=np.int32)), pa.py_buffer(cells.tobytes()))
+            fields["b"] = pa.ListArray.from_arrays(np.arange(0, cells.size + 1, 64, dtype=np.int32), one)
+        starts = np.searchsorted(at, np.arange(len(there) + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays(list(fields.values()), list(fields)))
+        return {"_listed": (lists.type, lists)}
+    return run
+
+
+def with_legal_moves(df: DataFrame, prefix: str = "", boards: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """C11: adds ``{prefix}legal`` for rows with a valid position, the legal moves as
+    ``ARRAY<STRUCT<m: STRUCT<fr,to,pr>, b: ARRAY<STRING>>>`` by squares; without
+    ``boards`` the board after each is left out.  ``keep``: columns to return beside it.
+
+    A batch's moves are listed together on masks.  Where the side to move has several
+    kings, the first alone counts, which only :func:`legal_moves_expr` knows."""
+    cols = [c for c in (df.columns if keep is None else keep) if c != G.GEO]
+    state = tuple(f"{prefix}{c}" for c in STATE)
+    geo = df if G.GEO in df.columns else df.withColumn(G.GEO, G.geometry_column())
+    e = legal_moves_expr(*[f"`{c}`" for c in state])
+    king = F.when(F.col(state[1]), F.lit("K")).otherwise(F.lit("k"))
+    several = F.col(f"{prefix}fen_ok") & (F.size(F.filter(F.col(state[0]), lambda x: x == king)) > 1)
+    sent = geo.withColumn("_played", F.when(several, F.expr(e if boards else f"transform({e}, x -> named_struct('m', x.m))"))).drop(G.GEO)
+    kind = "array<struct<m: struct<fr: int, to: int, pr: string>" + (", b: array<string>>>" if boards else ">>")
+    out = _by_batch(sent, state, {"_listed": kind}, _listed(boards), keep=[*cols, "_played"])
+    out = out.select(*cols, F.coalesce("_played", "_listed").alias(f"{prefix}legal"))
+    return out.withColumn(G.GEO, G.geometry_column()) if keep is None and G.GEO in df.columns else out
+
+
 MEASURES = {"at_moves": "long", "at_forcing": "long", "at_pieces": "long", "at_edges": "long", "at_parts": "long",
             "at_entropy": "double", "at_distance": "double", "at_dead": "boolean", "at_checked": "boolean"}
 
@@ -169,13 +203,14 @@ def _measure(rows: pa.RecordBatch, there: np.ndarray, batch: M.Batch) -> dict[st
             | {"at_entropy": (pa.float64(), entropy), "at_distance": (pa.float64(), distance)})
 
 
-def measured(df: DataFrame, state: tuple[str, str, str, str] = STATE) -> DataFrame:
+def measured(df: DataFrame, state: tuple[str, str, str, str] = STATE, keep: list[str] | None = None) -> DataFrame:
     """C6-C10 and C12-C15 of the positions in ``state`` (board, side, rights, en passant
     square): adds at_moves and at_forcing (captures or checks) of the side to move,
     at_pieces, at_edges (attacks on occupied squares), at_parts (weak components),
     at_entropy (of the material over four quadrants), at_distance (of the sides' centres
-    of mass), at_dead (neither can mate), at_checked; null without a board."""
-    return _by_batch(df, state, MEASURES, _measure)
+    of mass), at_dead (neither can mate), at_checked; null without a board.  ``keep``:
+    the columns of ``df`` to return beside them."""
+    return _by_batch(df, state, MEASURES, _measure, keep=keep)
 
 
 def _density() -> Column:
@@ -203,16 +238,18 @@ def _first_move(rows: pa.RecordBatch, there: np.ndarray, batch: M.Batch) -> dict
             "a_ep": (pa.int32(), pa.array(after.ep, mask=after.ep < 0)), "_reset": (pa.bool_(), reset)}
 
 
-def apply_first_move(df: DataFrame, moves: str = "Moves") -> DataFrame:
+def apply_first_move(df: DataFrame, moves: str = "Moves", keep: list[str] | None = None) -> DataFrame:
     """C3 + C16: validate the first move of ``moves`` against the legal
     moves of the parsed FEN position and build the position after it
     (``a_bd``, ``a_white``, ``a_castling``, ``a_ep``, ``a_halfmove``) and
-    ``move_ok``."""
+    ``move_ok``.  ``keep``: the columns of ``df`` to return beside them (and the
+    side and clock)."""
     df = df.drop(G.GEO)
     first = F.split(F.coalesce(F.col(moves), F.lit("")), " ").getItem(0)
     mv = parse_uci(first)
     outputs = {"move_ok": "boolean", "_board": "string", "a_castling": "string", "a_ep": "int", "_reset": "boolean"}
-    out = _by_batch(df, STATE, outputs, _first_move, mv["fr"].alias("_fr"), mv["to"].alias("_to"), F.ascii(mv["pr"]).alias("_promo"))
+    out = _by_batch(df, STATE, outputs, _first_move, mv["fr"].alias("_fr"), mv["to"].alias("_to"), F.ascii(mv["pr"]).alias("_promo"),
+                    keep=None if keep is None else [*keep, *(c for c in ("white", "halfmove") if c not in keep)])
     out = out.withColumn("move_ok", F.coalesce(F.col("move_ok"), F.lit(False)))
     ok, cells = F.col("move_ok"), F.regexp_extract_all(F.col("_board"), F.lit("."), F.lit(0))
     return out.withColumns({
@@ -227,8 +264,8 @@ def chess_features(df: DataFrame, fen: str = "FEN", moves: str = "Moves",
     the input columns plus the six features, empty values on any failure
     or on a finished game."""
     cols = keep if keep is not None else df.columns
-    after = apply_first_move(parse_fen(df, fen), moves)
-    after = measured(after, ("a_bd", "a_white", "a_castling", "a_ep"))
+    after = apply_first_move(parse_fen(df, fen), moves, keep=cols)
+    after = measured(after, ("a_bd", "a_white", "a_castling", "a_ep"), keep=[*cols, "move_ok", "a_halfmove"])
     n = F.col("at_moves")
     over = (n == 0) | F.col("at_dead") | (F.col("a_halfmove") >= 150)
     good = F.col("move_ok") & ~F.coalesce(over, F.lit(True))
@@ -249,7 +286,7 @@ def board_features(df: DataFrame, fen: str = "FEN", keep: list[str] | None = Non
     pushed): legal moves, forcing index, V, E, density, components,
     entropy and centre-of-mass distance (the golden-table view)."""
     cols = keep if keep is not None else df.columns
-    base = measured(parse_fen(df, fen).drop(G.GEO))
+    base = measured(parse_fen(df, fen).drop(G.GEO), keep=[*cols, "fen_ok"])
     return base.select(*cols, "fen_ok", F.col("at_moves").cast("int").alias("branching_factor"),
                        _forcing_index().alias("forcing_index"), F.col("at_pieces").cast("int").alias("n_pieces"),
                        F.col("at_edges").cast("int").alias("n_edges"), _density().alias("graph_density"),
@@ -293,6 +330,6 @@ def replay_positions(df: DataFrame, key: str, fen: str = "FEN", moves: str = "Mo
     longest game: a batch's games are played on together."""
     played = F.filter(F.split(F.trim(F.coalesce(F.col(moves), F.lit(""))), r"\s+"), lambda m: m != "")
     at = parse_fen(df.select(key, fen, moves), fen).filter("fen_ok").drop(G.GEO)
-    out = _by_batch(at, STATE, {"_steps": "array<struct<move: string, board: string>>"}, _replay, played.alias("_played"))
+    out = _by_batch(at, STATE, {"_steps": "array<struct<move: string, board: string>>"}, _replay, played.alias("_played"), keep=[key, "white"])
     return (out.select(key, "white", F.posexplode("_steps").alias("step", "at"))
             .select(key, "step", "at.move", F.col("white").alias("flip"), "at.board"))

@@ -64,7 +64,7 @@ def q_fen_state(spark, d):
 
 def _weighed(spark, d):
     p = CF.parse_fen(muestra(spark, d).select("PuzzleId", "FEN")).filter("fen_ok")
-    return CF.measured(p.drop("_geo")).select(
+    return CF.measured(p.drop("_geo"), keep=["PuzzleId"]).select(
         "PuzzleId", F.col("at_entropy").alias("spatial_entropy"), F.col("at_distance").alias("com_chebyshev_dist"))
 
 
@@ -124,9 +124,10 @@ def q_tension(spark, d):
 @query("legal_moves", sql=GOLDEN + f"SELECT PuzzleId, moves {ON}")
 def q_legal_moves(spark, d):
     """C11: legal moves of the side to move, as sorted UCI strings in one text."""
-    b = CF.with_legal_moves(CF.parse_fen(muestra(spark, d).select("PuzzleId", "FEN"))).filter("fen_ok")
-    uci = ("array_sort(transform(legal, x -> concat(char(97 + x.m.fr % 8), char(49 + x.m.fr div 8), "
-           "char(97 + x.m.to % 8), char(49 + x.m.to div 8), coalesce(x.m.pr, ''))))")
+    b = CF.parse_fen(muestra(spark, d).select("PuzzleId", "FEN")).filter("fen_ok")
+    b = CF.with_legal_moves(b, boards=False, keep=["PuzzleId"])
+    squares = ", ".join(f"'{f}{r}'" for r in range(1, 9) for f in "abcdefgh")
+    uci = f"sort_array(transform(legal, x -> concat(array({squares})[x.m.fr], array({squares})[x.m.to], coalesce(x.m.pr, ''))))"
     return b.select("PuzzleId", F.array_join(F.expr(uci), " ").alias("moves"))
 
 
@@ -154,7 +155,7 @@ SELECT PuzzleId, board_after IS NOT NULL AS move_ok, COALESCE(board_after, '') A
 def q_apply_first_move(spark, d):
     """C3 + C16: the first move validated against the legal moves and
     applied (board after the move as a 64-letter string)."""
-    b = CF.apply_first_move(CF.parse_fen(muestra(spark, d).select("PuzzleId", "FEN", "Moves")))
+    b = CF.apply_first_move(CF.parse_fen(muestra(spark, d).select("PuzzleId", "FEN", "Moves")), keep=["PuzzleId"])
     return b.select("PuzzleId", "move_ok", F.concat_ws("", "a_bd").alias("board_after"),
                     "a_castling", "a_ep", "a_halfmove")
 

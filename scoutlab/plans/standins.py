@@ -181,9 +181,11 @@ def puzzles(spark: SparkSession, d: str) -> DataFrame:
 
 def puzzles_with_positions(spark: SparkSession, d: str) -> DataFrame:
     """``muestra``: puzzles with FEN and Moves from the fixed position list
-    (25 rows: a bounded broadcast side)."""
+    (25 rows: a bounded broadcast side).  The rows are dealt out first: a position
+    costs far more than its row, and a small file is read by one task."""
     from scoutlab.plans.positions import positions_df
-    return puzzles(spark, d).join(F.broadcast(positions_df(spark)), "position_no")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return puzzles(spark, d).repartition(tasks).join(F.broadcast(positions_df(spark)), "position_no")
 
 
 # SQL FROM clauses for the oracle side.

@@ -5,8 +5,10 @@ import math
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import chess_brute as brute
+from conftest import SF_SMALL
 from scoutlab.operators.chess import features as CF
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -257,3 +259,30 @@ def test_golden_tables_are_what_the_rules_give():
             assert (i, cells, white) == (step, "".join(state[0]), brute.parse(fens[no][0])[1])
         rest = fens[no][1].split()[len(played) - 1:]
         assert not rest or rest[0] not in {brute.uci(m) for m in brute.legal(state)}
+
+
+def test_listed_moves_and_boards_match_plain_rules(spark, played):
+    """The moves of C11 and the board after each, also without the boards."""
+    states = played[:200]
+    df = CF.parse_fen(spark.createDataFrame([(i, brute.to_fen(s)) for i, s in enumerate(states)], "id int, FEN string"))
+    name = lambda m: "abcdefgh"[m.fr % 8] + str(m.fr // 8 + 1) + "abcdefgh"[m.to % 8] + str(m.to // 8 + 1) + (m.pr or "")
+    plain = {r.id: [name(x.m) for x in r.legal] for r in CF.with_legal_moves(df, boards=False, keep=["id"]).collect()}
+    for r in CF.with_legal_moves(df).select("id", "legal").collect():
+        state = states[r.id]
+        want = {brute.uci(m): list(brute.play(state, m)[0]) for m in brute.legal(state)}
+        assert {name(x.m): x.b for x in r.legal} == want and len(r.legal) == len(want)
+        assert plain[r.id] == [name(x.m) for x in r.legal]
+
+
+def test_listed_moves_with_several_kings(spark):
+    """The first king alone counts, as in the move rules on single boards."""
+    df = CF.parse_fen(spark.createDataFrame([(1, "4k3/8/8/8/8/8/r7/K6K w - - 0 1"), (2, "4k3/8/8/8/8/8/7r/K6K w - - 0 1"), (3, "x")], "id int, FEN string"))
+    want = df.select("id", F.expr(CF.legal_moves_expr("bd", "white", "castling", "ep")).alias("legal")).filter("id < 3").collect()
+    got = {r.id: r.legal for r in CF.with_legal_moves(df).collect()}
+    assert {r.id: r.legal for r in want} == {i: got[i] for i in (1, 2)} and got[3] is None
+
+
+def test_positions_are_dealt_to_many_tasks(spark):
+    from scoutlab.plans import standins as S
+    assert S.puzzles(spark, SF_SMALL).rdd.getNumPartitions() == 1
+    assert S.puzzles_with_positions(spark, SF_SMALL).rdd.getNumPartitions() >= 8
