@@ -14,6 +14,7 @@ The same ranks drive Kruskal-Wallis, which needs all of them.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 
@@ -453,47 +454,107 @@ def poisson_thresholds() -> list[float]:
     return out
 
 
-BLOCK_DIGITS = 2  # hexadecimal digits of a row's digest that name its block
+_MD5_SHIFTS = [[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]]
+_MD5_SINES = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
+
+
+def _md5_heads(words: list) -> np.ndarray:
+    """The first 32 bits (as the first eight hexadecimal digits) of the md5 of one-block
+    messages; ``words``: 16 uint32 arrays that broadcast to one shape.  The digest's
+    first word needs 61 of the 64 steps."""
+    start = [np.uint32(x) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+    a, b, c, d = (np.full((1, 1), x) for x in start)
+    for i in range(61):
+        turn = i // 16
+        if turn == 0:
+            f, g = d ^ (b & (c ^ d)), i
+        elif turn == 1:
+            f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif turn == 2:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f = f + a + (words[g] + np.uint32(_MD5_SINES[i]))
+        by = _MD5_SHIFTS[turn][i % 4]
+        a, d, c, b = d, c, b, b + ((f << np.uint32(by)) | (f >> np.uint32(32 - by)))
+    return (b + start[0]).byteswap()
+
+
+def _draws(prefixes: list[bytes], suffixes: list[bytes]) -> np.ndarray:
+    """32 bits of the md5 of every prefix (of one length) with every suffix (of one length)."""
+    before, after = len(prefixes[0]), len(suffixes[0])
+    if before + after > 55:  # more than a block
+        return np.array([[int(hashlib.md5(p + x).hexdigest()[:8], 16) for x in suffixes] for p in prefixes], np.uint32)
+    tail = b"\x80" + bytes(55 - before - after) + (8 * (before + after)).to_bytes(8, "little")
+    first = np.frombuffer(b"".join(p + bytes(64 - before) for p in prefixes), "<u4").reshape(-1, 16)
+    second = np.frombuffer(b"".join(bytes(before) + x + tail for x in suffixes), "<u4").reshape(-1, 16)
+    words = [first[:, w, None] if 4 * w + 4 <= before else second[None, :, w] if 4 * w >= before else first[:, w, None] | second[None, :, w]
+             for w in range(16)]
+    return np.broadcast_to(_md5_heads(words), (len(prefixes), len(suffixes)))
+
+
+_BAND = ["sw", "sx", "sy", "sxx", "sxy"]
+
+
+def _resampled(replicates: int, seed: int):
+    """mapInArrow body: per replicate the task's sums, every row (k, x, y) weighed by a
+    Poisson(1) draw from the seeded digest of its key and the replicate."""
+    cuts = [math.ceil(t * 2**32) for t in poisson_thresholds()]
+    runs: dict[int, list[tuple[int, bytes]]] = {}
+    for b in range(1, replicates + 1):
+        runs.setdefault(len(str(b)), []).append((b - 1, f"{b}:{seed}".encode()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, lo, hi = np.zeros((replicates, len(_BAND))), math.inf, -math.inf
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.asarray(batch.column(c), float) for c in ("x", "y"))
+            values = np.column_stack([np.ones(len(x)), x, y, x * x, x * y])
+            lo, hi = min(lo, float(x.min())), max(hi, float(x.max()))
+            lengths: dict[int, list[tuple[int, bytes]]] = {}
+            for i, k in enumerate(batch.column("k").to_pylist()):
+                text = b"" if k is None else f"{k}:".encode()
+                lengths.setdefault(len(text), []).append((i, text))
+            for rows in lengths.values():
+                for at in range(0, len(rows), 16):  # arrays that stay in the cache
+                    some = rows[at:at + 16]
+                    for reps in runs.values():
+                        h = _draws([t for _, t in some], [t for _, t in reps])
+                        w = np.zeros(h.shape, np.uint8)
+                        for cut in cuts:
+                            w += h >= cut
+                        sums[reps[0][0]:reps[-1][0] + 1] += w.T.astype(float) @ values[[i for i, _ in some]]
+        if lo <= hi:
+            out = [np.arange(1, replicates + 1, dtype=np.int32), np.full(replicates, lo), np.full(replicates, hi), *sums.T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(v)) for v in out], ["b", "lo", "hi", *_BAND])
+    return run
 
 
 def regression_band(df: DataFrame, x: str, y: str, key: str, replicates: int = 1000,
                     seed: int = 42, grid_points: int = 100) -> DataFrame:
-    """95 % bootstrap band of the regression line (Poisson bootstrap of blocks).
-
-    Rows fall into 256 blocks by a seeded digest of their key; a block's count, sums
-    and products are all that its rows give to a line.  Each replicate weighs every
-    block by a Poisson(1) draw from a seeded digest, so the resampling works on
-    blocks x replicates rows whatever the size of the table, after one aggregate
-    over it.  The band is the 2.5/97.5 % quantile of the fitted value at each grid x."""
+    """95 % bootstrap band of the regression line (Poisson bootstrap).
+
+    Each row gets a Poisson(1) weight per replicate from a seeded digest (no
+    resampling shuffle); weighted sums per replicate give slope and intercept; the
+    band is the 2.5/97.5 % quantile of the fitted value at each grid x.  One scan:
+    a task draws the weights of its rows as arrays, rows x ``replicates`` digests in
+    all, and sends one row of sums per replicate.  The rows are dealt out first, since a
+    row's work is far larger than the row."""
     xx, yy = F.col(x).cast("double"), F.col(y).cast("double")
-    base = df.filter(xx.isNotNull() & yy.isNotNull()).select(seeded_digest(key, seed=seed).alias("h"), xx.alias("x"), yy.alias("y"))
-    blocks = base.groupBy(F.substring("h", 1, BLOCK_DIGITS).alias("block")).agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).cast("double").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    rows = blocks.collect()  # at most 16**BLOCK_DIGITS
-    if not rows:
-        return df.sparkSession.createDataFrame([], "i INT, gx DOUBLE, lower DOUBLE, upper DOUBLE")
-    lo, hi = min(r["lo"] for r in rows), max(r["hi"] for r in rows)
-    steps = poisson_thresholds()
-    blocks = df.sparkSession.createDataFrame(rows, blocks.schema)
-    rep = (blocks.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("b"))
-           .withColumn("u", seeded_uniform("block", "b", seed=seed)))
-    wgt = F.lit(len(steps))
-    for k in reversed(range(len(steps))):
-        wgt = F.when(F.col("u") < F.lit(steps[k]), F.lit(k)).otherwise(wgt)
-    rep = rep.withColumn("w", wgt).groupBy("b").agg(*[F.sum(F.col("w") * F.col(c)).alias(name) for c, name in (
-        ("n", "sw"), ("sx", "sx"), ("sy", "sy"), ("sxx", "sxx"), ("sxy", "sxy"))])
+    base = df.filter(xx.isNotNull() & yy.isNotNull()).select(F.col(key).cast("string").alias("k"), xx.alias("x"), yy.alias("y"))
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    sums = base.repartition(tasks).mapInArrow(_resampled(replicates, seed), "b int, lo double, hi double, " + ", ".join(f"{c} double" for c in _BAND))
+    rep = sums.groupBy("b").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *[F.sum(c).alias(c) for c in _BAND])
     slope = F.try_divide(F.col("sw") * F.col("sxy") - F.col("sx") * F.col("sy"),
                          F.col("sw") * F.col("sxx") - F.col("sx") * F.col("sx"))
-    fits = rep.select("b", slope.alias("m"),
-                      F.try_divide(F.col("sy") - slope * F.col("sx"), F.col("sw")).alias("c"))
-    step = (hi - lo) / max(grid_points - 1, 1)
-    grid = fits.select(F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"), "m", "c")
-    gx = F.lit(lo) + F.col("i") * F.lit(step)
-    return (grid.select("i", (F.col("m") * gx + F.col("c")).alias("fit"))
-            .groupBy("i").agg(F.percentile("fit", 0.025).alias("lower"),
-                              F.percentile("fit", 0.975).alias("upper"))
-            .select("i", gx.alias("gx"), "lower", "upper"))
+    fits = rep.select("lo", "hi", slope.alias("m"), F.try_divide(F.col("sy") - slope * F.col("sx"), F.col("sw")).alias("c"))
+    gx = F.col("lo") + F.col("i") * ((F.col("hi") - F.col("lo")) / F.lit(max(grid_points - 1, 1)))
+    grid = fits.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1)))).withColumn("gx", gx)
+    return (grid.select("i", "gx", (F.col("m") * F.col("gx") + F.col("c")).alias("fit"))
+            .groupBy("i", "gx").agg(F.percentile("fit", 0.025).alias("lower"),
+                                    F.percentile("fit", 0.975).alias("upper")))
 
 
 def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -47,3 +47,24 @@ def test_boxplot_of_all_puzzle_variables_by_difficulty(spark, puzzles):
     got = {(r.nivel_dificultad, r.col_name): (r.n, r.median) for r in E.queries()["boxplot_by_difficulty"](spark, SF_SMALL).collect()}
     want = {(k, c): (len(g), g[c].median()) for k, g in puzzles.groupby("nivel_dificultad") for c in ["Rating", *VARIABLES]}
     assert sorted(got) == sorted(want) and all(got[k] == (want[k][0], pytest.approx(want[k][1], abs=1e-6)) for k in want)
+
+
+def test_the_band_weighs_every_row_in_every_replicate(spark):
+    """G13b against plain digests, row by row; keys of several lengths, one beyond a digest's block."""
+    import hashlib
+    import numpy as np
+    from scoutlab.operators import profile as G
+    rows = [(k, float(i % 7), float(3 * i + i % 5)) for i, k in enumerate([*map(str, range(5, 125)), "x" * 60, "é", None])]
+    df = spark.createDataFrame([*rows, ("gap", None, 1.0)], "k string, x double, y double")
+    lines = []
+    for b in range(1, 31):
+        draws = [int(hashlib.md5(":".join([*([k] if k is not None else []), str(b), "42"]).encode()).hexdigest()[:8], 16) / 2**32 for k, _, _ in rows]
+        w = np.array([sum(t <= u for t in G.poisson_thresholds()) for u in draws], float)
+        x, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+        m = (w.sum() * (w * x * y).sum() - (w * x).sum() * (w * y).sum()) / (w.sum() * (w * x * x).sum() - (w * x).sum() ** 2)
+        lines.append((m, ((w * y).sum() - m * (w * x).sum()) / w.sum()))
+    got = G.regression_band(df, "x", "y", "k", replicates=30, grid_points=4).orderBy("i").collect()
+    for r in got:
+        fits = [m * r.gx + c for m, c in lines]
+        assert (r.gx, r.lower, r.upper) == pytest.approx((2.0 * r.i, np.quantile(fits, 0.025), np.quantile(fits, 0.975)))
+    assert len(got) == 4
