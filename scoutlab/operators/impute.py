@@ -1,38 +1,25 @@
 """Missing-value handling.
 
 KNN imputation (G16) and iterative KNN imputation (G17) share one exact
-nearest-neighbour search that never forms receivers x donors:
-
-* distances are nan-Euclidean: ``sqrt(|F| / |P| * sum_P (a-b)^2)`` over the
-  features P present in both rows (plain Euclidean when nothing is missing);
-  ties are broken by the donor key, so results are deterministic;
-* receivers with equal features are one query; of donors that agree on all
-  shared features only the k smallest keys can matter, so the others go before
-  any pairing.  Both are exact;
-* donors are indexed on a ladder of grids over the two widest shared features,
-  each level's cells a quarter of the size of the one above.  A query first
-  meets the donors of its own cell on the finest level where that cell holds k
-  of them: the k-th distance found there bounds the true one.  It then meets
-  the donors within that bound, on the level whose cells are just larger than
-  it, in its own and the eight cells around.  Nothing outside can be closer.
-
-Two equi-joins, no loop, and the donors met per query do not grow with the
-table.
+nearest-neighbour search (:mod:`knn`) that never forms receivers x donors.  Distances are
+nan-Euclidean: ``sqrt(|F| / |P| * sum_P (a-b)^2)`` over the features P present in both
+rows (plain Euclidean when nothing is missing); ties are broken by the donor key, so
+results are deterministic.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
-import math
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from scoutlab.functions.scalar import MISSING_MARKER
+from scoutlab.operators import knn as N
 from scoutlab.operators.profile import exact_quantiles
 from scoutlab.session import checkpoint_dir
 
@@ -82,168 +69,31 @@ def fill_marker(df: DataFrame, cols: Sequence[str], marker: str = MISSING_MARKER
     return impute_constant(df, {c: marker for c in cols})
 
 
-# --- exact KNN search ---------------------------------------------------------------
-
-MAX_FEATURES = 62  # presence masks are BIGINT
-
-
-def _mask(cols: Sequence[str]) -> Column:
-    """Presence bitmask over ``cols`` (bit i set when cols[i] is not null)."""
-    if len(cols) > MAX_FEATURES:
-        raise ValueError(f"at most {MAX_FEATURES} features, got {len(cols)}")
-    return reduce(lambda a, b: a.bitwiseOR(b),
-                  [F.when(F.col(c).isNotNull(), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-                   for i, c in enumerate(cols)])
-
-
-def _bit(mask: str, i: int) -> Column:
-    return F.col(mask).bitwiseAND(F.lit(1 << i).cast("long")) != 0
-
-
-def _axis(mask: str, values: Sequence[Column], after: Column | None = None) -> tuple[Column, Column]:
-    """(index, value) of the first feature in ``mask``, or of the first behind index ``after``."""
-    index, value = F.lit(None).cast("int"), F.lit(None).cast("double")
-    for i in reversed(range(len(values))):
-        hit = _bit(mask, i) if after is None else _bit(mask, i) & (after < i)
-        index, value = F.when(hit, F.lit(i)).otherwise(index), F.when(hit, values[i]).otherwise(value)
-    return index, value
-
-
-def _widest_first(feats: Sequence[str], spreads: Sequence[float]) -> list[str]:
-    return [feats[i] for i in sorted(range(len(feats)), key=lambda i: -spreads[i])]
-
-
-def complete_points(donors: DataFrame, feats: Sequence[str], target: str, spreads: Sequence[float], k: int = 5) -> DataFrame:
-    """The donors of :func:`knn_search` with ``complete`` as its index holds them, written
-    once: what does not change between searches is given to it as ``kept``."""
-    feats = _widest_first(list(feats), spreads)
-    full = F.lit((1 << len(feats)) - 1).cast("long")
-    values = [F.col(f).cast("double").alias(f"d{i}") for i, f in enumerate(feats)]
-    points = donors.select("did", F.lit(target).alias("target"), F.col(target).cast("double").alias("tv"), *values, full.alias("D"), full.alias("S"))
-    same = Window.partitionBy(*[f"d{i}" for i in range(len(feats))]).orderBy("did")
-    points = points.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k).drop("_n")
-    checkpoint_dir(donors.sparkSession)
-    return points.withColumns({"x": F.col("d0"), "y": F.col("d1") if len(feats) > 1 else F.lit(0.0)}).checkpoint(eager=True)
-
-
-def knn_search(cells: DataFrame, donors: DataFrame, feats: Sequence[str], k: int = 5,
-               spreads: Sequence[float] | None = None, n_donors: int | None = None,
-               targets: Sequence[str] | None = None, complete: bool = False, kept: DataFrame | None = None) -> DataFrame:
-    """Exact k nearest donors per cell.
-
-    ``cells``: ``cell_id, target, <feats>`` - a receiver row needing column
-    ``target``.  ``donors``: ``did, <feats>, <targets...>`` - every column
-    named in ``cells.target`` must be a donors column.  Returns
-    ``cell_id, value`` = mean of the target over the nearest min(k, donors
-    with a defined distance) donors; cells without any such donor are absent.
-
-    ``spreads`` (upper bounds of max - min per feature), ``n_donors`` and
-    ``targets`` spare the job that measures them.  ``complete`` tells that no
-    feature is ever null, so that there is one presence pattern; ``kept`` are further
-    donors, indexed by :func:`complete_points` in an earlier search.
-    """
-    feats = list(feats)
-    if spreads is None or n_donors is None:
-        both = donors.select(*feats).withColumn("_d", F.lit(1)).unionByName(cells.select(*feats).withColumn("_d", F.lit(0)))
-        st = both.agg(*[(F.max(f) - F.min(f)).cast("double").alias(f"s{i}") for i, f in enumerate(feats)],
-                      F.sum("_d").alias("n")).first()
-        spreads, n_donors = [st[f"s{i}"] or 0.0 for i in range(len(feats))], st["n"] or 0
-    feats = _widest_first(feats, spreads)
-    checkpoint_dir(cells.sparkSession)
-    nf, width = len(feats), max([*spreads, 0.0]) * 1.001 + 1e-9
-    levels = 1 + max(1, math.ceil(math.log(max(2, n_donors), 4)))
-    fs = range(nf)
-    targets = list(targets if targets is not None else [c for c in donors.columns if c in set(feats)])
-
-    queries = (cells.groupBy("target", *[F.col(f).cast("double").alias(f"r{i}") for i, f in enumerate(feats)])
-               .agg(F.min("cell_id").alias("qid")).withColumn("R", F.lit((1 << nf) - 1).cast("long") if complete else _mask([f"r{i}" for i in fs])))
-    values = F.array(*[F.when(F.col(t).isNotNull(), F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("tv"))) for t in targets])
-    given = (donors.select("did", *[F.col(f).cast("double").alias(f"d{i}") for i, f in enumerate(feats)], F.explode(values).alias("x"))
-             .filter("x is not null").select("did", "x.target", "x.tv", *[f"d{i}" for i in fs])
-             .withColumn("D", F.lit((1 << nf) - 1).cast("long") if complete else _mask([f"d{i}" for i in fs])))
-    if complete:
-        points, asked = given.withColumn("S", F.col("D")), queries.withColumns({"D": F.col("R"), "S": F.col("R")})
-    else:
-        # Which features a query's and a donor's presence pattern share: a join
-        # of the patterns that occur.
-        shared = F.col("R").bitwiseAND(F.col("D"))
-        meets = (queries.select("target", "R").distinct().join(given.select("target", "D").distinct(), "target")
-                 .withColumn("S", shared).filter("S <> 0"))
-        points = given.join(meets.select("target", "D", "S").distinct(), ["target", "D"])
-        points = points.withColumns({f"d{i}": F.when(_bit("S", i), F.col(f"d{i}")) for i in fs})
-        asked = queries.join(meets, ["target", "R"])
-    same = Window.partitionBy("target", "D", "S", *[f"d{i}" for i in fs]).orderBy("did")
-    points = points.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k).drop("_n")
-
-    def axes(df: DataFrame, prefix: str) -> DataFrame:
-        values = [F.col(f"{prefix}{i}") for i in fs]
-        if complete:
-            return df.withColumns({"x": values[0], "y": values[1] if nf > 1 else F.lit(0.0)}).checkpoint(eager=True)
-        first, x = _axis("S", values)
-        df = df.withColumns({"_i": first, "x": x})
-        _, y = _axis("S", values, F.col("_i"))
-        # Read several times over: written once, which also keeps the plan flat.
-        return df.withColumn("y", F.coalesce(y, F.lit(0.0))).drop("_i").checkpoint(eager=True)
-
-    def cell(value: str) -> Column:
-        return F.floor(F.col(value) / (F.lit(width) / F.pow(F.lit(4.0), F.col("level")))).cast("long")
-
-    every = F.sequence(F.lit(0), F.lit(levels - 1))
-    points, asked = axes(points, "d"), axes(asked, "r")
-    if kept is not None:
-        points = points.unionByName(kept)
-    ladder = points.withColumn("level", F.explode(every)).withColumns({"gx": cell("x"), "gy": cell("y")})
-    key = ["target", "D", "S", "level", "gx", "gy"]
-
-    def distances(probes: DataFrame) -> DataFrame:
-        """(qid, did, dist, tv) of the probes' cells; a query's best k."""
-        pairs = probes.select("qid", *key, *[f"r{i}" for i in fs]).join(ladder, key)
-        ss = reduce(lambda a, b: a + b, [F.coalesce(F.pow(F.col(f"r{i}") - F.col(f"d{i}"), 2), F.lit(0.0)) for i in fs])
-        n = F.bit_count("S")
-        near = pairs.select("qid", "did", F.sqrt(F.lit(float(nf)) / n * ss).alias("dist"), "tv")
-        best = Window.partitionBy("qid").orderBy("dist", "did")
-        return near.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k)
-
-    # The finest own cell with k donors (any pattern of donors will do for a bound).
-    held = ladder.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
-    own = asked.withColumn("level", F.explode(every)).withColumns({"gx": cell("x"), "gy": cell("y")})
-    finest = Window.partitionBy("qid").orderBy(F.col("level").desc(), "n", "D")
-    start = own.join(held, key).withColumn("_n", F.row_number().over(finest)).filter("_n = 1")
-    bound = distances(start).groupBy("qid").agg(F.max("dist").alias("bound"))
-    # Cells just larger than the bound; without one, the one cell of level 0 and all about it.
-    reach = F.greatest(F.col("bound"), F.lit(width * 4.0 ** (1 - levels)))
-    level = F.floor(F.log(F.lit(width) / reach) / F.log(F.lit(4.0)) + 1e-9)
-    level = F.coalesce(F.least(F.greatest(level, F.lit(0)), F.lit(levels - 1)), F.lit(0)).cast("int")
-    level = F.when(F.lit(width) / F.pow(F.lit(4.0), level) < F.col("bound"), F.greatest(level - 1, F.lit(0))).otherwise(level)
-    level = F.when(F.col("bound").isNull(), F.lit(0)).otherwise(level)  # greatest() skips a null bound
-    probes = (asked.join(bound, "qid", "left").withColumn("level", level)
-              .withColumn("gx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1)))
-              .withColumn("gy", F.explode(F.sequence(cell("y") - 1, cell("y") + 1))))
-    found = distances(probes).groupBy("qid").agg(F.avg("tv").alias("value"))
-    back = queries.join(found, "qid").drop("R", "qid")
-    match = reduce(lambda a, b: a & b, [F.col(f).cast("double").eqNullSafe(F.col(f"r{i}")) for i, f in enumerate(feats)])
-    return (cells.withColumnRenamed("target", "_target").join(back, (F.col("_target") == F.col("target")) & match)
-            .select("cell_id", "value"))
-
+# --- KNN imputation ---------------------------------------------------------------------
 
 def impute_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5) -> DataFrame:
     """KNNImputer(n_neighbors=k) semantics on ``feats`` (unscaled,
     nan-Euclidean, uniform weights); a cell with no donor at a defined
-    distance gets the column mean.  Observed cells are never changed."""
+    distance gets the column mean.  Observed cells are never changed.
+
+    The presence patterns that occur and a bounded sample come to the driver."""
     feats = list(feats)
-    base = df.select(key, *feats)
-    cells = (base.select(key, *feats, F.explode(F.array(*[
-        F.when(F.col(f).isNull(), F.lit(f)) for f in feats])).alias("target"))
-        .filter(F.col("target").isNotNull())
-        .withColumn("cell_id", F.concat_ws("|", F.col(key).cast("string"), F.col("target"))))
-    donors = base.withColumnRenamed(key, "did")
-    found = knn_search(cells, donors, feats, k, targets=feats)
+    spark = df.sparkSession
+    base = df.select(key, *[F.col(f).cast("double").alias(f) for f in feats])
     means = df.agg(*[F.avg(f).alias(f) for f in feats]).first()
-    filled = (cells.select(key, "target", "cell_id").join(found, "cell_id", "left")
-              .groupBy(key).agg(*[F.max(F.when(F.col("target") == F.lit(f), F.col("value"))).alias(f"_v_{f}")
-                                  for f in feats]))
+    patterns = {r["m"]: r["n"] for r in base.groupBy(N.presence(feats).alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    targets = [i for i in range(len(feats)) if any(not m >> i & 1 for m in patterns) and any(m >> i & 1 for m in patterns)]
+    sample, per = N.sampled(base, feats, sum(patterns.values()))
+    plan = N.Space(feats, sorted(patterns), targets, sample, per)
+    if not plan.groups:
+        return df.select(*[F.coalesce(F.col(c), F.lit(means[c])).alias(c) if c in feats else F.col(c) for c in df.columns])
+    space = spark.sparkContext.broadcast(plan)
+    asking = reduce(lambda a, b: a | b, [~N.known(feats[i]) for i in targets])
+    found = N.search(N.dealt_donors(base, key, space, feats), N.dealt_receivers(base.filter(asking), key, space, feats, k), space, k)
+    filled = found.groupBy(F.col("rid").alias(key)).agg(*[F.max(F.when(F.col("target") == i, F.col("value"))).alias(f"_v_{feats[i]}") for i in targets])
     out = df.join(filled, key, "left")
-    return out.select(*[F.coalesce(F.col(c), F.col(f"_v_{c}"), F.lit(means[c])).alias(c) if c in feats
+    value = {feats[i]: F.col(f"_v_{feats[i]}") for i in targets}
+    return out.select(*[F.coalesce(F.col(c), *([value[c]] if c in value else []), F.lit(means[c])).alias(c) if c in feats
                         else F.col(c) for c in df.columns])
 
 
@@ -314,13 +164,13 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     anew as donors for each visit.  Where all rows' features are counted to fit in
     ``donor_bytes``, donors are sorted arrays that are broadcast and a visit is one
     narrow map over the rows with nulls.  Beyond that a visit is one distributed
-    search (:func:`knn_search`) with the kept index of complete rows.  Either way is
+    search (:mod:`knn`) in which the complete rows keep their regions.  Either way is
     exact, ties go to the smallest key, and every visit's rows are checkpointed."""
     checkpoint_dir(df.sparkSession)
     feats = list(feats)
     st = df.agg(*[F.count_if(F.col(f).isNull()).alias(f"z_{f}") for f in feats],
                 *[F.avg(f).alias(f"m_{f}") for f in feats],
-                *[(F.max(f) - F.min(f)).cast("double").alias(f"s_{f}") for f in feats],
+                F.count_if(reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in feats])).alias("whole"),
                 F.greatest(*[F.max(F.abs(F.col(f))) for f in feats], F.lit(0.0)).alias("amax"),
                 F.count(F.lit(1)).alias("n")).first()
     visit = [f for f in sorted(feats, key=lambda f: st[f"z_{f}"]) if 0 < st[f"z_{f}"] < st["n"]]
@@ -341,11 +191,10 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
         ranks = np.empty(len(order), np.int64)
         ranks[np.asarray(order)] = np.arange(len(order))
         place = dict(zip(holed.to_pylist(), ranks[len(names):].tolist()))
-    index: dict[str, DataFrame] = {}
+    index: dict[str, tuple[Broadcast, DataFrame]] = {}
 
     def visited(part: DataFrame, f: str) -> DataFrame:
         others = [g for g in feats if g != f]
-        spreads = [st[f"s_{g}"] or 0.0 for g in others]
         if fits:
             at, rest = feats.index(f), [feats.index(g) for g in others]
             keys, moving = _arrays(part.filter(~F.col(f"_miss_{f}")), key, feats)
@@ -353,17 +202,22 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
             donors = [(fixed[:, rest], fixed[:, at], ranks[:len(names)]), (moving[:, rest], moving[:, at], moved)]
             given = df.sparkSession.sparkContext.broadcast(donors)
             return part.mapInArrow(_filled(given, feats, f, k), part.schema).checkpoint(eager=True)
+        cols, t = [*others, f], len(others)
         if f not in index:
-            index[f] = complete_points(whole.select(F.col(key).alias("did"), *others, f), others, f, spreads, k)
-        cells = part.filter(F.col(f"_miss_{f}")).select(F.col(key).alias("cell_id"), F.lit(f).alias("target"), *others)
-        donors = part.filter(~F.col(f"_miss_{f}")).select(F.col(key).alias("did"), *others, f)
-        # Imputed values are means of observed ones, so the observed ranges
-        # bound every feature's spread in every sweep.
-        found = knn_search(cells, donors, others, k, spreads=spreads, n_donors=st["n"] - st[f"z_{f}"],
-                           targets=[f], complete=True, kept=index[f])
-        return (part.join(found, F.col(key) == F.col("cell_id"), "left")
-                .withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce("value", F.col(f))).otherwise(F.col(f)))
-                .drop("cell_id", "value").checkpoint(eager=True))
+            sample, per = N.sampled(whole if st["whole"] else part, cols, st["n"] - st[f"z_{f}"])
+            full = (1 << len(cols)) - 1
+            space = df.sparkSession.sparkContext.broadcast(N.Space(cols, [full ^ (1 << t), full], [t], sample, per))
+            index[f] = space, N.dealt_donors(whole, key, space, cols).checkpoint(eager=True)
+        space, kept = index[f]
+        moving = N.dealt_donors(part.filter(~F.col(f"_miss_{f}")), key, space, cols)
+        asking = part.filter(F.col(f"_miss_{f}")).withColumn(f, F.lit(None).cast("double"))
+        found = N.search(kept.unionByName(moving), N.dealt_receivers(asking, key, space, cols, k), space, k)
+        # A row is known by its key and its features: keys may repeat.
+        same = [F.col(g).eqNullSafe(F.col(f"r{i}")) for i, g in enumerate(others)]
+        found = found.drop("target", f"r{t}").withColumnRenamed("rid", "_rid")
+        joined = part.join(found, reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col("_rid")), F.col(f"_miss_{f}"), *same]), "left")
+        return (joined.withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce("value", F.col(f))).otherwise(F.col(f)))
+                .select(*part.columns).checkpoint(eager=True))
 
     for _ in range(max_iter):
         part = part.withColumns({f"_was_{f}": F.col(f) for f in feats})

@@ -120,8 +120,15 @@ def encode(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], inde
 def dense(vector: str = "features") -> Column:
     """A sparse vector of :func:`encode` as an array of doubles."""
     v = F.col(vector)
-    return F.transform(F.sequence(F.lit(0), v["size"] - 1), lambda i: F.coalesce(
-        F.get(v["values"], F.array_position(v["indices"], i).cast("int") - 1), F.lit(0.0)))
+    at = v["indices"]  # ascending
+
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), n.cast("int"))
+
+    # Each value behind the zeros since the one before: no search per slot.
+    runs = F.transform(at, lambda x, j: F.concat(zeros(x - F.coalesce(F.get(at, j - 1), F.lit(-1)) - 1), F.array(F.get(v["values"], j))))
+    rest = zeros(v["size"] - F.coalesce(F.get(at, F.size(at) - 1), F.lit(-1)) - 1)
+    return F.concat(F.flatten(runs), rest)
 
 
 def feature_matrix(df: DataFrame, key: str, target: str, num_cols: Sequence[str], cat_cols: Sequence[str],

@@ -170,10 +170,10 @@ SELECT obs_id, is_test, {r('ln(1 + valor_mercado_eur_TARGET)')} AS log_target, {
 def _matrix_text(spark, d, group=None):
     df = obs(spark, d).withColumn("log_target", fn.log_target("valor_mercado_eur_TARGET"))
     out = M.feature_matrix(df, "obs_id", "log_target", num_cols=MATRIX_COLS, cat_cols=S.PLAYER_TEXT, group=group)
-    values = M.dense()
-    numbers = F.transform(F.slice(values, 1, len(MATRIX_COLS)), lambda x: F.when(F.isnan(x), F.lit("NaN")).otherwise(
-        F.round(F.nanvl(x, F.lit(0.0)), 6).cast("decimal(20,6)").cast("string")))
-    flags = F.transform(F.slice(values, F.lit(len(MATRIX_COLS) + 1), F.col("features.size")), lambda x: x.cast("int").cast("string"))
+    out = out.withColumn("_all", M.dense())
+    numbers = F.array(*[F.when(F.isnan(x), F.lit("NaN")).otherwise(F.round(F.nanvl(x, F.lit(0.0)), 6).cast("decimal(20,6)").cast("string"))
+                        for x in (F.get("_all", F.lit(i)) for i in range(len(MATRIX_COLS)))])
+    flags = F.slice("_all", F.lit(len(MATRIX_COLS) + 1), F.col("features.size")).cast("array<int>").cast("array<string>")
     return out.select("obs_id", "is_test", "log_target", F.array_join(F.concat(numbers, flags), ",").alias("features"))
 
 

@@ -140,3 +140,40 @@ def test_position_files_and_missing_ids(spark, tmp_path):
     (tmp_path / "lines.json").write_text('{"id": 1, "fen": "a"}\nnot json\n{"id": "x", "fen": "b"}\n')
     rows = io.read_positions_json(spark, str(tmp_path / "lines.json"), multi_line=False).collect()
     assert [r.id for r in rows] == [1, None, None] and rows[1][io.RESCUED] == "not json"
+
+
+def test_knn_over_many_regions_matches_brute_force(spark, monkeypatch):
+    """Regions of a few donors, parts of regions that cannot be cut, and equal keys."""
+    import numpy as np
+
+    from scoutlab.operators import knn as N
+    monkeypatch.setattr(N, "REGION_ROWS", 12)
+    monkeypatch.setattr(N, "REGION_SAMPLE", 4)
+    rng = random.Random(6)
+    feats = ["a", "b", "c"]
+    rows = [(i, *[None if rng.random() < 0.15 else float(rng.randrange(5 * 3 ** j)) for j in range(3)]) for i in range(300)]
+    rows += [(300 + i, 2.0, 2.0, 40.0 + i) for i in range(150)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, c double").repartition(3)
+    x = np.array([[np.nan if v is None else v for v in r[1:]] for r in rows])
+    space = N.Space(feats, sorted(set(N._presence(x).tolist())), [0, 1, 2], x, 1.0)
+    assert max(r.size for r in space.regions) > 8 and max(r.parts.max() for r in space.regions) > 1
+    sizes = N.dealt_donors(df, "k", spark.sparkContext.broadcast(space), feats).groupBy("region").count().agg(F.max("count")).first()[0]
+    assert sizes < 100  # of 450 rows
+    got = {r.k: r[1:] for r in I.impute_knn(df, "k", feats).collect()}
+    means = np.nanmean(x, axis=0)
+    for i, row in enumerate(x):
+        for j in np.flatnonzero(np.isnan(row)):
+            both = ~np.isnan(x) & ~np.isnan(row)
+            ok = np.flatnonzero(~np.isnan(x[:, j]) & both.any(1))
+            dist = np.sqrt(3 / both[ok].sum(1) * np.where(both, (x - row) ** 2, 0.0)[ok].sum(1))
+            near = ok[np.lexsort((ok, dist))][:5]
+            assert got[i][j] == pytest.approx(x[near, j].mean() if len(near) else means[j])
+
+
+def test_iterative_knn_with_repeated_keys_keeps_the_rows(spark):
+    rows = [(i // 2, float(i % 7), float(i), None if i % 6 == 0 else float(2 * i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, c double")
+    part = I.impute_iterative_knn(df.filter("k % 3 > 0"), "k", ["a", "b", "c"], max_iter=1, donor_bytes=0)
+    assert part.count() == 40
+    found = {(r.k, r.b): r.c for r in I.impute_iterative_knn(df, "k", ["a", "b", "c"], max_iter=1, donor_bytes=0).collect()}
+    assert len(found) == 60 and None not in found.values()
