@@ -89,8 +89,15 @@ def impute_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5) -> Dat
         return df.select(*[F.coalesce(F.col(c), F.lit(means[c])).alias(c) if c in feats else F.col(c) for c in df.columns])
     space = spark.sparkContext.broadcast(plan)
     asking = reduce(lambda a, b: a | b, [~N.known(feats[i]) for i in targets])
-    found = N.search(N.dealt_donors(base, key, space, feats), N.dealt_receivers(base.filter(asking), key, space, feats, k), space, k)
-    filled = found.groupBy(F.col("rid").alias(key)).agg(*[F.max(F.when(F.col("target") == i, F.col("value"))).alias(f"_v_{feats[i]}") for i in targets])
+    # Receivers with equal features are one query, named by the smallest of their cells.
+    asked = base.filter(asking)
+    cell = {i: F.concat_ws("|", F.col(key).cast("string"), F.lit(feats[i])) for i in targets}
+    queries = asked.groupBy(*feats).agg(*[F.min(cell[i]).alias(f"rid{i}") for i in targets])
+    receivers = N.dealt_receivers(queries, {i: f"rid{i}" for i in targets}, space, feats, k)
+    found = N.search(N.dealt_donors(base, key, space, feats), receivers, space, k, pooled=True)
+    rows = asked.select(key, *[F.when(N.known(f), F.col(f)).otherwise(F.lit(float("nan"))).alias(f"r{i}") for i, f in enumerate(feats)])
+    filled = rows.join(found, [f"r{i}" for i in range(len(feats))]).groupBy(key).agg(
+        *[F.max(F.when(F.col("target") == i, F.col("value"))).alias(f"_v_{feats[i]}") for i in targets])
     out = df.join(filled, key, "left")
     value = {feats[i]: F.col(f"_v_{feats[i]}") for i in targets}
     return out.select(*[F.coalesce(F.col(c), *([value[c]] if c in value else []), F.lit(means[c])).alias(c) if c in feats
@@ -211,7 +218,7 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
         space, kept = index[f]
         moving = N.dealt_donors(part.filter(~F.col(f"_miss_{f}")), key, space, cols)
         asking = part.filter(F.col(f"_miss_{f}")).withColumn(f, F.lit(None).cast("double"))
-        found = N.search(kept.unionByName(moving), N.dealt_receivers(asking, key, space, cols, k), space, k)
+        found = N.search(kept.unionByName(moving), N.dealt_receivers(asking, {t: key}, space, cols, k), space, k)
         # A row is known by its key and its features: keys may repeat.
         same = [F.col(g).eqNullSafe(F.col(f"r{i}")) for i, g in enumerate(others)]
         found = found.drop("target", f"r{t}").withColumnRenamed("rid", "_rid")

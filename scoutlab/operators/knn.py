@@ -212,9 +212,9 @@ def dealt_donors(rows: DataFrame, key: str, space: Broadcast, feats: Sequence[st
         run, f"region long, did {kind}, tv double, " + ", ".join(f"{c} double" for c in names))
 
 
-def dealt_receivers(rows: DataFrame, key: str, space: Broadcast, feats: Sequence[str], k: int) -> DataFrame:
+def dealt_receivers(rows: DataFrame, rids: dict[int, str], space: Broadcast, feats: Sequence[str], k: int) -> DataFrame:
     """``region, rid, target, bound, r0..``: every row once per target that it misses and
-    region that may hold one of its k nearest donors."""
+    region that may hold one of its k nearest donors; ``rids``: its name per target."""
     names = [f"r{i}" for i in range(len(feats))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,11 +227,11 @@ def dealt_receivers(rows: DataFrame, key: str, space: Broadcast, feats: Sequence
                         some, region, bound = at.regions[g].of_receivers(x[rows][:, at.groups[g][1]], k)
                         which = rows[some]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(at.first[g] + region), batch.column("rid").take(pa.array(which)), pa.array(np.full(len(which), t, np.int32)),
+                            [pa.array(at.first[g] + region), batch.column(f"rid{t}").take(pa.array(which)), pa.array(np.full(len(which), t, np.int32)),
                              pa.array(bound[some]), *[pa.array(np.ascontiguousarray(c)) for c in x[which].T]], ["region", "rid", "target", "bound", *names])
 
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.select(F.col(key).alias("rid"), *feats).mapInArrow(
+    kind = rows.schema[next(iter(rids.values()))].dataType.simpleString()
+    return rows.select(*feats, *[F.col(c).alias(f"rid{t}") for t, c in rids.items()]).mapInArrow(
         run, f"region long, rid {kind}, target int, bound double, " + ", ".join(f"{c} double" for c in names))
 
 
@@ -284,9 +284,10 @@ def _nearest(x: np.ndarray, rank: np.ndarray, q: np.ndarray, bound: np.ndarray,
     return who[top], kept[donor[top]], dist[top]
 
 
-def search(donors: DataFrame, receivers: DataFrame, space: Broadcast, k: int) -> DataFrame:
+def search(donors: DataFrame, receivers: DataFrame, space: Broadcast, k: int, pooled: bool = False) -> DataFrame:
     """``rid, target, r0.., value``: the mean over the k nearest donors of every receiver that
-    has one at a defined distance; ties go to the smallest key."""
+    has one at a defined distance; ties go to the smallest key.  ``pooled``: receivers of one
+    rid share the k nearest pairs of them all."""
     size, nf = space.value.size, len(space.value.feats)
     names = [f"r{i}" for i in range(nf)]
     did = donors.schema["did"].dataType
@@ -322,6 +323,9 @@ def search(donors: DataFrame, receivers: DataFrame, space: Broadcast, k: int) ->
     tasks = max(int(donors.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // 4)
     found = (donors.repartition(tasks, "region").groupBy("region")
              .cogroup(receivers.repartition(tasks, "region").groupBy("region")).applyInArrow(run, kind))
-    merged = found.groupBy("rid", "target", *names).agg(F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
     total = F.aggregate(F.col("best"), F.lit(0.0), lambda a, b: a + b["tv"])
-    return merged.select("rid", "target", *names, (total / F.size("best")).alias("value"))
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best")
+    if not pooled:
+        return found.groupBy("rid", "target", *names).agg(best).select("rid", "target", *names, (total / F.size("best")).alias("value"))
+    merged = found.groupBy("rid", "target").agg(best, F.collect_set(F.struct(*names)).alias("rows"))
+    return merged.select("rid", "target", (total / F.size("best")).alias("value"), F.inline("rows"))
