@@ -88,13 +88,15 @@ def impute_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5) -> Dat
     if not plan.groups:
         return df.select(*[F.coalesce(F.col(c), F.lit(means[c])).alias(c) if c in feats else F.col(c) for c in df.columns])
     space = spark.sparkContext.broadcast(plan)
+    # A row becomes several donors: the rows of one task are few enough to hold these.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(patterns.values()) // N.TASK_ROWS)
     asking = reduce(lambda a, b: a | b, [~N.known(feats[i]) for i in targets])
     # Receivers with equal features are one query, named by the smallest of their cells.
     asked = base.filter(asking)
     cell = {i: F.concat_ws("|", F.col(key).cast("string"), F.lit(feats[i])) for i in targets}
     queries = asked.groupBy(*feats).agg(*[F.min(cell[i]).alias(f"rid{i}") for i in targets])
     receivers = N.dealt_receivers(queries, {i: f"rid{i}" for i in targets}, space, feats, k)
-    found = N.search(N.dealt_donors(base, key, space, feats), receivers, space, k, pooled=True)
+    found = N.search(N.dealt_donors(base.repartition(tasks), key, space, feats), receivers, space, k, pooled=True)
     rows = asked.select(key, *[F.when(N.known(f), F.col(f)).otherwise(F.lit(float("nan"))).alias(f"r{i}") for i, f in enumerate(feats)])
     filled = rows.join(found, [f"r{i}" for i in range(len(feats))]).groupBy(key).agg(
         *[F.max(F.when(F.col("target") == i, F.col("value"))).alias(f"_v_{feats[i]}") for i in targets])

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 MAX_FEATURES = 62  # presence masks are BIGINT
 SAMPLE_ROWS = 30_000  # rows that shape the regions
 REGION_ROWS = 16_000  # donors that a region should hold
+TASK_ROWS = 250_000  # rows that a task deals to regions
 REGION_SAMPLE = 32  # fewest sampled donors of a region
 BLOCK = 256  # donors that are met at once
 SLACK = 1 + 1e-9  # on bounds, for the last bit of sums
