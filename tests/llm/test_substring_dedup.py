@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from scoutlab.llm import substring_dedup
@@ -76,3 +78,58 @@ def test_equal_strings_have_equal_keys():
 
 def test_empty(no_docs):
     assert substring_duplicates(no_docs).count() == 0
+
+
+class Step:
+    """Stands for the frames around a mapInArrow step and holds its function."""
+
+    def mapInArrow(self, function, schema):
+        self.function = self.function if hasattr(self, "function") else function
+        return self
+
+    def __getattr__(self, name):
+        if name == "function":
+            raise AttributeError(name)
+        return lambda *args, **kwargs: self
+
+
+def text_pieces(seed, n):
+    """A text and all its pieces, as the steps get them."""
+    text = np.random.default_rng(seed).integers(97, 123, n, dtype=np.uint8)
+    starts, counts, at, names = anchored(text, np.array([0]))
+    return text.tobytes().decode(), [
+        {"piece": seed << 32 | i, "start": int(s), "m": int(m), "distance": int(d), "anchor": int(a), "weight": 1, "splits": 1}
+        for i, (s, m, d, a) in enumerate(zip(starts, counts, at - starts, names.view(np.int64)))]
+
+
+def most_memory(function, batches):
+    tracemalloc.start()
+    for _ in function(iter(batches)):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 2**20
+
+
+def test_naming_takes_little_memory():
+    """600,000 suffixes in 5,000 overlapping pieces: their text is 3 MB when every piece brings its own."""
+    texts, lists = zip(*(text_pieces(seed, 50_000) for seed in range(12)))
+    piece = pa.struct([(name, pa.int64()) for name in lists[0][0]])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(lists, pa.list_(piece))], names=["text", "list"])
+    step = Step()
+    substring_dedup.repeated_suffixes(step, 4)
+    assert most_memory(step.function, [batch]) < 80
+
+
+def test_removal_takes_little_memory():
+    """A text of 8 MB that loses a few bytes needs no numbers for each of its bytes."""
+    items = pa.array([[{"start": 5, "m": 3, "ats": None}, {"start": 7_000_002, "m": 8, "ats": None}]],
+                     pa.list_(pa.struct([("start", pa.int64()), ("m", pa.int64()), ("ats", pa.list_(pa.binary()))])))
+    text = "abcdefgh" * 1_000_000
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text]), items], names=["k1", "k2", "text", "list"])
+    step = Step()
+    substring_dedup.removals(step)
+    found, = list(step.function(iter([batch])))
+    kept = text[:5] + text[5 + 402:7_000_002] + text[7_000_409:]
+    assert found.to_pylist() == [{"k1": 1, "k2": 2, "n_removed": 402 + 407, "n_spans": 2, "kept_sha256": hashlib.sha256(kept.encode()).hexdigest()}]
+    assert most_memory(step.function, [batch]) < 24
