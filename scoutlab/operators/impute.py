@@ -110,53 +110,85 @@ def impute_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5) -> Dat
 DONOR_BYTES = 32 << 20
 
 
-class _Donors:
-    """Donors in memory, sorted by their widest feature."""
-
-    def __init__(self, x: np.ndarray, target: np.ndarray, rank: np.ndarray):
-        self.axis = int(np.argmax(x.max(0) - x.min(0))) if len(x) else 0
-        order = np.argsort(x[:, self.axis], kind="stable")
-        self.x, self.target, self.rank = x[order], target[order], rank[order]
-        self.along = np.ascontiguousarray(self.x[:, self.axis])
-
-    def nearest(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(distance, rank, target) of the k nearest, ties by rank: the k-th distance in a
-        stretch around the query bounds the true one, and nothing outside the stretch
-        of that reach can be closer."""
-        at = int(np.searchsorted(self.along, q[self.axis]))
-        a, b = max(0, at - 8 * k), at + 8 * k
-        bound = np.sqrt(((self.x[a:b] - q) ** 2).sum(1))
-        if len(bound) >= k:
-            reach = np.partition(bound, k - 1)[k - 1] * (1 + 1e-12)
-            a, b = np.searchsorted(self.along, q[self.axis] - reach), np.searchsorted(self.along, q[self.axis] + reach, "right")
-        else:
-            a, b = 0, len(self.along)
-        dist = np.sqrt(((self.x[a:b] - q) ** 2).sum(1))
-        best = np.lexsort((self.rank[a:b], dist))[:k]
-        return dist[best], self.rank[a:b][best], self.target[a:b][best]
-
-
-def _filled(given: Broadcast, feats: list[str], f: str, k: int):
+def _arrays(rows: DataFrame, key: str, feats: list[str]) -> tuple[pa.Array, np.ndarray]:
+    table = rows.select(key, *feats).toArrow().combine_chunks()
+    return table.column(key).combine_chunks(), np.column_stack([np.asarray(table.column(g), float) for g in feats])
+
+
+def _prepared(x: np.ndarray, target: np.ndarray, rank: np.ndarray, k: int) -> tuple[N.Donors, np.ndarray]:
+    ok = np.flatnonzero(~np.isnan(x).any(1) & ~np.isnan(target))
+    donors, kept = N.Donors.of(x[ok], rank[ok], k)
+    return donors, target[ok][kept]
+
+
+def _column(batch: pa.RecordBatch | pa.Table, f: str) -> np.ndarray:
+    return np.asarray(batch.column(f), float).copy()
+
+
+def _put(batch: pa.RecordBatch | pa.Table, f: str, at: np.ndarray, values: np.ndarray, fresh: bool) -> pa.RecordBatch | pa.Table:
+    """The rows ``at`` with new values of ``f``, and how far every row has moved in this sweep."""
+    new, moved = _column(batch, f), _column(batch, "_moved") * (not fresh)
+    moved[at] += np.abs(values - new[at])
+    new[at] = values
+    for c, v in ((f, new), ("_moved", moved)):
+        batch = batch.set_column(batch.schema.get_field_index(c), c, pa.array(v))
+    return batch
+
+
+def _filled(given: list[Broadcast], feats: list[str], f: str, k: int, fresh: bool):
     """mapInArrow body: column ``f`` of the rows that miss it, from the broadcast donors."""
-    at = feats.index(f)
-    others = [i for i in range(len(feats)) if i != at]
+    others = [g for g in feats if g != f]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [_Donors(*p) for p in given.value if len(p[1])]
+        parts = [p.value for p in given]
+        target = np.concatenate([t for _, t in parts])
+        rank = np.concatenate([p.rank for p, _ in parts])
+        first = np.cumsum([0, *(len(t) for _, t in parts)])
         for batch in batches:
-            x = np.column_stack([np.asarray(batch.column(g), float) for g in feats]) if batch.num_rows else np.empty((0, len(feats)))
-            value = x[:, at].copy()
-            for i in np.flatnonzero(np.asarray(batch.column(f"_miss_{f}").to_pylist(), bool)):
-                found = [p.nearest(x[i, others], k) for p in parts]
-                dist, rank, target = (np.concatenate(v) for v in zip(*found))
-                value[i] = target[np.lexsort((rank, dist))[:k]].mean()
-            yield batch.set_column(batch.schema.get_field_index(f), f, pa.array(value))
+            x = np.column_stack([_column(batch, g) for g in others])
+            at = np.flatnonzero(np.asarray(batch.column(f"_miss_{f}").to_pylist(), bool) & ~np.isnan(x).any(1))
+            points, back = np.unique(x[at], axis=0, return_inverse=True)
+            found = [p.nearest(points, np.full(len(points), np.inf), 1.0, k) for p, _ in parts]
+            who, dist = (np.concatenate([v[i] for v in found]) for i in (0, 2))
+            donor = np.concatenate([a + v[1] for a, v in zip(first, found)])
+            top = N.first_of_each(who, (rank[donor], dist), k)
+            value = np.full(len(points), np.nan)
+            names, value[np.unique(who)] = N.means(who[top], target[donor[top]])
+            value, met = value[back.reshape(-1)], np.isin(back.reshape(-1), names)
+            yield _put(batch, f, at[met], value[met], fresh)
     return run
 
 
-def _arrays(rows: DataFrame, key: str, feats: list[str]) -> tuple[pa.Array, np.ndarray]:
-    table = rows.select(key, *feats).toArrow().combine_chunks()
-    return table.column(key).combine_chunks(), np.column_stack([np.asarray(table.column(g), float) for g in feats])
+def _merged(f: str, k: int, fresh: bool):
+    """mapInArrow body: column ``f`` of a task's rows from the ``value`` or the k first of all
+    ``best`` that were found for them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches).combine_chunks() if (batches := list(batches)) else None
+        if table is None:
+            return
+        is_row = pc.is_valid(table.column("_moved"))
+        rows, found = table.filter(is_row).drop_columns(["value", "best"]), table.filter(pc.invert(is_row)).select(["_id", "value", "best"]).combine_chunks()
+        done = found.filter(pc.is_valid(found.column("value")))
+        open_ = found.filter(pc.is_null(found.column("value"))).combine_chunks()
+        names, values = np.asarray(done.column("_id")), _column(done, "value")
+        if open_.num_rows:
+            lists = pa.concat_arrays(open_.column("best").chunks)
+            best, n = lists.flatten(), np.asarray(pc.list_value_length(lists))
+            dist, did, tv = best.flatten()
+            order = np.asarray(pc.sort_indices(did, null_placement="at_start"))
+            again = np.zeros(len(order), bool)
+            again[1:] = np.asarray(pc.fill_null(pc.equal(did.take(pa.array(order[1:])), did.take(pa.array(order[:-1]))), False))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.cumsum(~again)
+            who, tv = np.repeat(np.asarray(open_.column("_id")), n), np.asarray(tv, float)
+            top = N.first_of_each(who, (tv, rank, np.asarray(dist, float)), k)
+            more = N.means(who[top], tv[top])
+            names, values = np.r_[names, more[0]], np.r_[values, more[1]]
+        ids = np.asarray(rows.column("_id"))
+        order = np.argsort(ids)
+        at = order[np.searchsorted(ids, names, sorter=order)]
+        yield from _put(rows, f, at, values, fresh).combine_chunks().to_batches()
+    return run
 
 
 def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5,
@@ -173,10 +205,15 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     anew as donors for each visit.  Where all rows' features are counted to fit in
     ``donor_bytes``, donors are sorted arrays that are broadcast and a visit is one
     narrow map over the rows with nulls.  Beyond that a visit is one distributed
-    search (:mod:`knn`) in which the complete rows keep their regions.  Either way is
-    exact, ties go to the smallest key, and every visit's rows are checkpointed."""
+    search (:mod:`knn`) in which the complete rows keep their regions and blocks; where
+    they are the fewer rows, all rows are dealt anew by the donors of the visit.  Either
+    way is exact, ties go to the smallest key, and every visit's rows are checkpointed.
+
+    What a visit finds is put beside its rows by a union: the planner takes a join's size
+    for the product of its sides', and as a checkpoint keeps that estimate, a join of the
+    rows with what was found from them squares it in every visit."""
     checkpoint_dir(df.sparkSession)
-    feats = list(feats)
+    feats, spark = list(feats), df.sparkSession
     st = df.agg(*[F.count_if(F.col(f).isNull()).alias(f"z_{f}") for f in feats],
                 *[F.avg(f).alias(f"m_{f}") for f in feats],
                 F.count_if(reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in feats])).alias("whole"),
@@ -188,11 +225,15 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     rows = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
                      *[F.coalesce(F.col(f).cast("double"), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
     holes = reduce(lambda a, b: a | b, [F.col(f"_miss_{f}") for f in visit])
+    fits = st["n"] * 8 * (len(feats) + 2) <= donor_bytes
+    # Regions are cut by donors that stay; where these are few, all rows move.
+    stays = fits or 2 * st["whole"] >= st["n"]
     # The rows with holes are searched for in every visit: dealt out evenly once.
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole, part = rows.filter(~holes), rows.filter(holes).repartition(spread, key).checkpoint(eager=True)
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), st["n"] // N.TASK_ROWS)
+    whole = rows.filter(~holes if stays else F.lit(False))
+    part = (rows.filter(holes if stays else F.lit(True)).repartition(spread)
+            .withColumns({"_moved": F.lit(0.0), "_id": F.monotonically_increasing_id()}).checkpoint(eager=True))
     threshold = tol * float(st["amax"])
-    fits = st["n"] * 8 * (len(feats) + 2) <= donor_bytes
     if fits:
         names, fixed = _arrays(whole, key, feats)
         holed = _arrays(part, key, feats)[0]
@@ -200,43 +241,41 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
         ranks = np.empty(len(order), np.int64)
         ranks[np.asarray(order)] = np.arange(len(order))
         place = dict(zip(holed.to_pylist(), ranks[len(names):].tolist()))
-    index: dict[str, tuple[Broadcast, DataFrame]] = {}
+    index: dict[str, tuple[Broadcast, DataFrame] | Broadcast] = {}
 
-    def visited(part: DataFrame, f: str) -> DataFrame:
+    def visited(part: DataFrame, f: str, fresh: bool) -> DataFrame:
         others = [g for g in feats if g != f]
+        given = part.filter(~F.col(f"_miss_{f}"))
+        if not others:  # nothing to search by: the mean stays
+            return part
         if fits:
             at, rest = feats.index(f), [feats.index(g) for g in others]
-            keys, moving = _arrays(part.filter(~F.col(f"_miss_{f}")), key, feats)
+            if f not in index:
+                index[f] = spark.sparkContext.broadcast(_prepared(fixed[:, rest], fixed[:, at], ranks[:len(names)], k))
+            keys, moving = _arrays(given, key, feats)
             moved = np.array([place[v] for v in keys.to_pylist()], np.int64)
-            donors = [(fixed[:, rest], fixed[:, at], ranks[:len(names)]), (moving[:, rest], moving[:, at], moved)]
-            given = df.sparkSession.sparkContext.broadcast(donors)
-            return part.mapInArrow(_filled(given, feats, f, k), part.schema).checkpoint(eager=True)
+            moving = spark.sparkContext.broadcast(_prepared(moving[:, rest], moving[:, at], moved, k))
+            return part.mapInArrow(_filled([index[f], moving], feats, f, k, fresh), part.schema).checkpoint(eager=True)
         cols, t = [*others, f], len(others)
-        if f not in index:
-            sample, per = N.sampled(whole if st["whole"] else part, cols, st["n"] - st[f"z_{f}"])
+        if f not in index or not stays:
+            sample, per = N.sampled(whole if stays else given, cols, st["n"] - st[f"z_{f}"])
             full = (1 << len(cols)) - 1
-            space = df.sparkSession.sparkContext.broadcast(N.Space(cols, [full ^ (1 << t), full], [t], sample, per))
-            index[f] = space, N.dealt_donors(whole, key, space, cols).checkpoint(eager=True)
+            space = spark.sparkContext.broadcast(N.Space(cols, [full ^ (1 << t), full], [t], sample, per))
+            index[f] = space, N.packed(whole, key, space, cols, k).checkpoint(eager=True)
         space, kept = index[f]
-        moving = N.dealt_donors(part.filter(~F.col(f"_miss_{f}")), key, space, cols)
-        asking = part.filter(F.col(f"_miss_{f}")).withColumn(f, F.lit(None).cast("double"))
-        found = N.search(kept.unionByName(moving), N.dealt_receivers(asking, {t: key}, space, cols, k), space, k)
-        # A row is known by its key and its features: keys may repeat.
-        same = [F.col(g).eqNullSafe(F.col(f"r{i}")) for i, g in enumerate(others)]
-        found = found.drop("target", f"r{t}").withColumnRenamed("rid", "_rid")
-        joined = part.join(found, reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col("_rid")), F.col(f"_miss_{f}"), *same]), "left")
-        return (joined.withColumn(f, F.when(F.col(f"_miss_{f}"), F.coalesce("value", F.col(f))).otherwise(F.col(f)))
-                .select(*part.columns).checkpoint(eager=True))
+        found = N.search_packed(kept, part, key, "_id", f"_miss_{f}", space, cols, k)
+        return (part.unionByName(found, allowMissingColumns=True).repartition(spread, "_id")
+                .mapInArrow(_merged(f, k, fresh), part.schema).checkpoint(eager=True))
 
     for _ in range(max_iter):
-        part = part.withColumns({f"_was_{f}": F.col(f) for f in feats})
         for f in visit:
-            part = visited(part, f)
-        moved = reduce(lambda x, y: x + y, [F.abs(F.col(f) - F.col(f"_was_{f}")) for f in feats])
-        delta = part.agg(F.max(moved)).first()[0] or 0.0
+            part = visited(part, f, f == visit[0])
+        delta = part.agg(F.max("_moved")).first()[0] or 0.0
+        # Shuffle files and earlier checkpoints go when the driver collects its garbage.
+        spark.sparkContext._jvm.System.gc()
         if delta < threshold:
             break
-    filled = part.select(key, *[F.col(f).alias(f"_v_{f}") for f in feats])
+    filled = part.filter(holes).select(key, *[F.col(f).alias(f"_v_{f}") for f in feats])
     out = df.join(filled, key, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_v_{c}")).alias(c) if c in feats else F.col(c)
                         for c in df.columns])

@@ -116,6 +116,22 @@ class _Regions:
             todo += [(child, part) for child, part in ((left, rows[low]), (right, rows[~low])) if len(part)]
         return out
 
+    def _reached(self, q: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(point, region) of all boxes within the points' bounds (squared)."""
+        found, todo = [(np.zeros(0, np.int64),) * 2], [(0, np.arange(len(q)))]
+        while todo:
+            node, rows = todo.pop()
+            axis, cut, left, right = self.nodes[node]
+            if axis < 0:
+                rows = rows[_outside(q[rows], self.lo[left:left + 1], self.hi[left:left + 1])[:, 0] <= bound[rows]]
+                found.append((rows, np.full(len(rows), left)))
+                continue
+            beyond = q[rows, axis] - cut
+            near = beyond ** 2 <= bound[rows]
+            todo += [(child, part) for child, part in ((left, rows[near | (beyond < 0)]), (right, rows[near | (beyond >= 0)])) if len(part)]
+        rows, regions = (np.concatenate(v) for v in zip(*found))
+        return rows, regions
+
     def of_donors(self, x: np.ndarray, digest: np.ndarray) -> np.ndarray:
         home = self._home(x)
         return self.first[home] + digest % self.parts[home]
@@ -127,11 +143,7 @@ class _Regions:
         for region, rows in _together(self._home(q)):
             if len(self.near[region]) >= k:
                 bound[rows] = np.partition(_squares(q[rows], self.near[region]), k - 1, axis=1)[:, k - 1] * SLACK
-        found = []
-        for a in range(0, len(q), 2048):
-            rows, regions = np.nonzero(_outside(q[a:a + 2048], self.lo, self.hi) <= bound[a:a + 2048, None])
-            found.append((rows + a, regions))
-        rows, regions = (np.concatenate(v) for v in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        rows, regions = self._reached(q, bound)
         times = self.parts[regions]
         nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
         return np.repeat(rows, times), np.repeat(self.first[regions], times) + nth, bound
@@ -251,38 +263,73 @@ def _blocks(x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+class Donors:
+    """Donors by blocks: block i is ``x[start[i]:start[i + 1]]``; ties go to the lowest rank."""
+
+    def __init__(self, x: np.ndarray, rank: np.ndarray, start: np.ndarray):
+        self.x, self.rank, self.start = x, rank, start
+        self.lo, self.hi = (f.reduceat(x, start[:-1], axis=0) if len(x) else x for f in (np.minimum, np.maximum))
+
+    @classmethod
+    def of(cls, x: np.ndarray, rank: np.ndarray, k: int) -> tuple[Donors, np.ndarray]:
+        """The donors in blocks, and where each was; of equal donors the k first are kept."""
+        order = np.lexsort((rank, *x.T))
+        new = np.r_[True, (np.diff(x[order], axis=0) != 0).any(1)][:len(x)]
+        start = np.maximum.accumulate(np.where(new, np.arange(len(x)), 0))
+        kept = order[np.arange(len(x)) - start < k]
+        blocks = _blocks(x[kept]) if len(kept) else []
+        kept = kept[np.concatenate(blocks)] if blocks else kept
+        return cls(x[kept], rank[kept], np.cumsum([0, *map(len, blocks)])), kept
+
+    def nearest(self, q: np.ndarray, bound: np.ndarray, scale: float, k: int) -> tuple[np.ndarray, ...]:
+        """(receiver, donor, distance) of each receiver's k nearest donors within its bound
+        (squared), by receiver, distance and rank."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for a in range(0, len(q) if len(self.x) else 0, 8192):
+            some, most, found = q[a:a + 8192], bound[a:a + 8192].copy(), []
+            apart = _outside(some, self.lo, self.hi)
+            for b, rows in _together(apart.argmin(1)):
+                since, upto = self.start[b], self.start[b + 1]
+                if upto - since >= k:
+                    kth = np.partition(_squares(some[rows], self.x[since:upto]), k - 1, axis=1)[:, k - 1] * SLACK
+                    most[rows] = np.minimum(most[rows], kth)
+            met = apart <= most[:, None]
+            for b in np.flatnonzero(met.any(0)).tolist():
+                rows, since = np.flatnonzero(met[:, b]), self.start[b]
+                ss = _squares(some[rows], self.x[since:self.start[b + 1]])
+                i, j = np.nonzero(ss <= most[rows, None])
+                found.append((rows[i], since + j, np.sqrt(scale * ss[i, j])))
+            if found:
+                who, donor, dist = (np.concatenate(v) for v in zip(*found))
+                top = first_of_each(who, (self.rank[donor], dist), k)
+                out.append((who[top] + a, donor[top], dist[top]))
+        who, donor, dist = (np.concatenate(v) for v in zip(*out))
+        return who, donor, dist
+
+
+def first_of_each(who: np.ndarray, by: tuple[np.ndarray, ...], k: int) -> np.ndarray:
+    """Where the k first of every ``who`` are, in order; ``by``: the last one counts first."""
+    order = np.lexsort((*by, who))
+    at = np.arange(len(who)) - np.searchsorted(who[order], who[order])
+    return order[at < k]
+
+
+def means(who: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every ``who`` (ascending) and the mean of its values, added in their order."""
+    names, first, n = np.unique(who, return_index=True, return_counts=True)
+    total = np.zeros(len(names))
+    for j in range(int(n.max(initial=0))):
+        more = n > j
+        total[more] += values[first[more] + j]
+    return names, total / n
+
+
 def _nearest(x: np.ndarray, rank: np.ndarray, q: np.ndarray, bound: np.ndarray, scale: float, k: int) -> tuple[np.ndarray, ...]:
     """(receiver, donor, distance) of each receiver's k nearest donors within its bound, by
     receiver, distance and rank."""
-    order = np.lexsort((rank, *x.T))
-    new = np.r_[True, (np.diff(x[order], axis=0) != 0).any(1)]
-    start = np.maximum.accumulate(np.where(new, np.arange(len(x)), 0))
-    kept = order[np.arange(len(x)) - start < k]  # of equal donors the k first
-    x, rank = x[kept], rank[kept]
-    blocks = _blocks(x)
-    lo, hi = np.array([x[b].min(0) for b in blocks]), np.array([x[b].max(0) for b in blocks])
-    found = []
-    for a in range(0, len(q), 8192):
-        some, most = q[a:a + 8192], bound[a:a + 8192].copy()
-        apart = _outside(some, lo, hi)
-        for b, rows in _together(apart.argmin(1)):
-            if len(blocks[b]) >= k:
-                kth = np.partition(_squares(some[rows], x[blocks[b]]), k - 1, axis=1)[:, k - 1] * SLACK
-                most[rows] = np.minimum(most[rows], kth)
-        met = apart <= most[:, None]
-        for b in np.flatnonzero(met.any(0)).tolist():
-            rows = np.flatnonzero(met[:, b])
-            ss = _squares(some[rows], x[blocks[b]])
-            i, j = np.nonzero(ss <= most[rows, None])
-            found.append((rows[i] + a, blocks[b][j], np.sqrt(scale * ss[i, j])))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    who, donor, dist = (np.concatenate(v) for v in zip(*found))
-    order = np.lexsort((rank[donor], dist, who))
-    who, donor, dist = who[order], donor[order], dist[order]
-    first = np.searchsorted(who, who)
-    top = np.arange(len(who)) - first < k
-    return who[top], kept[donor[top]], dist[top]
+    donors, kept = Donors.of(x, rank, k)
+    who, donor, dist = donors.nearest(q, bound, scale, k)
+    return who, kept[donor], dist
 
 
 def search(donors: DataFrame, receivers: DataFrame, space: Broadcast, k: int, pooled: bool = False) -> DataFrame:
@@ -330,3 +377,92 @@ def search(donors: DataFrame, receivers: DataFrame, space: Broadcast, k: int, po
         return found.groupBy("rid", "target", *names).agg(best).select("rid", "target", *names, (total / F.size("best")).alias("value"))
     merged = found.groupBy("rid", "target").agg(best, F.collect_set(F.struct(*names)).alias("rows"))
     return merged.select("rid", "target", (total / F.size("best")).alias("value"), F.inline("rows"))
+
+
+# --- donors of which most stay as they are ---------------------------------------------
+
+def packed(rows: DataFrame, key: str, space: Broadcast, feats: Sequence[str], k: int) -> DataFrame:
+    """``region, did[], tv[], start[], x[]``: the donors of every region of a space with one
+    group, in blocks."""
+    dealt = dealt_donors(rows, key, space, feats)
+    did = dealt.schema["did"].dataType.simpleString()
+    target, dims, _ = space.value.groups[0]
+
+    def run(region: tuple, given: pa.Table) -> pa.Table:
+        order = np.asarray(pc.sort_indices(given.column("did"), null_placement="at_start"))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        donors, kept = Donors.of(_numbers(given, [f"x{i}" for i in dims]), rank, k)
+        whole = [given.column("did").take(pa.array(kept)).combine_chunks(), given.column("tv").take(pa.array(kept)).combine_chunks(),
+                 pa.array(donors.start), pa.array(donors.x.T.ravel())]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v.chunk(0) if isinstance(v, pa.ChunkedArray) else v) for v in whole]
+        return pa.table([pa.array([region[0].as_py()]), *lists], ["region", "did", "tv", "start", "x"])
+
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), space.value.size // 4)
+    return dealt.repartition(tasks, "region").groupBy("region").applyInArrow(
+        run, f"region long, did array<{did}>, tv array<double>, start array<long>, x array<double>")
+
+
+def search_packed(index: DataFrame, rows: DataFrame, key: str, name: str, missing: str, space: Broadcast, feats: Sequence[str],
+                  k: int) -> DataFrame:
+    """``name, value, best``: the mean over the k nearest donors, among ``index`` and the
+    ``rows`` that are not ``missing``, of every row that is; ``best`` (distance, did, tv) in
+    its place if the row has donors in several regions."""
+    target, dims, scale = space.value.groups[0]
+    others, names = [feats[i] for i in dims], [f"x{i}" for i in range(len(dims))]
+    kind, who = rows.schema[key].dataType.simpleString(), rows.schema[name].dataType.simpleString()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        regions = space.value.regions[0]
+        for batch in batches:
+            x, tv = _numbers(batch, others), _numbers(batch, [feats[target]])[:, 0]
+            known, asks = ~np.isnan(x).any(1), np.asarray(batch.column("_asks").to_pylist(), bool)
+            digest = np.asarray(batch.column("_h")) & (2**62 - 1)
+            a, b = np.flatnonzero(known & asks), np.flatnonzero(known & ~asks & ~np.isnan(tv))
+            some, region, bound = regions.of_receivers(x[a], k)
+            at = np.r_[a[some], b]
+            alone = np.r_[np.bincount(some, minlength=len(a))[some] == 1, np.zeros(len(b), bool)]
+            gives = np.r_[np.zeros(len(some), bool), np.ones(len(b), bool)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[region, regions.of_donors(x[b], digest[b])]), batch.column("_name").take(pa.array(at)), batch.column("_did").take(pa.array(at)),
+                 pa.array(gives), pa.array(alone), pa.array(np.r_[bound[some], np.zeros(len(b))]), pa.array(tv[at]),
+                 *[pa.array(np.ascontiguousarray(c)) for c in x[at].T]], ["region", name, "did", "gives", "alone", "bound", "tv", *names])
+
+    def run(region: tuple, given: pa.Table, dealt: pa.Table) -> pa.Table:
+        moving, asked = dealt.filter(dealt.column("gives")), dealt.filter(pc.invert(dealt.column("gives")))
+        did, tv, x, start = moving.column("did"), np.asarray(moving.column("tv"), float), np.zeros((0, len(dims))), np.zeros(1, np.int64)
+        if given.num_rows:
+            at = {c: given.column(c).combine_chunks().flatten() for c in ("did", "tv", "start", "x")}
+            did = pa.chunked_array([*(at["did"].chunks if isinstance(at["did"], pa.ChunkedArray) else [at["did"]]), *did.chunks])
+            tv, start = np.r_[np.asarray(at["tv"], float), tv], np.asarray(at["start"])
+            x = np.ascontiguousarray(np.asarray(at["x"], float).reshape(len(dims), -1).T)
+        order = np.asarray(pc.sort_indices(did, null_placement="at_start"))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        points, one, back = np.unique(_numbers(asked, names), axis=0, return_index=True, return_inverse=True)
+        bound = np.asarray(asked.column("bound"), float)[one]
+        who, donor, dist = Donors(x, rank[:len(x)], start).nearest(points, bound, scale, k)
+        last = np.flatnonzero(np.arange(len(who)) - np.searchsorted(who, who) == k - 1)
+        bound[who[last]] = np.minimum(bound[who[last]], dist[last] ** 2 / scale * SLACK)
+        newer, kept = Donors.of(_numbers(moving, names), rank[len(x):], k)
+        more = newer.nearest(points, bound, scale, k)
+        who, donor, dist = np.r_[who, more[0]], np.r_[donor, len(x) + kept[more[1]]], np.r_[dist, more[2]]
+        top = first_of_each(who, (rank[donor], dist), k)
+        who, donor, dist = who[top], donor[top], dist[top]
+        value = np.full(len(points), math.nan)
+        value[np.unique(who)] = means(who, tv[donor])[1]
+        back = back.reshape(-1)
+        first, end = np.searchsorted(who, back), np.searchsorted(who, back, "right")
+        met, alone = end > first, np.asarray(asked.column("alone"), bool)
+        n = np.where(met & ~alone, end - first, 0)[met]
+        ends = np.cumsum(n)
+        pick = np.arange(int(n.sum())) - np.repeat(ends - n, n) + np.repeat(first[met], n)
+        best = pa.StructArray.from_arrays([pa.array(dist[pick]), did.take(pa.array(donor[pick])).combine_chunks(), pa.array(tv[donor[pick]])], ["dist", "did", "tv"])
+        return pa.table([asked.column(name).filter(pa.array(met)), pa.array(value[back][met], mask=~alone[met]),
+                         pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), best)], [name, "value", "best"])
+
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), space.value.size // 4)
+    dealt = rows.select(F.col(name).alias("_name"), F.col(key).alias("_did"), *feats, F.col(missing).alias("_asks"), F.xxhash64(key).alias("_h")).mapInArrow(
+        deal, f"region long, {name} {who}, did {kind}, gives boolean, alone boolean, bound double, tv double, " + ", ".join(f"{c} double" for c in names))
+    return index.repartition(tasks, "region").groupBy("region").cogroup(dealt.repartition(tasks, "region").groupBy("region")).applyInArrow(
+        run, f"{name} {who}, value double, best array<struct<dist double, did {kind}, tv double>>")

@@ -177,3 +177,39 @@ def test_iterative_knn_with_repeated_keys_keeps_the_rows(spark):
     assert part.count() == 40
     found = {(r.k, r.b): r.c for r in I.impute_iterative_knn(df, "k", ["a", "b", "c"], max_iter=1, donor_bytes=0).collect()}
     assert len(found) == 60 and None not in found.values()
+
+
+def holed(seed, n, share):
+    rng = random.Random(seed)
+    return [(f"k{i:03}", *[None if rng.random() < share else rng.uniform(0, 10 * (j + 1)) for j in range(3)]) for i in range(n)]
+
+
+def both_paths(spark, rows, **how):
+    df = spark.createDataFrame(rows, "k string, a double, b double, c double")
+    return [I.impute_iterative_knn(df, "k", ["a", "b", "c"], donor_bytes=bound, **how) for bound in (1 << 20, 0)]
+
+
+def test_iterative_knn_over_sweeps_keeps_the_planners_estimate_small(spark):
+    """A join of the rows with what was found from them multiplied the estimated size by itself
+    in every visit, until the planner did nothing else."""
+    one, two = both_paths(spark, holed(11, 80, 0.2), max_iter=3, tol=0.0)
+    assert two._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 5_000
+    one, two = ({r.k: (r.a, r.b, r.c) for r in df.collect()} for df in (one, two))
+    assert one.keys() == two.keys() and all(one[k] == pytest.approx(two[k], rel=1e-12) for k in one)
+
+
+@pytest.mark.parametrize("share", [0.1, 0.45])
+def test_iterative_knn_over_many_regions(spark, monkeypatch, share):
+    """Donors in several regions, with and without enough rows that are complete."""
+    from scoutlab.operators import knn as N
+    monkeypatch.setattr(N, "REGION_ROWS", 12)
+    monkeypatch.setattr(N, "REGION_SAMPLE", 4)
+    rows = holed(12, 150, share) + ([] if share < 0.2 else [(f"m{i:02}", None, float(i), float(-i)) for i in range(30)])
+    one, two = ({r.k: (r.a, r.b, r.c) for r in df.collect()} for df in both_paths(spark, rows, max_iter=2, tol=0.0))
+    assert len(two) == len(rows) and all(one[k] == pytest.approx(two[k], rel=1e-12) for k in one)
+
+
+def test_iterative_knn_of_equal_rows_counts_each_donor_once(spark):
+    rows = [(f"k{i:02}", float(i), float(i), float(i)) for i in range(12)] + [("twice", 6.2, 6.2, None)] * 2
+    for df in both_paths(spark, rows, max_iter=1):
+        assert {r.c for r in df.filter("k = 'twice'").collect()} == {6.0}
