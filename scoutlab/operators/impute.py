@@ -16,12 +16,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from scoutlab.functions.scalar import MISSING_MARKER
 from scoutlab.operators import knn as N
 from scoutlab.operators.profile import exact_quantiles
-from scoutlab.session import checkpoint_dir
+from scoutlab.session import Shelf, checkpoint_dir
 
 
 # --- simple imputers -----------------------------------------------------------
@@ -121,20 +121,10 @@ def _prepared(x: np.ndarray, target: np.ndarray, rank: np.ndarray, k: int) -> tu
     return donors, target[ok][kept]
 
 
-def _column(batch: pa.RecordBatch | pa.Table, f: str) -> np.ndarray:
+def _column(batch: pa.RecordBatch, f: str) -> np.ndarray:
     return np.asarray(batch.column(f), float).copy()
 
 
-def _put(batch: pa.RecordBatch | pa.Table, f: str, at: np.ndarray, values: np.ndarray, fresh: bool) -> pa.RecordBatch | pa.Table:
-    """The rows ``at`` with new values of ``f``, and how far every row has moved in this sweep."""
-    new, moved = _column(batch, f), _column(batch, "_moved") * (not fresh)
-    moved[at] += np.abs(values - new[at])
-    new[at] = values
-    for c, v in ((f, new), ("_moved", moved)):
-        batch = batch.set_column(batch.schema.get_field_index(c), c, pa.array(v))
-    return batch
-
-
 def _filled(given: list[Broadcast], feats: list[str], f: str, k: int, fresh: bool):
     """mapInArrow body: column ``f`` of the rows that miss it, from the broadcast donors."""
     others = [g for g in feats if g != f]
@@ -155,75 +145,30 @@ def _filled(given: list[Broadcast], feats: list[str], f: str, k: int, fresh: boo
             value = np.full(len(points), np.nan)
             names, value[np.unique(who)] = N.means(who[top], target[donor[top]])
             value, met = value[back.reshape(-1)], np.isin(back.reshape(-1), names)
-            yield _put(batch, f, at[met], value[met], fresh)
+            new, moved = _column(batch, f), _column(batch, "_moved") * (not fresh)
+            moved[at[met]] += np.abs(value[met] - new[at[met]])
+            new[at[met]] = value[met]
+            for c, v in ((f, new), ("_moved", moved)):
+                batch = batch.set_column(batch.schema.get_field_index(c), c, pa.array(v))
+            yield batch
     return run
 
 
-def _merged(f: str, k: int, fresh: bool):
-    """mapInArrow body: column ``f`` of a task's rows from the ``value`` or the k first of all
-    ``best`` that were found for them."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches).combine_chunks() if (batches := list(batches)) else None
-        if table is None:
-            return
-        is_row = pc.is_valid(table.column("_moved"))
-        rows, found = table.filter(is_row).drop_columns(["value", "best"]), table.filter(pc.invert(is_row)).select(["_id", "value", "best"]).combine_chunks()
-        done = found.filter(pc.is_valid(found.column("value")))
-        open_ = found.filter(pc.is_null(found.column("value"))).combine_chunks()
-        names, values = np.asarray(done.column("_id")), _column(done, "value")
-        if open_.num_rows:
-            lists = pa.concat_arrays(open_.column("best").chunks)
-            best, n = lists.flatten(), np.asarray(pc.list_value_length(lists))
-            dist, did, tv = best.flatten()
-            order = np.asarray(pc.sort_indices(did, null_placement="at_start"))
-            again = np.zeros(len(order), bool)
-            again[1:] = np.asarray(pc.fill_null(pc.equal(did.take(pa.array(order[1:])), did.take(pa.array(order[:-1]))), False))
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.cumsum(~again)
-            who, tv = np.repeat(np.asarray(open_.column("_id")), n), np.asarray(tv, float)
-            top = N.first_of_each(who, (tv, rank, np.asarray(dist, float)), k)
-            more = N.means(who[top], tv[top])
-            names, values = np.r_[names, more[0]], np.r_[values, more[1]]
-        ids = np.asarray(rows.column("_id"))
-        order = np.argsort(ids)
-        at = order[np.searchsorted(ids, names, sorter=order)]
-        yield from _put(rows, f, at, values, fresh).combine_chunks().to_batches()
-    return run
-
+def _joined(part: DataFrame, found: DataFrame, f: str, k: int, fresh: bool) -> DataFrame:
+    """The rows with the ``value`` or the mean over the k first of all ``best`` that were found
+    for them as their ``f``."""
+    total = F.aggregate("best", F.lit(0.0), lambda a, b: a + b["tv"])
+    values = (found.groupBy("_id").agg(F.max("value").alias("value"), F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
+              .select("_id", F.coalesce("value", total / F.size("best")).alias("_value")))
+    step = F.coalesce(F.abs(F.col("_value") - F.col(f)), F.lit(0.0))
+    return part.join(values, "_id", "left").withColumns(
+        {"_moved": step if fresh else F.col("_moved") + step, f: F.coalesce("_value", f)}).select(*part.columns)
 
-def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5,
-                         max_iter: int = 10, tol: float = 1e-3, donor_bytes: int = DONOR_BYTES) -> DataFrame:
-    """IterativeImputer(KNeighborsRegressor(k), max_iter, tol) on
-    ``feats``: start from column means, visit columns by ascending null
-    count, predict each column's missing cells from the k nearest rows that
-    observed it (Euclidean over the current values of the other columns),
-    stop after ``max_iter`` sweeps or when ``max_row sum|dX| < tol *
-    max|X_observed|``.
-
-    Rows without nulls never change: they are indexed once and kept through all
-    sweeps; only the rows with a null are rewritten, and they alone are indexed
-    anew as donors for each visit.  Where all rows' features are counted to fit in
-    ``donor_bytes``, donors are sorted arrays that are broadcast and a visit is one
-    narrow map over the rows with nulls.  Beyond that a visit is one distributed
-    search (:mod:`knn`) in which the complete rows keep their regions and blocks; where
-    they are the fewer rows, all rows are dealt anew by the donors of the visit.  Either
-    way is exact, ties go to the smallest key, and every visit's rows are checkpointed.
 
-    What a visit finds is put beside its rows by a union: the planner takes a join's size
-    for the product of its sides', and as a checkpoint keeps that estimate, a join of the
-    rows with what was found from them squares it in every visit."""
-    checkpoint_dir(df.sparkSession)
-    feats, spark = list(feats), df.sparkSession
-    st = df.agg(*[F.count_if(F.col(f).isNull()).alias(f"z_{f}") for f in feats],
-                *[F.avg(f).alias(f"m_{f}") for f in feats],
-                F.count_if(reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in feats])).alias("whole"),
-                F.greatest(*[F.max(F.abs(F.col(f))) for f in feats], F.lit(0.0)).alias("amax"),
-                F.count(F.lit(1)).alias("n")).first()
-    visit = [f for f in sorted(feats, key=lambda f: st[f"z_{f}"]) if 0 < st[f"z_{f}"] < st["n"]]
-    if not visit:
-        return df
-    rows = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
-                     *[F.coalesce(F.col(f).cast("double"), F.lit(st[f"m_{f}"])).alias(f) for f in feats]).checkpoint(eager=True)
+def _swept(rows: DataFrame, key: str, feats: list[str], visit: list[str], st: Row, k: int, max_iter: int, tol: float, donor_bytes: int,
+           shelf: Shelf) -> DataFrame:
+    """``key, _v_<f>..``: the rows with holes after the last sweep."""
+    spark = rows.sparkSession
     holes = reduce(lambda a, b: a | b, [F.col(f"_miss_{f}") for f in visit])
     fits = st["n"] * 8 * (len(feats) + 2) <= donor_bytes
     # Regions are cut by donors that stay; where these are few, all rows move.
@@ -232,7 +177,8 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), st["n"] // N.TASK_ROWS)
     whole = rows.filter(~holes if stays else F.lit(False))
     part = (rows.filter(holes if stays else F.lit(True)).repartition(spread)
-            .withColumns({"_moved": F.lit(0.0), "_id": F.monotonically_increasing_id()}).checkpoint(eager=True))
+            .withColumns({"_moved": F.lit(0.0), "_id": F.monotonically_increasing_id()}))
+    part = shelf.put(part)
     threshold = tol * float(st["amax"])
     if fits:
         names, fixed = _arrays(whole, key, feats)
@@ -255,7 +201,7 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
             keys, moving = _arrays(given, key, feats)
             moved = np.array([place[v] for v in keys.to_pylist()], np.int64)
             moving = spark.sparkContext.broadcast(_prepared(moving[:, rest], moving[:, at], moved, k))
-            return part.mapInArrow(_filled([index[f], moving], feats, f, k, fresh), part.schema).checkpoint(eager=True)
+            return shelf.put(part.mapInArrow(_filled([index[f], moving], feats, f, k, fresh), part.schema), instead=part)
         cols, t = [*others, f], len(others)
         if f not in index or not stays:
             sample, per = N.sampled(whole if stays else given, cols, st["n"] - st[f"z_{f}"])
@@ -264,18 +210,53 @@ def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int =
             index[f] = space, N.packed(whole, key, space, cols, k).checkpoint(eager=True)
         space, kept = index[f]
         found = N.search_packed(kept, part, key, "_id", f"_miss_{f}", space, cols, k)
-        return (part.unionByName(found, allowMissingColumns=True).repartition(spread, "_id")
-                .mapInArrow(_merged(f, k, fresh), part.schema).checkpoint(eager=True))
+        return shelf.put(_joined(part, found, f, k, fresh), instead=part)
 
     for _ in range(max_iter):
         for f in visit:
             part = visited(part, f, f == visit[0])
         delta = part.agg(F.max("_moved")).first()[0] or 0.0
-        # Shuffle files and earlier checkpoints go when the driver collects its garbage.
+        # Shuffle files go when the driver collects its garbage.
         spark.sparkContext._jvm.System.gc()
         if delta < threshold:
             break
-    filled = part.filter(holes).select(key, *[F.col(f).alias(f"_v_{f}") for f in feats])
+    return part.filter(holes).select(key, *[F.col(f).alias(f"_v_{f}") for f in feats])
+
+
+def impute_iterative_knn(df: DataFrame, key: str, feats: Sequence[str], k: int = 5,
+                         max_iter: int = 10, tol: float = 1e-3, donor_bytes: int = DONOR_BYTES) -> DataFrame:
+    """IterativeImputer(KNeighborsRegressor(k), max_iter, tol) on
+    ``feats``: start from column means, visit columns by ascending null
+    count, predict each column's missing cells from the k nearest rows that
+    observed it (Euclidean over the current values of the other columns),
+    stop after ``max_iter`` sweeps or when ``max_row sum|dX| < tol *
+    max|X_observed|``.
+
+    Rows without nulls never change: they are indexed once and kept through all
+    sweeps; only the rows with a null are rewritten, and they alone are indexed
+    anew as donors for each visit.  Where all rows' features are counted to fit in
+    ``donor_bytes``, donors are sorted arrays that are broadcast and a visit is one
+    narrow map over the rows with nulls.  Beyond that a visit is one distributed
+    search (:mod:`knn`) in which the complete rows keep their regions and blocks; where
+    they are the fewer rows, all rows are dealt anew by the donors of the visit.  Either
+    way is exact, ties go to the smallest key, and every visit's rows are written.
+
+    They are not checkpointed: a checkpoint keeps the planner's estimate of its size, a
+    join's is the product of its sides', and a join of the rows with what was found from
+    them squared it in every visit, until the planner did nothing else."""
+    feats, spark = list(feats), df.sparkSession
+    st = df.agg(*[F.count_if(F.col(f).isNull()).alias(f"z_{f}") for f in feats],
+                *[F.avg(f).alias(f"m_{f}") for f in feats],
+                F.count_if(reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in feats])).alias("whole"),
+                F.greatest(*[F.max(F.abs(F.col(f))) for f in feats], F.lit(0.0)).alias("amax"),
+                F.count(F.lit(1)).alias("n")).first()
+    visit = [f for f in sorted(feats, key=lambda f: st[f"z_{f}"]) if 0 < st[f"z_{f}"] < st["n"]]
+    if not visit:
+        return df
+    rows = df.select(key, *[F.col(f).isNull().alias(f"_miss_{f}") for f in feats],
+                     *[F.coalesce(F.col(f).cast("double"), F.lit(st[f"m_{f}"])).alias(f) for f in feats])
+    with Shelf(spark, "impute") as shelf:
+        filled = _swept(shelf.put(rows), key, feats, visit, st, k, max_iter, tol, donor_bytes, shelf).checkpoint(eager=True)
     out = df.join(filled, key, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_v_{c}")).alias(c) if c in feats else F.col(c)
                         for c in df.columns])

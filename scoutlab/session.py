@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 def get_spark(master: str | None = None, app: str = "scoutlab",
               shuffle_partitions: int | None = None) -> SparkSession:
@@ -57,3 +58,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="scoutlab-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+class Shelf:
+    """Tables written below the checkpoint folder and read back, with their true sizes and
+    columns read apart; all go at the end of the ``with`` block."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.path, self.n = spark, f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}", 0
+
+    def __enter__(self) -> Shelf:
+        return self
+
+    def put(self, df: DataFrame, instead: DataFrame | None = None) -> DataFrame:
+        """``df`` as written; the table ``instead`` of which it stands is deleted."""
+        self.n += 1
+        path = f"{self.path}/{self.n}"
+        df.write.parquet(path)
+        if instead is not None:
+            self._delete(instead._path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._path = path
+        return out
+
+    def _delete(self, path: str) -> None:
+        file = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        file.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(file, True)
+
+    def __exit__(self, *failure) -> None:
+        self._delete(self.path)

@@ -190,8 +190,8 @@ def both_paths(spark, rows, **how):
 
 
 def test_iterative_knn_over_sweeps_keeps_the_planners_estimate_small(spark):
-    """A join of the rows with what was found from them multiplied the estimated size by itself
-    in every visit, until the planner did nothing else."""
+    """A join of the rows with what was found from them squared the estimated size in every
+    visit, until the planner did nothing else."""
     one, two = both_paths(spark, holed(11, 80, 0.2), max_iter=3, tol=0.0)
     assert two._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 5_000
     one, two = ({r.k: (r.a, r.b, r.c) for r in df.collect()} for df in (one, two))
